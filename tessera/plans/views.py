@@ -40,8 +40,12 @@ def _category(c):
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions view over ``events`` (PRJ1: ``props`` JSON parsed by schema)."""
-    ev = load_table(spark, sf_dir, "events")
+    """Transactions view over the ``events`` table."""
+    return payments_from(load_table(spark, sf_dir, "events"))
+
+
+def payments_from(ev: DataFrame) -> DataFrame:
+    """Transactions view over an events frame, batch or streaming (PRJ1: ``props`` parsed by schema)."""
     eid, uid = F.col("event_id"), F.col("user_id")
     amount = F.round(F.col("value") * 100).cast("bigint") * AMOUNT_SCALE
     method = _pick(PAYMENT_METHODS, F.pmod(eid, F.lit(4)))
