@@ -102,3 +102,86 @@ pay AS (
 def with_payments(sql_body: str) -> str:
     """Prefix a DuckDB query with the payments view CTEs (``pay``)."""
     return "WITH " + PAYMENTS_SQL.strip() + "\n" + sql_body
+
+
+# ---- flights view: lineitem x orders with customer/supplier nations ---------
+# origin = customer's nation, destination = supplier's nation, airline = supplier.
+# Nations carry no coordinates; a fixed rule on the key places them:
+#   lat = (key * 37) mod 140 - 70, lng = (key * 71) mod 340 - 170
+
+
+def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load_table(spark, sf_dir, "lineitem")
+    o = load_table(spark, sf_dir, "orders")
+    c = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    s = load_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    f = (li.join(o, li.l_orderkey == o.o_orderkey)
+           .join(c, o.o_custkey == c.c_custkey)
+           .join(s, li.l_suppkey == s.s_suppkey))
+    return f.select(
+        (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("flight_id"),
+        F.year("o_orderdate").alias("a_year"), F.month("o_orderdate").alias("a_month"),
+        F.dayofmonth("o_orderdate").alias("a_day"),
+        F.col("l_suppkey").alias("airline"),
+        F.col("c_nationkey").alias("origin_airport"),
+        F.col("s_nationkey").alias("destination_airport"),
+        F.pmod(F.col("l_orderkey") * 37 + F.col("l_linenumber") * 101, F.lit(2400)).cast("int").alias("scheduled_departure"),
+        F.when(F.col("l_linestatus") != "O",
+               F.datediff(F.col("l_shipdate"), F.col("o_orderdate")).cast("double")).alias("arrival_delay"),
+        (F.col("l_quantity") * 10).alias("air_time"),
+        (F.col("l_returnflag") == "R").cast("int").alias("cancelled"),
+        F.when(F.col("l_returnflag") == "R", F.col("o_orderpriority")).alias("cancellation_reason"),
+        F.col("l_extendedprice"), F.col("l_discount"), F.col("l_quantity"), F.col("l_partkey"),
+    )
+
+
+def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = load_table(spark, sf_dir, "nation")
+    return n.select("n_nationkey", "n_name",
+                    (F.pmod(F.col("n_nationkey") * 37, F.lit(140)) - 70).cast("double").alias("latitude"),
+                    (F.pmod(F.col("n_nationkey") * 71, F.lit(340)) - 170).cast("double").alias("longitude"))
+
+
+FLIGHTS_SQL = """
+flights AS (
+  SELECT l_orderkey * 1000 + l_linenumber AS flight_id, year(o_orderdate) AS a_year, month(o_orderdate) AS a_month,
+         day(o_orderdate) AS a_day, l_suppkey AS airline, c_nationkey AS origin_airport,
+         s_nationkey AS destination_airport,
+         CAST((l_orderkey * 37 + l_linenumber * 101) % 2400 AS INTEGER) AS scheduled_departure,
+         CASE WHEN l_linestatus <> 'O' THEN CAST(datediff('day', o_orderdate, l_shipdate) AS DOUBLE) END AS arrival_delay,
+         l_quantity * 10 AS air_time, CAST(l_returnflag = 'R' AS INTEGER) AS cancelled,
+         CASE WHEN l_returnflag = 'R' THEN o_orderpriority END AS cancellation_reason,
+         l_extendedprice, l_discount, l_quantity, l_partkey
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+       JOIN supplier ON l_suppkey = s_suppkey
+),
+airports AS (
+  SELECT n_nationkey, n_name, CAST((n_nationkey * 37) % 140 - 70 AS DOUBLE) AS latitude,
+         CAST((n_nationkey * 71) % 340 - 170 AS DOUBLE) AS longitude FROM nation
+)
+"""
+
+
+def with_flights(sql_body: str) -> str:
+    return "WITH " + FLIGHTS_SQL.strip() + "\n" + sql_body
+
+
+def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily order series: one row per order date (bounded by the calendar)."""
+    o = load_table(spark, sf_dir, "orders")
+    return (o.groupBy(F.to_date("o_orderdate").alias("d"))
+             .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total"),
+                  F.max("o_totalprice").alias("high"), F.min("o_totalprice").alias("low")))
+
+
+DAILY_SQL = """
+daily AS (
+  SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n_orders, sum(o_totalprice) AS total,
+         max(o_totalprice) AS high, min(o_totalprice) AS low
+  FROM orders GROUP BY 1
+)
+"""
+
+
+def with_daily(sql_body: str) -> str:
+    return "WITH " + DAILY_SQL.strip() + "\n" + sql_body
