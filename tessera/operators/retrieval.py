@@ -72,6 +72,38 @@ def vector_search(corpus: DataFrame, queries: DataFrame, id_col: str, vec_col: s
     return top.withColumn("similarity", F.lit(1.0) - F.col("distance"))
 
 
+def centroid_distances(corpus: DataFrame, centroids: DataFrame, id_col: str, vec_col: str, cid_col: str,
+                       cvec_col: str, keep: list[str] | None = None, out_class: str = "cls",
+                       max_centroids: int = 10_000) -> DataFrame:
+    """L2 distance of every corpus vector to every centroid (a bounded, size-checked
+    set, e.g. one per class): N x C rows, computed batch-wise with NumPy."""
+    if not row_bound_holds(centroids, max_centroids):
+        raise ValueError(f"more than {max_centroids} centroids")
+    c = centroids.select(cid_col, cvec_col).collect()
+    cids = np.array([r[0] for r in c])
+    cmat = np.array([np.asarray(r[1], dtype=np.float64) for r in c])
+    bc = corpus.sparkSession.sparkContext.broadcast((cids, cmat))
+    keep = keep or []
+    schema = corpus.select(id_col, *keep).schema.add(out_class, centroids.schema[cid_col].dataType).add("dist", "double")
+
+    def run(batches):
+        ids_c, m = bc.value
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.stack(pdf[vec_col].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
+            d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (m * m).sum(1)[None, :] - 2.0 * x @ m.T, 0.0))
+            n, k = d.shape
+            out = {id_col: np.repeat(pdf[id_col].to_numpy(), k)}
+            for col in keep:
+                out[col] = np.repeat(pdf[col].to_numpy(), k)
+            out[out_class] = np.tile(ids_c, n)
+            out["dist"] = d.reshape(-1)
+            yield pd.DataFrame(out)
+
+    return corpus.select(id_col, vec_col, *keep).mapInPandas(run, schema)
+
+
 def bm25_index(docs: DataFrame, id_col: str, tokens: str) -> tuple[DataFrame, DataFrame, dict]:
     """Inverted index: (term, doc, tf, doc_len) and (term, df); plus N and avgdl."""
     lens = docs.select(id_col, F.size(tokens).alias("doc_len"))
