@@ -22,5 +22,5 @@ def query(name: str, sql: str | None = None, covers: str = ""):
 
 def load_all() -> dict:
     # importing the binding modules fills REGISTRY
-    from tessera.plans import alerts, flights, io, models, payments, recsys, stats, streams, text  # noqa: F401
+    from tessera.plans import alerts, flights, io, misc, models, payments, recsys, stats, streams, text  # noqa: F401
     return REGISTRY
