@@ -126,3 +126,24 @@ SELECT position, o_orderkey, total_rows FROM r WHERE position < 6 OR position >=
 def snk8(spark, sf):
     o = load_table(spark, sf, "orders").select("o_orderkey").orderBy("o_orderkey")
     return sinks.preview(o)
+
+
+@query("src3_topic_batch_scan", covers="SRC3 SRC2", sql="""
+SELECT event_type, count(*) AS n FROM events GROUP BY 1""")
+def src3(spark, sf):
+    # the same call reads a Kafka topic with fmt="kafka"; here the file format stands in
+    from tessera.streaming.runner import read_topic_batch
+    ev = read_topic_batch(spark, {"path": f"{sf}/events.parquet"}, fmt="parquet")
+    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("joi12_listings_by_neighbourhood", covers="JOI12 AGG35", sql="""
+SELECT n_name AS neighbourhood, r_name AS area, count(*) AS n_listings, round(avg(s_acctbal), 4) AS avg_balance
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""")
+def joi12(spark, sf):
+    s, n, r = (load_table(spark, sf, t) for t in ("supplier", "nation", "region"))
+    from tessera.operators.joins import bounded_broadcast
+    loc = n.join(bounded_broadcast(r, 10_000), n.n_regionkey == r.r_regionkey)
+    j = s.join(bounded_broadcast(loc, 100_000), s.s_nationkey == loc.n_nationkey)
+    return j.groupBy(F.col("n_name").alias("neighbourhood"), F.col("r_name").alias("area")).agg(
+        F.count(F.lit(1)).alias("n_listings"), F.round(F.avg("s_acctbal"), 4).alias("avg_balance"))

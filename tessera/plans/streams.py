@@ -73,3 +73,13 @@ def str13s(spark, sf):
 @query("str14_spike_state_stream", covers="STR14 WIN6 WIN7")
 def str14s(spark, sf):
     return runner.run_to_table(stateful.spikes_stateful(_txn_stream(spark, sf)), "str14_spikes")
+
+
+@query("str10_concurrent_streams_progress", covers="STR10 STR15 STR11 SNK1")
+def str10(spark, sf):
+    t = _txn_stream(spark, sf)
+    qs = [runner.start(M.metric_commission_by_type(t), "str10_metric_a"),
+          runner.start(M.metric_commission_ratio(t), "str10_metric_b"),
+          runner.start(runner.json_values(M.velocity_alerts(t)), "str10_alerts_json", fmt="json")]
+    runner.await_all(spark, qs, timeout_s=600)
+    return runner.progress_table(spark, qs)

@@ -197,3 +197,14 @@ def agg32(spark, sf):
         # one conversation's own turns, ordered: the list is bounded by that conversation
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda s: s["role"]), ",")
          .alias("role_sequence"))
+
+
+@query("udf6_embedding_hybrid_search", covers="UDF6 RET1 RET3")
+def udf6(spark, sf):
+    from tessera.functions.embedding import embed
+    docs = load_table(spark, sf, "documents").select("doc_id", embed("text").alias("vec"))
+    qs = load_table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), embed("text").alias("qvec"))
+    vec = rt.vector_search(docs, qs, "doc_id", "vec", "query_id", "qvec", k=10)
+    fused = rt.rrf_fuse(_bm25(spark, sf, k=10).select("query_id", "doc_id", "rank"),
+                        vec.select("query_id", "doc_id", "rank"), "doc_id", k=5)
+    return fused.select("query_id", "doc_id", "fused_rank", "score")

@@ -72,3 +72,17 @@ def test_softmax_argmax(spark):
     df = spark.createDataFrame([([1.0, 3.0, 3.0, 0.0],)], "l ARRAY<DOUBLE>")
     r = df.select(sc.softmax("l").alias("p"), sc.argmax("l").alias("a")).first()
     assert sum(r["p"]) == pytest.approx(1.0) and r["a"] == 1
+
+
+def test_chart_frame_bound(spark):
+    from tessera.sources.sinks import to_chart_frame
+    assert len(to_chart_frame(spark.range(5))) == 5
+    with pytest.raises(ValueError):
+        to_chart_frame(spark.range(11), max_rows=10)
+
+
+def test_hashing_embedding_normalised(spark):
+    import numpy as np
+    from tessera.functions.embedding import embed
+    v = spark.createDataFrame([("a b a",), ("",)], "t STRING").select(embed("t").alias("v")).collect()
+    assert abs(np.linalg.norm(v[0]["v"]) - 1.0) < 1e-6 and np.linalg.norm(v[1]["v"]) == 0.0
