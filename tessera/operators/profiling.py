@@ -119,22 +119,24 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> DataFrame:
     """AGG37 / AGG23 / STT1: equal-width bins between min and max; the upper edge
-    belongs to the last bin; ``density`` = count / (n * width)."""
+    belongs to the last bin; ``density`` = count / (n * width).
+
+    Per-group bounds are a small table joined on the group; global bounds are
+    one aggregate applied as literals (no join)."""
     x = df.where(F.col(value).isNotNull())
+    keys = [by] if by else []
     if by:
-        keys = [by]
-    else:  # global bins: equi-join on a constant key (one statistics row)
-        keys, x = ["__k"], x.withColumn("__k", F.lit(0))
-    mm = x.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"),
-                              F.count(F.lit(1)).alias("__n"))
-    j = x.join(F.broadcast(mm), keys)
+        mm = x.groupBy(by).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.count(F.lit(1)).alias("__n"))
+        j = x.join(F.broadcast(mm), by)
+    else:
+        r = x.agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+        j = x.select("*", F.lit(r["lo"]).alias("__lo"), F.lit(r["hi"]).alias("__hi"), F.lit(r["n"]).alias("__n"))
     width = (F.col("__hi") - F.col("__lo")) / bins
     b = F.when(F.col("__hi") == F.col("__lo"), 0).otherwise(
         F.least(F.floor((F.col(value) - F.col("__lo")) / width), F.lit(bins - 1))).cast("int")
     g = j.groupBy(*keys, b.alias("bin"), "__lo", "__hi", "__n").agg(F.count(F.lit(1)).alias("count"))
     w = (F.col("__hi") - F.col("__lo")) / bins
-    out_keys = [by] if by else []
-    return g.select(*out_keys, "bin", (F.col("__lo") + F.col("bin") * w).alias("bin_low"),
+    return g.select(*keys, "bin", (F.col("__lo") + F.col("bin") * w).alias("bin_low"),
                     (F.col("__lo") + (F.col("bin") + 1) * w).alias("bin_high"), "count",
                     F.when(w > 0, F.col("count") / (F.col("__n") * w)).alias("density"))
 

@@ -183,9 +183,8 @@ def ranking_metrics(ranked: DataFrame, relevant: DataFrame, id_col: str, k: int,
         F.sum(F.col("__rel") / F.log2(F.col(rank_col) + 1)).alias("__dcg"))
     if per_query:
         g = g.join(F.broadcast(n_rel), "query_id")
-    else:  # one relevant-set size for all queries: equi-join on a constant key
-        g = (g.withColumn("__k", F.lit(0))
-              .join(F.broadcast(n_rel.withColumn("__k", F.lit(0))), "__k").drop("__k"))
+    else:  # one relevant-set size for all queries: a scalar, applied as a literal
+        g = g.withColumn("__nrel", F.lit(n_rel.first()["__nrel"]))
     ideal = F.aggregate(F.sequence(F.lit(1), F.least(F.col("__nrel"), F.lit(k)).cast("int")), F.lit(0.0),
                         lambda acc, i: acc + F.lit(1.0) / F.log2(i + 1))
     return g.select("query_id", (F.col("__hits") / F.lit(float(k))).alias("precision_at_k"),

@@ -142,12 +142,12 @@ def prj13(spark, sf):
     items = _mc_items(spark, sf)
     demos = sampling.hash_sample(items, ["conv_id"], 4, seed=42)
     demos = demos.withColumn("__h", F.xxhash64(F.lit(42), "conv_id"))
+    # the k demonstrations form one short text (k rows); it is prepended as a literal
     prefix = demos.agg(F.concat_ws("\n\n", F.transform(
         F.array_sort(F.collect_list(F.struct("__h", format_demo(F.col("context"), F.col("endings"), F.col("label"))
-                                             .alias("t")))), lambda s: s["t"])).alias("prefix"))
-    prompts = items.withColumn("__k", F.lit(0)).join(F.broadcast(prefix.withColumn("__k", F.lit(0))), "__k")
-    full = F.concat_ws("\n\n", F.col("prefix"), format_demo(F.col("context"), F.col("endings")))
-    return prompts.select("conv_id", "label", F.length(full).alias("prompt_chars"))
+                                             .alias("t")))), lambda s: s["t"])).alias("prefix")).first()["prefix"]
+    full = F.concat_ws("\n\n", F.lit(prefix), format_demo(F.col("context"), F.col("endings")))
+    return items.select("conv_id", "label", F.length(full).alias("prompt_chars"))
 
 
 def _matches(spark, sf, status=None):
