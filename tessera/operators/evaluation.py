@@ -54,25 +54,32 @@ def summary_report(report: DataFrame) -> DataFrame:
         (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("weighted_f1"))
 
 
-def roc_auc(df: DataFrame, positive: str, score: str, by: str | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, positive: str, score: str, by: str | None = None, buckets: int = 1024) -> DataFrame:
     """EVA5: AUC by the trapezoid rule over the ROC points; ``positive`` is a
     0/1 column (one-vs-rest: label == class).
 
-    Rows are first reduced to (score, positives, negatives) per distinct
-    score -- tied scores form one ROC point -- so the ordered window runs
-    over distinct scores of one class, not over rows."""
+    Rows are reduced to (score, positives, negatives) per distinct score --
+    tied scores form one ROC point.  The cumulative counts along descending
+    score are running sums in two levels (inside score buckets, plus earlier
+    buckets' totals), so even one huge class is spread over ``buckets`` tasks.
+    The previous ROC point is the running sum minus the point's own counts."""
+    from tessera.operators.sequence import running_sums
     keys = [by] if by else []
     pts = df.groupBy(*keys, score).agg(F.sum(positive).alias("__p"), F.sum(F.lit(1) - F.col(positive)).alias("__n"))
-    base = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
-    w = base.orderBy(F.desc(score)).rowsBetween(W.unboundedPreceding, 0)
-    x = (pts.withColumn("__tp", F.sum("__p").over(w)).withColumn("__fp", F.sum("__n").over(w))
-            .withColumn("__P", F.sum("__p").over(base)).withColumn("__N", F.sum("__n").over(base))
-            .withColumn("tpr", F.try_divide(F.col("__tp").cast("double"), F.col("__P")))
-            .withColumn("fpr", F.try_divide(F.col("__fp").cast("double"), F.col("__N"))))
-    prev = base.orderBy(F.desc(score))
-    x = (x.withColumn("__ptpr", F.coalesce(F.lag("tpr").over(prev), F.lit(0.0)))
-          .withColumn("__pfpr", F.coalesce(F.lag("fpr").over(prev), F.lit(0.0))))
-    area = (F.col("fpr") - F.col("__pfpr")) * (F.col("tpr") + F.col("__ptpr")) / 2
+    r = pts.agg(F.min(score).alias("lo"), F.max(score).alias("hi")).first()
+    lo, hi = (r["lo"], r["hi"]) if r["lo"] is not None else (0.0, 0.0)
+    width = (hi - lo) / buckets if hi > lo else 1.0
+    # bucket index grows as the score falls (the running order is descending score)
+    bucket = F.floor((F.lit(hi) - F.col(score)) / F.lit(width))
+    x = running_sums(pts, by, [F.desc(score)], bucket, ["__p", "__n"])
+    totals = pts.groupBy(*keys).agg(F.sum("__p").alias("__tot_p"), F.sum("__n").alias("__tot_n"))
+    x = x.join(F.broadcast(totals), keys) if keys else x.select(
+        "*", *[F.lit(v).alias(k) for k, v in totals.first().asDict().items()])
+    tpr = F.try_divide(F.col("__p_cum").cast("double"), F.col("__tot_p"))
+    fpr = F.try_divide(F.col("__n_cum").cast("double"), F.col("__tot_n"))
+    ptpr = F.try_divide((F.col("__p_cum") - F.col("__p")).cast("double"), F.col("__tot_p"))
+    pfpr = F.try_divide((F.col("__n_cum") - F.col("__n")).cast("double"), F.col("__tot_n"))
+    area = (fpr - pfpr) * (tpr + ptpr) / 2
     return x.groupBy(*keys).agg(F.sum(area).alias("auc"), F.count(F.lit(1)).alias("n_points"))
 
 

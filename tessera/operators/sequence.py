@@ -66,3 +66,23 @@ def rolling_mean(df: DataFrame, key: str | None, order: list[str], value: str, n
 def dense_row_id(df: DataFrame, order: list[str], bucket: Column, out: str = "row_id") -> DataFrame:
     """WIN10: 1..n over a total order (not ``monotonically_increasing_id``)."""
     return keyed_positions(df, None, order, bucket, out)
+
+
+def running_sums(df: DataFrame, key: str | None, order: list, bucket: Column, cols: list[str],
+                 suffix: str = "_cum") -> DataFrame:
+    """Inclusive running sums of ``cols`` inside each key along ``order``, in
+    two levels like ``keyed_positions``: a window inside (key, bucket) plus the
+    totals of earlier buckets from a small (key, bucket) table.  ``bucket``
+    must be monotone in ``order``."""
+    keys = [key] if key else []
+    x = df.withColumn("__bk", bucket)
+    local = W.partitionBy(*keys, "__bk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    for c in cols:
+        x = x.withColumn(c + suffix, F.sum(c).over(local))
+    tot = x.groupBy(*keys, "__bk").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
+    cw = (W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy("__bk").rowsBetween(W.unboundedPreceding, -1)
+    off = tot.select(*keys, "__bk", *[F.coalesce(F.sum(f"__t_{c}").over(cw), F.lit(0)).alias(f"__o_{c}") for c in cols])
+    x = x.join(off, [*keys, "__bk"], "inner")
+    for c in cols:
+        x = x.withColumn(c + suffix, F.col(c + suffix) + F.col(f"__o_{c}")).drop(f"__o_{c}")
+    return x.drop("__bk")
