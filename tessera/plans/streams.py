@@ -9,6 +9,7 @@ closed by the watermark, so these carry no SQL oracle; their batch twins do.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -83,3 +84,29 @@ def str10(spark, sf):
           runner.start(runner.json_values(M.velocity_alerts(t)), "str10_alerts_json", fmt="json")]
     runner.await_all(spark, qs, timeout_s=600)
     return runner.progress_table(spark, qs)
+
+
+@query("str12_stream_validation_dead_letter", covers="STR12 SNK2 SRC4 SRC1 FLT1")
+def str12(spark, sf):
+    from tessera.operators import quality
+    from tessera.plans.alerts import AS_OF
+    # drain the events "topic" to JSON lines (SRC4), then validate the JSON stream
+    events = load_table(spark, sf, "events")
+    folder = runner.drain_to_files(spark, runner.read_stream(spark, os.path.join(sf, "events.parquet"),
+                                                             events.schema), "str12_events")
+    pays = payments_from(spark.readStream.schema(events.schema).json(folder))
+
+    def route(batch):
+        valid, dead = quality.route_dead_letter(quality.validation_errors(batch, AS_OF))
+        return {"valid": valid.select("transaction_id", "amount"), "dead": dead}
+
+    tag = uuid.uuid4().hex[:12]
+    out = {k: runner.shared_path(spark, "streams", "str12", tag, k) for k in ("valid", "dead")}
+    q = runner.start_split_sink(pays, "str12_validate", route, out)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    dead, valid = spark.read.parquet(out["dead"]), spark.read.parquet(out["valid"])
+    return (dead.select(F.lit("dead_letter").alias("output"), "transaction_id")
+                .unionByName(valid.select(F.lit("valid").alias("output"), "transaction_id"))
+                .groupBy("output").agg(F.count(F.lit(1)).alias("n_rows")))

@@ -123,3 +123,23 @@ def drain_to_files(spark: SparkSession, source: DataFrame, name: str, fmt: str =
     q = start(source, name, "append", fmt, path=out)
     q.awaitTermination()
     return out
+
+
+def start_split_sink(df: DataFrame, name: str, route, outputs: dict[str, str]) -> StreamingQuery:
+    """STR12 / SNK2: one micro-batch stream written to several outputs.
+
+    ``route(batch_df) -> {output_name: DataFrame}`` splits each micro-batch
+    (e.g. valid rows / dead-letter rows); each part is appended to its
+    folder.  ``foreachBatch`` gives at-least-once delivery per output, the
+    batch id is kept in a column so replays can be de-duplicated downstream."""
+    spark = df.sparkSession
+    run = uuid.uuid4().hex[:12]
+
+    def write(batch, batch_id):
+        for key, part in route(batch).items():
+            part.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(outputs[key])
+
+    q = (df.writeStream.queryName(f"{name}_{run}").foreachBatch(write)
+           .option("checkpointLocation", shared_path(spark, "streams", name, run, "_checkpoint"))
+           .trigger(availableNow=True).start())
+    return q
