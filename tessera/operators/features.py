@@ -8,10 +8,11 @@ aggregates; level tables are bounded by the number of distinct levels.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.joins import bounded_broadcast
+
 
 def fit_standard(train: DataFrame, cols: list[str]) -> dict:
     """FEA1 / FEA2: mean and **population** std per column (std 0 -> scale 1)."""
@@ -59,16 +60,20 @@ def fit_ordinal(train: DataFrame, col: str) -> DataFrame:
 
     The table has one row per distinct level; it can be written as Parquet
     and re-read to apply the same encoding later (FEA5 persistence)."""
+    from tessera.operators.sequence import dense_row_id
     levels = train.select(F.col(col).cast("string").alias(col)).where(F.col(col).isNotNull()).distinct()
-    return levels.withColumn("code", (F.dense_rank().over(W.orderBy(col)) - 1).cast("int"))
+    # codes 0..k-1 in text order; the leading characters bucket the numbering
+    # (monotone in text order), so no single task sorts every level
+    coded = dense_row_id(levels, [col], F.substring(F.col(col), 1, 2), "__rid")
+    return coded.select(col, (F.col("__rid") - 1).cast("int").alias("code"))
 
 
 def apply_ordinal(df: DataFrame, levels: DataFrame, col: str, out: str | None = None,
-                  unknown: int = -1) -> DataFrame:
+                  unknown: int = -1, max_levels: int = 1_000_000) -> DataFrame:
     """Unknown (and NULL) levels -> ``unknown``."""
     out = out or f"{col}_code"
     lv = levels.select(F.col(col).alias("__lvl"), F.col("code").alias(out))
-    j = df.join(F.broadcast(lv), F.col(col).cast("string") == F.col("__lvl"), "left").drop("__lvl")
+    j = df.join(bounded_broadcast(lv, max_levels), F.col(col).cast("string") == F.col("__lvl"), "left").drop("__lvl")
     return j.withColumn(out, F.coalesce(F.col(out), F.lit(unknown)))
 
 

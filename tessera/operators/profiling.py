@@ -127,7 +127,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> Da
     keys = [by] if by else []
     if by:
         mm = x.groupBy(by).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.count(F.lit(1)).alias("__n"))
-        j = x.join(F.broadcast(mm), by)
+        j = x.join(mm, by)   # one row per group; AQE broadcasts it when it is small
     else:
         r = x.agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(F.lit(1)).alias("n")).first()
         j = x.select("*", F.lit(r["lo"]).alias("__lo"), F.lit(r["hi"]).alias("__hi"), F.lit(r["n"]).alias("__n"))
