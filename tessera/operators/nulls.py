@@ -1,4 +1,4 @@
-"""Null handling (NUL1-NUL5, FLT2, FLT9) and exact quantiles.
+"""Null handling (NUL1-NUL5, FLT2, FLT9).
 
 Fill statistics (median, mean) are single scalars: they are computed by one
 distributed aggregate and applied as literals -- the way ``pyspark.ml``
@@ -10,11 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many candidate values the bracket is narrowed again instead of
-# being sorted in one task.
-_EXACT_BRACKET_ROWS = 200_000
-
-
 def fill_constants(df: DataFrame, values: dict) -> DataFrame:
     """NUL1 / NUL4: per-column constant fill."""
     return df.na.fill(values)
@@ -30,40 +25,12 @@ def mask_invalid(c: str, invalid) -> F.Column:
     return F.when(~invalid, F.col(c))
 
 
-def _kth_smallest(df: DataFrame, col: str, k: int, n: int) -> float:
-    """Exact k-th smallest (0-based) non-null value of ``col`` among ``n``.
-
-    Bracket the rank with ``percentile_approx`` and count below/inside the
-    bracket until few enough values remain; those are ordered in Spark and
-    the single wanted value is fetched.  Each pass is one distributed aggregate.
-    """
-    lo, hi = None, None
-    for _ in range(8):
-        rng = df.where(F.col(col).isNotNull())
-        if lo is not None:
-            rng = rng.where((F.col(col) >= lo) & (F.col(col) <= hi))
-        below = 0 if lo is None else df.where(F.col(col) < lo).count()
-        inside = n if lo is None else rng.count()
-        if inside <= _EXACT_BRACKET_ROWS:
-            r = k - below
-            row = (rng.select(col).orderBy(col).limit(r + 1).tail(1))
-            return row[0][0]
-        frac = (k - below) / inside
-        eps = max(2.0 / 10_000, 1.0 / inside)
-        q = rng.select(F.percentile_approx(col, [max(0.0, frac - eps), min(1.0, frac + eps)], 10_000)
-                       .alias("p")).first()["p"]
-        lo, hi = q[0], q[1]
-    raise RuntimeError("quantile bracket did not converge")
-
-
 def exact_median(df: DataFrame, col: str) -> float | None:
-    """Median with the midpoint of the two middle values for even counts (NUL3)."""
-    n = df.where(F.col(col).isNotNull()).count()
-    if n == 0:
-        return None
-    a = _kth_smallest(df, col, (n - 1) // 2, n)
-    b = a if n % 2 else _kth_smallest(df, col, n // 2, n)
-    return (float(a) + float(b)) / 2.0
+    """Median with the midpoint of the two middle values for even counts (NUL3),
+    by distributed bucket refinement (``operators.quantiles``)."""
+    from tessera.operators.quantiles import exact_quantiles
+    row = exact_quantiles(df, col, [0.5]).first()
+    return None if row is None or row["q50"] is None else float(row["q50"])
 
 
 def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:

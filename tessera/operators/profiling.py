@@ -20,28 +20,36 @@ def _stack(row: DataFrame, names: list[str], fields: list[str], key: str = "colu
     return row.select(F.explode(F.array(*cols)).alias("s")).select("s.*")
 
 
+def _long(df: DataFrame, cols: list[str], keys: list[str] | None = None) -> DataFrame:
+    """(keys..., column, value) rows: one per input row and column."""
+    keys = keys or []
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
+    return df.select(*keys, F.explode(arr).alias("__s")).select(*keys, "__s.*")
+
+
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """AGG20: count, mean, std (sample), min, 25/50/75 % (exact, linear
     interpolation as pandas), max per numeric column."""
+    from tessera.operators.quantiles import exact_quantiles
     aggs = []
     for c in cols:
         aggs += [F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),
                  F.stddev_samp(c).alias(f"{c}__std"), F.min(c).cast("double").alias(f"{c}__min"),
-                 F.percentile(c, 0.25).alias(f"{c}__p25"), F.percentile(c, 0.5).alias(f"{c}__p50"),
-                 F.percentile(c, 0.75).alias(f"{c}__p75"), F.max(c).cast("double").alias(f"{c}__max")]
-    return _stack(df.agg(*aggs), cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+                 F.max(c).cast("double").alias(f"{c}__max")]
+    moments = _stack(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    qs = exact_quantiles(_long(df, cols), "value", [0.25, 0.5, 0.75], ["column"])
+    qs = qs.select("column", F.col("q25").alias("p25"), F.col("q50").alias("p50"), F.col("q75").alias("p75"))
+    return moments.join(qs, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def group_summary(df: DataFrame, group: str, cols: list[str]) -> DataFrame:
     """AGG21 / AGG22: mean, std, count, median per group and column (long form)."""
-    aggs = []
-    for c in cols:
-        aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std"),
-                 F.count(c).alias(f"{c}__count"), F.median(c).alias(f"{c}__median")]
-    wide = df.groupBy(group).agg(*aggs)
-    structs = [F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{f}").alias(f) for f in
-                                                    ("mean", "std", "count", "median")]) for c in cols]
-    return wide.select(group, F.explode(F.array(*structs)).alias("s")).select(group, "s.*")
+    from tessera.operators.quantiles import exact_quantiles
+    long = _long(df, cols, [group])
+    mom = long.groupBy(group, "column").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+                                            F.count("value").alias("count"))
+    med = exact_quantiles(long, "value", [0.5], [group, "column"]).withColumnRenamed("q50", "median")
+    return mom.join(med, [group, "column"], "left").select(group, "column", "mean", "std", "count", "median")
 
 
 def null_counts(df: DataFrame, top: int | None = None) -> DataFrame:
@@ -79,12 +87,18 @@ def outcome_rates(df: DataFrame, col: str) -> DataFrame:
 
 def length_stats(df: DataFrame, text: str, by: str | None = None) -> DataFrame:
     """AGG29 / SCA25 / TXT5: mean and median of word and character lengths."""
+    from tessera.operators.quantiles import exact_quantiles
     words = F.size(F.split(F.trim(F.col(text)), r"\s+"))
     words = F.when(F.trim(F.col(text)) == "", 0).otherwise(words)
-    x = df.select(*([by] if by else []), words.alias("n_words"), F.length(text).alias("n_chars"))
-    return x.groupBy(*([by] if by else [])).agg(
-        F.avg("n_words").alias("mean_words"), F.median("n_words").alias("median_words"),
-        F.avg("n_chars").alias("mean_chars"), F.median("n_chars").alias("median_chars"))
+    keys = [by] if by else []
+    x = df.select(*keys, words.alias("n_words"), F.length(text).alias("n_chars"))
+    means = x.groupBy(*keys).agg(F.avg("n_words").alias("mean_words"), F.avg("n_chars").alias("mean_chars"))
+    med = exact_quantiles(_long(x, ["n_words", "n_chars"], keys), "value", [0.5], keys + ["column"])
+    wide = med.groupBy(*keys).agg(F.max(F.when(F.col("column") == "n_words", F.col("q50"))).alias("median_words"),
+                                  F.max(F.when(F.col("column") == "n_chars", F.col("q50"))).alias("median_chars"))
+    out = means.join(wide, keys) if keys else means.select(
+        "*", *[F.lit(v).alias(k) for k, v in wide.first().asDict().items()])
+    return out.select(*keys, "mean_words", "median_words", "mean_chars", "median_chars")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
@@ -104,9 +118,10 @@ def min_max(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
-    """AGG34: quartiles, IQR whiskers (1.5 IQR clipped to data) and outlier count per group."""
-    q = df.groupBy(group).agg(F.percentile(value, 0.25).alias("q1"), F.percentile(value, 0.5).alias("median"),
-                              F.percentile(value, 0.75).alias("q3"))
+    """AGG34: quartiles (exact), IQR whiskers (1.5 IQR clipped to data) and outlier count per group."""
+    from tessera.operators.quantiles import exact_quantiles
+    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], [group]).select(
+        group, F.col("q25").alias("q1"), F.col("q50").alias("median"), F.col("q75").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     j = df.select(group, value).join(q, group)
     lo_f, hi_f = F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr")

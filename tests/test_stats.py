@@ -83,3 +83,17 @@ def test_proportion_interval(spark):
     assert r["p_hat"] == pytest.approx(0.45)
     se = math.sqrt(0.45 * 0.55 / 200)
     assert r["lower"] == pytest.approx(0.45 - 1.96 * se)
+
+
+def test_exact_quantiles_hot_group_and_ties(spark):
+    import pandas as pd
+    from tessera.operators.quantiles import exact_quantiles
+    rnd = random.Random(11)
+    rows = [(0 if rnd.random() < 0.5 else rnd.randint(1, 4), float(rnd.choice([rnd.gauss(0, 1), rnd.randint(0, 3)])))
+            for _ in range(5000)] + [(9, 5.0)] * 7 + [(8, 1.0)]
+    df = spark.createDataFrame(rows, "g INT, v DOUBLE")
+    got = {r["g"]: (r["q25"], r["q50"], r["q75"]) for r in
+           exact_quantiles(df, "v", [0.25, 0.5, 0.75], ["g"], buckets=8, final_rows=20).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "v"])
+    for g, s in pdf.groupby("g")["v"]:
+        assert np.allclose(got[g], np.quantile(s.values, [0.25, 0.5, 0.75]))
