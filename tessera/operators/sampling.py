@@ -7,7 +7,6 @@ repartitioning, retries and executor loss (``randomSplit`` is not).
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BUCKETS = 1_000_000
