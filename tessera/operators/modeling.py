@@ -195,10 +195,11 @@ def sentence_vectors_w2v(tokens_df: DataFrame, id_col: str, tokens: str, size: i
                    numPartitions=partitions, maxIter=1).fit(tokens_df)
     vocab = w2v.getVectors().withColumnRenamed("word", "__w")
     ex = tokens_df.select(id_col, F.explode(tokens).alias("__w"))
-    means = ex.join(vocab, "__w").groupBy(id_col).agg(Summarizer.mean(F.col("vector")).alias("__m"))
+    means = (ex.join(vocab, "__w").groupBy(id_col).agg(Summarizer.mean(F.col("vector")).alias("__m"))
+               .select(id_col, vector_to_array("__m").alias("__a")))
     zeros = F.array_repeat(F.lit(0.0), size)
     out = tokens_df.select(id_col).join(means, id_col, "left")
-    return out.select(id_col, F.coalesce(vector_to_array("__m"), zeros).alias("sentence_vector"))
+    return out.select(id_col, F.coalesce(F.col("__a"), zeros).alias("sentence_vector"))
 
 
 def pca_centered(df: DataFrame, vec_col: str, k: int = 2, out: str = "pca") -> DataFrame:

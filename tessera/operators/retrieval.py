@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import row_bound_holds
+from tessera.session import cut_lineage
 
 RRF_K = 60          # fixed constant of reciprocal-rank fusion
 BM25_K1, BM25_B = 1.2, 0.75
@@ -105,13 +106,20 @@ def centroid_distances(corpus: DataFrame, centroids: DataFrame, id_col: str, vec
 
 
 def bm25_index(docs: DataFrame, id_col: str, tokens: str) -> tuple[DataFrame, DataFrame, dict]:
-    """Inverted index: (term, doc, tf, doc_len) and (term, df); plus N and avgdl."""
+    """Inverted index: (term, doc, tf, doc_len) and (term, df); plus N and avgdl.
+
+    The documents are tokenised once: the term-frequency table is written to
+    the shared checkpoint folder (an index is built once, then probed), and
+    N / avgdl come from that same materialised table."""
     lens = docs.select(id_col, F.size(tokens).alias("doc_len"))
-    tf = (docs.select(id_col, F.explode(tokens).alias("term"))
-              .groupBy("term", id_col).agg(F.count(F.lit(1)).alias("tf")))
-    tf = tf.join(lens, id_col)
+    counts = (docs.select(id_col, F.explode(tokens).alias("term"))
+                  .groupBy("term", id_col).agg(F.count(F.lit(1)).alias("tf")))
+    # documents without tokens stay in (term NULL) so that N and avgdl count them
+    tf = cut_lineage(lens.join(counts, id_col, "left"))
+    stats = (tf.groupBy(id_col).agg(F.first("doc_len").alias("doc_len"))
+               .agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first())
+    tf = tf.where(F.col("term").isNotNull())
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    stats = lens.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
     return tf, df_, {"n": stats["n"], "avgdl": stats["avgdl"] or 1.0}
 
 

@@ -54,3 +54,23 @@ def ngram_frequency(df: DataFrame, tokens: str, n: int, top_k: int) -> DataFrame
     ng = NGram(n=n, inputCol=tokens, outputCol="__ng").transform(df.select(tokens))
     counts = ng.select(F.explode("__ng").alias("ngram")).groupBy("ngram").agg(F.count(F.lit(1)).alias("count"))
     return counts.orderBy(F.desc("count"), "ngram").limit(top_k).withColumn("n", F.lit(n))
+
+
+def ngram_frequencies(df: DataFrame, tokens: str, top: dict[int, int]) -> DataFrame:
+    """TXT4 for several n in one pass: every document emits its 1..n-grams
+    (inside the document only), one aggregate counts (n, ngram), and a
+    two-stage top-k keeps ``top[n]`` per n (ties by text)."""
+    from tessera.operators.retrieval import topk_per_query
+    grams = []
+    for n in sorted(top):
+        ng = F.transform(F.sequence(F.lit(0), F.size(tokens) - n),
+                         lambda i: F.struct(F.lit(n).alias("n"),
+                                            F.array_join(F.slice(tokens, i + 1, n), " ").alias("ngram")))
+        grams.append(F.when(F.size(tokens) >= n, ng).otherwise(F.array()))
+    ex = df.select(F.explode(F.concat(*grams)).alias("g")).select("g.*")
+    counts = ex.groupBy("n", "ngram").agg(F.count(F.lit(1)).alias("count"))
+    out = None
+    for n, k in top.items():
+        part = topk_per_query(counts.where(F.col("n") == n), "n", "ngram", "count", k, out="__rank")
+        out = part if out is None else out.unionByName(part)
+    return out.select("ngram", "count", "n")

@@ -18,6 +18,7 @@ from tessera.operators import sampling
 from tessera.plans.flights import flight_features
 from tessera.plans.registry import query
 from tessera.sources.tables import load_table
+from tessera.session import cut_lineage
 from tessera.streaming.runner import shared_path
 
 FLIGHT_FEATURES = ["dep_hour", "distance_km", "day_of_year", "quarter", "is_weekend", "l_quantity",
@@ -30,7 +31,8 @@ def _flight_xy(spark, sf):
     x = x.select("flight_id", "l_partkey", *[F.col(c).cast("double") for c in FLIGHT_FEATURES],
                  F.col("arrival_delay").alias("label"))
     x = sampling.hash_split(x, ["flight_id", "l_partkey"], {"train": 0.8, "test": 0.2})
-    return md.assemble(x, FLIGHT_FEATURES)
+    # features are built once and stored; every fit iteration then reads them
+    return cut_lineage(md.assemble(x, FLIGHT_FEATURES))
 
 
 def doc_features(spark, sf):
@@ -49,7 +51,7 @@ def _doc_xy(spark, sf, label="quality"):
     lab = load_table(spark, sf, "labels").select("doc_id", F.col(label).cast("double").alias("label"))
     x = doc_features(spark, sf).join(lab, "doc_id")
     x = sampling.hash_split(x, ["doc_id"], {"train": 0.8, "test": 0.2})
-    return md.assemble(x, DOC_FEATURES)
+    return cut_lineage(md.assemble(x, DOC_FEATURES))
 
 
 @query("mod1_regressor_comparison", covers="MOD1 EVA1 EVA7 SRT7 SMP1")

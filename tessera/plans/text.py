@@ -65,8 +65,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY count DESC, ngram) AS
 SELECT ngram, count, CAST(n AS INTEGER) AS n FROM r WHERE rk <= CASE n WHEN 3 THEN 15 ELSE 20 END""")
 def txt4(spark, sf):
     d = load_table(spark, sf, "documents").withColumn("tokens", simple_tokens("text"))
-    parts = [tops.ngram_frequency(d, "tokens", n, k) for n, k in ((1, 20), (2, 20), (3, 15))]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    out = tops.ngram_frequencies(d, "tokens", {1: 20, 2: 20, 3: 15})
     return out.select("ngram", "count", F.col("n").cast("int").alias("n"))
 
 
@@ -126,9 +125,10 @@ def ret2(spark, sf):
 
 
 def _overlap_ranking(spark, sf, pairs):
-    d = load_table(spark, sf, "documents").select("doc_id", simple_tokens("text").alias("tokens"))
+    # only the candidate documents are tokenised: join to the raw text first
+    d = load_table(spark, sf, "documents").select("doc_id", "text")
     q = load_table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), simple_tokens("text").alias("qtokens"))
-    p = pairs.join(q, "query_id").join(d, "doc_id")
+    p = pairs.join(q, "query_id").join(d, "doc_id").withColumn("tokens", simple_tokens("text")).drop("text")
     return rt.rerank(p, "qtokens", "tokens", "doc_id", k=10)
 
 
