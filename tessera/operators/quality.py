@@ -107,3 +107,15 @@ def route_dead_letter(validated: DataFrame, id_col="transaction_id") -> tuple[Da
     dead = validated.where(bad).select(
         F.col(id_col), F.col("errors"), F.to_json(F.struct(*cols)).alias("original_data"))
     return valid, dead
+
+
+def keep_if(df: DataFrame, flag: str) -> DataFrame:
+    """Keep rows whose boolean ``flag`` is true.
+
+    A plain ``where(flag)`` is pushed below projections, and when ``flag``
+    is built from fields of a parsed JSON struct every conjunct re-inlines the
+    parse.  Emitting each row 0 or 1 times from a generator keeps the parse
+    evaluated once per row in the projection (predicates are not pushed
+    through a generator)."""
+    keep = F.explode(F.array_compact(F.array(F.when(F.col(flag), F.lit(True)))))
+    return df.select("*", keep.alias("__keep")).drop("__keep")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import quality, windows
 from tessera.plans.registry import query
 from tessera.plans.views import payments, with_payments
+from tessera.sources.tables import spread
 from tessera.streaming import metrics as M
 
 AS_OF = "2024-01-30 00:00:00"  # replaces the wall clock of the validation rule
@@ -39,7 +40,7 @@ SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, ts AS event_time, amou
        total_amount, risk_level, device_os
 FROM pay"""))
 def prj3(spark, sf):
-    p = payments(spark, sf)
+    p = spread(payments(spark, sf))
     msg = p.select(
         F.col("transaction_id").cast("string").alias("transaction_id"),
         F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("timestamp"),
@@ -51,7 +52,7 @@ def prj3(spark, sf):
         F.lit("approved").alias("status"), "commission_type", "commission_amount", "vat_amount",
         "total_amount", "customer_type", "risk_level")
     parsed = quality.parse_transactions(quality.to_json_value(msg))
-    return (parsed.where("parse_ok")
+    return (quality.keep_if(parsed, "parse_ok")
                   .select("transaction_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"),
                           "amount", "lat", "lng", "total_amount", "risk_level", "device_os"))
 

@@ -20,3 +20,14 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     for n in names:
         load_table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Widen a scan that yields few splits before CPU-heavy per-row work (regex
+    text cleaning, JSON parsing, embeddings).
+
+    Only when the scan has fewer than ``factor x defaultParallelism`` splits
+    (small inputs, single-row-group files) is it round-robin repartitioned;
+    a large input already has far more splits and is left untouched."""
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
