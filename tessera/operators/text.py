@@ -59,8 +59,7 @@ def ngram_frequency(df: DataFrame, tokens: str, n: int, top_k: int) -> DataFrame
 def ngram_frequencies(df: DataFrame, tokens: str, top: dict[int, int]) -> DataFrame:
     """TXT4 for several n in one pass: every document emits its 1..n-grams
     (inside the document only), one aggregate counts (n, ngram), and a
-    two-stage top-k keeps ``top[n]`` per n (ties by text)."""
-    from tessera.operators.retrieval import topk_per_query
+    top-k keeps ``top[n]`` per n (ties by text)."""
     grams = []
     for n in sorted(top):
         ng = F.transform(F.sequence(F.lit(0), F.size(tokens) - n),
@@ -69,8 +68,10 @@ def ngram_frequencies(df: DataFrame, tokens: str, top: dict[int, int]) -> DataFr
         grams.append(F.when(F.size(tokens) >= n, ng).otherwise(F.array()))
     ex = df.select(F.explode(F.concat(*grams)).alias("g")).select("g.*")
     counts = ex.groupBy("n", "ngram").agg(F.count(F.lit(1)).alias("count"))
+    # per n a global top-k: per-partition top-k, then a merge (TakeOrderedAndProject);
+    # the three branches share the one aggregation (exchange reuse)
     out = None
     for n, k in top.items():
-        part = topk_per_query(counts.where(F.col("n") == n), "n", "ngram", "count", k, out="__rank")
+        part = counts.where(F.col("n") == n).orderBy(F.desc("count"), "ngram").limit(k)
         out = part if out is None else out.unionByName(part)
     return out.select("ngram", "count", "n")
