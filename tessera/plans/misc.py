@@ -73,10 +73,21 @@ def sca_feats(spark, sf):
     return fe.rename_with_prefix(x, "", ["p_partkey"]).withColumnRenamed("p_partkey", "part_id")
 
 
-@query("sca18_yes_no_column_probe", covers="SCA18 AGG27")
+_PROBE_COLS = ["height_text", "stage_text", "family_text", "drugs_text"]
+
+
+@query("sca18_yes_no_column_probe", covers="SCA18 AGG27", sql="""
+WITH r AS (SELECT CAST(p_size + 150 AS VARCHAR) || 'cm' AS height_text,
+                  ['0', 'i', 'II', ' iii', 'IV', 'v', 'VI'][p_size % 7 + 1] AS stage_text,
+                  CASE WHEN p_retailprice > 1500 THEN 'Yes' ELSE 'no ' END AS family_text,
+                  CASE WHEN p_size % 5 <> 0 THEN replace(p_name, ' ', '+') END AS drugs_text FROM part),
+p AS (SELECT """ + ", ".join(
+    f"bool_and({c} IS NULL OR lower(trim({c})) IN ('yes', 'no', 'y', 'n')) AS {c}" for c in _PROBE_COLS) + """ FROM r)
+SELECT yes_no_column FROM (UNPIVOT p ON """ + ", ".join(_PROBE_COLS) + """ INTO NAME yes_no_column VALUE flag)
+WHERE flag""")
 def sca18(spark, sf):
     r = _raw_parts(spark, sf)
-    cols = sc.yes_no_columns(r, ["height_text", "stage_text", "family_text", "drugs_text"])
+    cols = sc.yes_no_columns(r, _PROBE_COLS)
     return spark.createDataFrame([(c,) for c in cols], "yes_no_column STRING")
 
 

@@ -110,3 +110,17 @@ def str12(spark, sf):
     return (dead.select(F.lit("dead_letter").alias("output"), "transaction_id")
                 .unionByName(valid.select(F.lit("valid").alias("output"), "transaction_id"))
                 .groupBy("output").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@query("str13_live_merchant_counts", covers="STR13 AGG12", sql="""
+SELECT CAST(regexp_extract(props, '"k":\\s*(-?[0-9]+)', 1) AS INTEGER) AS merchant_id, count(*) AS transaction_count
+FROM events GROUP BY 1""")
+def str13m(spark, sf):
+    t = _txn_stream(spark, sf)
+    counts = t.groupBy("merchant_id").agg(F.count(F.lit(1)).alias("transaction_count"))
+    out = runner.shared_path(spark, "streams", "str13_live_counts", uuid.uuid4().hex[:12])
+    q = runner.run_update_counts(counts, "str13_live_counts", out)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return runner.latest(spark.read.parquet(out), ["merchant_id"], ["transaction_count"])

@@ -143,3 +143,25 @@ def start_split_sink(df: DataFrame, name: str, route, outputs: dict[str, str]) -
            .option("checkpointLocation", shared_path(spark, "streams", name, run, "_checkpoint"))
            .trigger(availableNow=True).start())
     return q
+
+
+def run_update_counts(df: DataFrame, name: str, out: str) -> StreamingQuery:
+    """STR13: unwindowed running aggregates in update mode; every micro-batch
+    appends the keys whose value changed, tagged with the batch id (an
+    append-only change log, safe to replay).  ``latest(...)`` reads the
+    current table back."""
+    def write(batch, batch_id):
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+
+    spark = df.sparkSession
+    run = uuid.uuid4().hex[:12]
+    return (df.writeStream.queryName(f"{name}_{run}").outputMode("update").foreachBatch(write)
+              .option("checkpointLocation", shared_path(spark, "streams", name, run, "_checkpoint"))
+              .trigger(availableNow=True).start())
+
+
+def latest(changes: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Current value per key from an update change log (largest batch id wins;
+    a partial aggregate, no window over a key)."""
+    last = changes.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("__v"))
+    return last.select(*keys, *[F.col(f"__v.{c}").alias(c) for c in cols])

@@ -81,3 +81,23 @@ def test_progress_table(spark):
     runner.await_all(spark, [q])
     p = runner.progress_table(spark, [q]).collect()
     assert p and p[0]["query"].startswith("t_prog")
+
+
+def test_stateful_spikes_match_batch_on_ordered_data(spark):
+    import random
+    from tessera.operators import windows
+    rnd = random.Random(2)
+    t0 = dt.datetime(2024, 1, 1, 9, 0, 0)
+    secs = sorted(rnd.sample(range(0, 3 * 3600), 400))
+    rows = [(i, rnd.choice([1, 1, 1, 2]), t0 + dt.timedelta(seconds=s, microseconds=i)) for i, s in enumerate(secs)]
+    schema = "transaction_id LONG, merchant_id LONG, ts TIMESTAMP"
+    folder = tempfile.mkdtemp(dir="/tmp")
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(folder, "a"))
+    src = M.event_time(spark.readStream.schema(schema).parquet(folder + "/*"))
+    got = {r["transaction_id"]: r for r in runner.run_to_table(stateful.spikes_stateful(src), "t_spike").collect()}
+    exp = {r["transaction_id"]: r for r in windows.spike_flags(spark.createDataFrame(rows, schema)).collect()}
+    assert got.keys() == exp.keys()
+    for k, e in exp.items():
+        g = got[k]
+        assert (g["rolling_count"], g["hour_count"], g["prev_hours_count"], g["is_spike"]) == \
+               (e["rolling_count"], e["hour_count"], e["prev_hours_count"], e["is_spike"]), k
