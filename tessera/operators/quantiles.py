@@ -28,12 +28,10 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], by: list[str] |
                     buckets: int = 1024, final_rows: int = 4096, max_passes: int = 12) -> DataFrame:
     """One row per group with a column ``q<percent>`` (e.g. ``q50``) per quantile."""
     by = list(by or [])
-    x = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"))
     if not by:
-        x = x.withColumn("__g", F.lit(0))
-        keys = ["__g"]
-    else:
-        keys = by
+        return _global_quantiles(df, value, qs, buckets, final_rows, max_passes)
+    x = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"))
+    keys = by
     # the (group, value) projection is scanned once per pass: keep it cached
     # (a lost block is recomputed from its deterministic lineage)
     x = x.persist(StorageLevel.MEMORY_AND_DISK)
@@ -91,9 +89,67 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], by: list[str] |
                                       for i, n in enumerate(names)])
     wide = cut_lineage(wide)
     x.unpersist()
-    return wide.drop("__g") if not by else wide
+    return wide
 
 
 def _pct(q: float) -> str:
     p = q * 100
     return str(int(p)) if math.isclose(p, round(p)) else str(p).replace(".", "_")
+
+
+def _global_quantiles(df: DataFrame, value: str, qs: list[float], buckets: int, final_rows: int,
+                      max_passes: int) -> DataFrame:
+    """Ungrouped case: the few targets (two ranks per quantile) live on the
+    driver; each pass is one aggregate whose bucket expressions carry every
+    target's range as literals (no join), and returns at most
+    ``buckets x targets`` counts."""
+    spark = df.sparkSession
+    v = F.col(value).cast("double")
+    x = df.where(F.col(value).isNotNull()).select(v.alias("__v")).persist(StorageLevel.MEMORY_AND_DISK)
+    st = x.agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")).first()
+    n = st["n"]
+    names = [f"q{_pct(q)}" for q in qs]
+    if n == 0:
+        x.unpersist()
+        return spark.createDataFrame([tuple(None for _ in qs)], ", ".join(f"{c} DOUBLE" for c in names))
+    ranks = sorted({r for q in qs for r in (math.floor((n - 1) * q), math.ceil((n - 1) * q))})
+    tg = {k: {"lo": st["lo"], "hi": st["hi"], "below": 0, "inside": n} for k in ranks}
+    for _ in range(max_passes):
+        open_k = [k for k, t in tg.items() if t["inside"] > final_rows and t["lo"] < t["hi"]]
+        if not open_k:
+            break
+        parts = []
+        for k in open_k:
+            t = tg[k]
+            width = (t["hi"] - t["lo"]) / buckets
+            b = F.least(F.floor((F.col("__v") - F.lit(t["lo"])) / F.lit(width)), F.lit(buckets - 1)).cast("int")
+            inr = (F.col("__v") >= F.lit(t["lo"])) & (F.col("__v") <= F.lit(t["hi"]))
+            parts.append(F.when(inr, F.struct(F.lit(k).alias("k"), b.alias("b"))))
+        ex = x.select(F.explode(F.array_compact(F.array(*parts))).alias("t"), "__v").select("t.*", "__v")
+        rows = ex.groupBy("k", "b").agg(F.count(F.lit(1)).alias("c"), F.min("__v").alias("mn"),
+                                        F.max("__v").alias("mx")).collect()
+        by_k = {}
+        for r in rows:
+            by_k.setdefault(r["k"], []).append(r)
+        for k in open_k:
+            acc = tg[k]["below"]
+            for r in sorted(by_k[k], key=lambda r: r["b"]):
+                if acc + r["c"] > k:
+                    tg[k] = {"lo": r["mn"], "hi": r["mx"], "below": acc, "inside": r["c"]}
+                    break
+                acc += r["c"]
+    vals = {}
+    for k, t in tg.items():
+        if t["lo"] == t["hi"]:
+            vals[k] = t["lo"]
+        else:  # at most ``final_rows`` values remain in the range: order them
+            few = (x.where((F.col("__v") >= F.lit(t["lo"])) & (F.col("__v") <= F.lit(t["hi"])))
+                    .orderBy("__v").limit(k - t["below"] + 1).collect())
+            vals[k] = few[-1]["__v"]
+    x.unpersist()
+    out = []
+    for q in qs:
+        pos = (n - 1) * q
+        a, b = vals[math.floor(pos)], vals[math.ceil(pos)]
+        out.append(a + (b - a) * (pos - math.floor(pos)))
+    return spark.createDataFrame([tuple(out)], ", ".join(f"{c} DOUBLE" for c in names))

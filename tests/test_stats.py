@@ -97,3 +97,12 @@ def test_exact_quantiles_hot_group_and_ties(spark):
     pdf = pd.DataFrame(rows, columns=["g", "v"])
     for g, s in pdf.groupby("g")["v"]:
         assert np.allclose(got[g], np.quantile(s.values, [0.25, 0.5, 0.75]))
+
+
+def test_exact_quantiles_global_many_passes(spark):
+    from tessera.operators.quantiles import exact_quantiles
+    rnd = random.Random(4)
+    vals = [rnd.expovariate(1.0) for _ in range(3000)] + [2.0] * 50
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v DOUBLE")
+    got = exact_quantiles(df, "v", [0.1, 0.5, 0.99], buckets=4, final_rows=10).first()
+    assert np.allclose([got["q10"], got["q50"], got["q99"]], np.quantile(vals, [0.1, 0.5, 0.99]))
