@@ -69,6 +69,8 @@ def geo_window_alerts(txns: DataFrame, time_col="event_time", customer="customer
     higher-order function, no Python UDF.  The list is bounded by one
     customer's events inside one window.
     """
+    if not txns.isStreaming:
+        return _geo_window_alerts_batch(txns, time_col, customer, id_col, lat, lng, window, max_seconds, min_km)
     df = _wm(txns, time_col, watermark)
     pts = F.array_sort(F.collect_list(F.struct(
         F.unix_micros(F.col(time_col)).alias("us"), F.col(id_col).alias("id"),
@@ -139,3 +141,22 @@ def metric_top_merchant(txns: DataFrame, time_col="event_time", merchant="mercha
     return top.select(*_bounds(), F.lit("highest_commission_merchant").alias("metric"),
                       F.col("top_merchant").cast("string").alias("dimension"),
                       F.col("value").cast("double").alias("value"))
+
+
+def _geo_window_alerts_batch(txns: DataFrame, time_col, customer, id_col, lat, lng, window, max_seconds,
+                             min_km) -> DataFrame:
+    """Batch form of STR3: the previous event inside the same (customer,
+    tumbling window) comes from ``lag`` over a sorted, spillable partition --
+    no per-window array is built, so a hot customer never needs its window's
+    events in memory at once."""
+    from pyspark.sql import Window as W
+    x = txns.withColumn("w", F.window(time_col, window))
+    w = W.partitionBy(customer, "w").orderBy(time_col, id_col)
+    us = F.unix_micros(F.col(time_col))
+    x = (x.withColumn("__us", us).withColumn("__pus", F.lag(us).over(w))
+          .withColumn("__plat", F.lag(lat).over(w)).withColumn("__plng", F.lag(lng).over(w)))
+    hit = ((F.col("__us") - F.col("__pus") <= max_seconds * 1_000_000)
+           & (haversine_atan2_km("__plat", "__plng", lat, lng) > min_km))
+    flagged = x.where(F.col("__pus").isNotNull() & hit).select(customer, "w").distinct()
+    return flagged.select(F.col(customer), *_bounds(), F.lit(None).cast("string").alias("detail"),
+                          F.lit("geographical_impossibility").alias("fraud_reason"))
