@@ -20,10 +20,14 @@ def trust_weighted_rating(targets: DataFrame, edges: DataFrame, ratings: DataFra
                           weight="weight", out="trust_pred") -> DataFrame:
     """JOI7: sum(w * r) / sum(w) over the items' ratings by users that ``user``
     trusts; the global mean when there is no neighbour or no such rating."""
-    nb = (targets.select(user, item).distinct()
-                 .join(edges.select(F.col(src).alias(user), F.col(dst).alias("__nb"), F.col(weight).alias("__w")), user)
-                 .join(ratings.select(F.col(user).alias("__nb"), F.col(item), F.col(rating).alias("__r")),
-                       ["__nb", item]))
+    t = targets.select(user, item).distinct()
+    # semi-joins first: only edges of users that have targets and ratings of
+    # targeted items enter the (user x neighbour x item) join
+    e = (edges.select(F.col(src).alias(user), F.col(dst).alias("__nb"), F.col(weight).alias("__w"))
+              .join(t.select(user).distinct(), user, "left_semi"))
+    r = (ratings.select(F.col(user).alias("__nb"), F.col(item), F.col(rating).alias("__r"))
+                .join(t.select(item).distinct(), item, "left_semi"))
+    nb = t.join(e, user).join(r, ["__nb", item])
     agg = nb.groupBy(user, item).agg((F.sum(F.col("__w") * F.col("__r")) / F.sum("__w")).alias("__tp"),
                                      F.sum("__w").alias("__wt"))
     j = targets.join(agg, [user, item], "left")
