@@ -17,14 +17,17 @@ def _r(c, d=6):
     return F.round(F.col(c), d).alias(c)
 
 
-@query("flt1_validation_dead_letter", covers="FLT1 SNK2 STR12", sql=with_payments(f""",
+VALIDATION_CTE = f""",
 v AS (SELECT transaction_id,
         concat_ws(',',
           CASE WHEN total_amount <> amount + vat_amount + commission_amount THEN 'ERR_AMOUNT' END,
           CASE WHEN ts > TIMESTAMP '{AS_OF}' OR ts < TIMESTAMP '{AS_OF}' - INTERVAL 86400 SECOND THEN 'ERR_TIME' END,
           CASE WHEN payment_method = 'mobile' AND coalesce(device_os, '') NOT IN ('Android', 'iOS')
                THEN 'ERR_DEVICE' END) AS error_codes
-      FROM pay)
+      FROM pay)"""
+
+
+@query("flt1_validation_dead_letter", covers="FLT1 SNK2 STR12", sql=with_payments(VALIDATION_CTE + """
 SELECT transaction_id, error_codes, CAST(length(error_codes) - length(replace(error_codes, ',', '')) + 1 AS INTEGER)
        AS n_errors
 FROM v WHERE error_codes <> ''"""))

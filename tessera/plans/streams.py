@@ -13,67 +13,94 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tessera.plans.registry import query
-from tessera.plans.views import payments_from
+from tessera.plans import alerts as _alerts  # noqa: F401  (registers the batch twins first)
+from tessera.plans import payments as _payments  # noqa: F401
+from tessera.plans.registry import REGISTRY, query
+from tessera.plans.views import payments_from, with_payments
 from tessera.sources.tables import load_table
 from tessera.streaming import metrics as M
 from tessera.streaming import runner, stateful
 
 
+def _closed(batch_query: str, delay_s: int, end_col: str = "end_time") -> str:
+    """Oracle of an append-mode stream run to completion: its batch twin's rows
+    whose window closed under the final watermark (max event time - delay)."""
+    return (f"SELECT * FROM ({REGISTRY[batch_query][1]}) WHERE {end_col} <= "
+            f"(SELECT max(ts) FROM events) - INTERVAL {delay_s} SECOND")
+
+
+def _ntz(*cols):
+    return [F.col(c).cast("timestamp_ntz").alias(c) for c in cols]
+
+
 def _txn_stream(spark, sf):
     schema = load_table(spark, sf, "events").schema
     src = runner.read_stream(spark, os.path.join(sf, "events.parquet"), schema)
     return M.event_time(payments_from(src))
 
 
-@query("str1_sliding_category_stream", covers="STR1 STR5 SRC2 SNK1 STR11")
+@query("str1_sliding_category_stream", covers="STR1 STR5 SRC2 SNK1 STR11",
+       sql=_closed("str1_sliding_category_commission_batch", 60))
 def str1s(spark, sf):
     df = M.sliding_category_commission(_txn_stream(spark, sf), watermark=M.CATEGORY_WINDOW)
-    return runner.run_to_table(df, "str1_sliding_category")
+    out = runner.run_to_table(df, "str1_sliding_category")
+    return out.select(*_ntz("start_time", "end_time"), "merchant_category", "total_commission",
+                      F.round("avg_commission", 6).alias("avg_commission"))
 
 
-@query("str2_velocity_stream", covers="STR2 STR9")
+@query("str2_velocity_stream", covers="STR2 STR9", sql=_closed("str2_velocity_alerts_batch", 120))
 def str2s(spark, sf):
-    return runner.run_to_table(M.velocity_alerts(_txn_stream(spark, sf)), "str2_velocity")
+    out = runner.run_to_table(M.velocity_alerts(_txn_stream(spark, sf)), "str2_velocity")
+    return out.select("customer_id", *_ntz("start_time", "end_time"), "detail", "fraud_reason")
 
 
-@query("str3_geo_window_stream", covers="STR3")
+@query("str3_geo_window_stream", covers="STR3", sql=_closed("str3_geo_window_alerts_batch", 300))
 def str3s(spark, sf):
-    return runner.run_to_table(M.geo_window_alerts(_txn_stream(spark, sf)), "str3_geo_window")
+    out = runner.run_to_table(M.geo_window_alerts(_txn_stream(spark, sf)), "str3_geo_window")
+    return out.select("customer_id", *_ntz("start_time", "end_time"), "detail", "fraud_reason")
 
 
-@query("str3_geo_state_stream", covers="STR3 WIN8")
+@query("str3_geo_state_stream", covers="STR3 WIN8", sql=REGISTRY["win8_geo_consecutive_jumps"][1])
 def str3st(spark, sf):
-    return runner.run_to_table(stateful.geo_jumps_stateful(_txn_stream(spark, sf)), "str3_geo_state")
+    out = runner.run_to_table(stateful.geo_jumps_stateful(_txn_stream(spark, sf)), "str3_geo_state")
+    return out.select("customer_id", "transaction_id", "prev_transaction_id",
+                      F.round("seconds_apart", 6).alias("seconds_apart"), F.round("distance_km", 4).alias("distance_km"))
 
 
-@query("str6_metric_a_stream", covers="STR6")
+@query("str6_metric_a_stream", covers="STR6", sql=_closed("str6_metric_commission_by_type_batch", 60))
 def str6s(spark, sf):
-    return runner.run_to_table(M.metric_commission_by_type(_txn_stream(spark, sf)), "str6_metric_a")
+    out = runner.run_to_table(M.metric_commission_by_type(_txn_stream(spark, sf)), "str6_metric_a")
+    return out.select(*_ntz("start_time", "end_time"), "metric", "dimension", "value")
 
 
-@query("str7_metric_b_stream", covers="STR7")
+@query("str7_metric_b_stream", covers="STR7", sql=_closed("str7_metric_commission_ratio_batch", 60))
 def str7s(spark, sf):
-    return runner.run_to_table(M.metric_commission_ratio(_txn_stream(spark, sf)), "str7_metric_b")
+    out = runner.run_to_table(M.metric_commission_ratio(_txn_stream(spark, sf)), "str7_metric_b")
+    return out.select(*_ntz("start_time", "end_time"), "metric", "dimension", F.round("value", 6).alias("value"))
 
 
-@query("str8_metric_c_stream", covers="STR8 WIN13")
+@query("str8_metric_c_stream", covers="STR8 WIN13", sql=_closed("win13_top_merchant_per_window", 60))
 def str8s(spark, sf):
-    return runner.run_to_table(M.metric_top_merchant(_txn_stream(spark, sf)), "str8_metric_c")
+    out = runner.run_to_table(M.metric_top_merchant(_txn_stream(spark, sf)), "str8_metric_c")
+    return out.select(*_ntz("start_time", "end_time"), "metric", "dimension", "value")
 
 
-@query("str13_minute_volume_stream", covers="STR13 AGG11")
+@query("str13_minute_volume_stream", covers="STR13 AGG11",
+       sql=_closed("agg11_minute_volume", 60, "minute + INTERVAL 60 SECOND"))
 def str13s(spark, sf):
     t = _txn_stream(spark, sf).withWatermark("event_time", "1 minute")
     df = (t.groupBy(F.window("event_time", "1 minute").alias("w"))
            .agg(F.count(F.lit(1)).alias("transaction_count"))
            .select(F.col("w.start").alias("minute"), "transaction_count"))
-    return runner.run_to_table(df, "str13_minute_volume")
+    out = runner.run_to_table(df, "str13_minute_volume")
+    return out.select(*_ntz("minute"), "transaction_count")
 
 
-@query("str14_spike_state_stream", covers="STR14 WIN6 WIN7")
+@query("str14_spike_state_stream", covers="STR14 WIN6 WIN7", sql=REGISTRY["win7_spike_detection"][1])
 def str14s(spark, sf):
-    return runner.run_to_table(stateful.spikes_stateful(_txn_stream(spark, sf)), "str14_spikes")
+    out = runner.run_to_table(stateful.spikes_stateful(_txn_stream(spark, sf)), "str14_spikes")
+    return out.select("transaction_id", F.col("merchant_id").cast("int").alias("merchant_id"), "rolling_count",
+                      "hour_count", "prev_hours_count", F.round("baseline", 6).alias("baseline"), "is_spike")
 
 
 @query("str10_concurrent_streams_progress", covers="STR10 STR15 STR11 SNK1")
@@ -86,7 +113,9 @@ def str10(spark, sf):
     return runner.progress_table(spark, qs)
 
 
-@query("str12_stream_validation_dead_letter", covers="STR12 SNK2 SRC4 SRC1 FLT1")
+@query("str12_stream_validation_dead_letter", covers="STR12 SNK2 SRC4 SRC1 FLT1",
+       sql=with_payments(_alerts.VALIDATION_CTE + """
+SELECT CASE WHEN error_codes <> '' THEN 'dead_letter' ELSE 'valid' END AS output, count(*) AS n_rows FROM v GROUP BY 1"""))
 def str12(spark, sf):
     from tessera.operators import quality
     from tessera.plans.alerts import AS_OF
