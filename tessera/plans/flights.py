@@ -10,6 +10,7 @@ from tessera.functions.timeparts import calendar_features, hhmm_to_hour, left_cl
 from tessera.operators import features as fe
 from tessera.operators import joins, nulls, sampling, sequence
 from tessera.plans.registry import query
+from tessera.plans.sqlhash import h_sql, split_sql
 from tessera.plans.views import airports, daily_series, flights, with_daily, with_flights
 from tessera.sources.tables import load_table
 
@@ -353,17 +354,27 @@ def win1c(spark, sf):
 
 # ---- splits and samples ------------------------------------------------------
 
-@query("smp1_hash_split_sizes", covers="SMP1 SMP3")
+_SPLIT3 = {"train": 0.8, "validation": 0.1, "test": 0.1}
+_SPLIT_G = {"train": 0.85, "test": 0.15}
+
+
+@query("smp1_hash_split_sizes", covers="SMP1 SMP3", sql=f"""
+SELECT split, count(*) AS n_rows FROM (SELECT {split_sql(42, ["o_orderkey"], _SPLIT3)} AS split FROM orders) GROUP BY 1
+UNION ALL
+SELECT 'group_' || split, count(*) FROM (SELECT {split_sql(42, ["o_custkey"], _SPLIT_G)} AS split FROM orders) GROUP BY 1""")
 def smp1(spark, sf):
     o = load_table(spark, sf, "orders")
-    x = sampling.hash_split(o, ["o_orderkey"], {"train": 0.8, "validation": 0.1, "test": 0.1})
-    g = sampling.hash_split(o, ["o_custkey"], {"train": 0.85, "test": 0.15}, out="group_split")
+    x = sampling.hash_split(o, ["o_orderkey"], _SPLIT3)
+    g = sampling.hash_split(o, ["o_custkey"], _SPLIT_G, out="group_split")
     return (x.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
              .unionByName(g.groupBy(F.col("group_split").alias("split")).agg(F.count(F.lit(1)).alias("n_rows"))
                            .withColumn("split", F.concat(F.lit("group_"), F.col("split")))))
 
 
-@query("smp2_stratified_folds", covers="SMP2")
+@query("smp2_stratified_folds", covers="SMP2", sql=f"""
+SELECT quality, CAST((p - 1) % 5 AS INTEGER) AS fold, count(*) AS n_rows FROM (
+  SELECT quality, row_number() OVER (PARTITION BY quality ORDER BY {h_sql(42, "doc_id")}, doc_id) AS p FROM labels)
+GROUP BY 1, 2""")
 def smp2(spark, sf):
     lab = load_table(spark, sf, "labels")
     x = sampling.stratified_folds(lab, "quality", ["doc_id"], k=5)
@@ -382,7 +393,8 @@ def smp4(spark, sf):
                                   F.max("o_orderkey").alias("max_key"))
 
 
-@query("smp5_hash_sample", covers="SMP5")
+@query("smp5_hash_sample", covers="SMP5", sql=f"""
+SELECT doc_id, lang FROM documents ORDER BY {h_sql(42, "doc_id")}, doc_id LIMIT 20""")
 def smp5(spark, sf):
     return sampling.hash_sample(load_table(spark, sf, "documents").select("doc_id", "lang"), ["doc_id"], 20)
 

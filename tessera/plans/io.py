@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.plans.registry import query
+from tessera.plans.sqlhash import split_sql
 from tessera.plans.views import payments, with_payments
 from tessera.sources import files, sinks
 from tessera.sources.tables import load_table
@@ -85,7 +86,9 @@ def src9(spark, sf):
     return listing.groupBy("label").agg(F.count(F.lit(1)).alias("n_files"))
 
 
-@query("src10_split_sizes", covers="SRC10 SMP1")
+@query("src10_split_sizes", covers="SRC10 SMP1", sql=f"""
+SELECT split, count(*) AS num_rows FROM (
+  SELECT {split_sql(42, ["item_id"], {"train": 0.8, "validation": 0.1, "test": 0.1})} AS split FROM benchmark) GROUP BY 1""")
 def src10(spark, sf):
     from tessera.operators import sampling
     b = sampling.hash_split(load_table(spark, sf, "benchmark"), ["item_id"],

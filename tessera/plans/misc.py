@@ -152,7 +152,7 @@ def format_demo(context, endings, label=None):
 def prj13(spark, sf):
     items = _mc_items(spark, sf)
     demos = sampling.hash_sample(items, ["conv_id"], 4, seed=42)
-    demos = demos.withColumn("__h", F.xxhash64(F.lit(42), "conv_id"))
+    demos = demos.withColumn("__h", sampling.hash64(["conv_id"], 42))
     # the k demonstrations form one short text (k rows); it is prepended as a literal
     prefix = demos.agg(F.concat_ws("\n\n", F.transform(
         F.array_sort(F.collect_list(F.struct("__h", format_demo(F.col("context"), F.col("endings"), F.col("label"))
