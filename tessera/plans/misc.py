@@ -12,6 +12,7 @@ from tessera.functions.distributions import norm_sf
 from tessera.operators import features as fe
 from tessera.operators import nulls, sampling
 from tessera.plans.registry import query
+from tessera.plans.sqlhash import h_sql
 from tessera.sources.tables import load_table
 
 
@@ -148,7 +149,21 @@ def format_demo(context, endings, label=None):
     return F.concat_ws("\n", *parts, ans)
 
 
-@query("prj13_fewshot_prompts", covers="PRJ13 SMP5")
+@query("prj13_fewshot_prompts", covers="PRJ13 SMP5", sql=f"""
+WITH c AS (SELECT conv_id, turn, text FROM conversations WHERE turn <= 4),
+items AS (SELECT conv_id, first(text ORDER BY turn) FILTER (WHERE turn = 0) AS context,
+                 coalesce(first(text) FILTER (WHERE turn = 1), '') AS e1, coalesce(first(text) FILTER (WHERE turn = 2), '') AS e2,
+                 coalesce(first(text) FILTER (WHERE turn = 3), '') AS e3, coalesce(first(text) FILTER (WHERE turn = 4), '') AS e4,
+                 conv_id % 4 AS label
+          FROM c GROUP BY conv_id),
+h AS (SELECT *, concat_ws(chr(10), 'Context: ' || context, 'A) ' || e1, 'B) ' || e2, 'C) ' || e3, 'D) ' || e4) AS body,
+             {h_sql(42, "conv_id")} AS hv FROM items),
+demos AS (SELECT * FROM h ORDER BY hv, conv_id LIMIT 4),
+prefix AS (SELECT string_agg(body || chr(10) || 'Answer: ' || ['A', 'B', 'C', 'D'][label + 1], chr(10) || chr(10)
+                             ORDER BY hv) AS p FROM demos)
+SELECT conv_id, CAST(label AS INTEGER) AS label,
+       CAST(length(p || chr(10) || chr(10) || body || chr(10) || 'Answer:') AS INTEGER) AS prompt_chars
+FROM h, prefix""")
 def prj13(spark, sf):
     items = _mc_items(spark, sf)
     demos = sampling.hash_sample(items, ["conv_id"], 4, seed=42)

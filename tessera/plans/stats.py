@@ -298,6 +298,17 @@ def src12(spark, sf):
     return pf.list_tables(spark)
 
 
-@query("src13_table_profile", covers="SRC13")
+_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@query("src13_table_profile", covers="SRC13", sql="""
+WITH t AS (SELECT column_name AS "column",
+                  CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                       WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS dtype
+           FROM information_schema.columns WHERE table_name = 'lineitem'),
+c AS (SELECT * FROM (SELECT count(*) AS n_rows, """ + ", ".join(f"count({c}) AS {c}" for c in _LI_COLS) + """ FROM lineitem)
+      UNPIVOT (non_null FOR "column" IN (""" + ", ".join(_LI_COLS) + """)))
+SELECT n_rows, t."column", dtype, non_null FROM c JOIN t USING ("column")""")
 def src13(spark, sf):
     return pf.profile(load_table(spark, sf, "lineitem"))
