@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.joins import bounded_broadcast
 
 
 def fit_standard(train: DataFrame, cols: list[str]) -> dict:
@@ -69,11 +68,12 @@ def fit_ordinal(train: DataFrame, col: str) -> DataFrame:
 
 
 def apply_ordinal(df: DataFrame, levels: DataFrame, col: str, out: str | None = None,
-                  unknown: int = -1, max_levels: int = 1_000_000) -> DataFrame:
+                  unknown: int = -1) -> DataFrame:
     """Unknown (and NULL) levels -> ``unknown``."""
     out = out or f"{col}_code"
     lv = levels.select(F.col(col).alias("__lvl"), F.col("code").alias(out))
-    j = df.join(bounded_broadcast(lv, max_levels), F.col(col).cast("string") == F.col("__lvl"), "left").drop("__lvl")
+    # the level table is computed: AQE broadcasts it at run time when it is small
+    j = df.join(lv, F.col(col).cast("string") == F.col("__lvl"), "left").drop("__lvl")
     return j.withColumn(out, F.coalesce(F.col(out), F.lit(unknown)))
 
 
