@@ -27,14 +27,19 @@ def epoch_us(ts) -> Column:
 
 
 def with_time_halo(df: DataFrame, us_col: str, bucket_us: int, halo_us: int) -> DataFrame:
-    """Add ``__b`` (bucket) and ``__halo`` (copy from the previous bucket) columns."""
+    """Add ``__b`` (bucket) and ``__halo`` (copy sent to the next bucket).
+
+    One scan: every row is emitted for its own bucket, and rows in the last
+    ``halo_us`` of a bucket are emitted a second time for the next bucket."""
     if halo_us > bucket_us:
         raise ValueError("halo wider than bucket")
     b = F.floor(F.col(us_col) / bucket_us)
-    base = df.withColumn("__b", b).withColumn("__halo", F.lit(False))
-    tail = (df.where(F.col(us_col) - F.floor(F.col(us_col) / bucket_us) * bucket_us >= bucket_us - halo_us)
-              .withColumn("__b", b + 1).withColumn("__halo", F.lit(True)))
-    return base.unionByName(tail)
+    own = F.struct(b.alias("b"), F.lit(False).alias("h"))
+    nxt = F.struct((b + 1).alias("b"), F.lit(True).alias("h"))
+    in_tail = F.col(us_col) - b * bucket_us >= bucket_us - halo_us
+    copies = F.when(in_tail, F.array(own, nxt)).otherwise(F.array(own))
+    return (df.withColumn("__c", F.explode(copies))
+              .withColumn("__b", F.col("__c.b")).withColumn("__halo", F.col("__c.h")).drop("__c"))
 
 
 def rolling_time_count(df: DataFrame, key: str, ts: str, seconds: int = 300,
