@@ -51,11 +51,18 @@ def rolling_rows(df: DataFrame, key: str | None, pos: str, value: Column, lo: in
 
 def rolling_mean(df: DataFrame, key: str | None, order: list[str], value: str, n_rows: int,
                  bucket: Column, out: str, min_rows: int = 1, exclude_current: bool = False,
-                 null_as_zero: bool = True) -> DataFrame:
+                 null_as_zero: bool = True, materialize: bool = True) -> DataFrame:
     """WIN1 / WIN12: mean of the current row and ``n_rows - 1`` previous rows
     (or the ``n_rows`` previous rows with ``exclude_current``); NULL when fewer
-    than ``min_rows`` rows are in the frame."""
+    than ``min_rows`` rows are in the frame.
+
+    The numbered rows feed both the contributions and the final join; with
+    ``materialize`` they are written once to the shared checkpoint folder
+    instead of being recomputed by each consumer."""
+    from tessera.session import cut_lineage
     x = keyed_positions(df, key, order, bucket, "__pos")
+    if materialize:
+        x = cut_lineage(x)
     v = F.coalesce(F.col(value), F.lit(0.0)) if null_as_zero else F.col(value)
     lo, hi = (-n_rows, -1) if exclude_current else (-(n_rows - 1), 0)
     x = rolling_rows(x, key, "__pos", v.cast("double"), lo, hi)

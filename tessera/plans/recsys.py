@@ -15,6 +15,7 @@ from tessera.operators import retrieval as rt
 from tessera.operators import sampling
 from tessera.plans.registry import query
 from tessera.plans.text import _centroids
+from tessera.session import cut_lineage
 from tessera.sources.tables import load_table
 
 
@@ -23,10 +24,12 @@ def _r(c, d=6):
 
 
 def ratings(spark, sf):
+    """(user, item, rating); used as targets, neighbour ratings and key sets,
+    so it is materialised once in the shared checkpoint folder."""
     li, o = load_table(spark, sf, "lineitem"), load_table(spark, sf, "orders")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
-    return (j.groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
-             .agg((F.avg("l_quantity") / 5).alias("rating")))
+    return cut_lineage(j.groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
+                        .agg((F.avg("l_quantity") / 5).alias("rating")))
 
 
 def trust_edges(spark, sf):
