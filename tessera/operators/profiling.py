@@ -101,13 +101,17 @@ def length_stats(df: DataFrame, text: str, by: str | None = None) -> DataFrame:
     return out.select(*keys, "mean_words", "median_words", "mean_chars", "median_chars")
 
 
-def first_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+def first_per_key(df: DataFrame, keys: list[str], order_col: str, count_col: str | None = None) -> DataFrame:
     """AGG31: keep the row with the smallest ``order_col`` per key (deterministic
     ``drop_duplicates(subset)``); a partial aggregate, so a hot key is pre-reduced
-    on every task before the shuffle."""
+    on every task before the shuffle.  ``count_col`` adds the group size from
+    the same aggregate."""
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order_col)).alias("__r"))
-    return picked.select(*keys, "__r.*")
+    aggs = [F.min_by(F.struct(*rest), F.col(order_col)).alias("__r")]
+    if count_col:
+        aggs.append(F.count(F.lit(1)).alias(count_col))
+    picked = df.groupBy(*keys).agg(*aggs)
+    return picked.select(*keys, "__r.*", *([count_col] if count_col else []))
 
 
 def min_max(df: DataFrame, cols: list[str]) -> DataFrame:

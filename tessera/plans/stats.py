@@ -253,9 +253,8 @@ SELECT min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY text"
 def agg31(spark, sf):
     # exact copies share a SHA-256 of the text: a 32-byte shuffle key instead of the text
     d = load_table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("text_key"))
-    first = pf.first_per_key(d.withColumn("__one", F.lit(1)), ["text_key"], "doc_id")
-    n = d.groupBy("text_key").agg(F.count(F.lit(1)).alias("n_copies"))
-    return first.join(n, "text_key").select("doc_id", "n_copies")
+    first = pf.first_per_key(d, ["text_key"], "doc_id", count_col="n_copies")
+    return first.select("doc_id", "n_copies")
 
 
 @query("agg34_box_stats", covers="AGG34", sql="""
