@@ -72,13 +72,14 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], by: list[str] |
               for c in targets.columns])
         targets = cut_lineage(targets)
     # final: order the few rows left in each target's range
-    fin = x.join(targets.select(*keys, "tid", "k", "below", "lo", "hi"), keys).where(
+    # (single-valued ranges -- possibly millions of equal values -- are not ordered)
+    fin = x.join(targets.where(F.col("lo") < F.col("hi")).select(*keys, "tid", "k", "below", "lo", "hi"), keys).where(
         (F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi")))
     fin = fin.withColumn("__r", F.row_number().over(W.partitionBy("tid").orderBy("__v")) - 1 + F.col("below"))
     vals = fin.where(F.col("__r") == F.col("k")).select("tid", F.col("__v").alias("val"))
     # a single-valued range needs no ordering: its value is the answer
     const = targets.where(F.col("lo") == F.col("hi")).select("tid", F.col("lo").alias("val"))
-    vals = vals.join(const.select("tid"), "tid", "left_anti").unionByName(const)
+    vals = vals.unionByName(const)
     t = targets.join(vals, "tid")
     per_q = (t.groupBy(*keys, "qi").agg(F.max(F.when(F.col("side") == 0, F.col("val"))).alias("v0"),
                                         F.max(F.when(F.col("side") == 1, F.col("val"))).alias("v1"),
