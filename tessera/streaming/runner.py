@@ -129,15 +129,15 @@ def start_split_sink(df: DataFrame, name: str, route, outputs: dict[str, str]) -
     """STR12 / SNK2: one micro-batch stream written to several outputs.
 
     ``route(batch_df) -> {output_name: DataFrame}`` splits each micro-batch
-    (e.g. valid rows / dead-letter rows); each part is appended to its
-    folder.  ``foreachBatch`` gives at-least-once delivery per output, the
-    batch id is kept in a column so replays can be de-duplicated downstream."""
+    (e.g. valid rows / dead-letter rows).  Each part goes to its own
+    ``batch_id=N`` folder with overwrite, so a micro-batch replayed after a
+    failure rewrites the same folder: the outputs stay exactly-once."""
     spark = df.sparkSession
     run = uuid.uuid4().hex[:12]
 
     def write(batch, batch_id):
         for key, part in route(batch).items():
-            part.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(outputs[key])
+            part.write.mode("overwrite").parquet(f"{outputs[key]}/batch_id={batch_id}")
 
     q = (df.writeStream.queryName(f"{name}_{run}").foreachBatch(write)
            .option("checkpointLocation", shared_path(spark, "streams", name, run, "_checkpoint"))
@@ -147,11 +147,11 @@ def start_split_sink(df: DataFrame, name: str, route, outputs: dict[str, str]) -
 
 def run_update_counts(df: DataFrame, name: str, out: str) -> StreamingQuery:
     """STR13: unwindowed running aggregates in update mode; every micro-batch
-    appends the keys whose value changed, tagged with the batch id (an
-    append-only change log, safe to replay).  ``latest(...)`` reads the
+    writes the keys whose value changed into its own ``batch_id=N`` folder
+    (overwrite, so a replayed batch is idempotent).  ``latest(...)`` reads the
     current table back."""
     def write(batch, batch_id):
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     spark = df.sparkSession
     run = uuid.uuid4().hex[:12]
