@@ -1 +1 @@
-from tessera.sources.tables import TABLES, load_table, register_tables  # noqa: F401
+from tessera.sources.tables import TABLES, load_table, register_tables, spread  # noqa: F401
