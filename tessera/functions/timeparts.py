@@ -1,4 +1,4 @@
-"""SCA7-SCA11, PRJ4: time parts and lenient timestamp parsing."""
+"""SCA7-SCA11, PRJ4: time parts and lenient timestamp parsing (right-closed bins: ``scalars``)."""
 
 from __future__ import annotations
 
@@ -46,15 +46,6 @@ def left_closed_bins(c, edges, labels) -> Column:
     return expr
 
 
-def right_closed_bins(c, edges) -> Column:
-    """SCA12: (e0,e1] -> 0 ... with the lowest edge included; outside -> NULL."""
-    x = _c(c)
-    expr = F.when((x >= edges[0]) & (x <= edges[1]), 0)
-    for i, (lo, hi) in enumerate(zip(edges[1:-1], edges[2:]), start=1):
-        expr = expr.when((x > lo) & (x <= hi), i)
-    return expr
-
-
 def calendar_features(date_col) -> dict[str, Column]:
     """SCA9: day of year, ISO week, quarter, weekend flag (Mon=0 .. Sun=6, weekend >= 5)."""
     d = _c(date_col)
