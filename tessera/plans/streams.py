@@ -2,8 +2,10 @@
 
 Each query reads ``events`` as a stream (the file source stands in for the
 topic), runs with ``availableNow`` into Parquet under the shared checkpoint
-folder, and returns what the sink received.  Append mode emits only windows
-closed by the watermark, so these carry no SQL oracle; their batch twins do.
+folder, and returns what the sink received.  Append mode emits exactly the
+windows closed by the final watermark (max event time - delay), so each
+oracle is the batch twin's SQL restricted to those windows; the stateful
+operators match their batch forms row for row.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tessera.plans import alerts as _alerts  # noqa: F401  (registers the batch twins first)
-from tessera.plans import payments as _payments  # noqa: F401
+from tessera.plans import payments as _payments  # noqa: F401  (agg11, twin of the minute stream)
 from tessera.plans.registry import REGISTRY, query
 from tessera.plans.views import payments_from, with_payments
 from tessera.sources.tables import load_table
