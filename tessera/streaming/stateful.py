@@ -2,14 +2,12 @@
 
 ``applyInPandasWithState`` keeps one small state per key (last point, recent
 timestamps, two hour counters); state is dropped by an event-time timeout,
-so it stays bounded by the watermark.  Per-row Python runs only over one
-key's rows of one micro-batch.
+so it stays bounded by the watermark.  Each key's rows of one micro-batch
+are processed with vectorised NumPy.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,23 +19,26 @@ from tessera.functions.geo import EARTH_RADIUS_KM
 US = 1_000_000
 
 
-def _hav_km(lat1, lng1, lat2, lng2):
-    p1, p2 = math.radians(lat1), math.radians(lat2)
-    a = (math.sin(math.radians(lat2 - lat1) / 2) ** 2
-         + math.cos(p1) * math.cos(p2) * math.sin(math.radians(lng2 - lng1) / 2) ** 2)
-    return 2 * EARTH_RADIUS_KM * math.atan2(math.sqrt(a), math.sqrt(1 - a))
-
-
 GEO_OUT = ("customer_id LONG, transaction_id LONG, prev_transaction_id LONG, "
            "seconds_apart DOUBLE, distance_km DOUBLE")
 GEO_STATE = "us LONG, id LONG, lat DOUBLE, lng DOUBLE"
 
 
+def _hav_km_np(lat1, lng1, lat2, lng2):
+    p1, p2 = np.radians(lat1), np.radians(lat2)
+    a = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(lng2 - lng1) / 2) ** 2
+    return 2 * EARTH_RADIUS_KM * np.arctan2(np.sqrt(a), np.sqrt(1 - a))
+
+
 def geo_jumps_stateful(txns: DataFrame, time_col="event_time", customer="customer_id",
                        id_col="transaction_id", lat="lat", lng="lng", max_seconds=300,
                        min_km=50.0, watermark="5 minutes") -> DataFrame:
     """STR3 (stateful): consecutive events of a customer, also across window
-    edges and micro-batches, <= ``max_seconds`` apart and > ``min_km`` apart."""
+    edges and micro-batches, <= ``max_seconds`` apart and > ``min_km`` apart.
+
+    Per key and micro-batch the pairs are found with vectorised NumPy: the
+    state's last point is prepended to the batch's events sorted by time;
+    events older than that point cannot start a forward pair and are skipped."""
     df = (txns.withWatermark(time_col, watermark)
               .select(F.col(customer).cast("long").alias("customer_id"),
                       F.col(id_col).cast("long").alias("transaction_id"),
@@ -48,24 +49,24 @@ def geo_jumps_stateful(txns: DataFrame, time_col="event_time", customer="custome
         if state.hasTimedOut:
             state.remove()
             return
-        last = state.get if state.exists else None
-        out = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["us", "transaction_id"])
-            for us, tid, la, ln in zip(pdf["us"], pdf["transaction_id"], pdf["lat"], pdf["lng"]):
-                if last is not None:
-                    dt = (int(us) - int(last[0])) / US
-                    if 0 <= dt <= max_seconds:
-                        d = _hav_km(last[2], last[3], la, ln)
-                        if d > min_km:
-                            out.append((key[0], int(tid), int(last[1]), dt, d))
-                if last is None or int(us) >= int(last[0]):
-                    last = (int(us), int(tid), float(la), float(ln))
-        state.update(last)
-        state.setTimeoutTimestamp(int(last[0]) // 1000 + max_seconds * 1000)
-        if out:
-            yield pd.DataFrame(out, columns=["customer_id", "transaction_id", "prev_transaction_id",
-                                             "seconds_apart", "distance_km"])
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["us", "transaction_id"])
+        us, tid = pdf["us"].to_numpy(np.int64), pdf["transaction_id"].to_numpy(np.int64)
+        la, ln = pdf["lat"].to_numpy(float), pdf["lng"].to_numpy(float)
+        if state.exists:
+            l_us, l_id, l_la, l_ln = state.get
+            keep = us >= l_us
+            us, tid, la, ln = (np.concatenate([[l_us], us[keep]]), np.concatenate([[l_id], tid[keep]]),
+                               np.concatenate([[l_la], la[keep]]), np.concatenate([[l_ln], ln[keep]]))
+        if len(us) >= 2:
+            dt = (us[1:] - us[:-1]) / US
+            d = _hav_km_np(la[:-1], ln[:-1], la[1:], ln[1:])
+            hit = (dt >= 0) & (dt <= max_seconds) & (d > min_km)
+            if hit.any():
+                yield pd.DataFrame({"customer_id": key[0], "transaction_id": tid[1:][hit],
+                                    "prev_transaction_id": tid[:-1][hit], "seconds_apart": dt[hit],
+                                    "distance_km": d[hit]})
+        state.update((int(us[-1]), int(tid[-1]), float(la[-1]), float(ln[-1])))
+        state.setTimeoutTimestamp(int(us[-1]) // 1000 + max_seconds * 1000)
 
     return df.groupBy("customer_id").applyInPandasWithState(
         fn, GEO_OUT, GEO_STATE, "append", GroupStateTimeout.EventTimeTimeout)
@@ -80,7 +81,12 @@ def spikes_stateful(txns: DataFrame, time_col="event_time", merchant="merchant_i
                     id_col="transaction_id", window_seconds=300, factor=3.0,
                     watermark="1 hour") -> DataFrame:
     """STR14: per merchant, rolling 5-minute count in arrival order and an
-    hourly baseline ((current hour running count + previous hour) / 2)."""
+    hourly baseline ((current hour running count + previous hour) / 2).
+
+    Vectorised per key and micro-batch: rolling counts by ``searchsorted``
+    over the state's recent timestamps plus the batch; hour counts from
+    per-hour ranks plus the state's two hour counters.  State keeps only the
+    timestamps of the last window and two counters."""
     df = (txns.withWatermark(time_col, watermark)
               .select(F.col(merchant).cast("long").alias("merchant_id"),
                       F.col(id_col).cast("long").alias("transaction_id"),
@@ -93,30 +99,43 @@ def spikes_stateful(txns: DataFrame, time_col="event_time", merchant="merchant_i
             return
         if state.exists:
             recent, h_us, h_n, p_us, p_n = state.get
-            recent = list(recent or [])
+            recent = np.asarray(recent or [], dtype=np.int64)
+        else:
+            recent, h_us, h_n, p_us, p_n = np.zeros(0, np.int64), -1, 0, -1, 0
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["us", "transaction_id"])
+        us = pdf["us"].to_numpy(np.int64)
+        tid = pdf["transaction_id"].to_numpy(np.int64)
+        n = len(us)
+        allts = np.concatenate([recent, us])                     # state times precede the batch
+        pos = len(recent) + np.arange(n)                          # each event's own position
+        left = np.searchsorted(allts, us - win_us, side="left")
+        rolling = pos - left + 1
+        bucket = us - us % hour_us
+        # running count inside the hour: rank within the batch's bucket + state count
+        first_in_bucket = np.searchsorted(bucket, bucket, side="left")
+        hour_count = np.arange(n) - first_in_bucket + 1 + np.where(bucket == h_us, h_n, 0)
+        # previous hour total: state counters plus that hour's events in this batch
+        ub, counts = np.unique(bucket, return_counts=True)
+        batch_tot = dict(zip(ub.tolist(), counts.tolist()))
+        prev_b = bucket - hour_us
+        prev = np.array([batch_tot.get(int(b), 0) + (h_n if b == h_us else 0) + (p_n if b == p_us else 0)
+                         for b in prev_b], dtype=np.int64) if n else np.zeros(0, np.int64)
+        base = (hour_count + prev) / 2.0
+        spike = (base > 0) & (rolling > factor * base)
+        # new state: last window of timestamps, current and previous hour counters
+        last_b = int(bucket[-1])
+        new_h_n = int(batch_tot[last_b]) + (h_n if last_b == h_us else 0)
+        if last_b - hour_us in batch_tot or last_b - hour_us == h_us:
+            new_p = (last_b - hour_us, int(batch_tot.get(last_b - hour_us, 0))
+                     + (h_n if last_b - hour_us == h_us else 0) + (p_n if last_b - hour_us == p_us else 0))
         else:
-            recent, h_us, h_n, p_us, p_n = [], -1, 0, -1, 0
-        rows = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["us", "transaction_id"])
-            for us, tid in zip(pdf["us"].astype(np.int64), pdf["transaction_id"]):
-                us = int(us)
-                recent.append(us)
-                while recent and us - recent[0] > win_us:
-                    recent.pop(0)
-                b = us - us % hour_us
-                if b != h_us:
-                    p_us, p_n = (h_us, h_n)
-                    h_us, h_n = b, 0
-                h_n += 1
-                prev = p_n if p_us == b - hour_us else 0
-                base = (h_n + prev) / 2.0
-                rows.append((key[0], int(tid), len(recent), h_n, prev, base, base > 0 and len(recent) > factor * base))
-        state.update((recent, h_us, h_n, p_us, p_n))
-        state.setTimeoutTimestamp((h_us + 2 * hour_us) // 1000)
-        if rows:
-            yield pd.DataFrame(rows, columns=["merchant_id", "transaction_id", "rolling_count", "hour_count",
-                                              "prev_hours_count", "baseline", "is_spike"])
+            new_p = (p_us, p_n) if last_b == h_us else (h_us, h_n)
+        keep = allts[allts >= us[-1] - win_us]
+        state.update((keep.tolist(), last_b, new_h_n, new_p[0], new_p[1]))
+        state.setTimeoutTimestamp((last_b + 2 * hour_us) // 1000)
+        yield pd.DataFrame({"merchant_id": key[0], "transaction_id": tid, "rolling_count": rolling,
+                            "hour_count": hour_count, "prev_hours_count": prev, "baseline": base,
+                            "is_spike": spike})
 
     return df.groupBy("merchant_id").applyInPandasWithState(
         fn, SPIKE_OUT, SPIKE_STATE, "append", GroupStateTimeout.EventTimeTimeout)

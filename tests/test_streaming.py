@@ -101,3 +101,42 @@ def test_stateful_spikes_match_batch_on_ordered_data(spark):
         g = got[k]
         assert (g["rolling_count"], g["hour_count"], g["prev_hours_count"], g["is_spike"]) == \
                (e["rolling_count"], e["hour_count"], e["prev_hours_count"], e["is_spike"]), k
+
+
+def test_stateful_spikes_across_micro_batches(spark):
+    import random
+    from tessera.operators import windows
+    rnd = random.Random(9)
+    t0 = dt.datetime(2024, 1, 1, 9, 0, 0)
+    secs = sorted(rnd.sample(range(0, 5 * 3600), 900))
+    rows = [(i, rnd.choice([1, 1, 2, 3]), t0 + dt.timedelta(seconds=s, microseconds=i)) for i, s in enumerate(secs)]
+    schema = "transaction_id LONG, merchant_id LONG, ts TIMESTAMP"
+    folder = tempfile.mkdtemp(dir="/tmp")
+    for j in range(0, len(rows), 150):          # six files -> six micro-batches, in time order
+        spark.createDataFrame(rows[j:j + 150], schema).coalesce(1).write.parquet(os.path.join(folder, f"p{j:05d}"))
+    src = M.event_time(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder + "/*"))
+    got = {r["transaction_id"]: r for r in runner.run_to_table(stateful.spikes_stateful(src), "t_spike_mb").collect()}
+    exp = {r["transaction_id"]: r for r in windows.spike_flags(spark.createDataFrame(rows, schema)).collect()}
+    assert got.keys() == exp.keys()
+    for k, e in exp.items():
+        g = got[k]
+        assert (g["rolling_count"], g["hour_count"], g["prev_hours_count"]) == \
+               (e["rolling_count"], e["hour_count"], e["prev_hours_count"]), k
+
+
+def test_stateful_geo_across_micro_batches(spark):
+    import random
+    from tessera.operators import windows
+    rnd = random.Random(5)
+    t0 = dt.datetime(2024, 1, 1, 9, 0, 0)
+    secs = sorted(rnd.sample(range(0, 3 * 3600), 600))
+    rows = [_row(i, rnd.choice([1, 2, 3]), t0 + dt.timedelta(seconds=s), lat=25.0 + rnd.choice([0, 1, 2]))
+            for i, s in enumerate(secs)]
+    folder = tempfile.mkdtemp(dir="/tmp")
+    for j in range(0, len(rows), 100):
+        _write(spark, folder, rows[j:j + 100], f"p{j:05d}")
+    out = runner.run_to_table(stateful.geo_jumps_stateful(_stream(spark, folder)), "t_geo_mb").collect()
+    got = {(r["transaction_id"], r["prev_transaction_id"]) for r in out}
+    b = spark.createDataFrame(rows, SCHEMA)
+    exp = {(r["transaction_id"], r["prev_transaction_id"]) for r in windows.consecutive_geo_jumps(b).collect()}
+    assert got == exp and exp
