@@ -118,6 +118,32 @@ def mlp_classifier(layers: list[int], seed: int = 42, max_iter: int = 100) -> Mu
     return MultilayerPerceptronClassifier(layers=layers, maxIter=max_iter, seed=seed, blockSize=128)
 
 
+def preprocessing_stages(train: DataFrame, numeric: list[str], categorical: list[str],
+                         out: str = "features", na_token: str = "__NA__") -> list:
+    """FEA7: column-wise preprocessing as persistable ``pyspark.ml`` stages:
+    numeric NULL -> exact training median (baked into a ``SQLTransformer``),
+    categorical NULL -> ``na_token``, text levels indexed in alphabetical
+    order (unseen levels kept as an extra index), assembled and scaled."""
+    from pyspark.ml.feature import SQLTransformer, StringIndexer
+    from tessera.operators.quantiles import exact_quantiles
+    med = exact_quantiles(_long_numeric(train, numeric), "value", [0.5], ["column"]).collect()
+    fills = {r["column"]: r["q50"] for r in med}
+    sel = ["*"] + [f"coalesce(`{c}`, {float(fills.get(c) or 0.0)!r}) AS `{c}__f`" for c in numeric] + \
+          [f"coalesce(CAST(`{c}` AS STRING), '{na_token}') AS `{c}__f`" for c in categorical]
+    stages = [SQLTransformer(statement=f"SELECT {', '.join(sel)} FROM __THIS__")]
+    stages += [StringIndexer(inputCol=f"{c}__f", outputCol=f"{c}__ix", stringOrderType="alphabetAsc",
+                             handleInvalid="keep") for c in categorical]
+    stages += [VectorAssembler(inputCols=[f"{c}__f" for c in numeric] + [f"{c}__ix" for c in categorical],
+                               outputCol="__raw", handleInvalid="keep"),
+               StandardScaler(inputCol="__raw", outputCol=out, withMean=True, withStd=True)]
+    return stages
+
+
+def _long_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
+    return df.select(F.explode(arr).alias("__s")).select("__s.*")
+
+
 def fit_save_pipeline(train: DataFrame, stages: list, path: str) -> PipelineModel:
     """FEA7 / MOD8: fit a pipeline and persist it; ``PipelineModel.load`` restores it."""
     model = Pipeline(stages=stages).fit(train)

@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
@@ -99,14 +98,17 @@ def mod7(spark, sf):
     return ev.summary_report(rep)
 
 
-@query("mod8_delay_pipeline_saved", covers="MOD8 FEA7 FEA1 EVA1 EVA2 SNK6")
+@query("mod8_delay_pipeline_saved", covers="MOD8 FEA7 FEA1 NUL3 NUL4 EVA1 EVA2 SNK6")
 def mod8(spark, sf):
-    x = _flight_xy(spark, sf).drop("features")
+    # raw columns, NULLs included: the saved pipeline does the imputing and encoding
+    x = flight_features(spark, sf).where(F.col("arrival_delay").isNotNull())
+    x = x.select("flight_id", "l_partkey", *[F.col(c).cast("double") for c in FLIGHT_FEATURES],
+                 "dep_time_bucket", "cancellation_reason", F.col("arrival_delay").alias("label"))
+    x = cut_lineage(sampling.hash_split(x, ["flight_id", "l_partkey"], {"train": 0.8, "test": 0.2}))
+    train = x.where("split = 'train'")
+    stages = md.preprocessing_stages(train, FLIGHT_FEATURES, ["dep_time_bucket", "cancellation_reason"])
     path = shared_path(spark, "models", "delay_gbt", uuid.uuid4().hex[:12])
-    model = md.fit_save_pipeline(
-        x.where("split = 'train'"),
-        [VectorAssembler(inputCols=FLIGHT_FEATURES, outputCol="raw", handleInvalid="keep"),
-         md.scaler_stage("raw", "features"), GBTRegressor(maxIter=20, maxDepth=4, seed=42)], path)
+    model = md.fit_save_pipeline(train, stages + [GBTRegressor(maxIter=20, maxDepth=4, seed=42)], path)
     pred = model.transform(x.where("split = 'test'"))
     # scored rows replace the previous predictions table (SNK6)
     out = shared_path(spark, "tables", "pipeline_test_predictions")

@@ -86,3 +86,21 @@ def test_hashing_embedding_normalised(spark):
     from tessera.functions.embedding import embed
     v = spark.createDataFrame([("a b a",), ("",)], "t STRING").select(embed("t").alias("v")).collect()
     assert abs(np.linalg.norm(v[0]["v"]) - 1.0) < 1e-6 and np.linalg.norm(v[1]["v"]) == 0.0
+
+
+def test_preprocessing_pipeline_roundtrip(spark):
+    import tempfile
+    from pyspark.ml import Pipeline, PipelineModel
+    from tessera.operators import modeling as md
+    train = spark.createDataFrame([(1.0, "b"), (3.0, None), (None, "a"), (10.0, "b")], "x DOUBLE, c STRING")
+    stages = md.preprocessing_stages(train, ["x"], ["c"])
+    model = Pipeline(stages=stages).fit(train)
+    path = tempfile.mkdtemp(dir="/tmp") + "/m"
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    test = spark.createDataFrame([(None, "zz"), (2.0, "a")], "x DOUBLE, c STRING")
+    a = [r["x__f"] for r in again.transform(test).orderBy("x").collect()]
+    assert a == [3.0, 2.0] or sorted(a) == [2.0, 3.0]          # NULL -> training median 3.0
+    ix = {r["c"]: r["c__ix"] for r in again.transform(test).collect()}
+    assert ix["a"] == 1.0 and ix["zz"] == 3.0                 # alphabetical: __NA__, a, b; unseen -> 3
+    assert [r["features"] for r in model.transform(test).collect()] == [r["features"] for r in again.transform(test).collect()]
