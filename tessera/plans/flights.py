@@ -3,6 +3,8 @@ rolling windows, null handling, encoders, daily-series windows, splits."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import haversine_km
@@ -13,6 +15,7 @@ from tessera.plans.registry import query
 from tessera.plans.sqlhash import h_sql, split_sql
 from tessera.plans.views import airports, daily_series, flights, with_daily, with_flights
 from tessera.session import cut_lineage
+from tessera.streaming.runner import shared_path
 from tessera.sources.tables import load_table
 
 # ---- fixed values of the reference's feature rules -------------------------
@@ -212,24 +215,30 @@ def nul5(spark, sf):
 @query("fea1_standard_scale", covers="FEA1 FEA2", sql="""
 SELECT l_orderkey, l_linenumber,
        round((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER (), 6) AS l_quantity_z,
-       round((l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER (), 6) AS l_extendedprice_z
+       round((l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER (), 6) AS l_extendedprice_z,
+       round(l_quantity, 6) AS l_quantity_back
 FROM lineitem""")
 def fea1(spark, sf):
     li = load_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     st = fe.fit_standard(li, ["l_quantity", "l_extendedprice"])
     x = fe.apply_standard(li, st, "_z")
-    return x.select("l_orderkey", "l_linenumber", _r("l_quantity_z"), _r("l_extendedprice_z"))
+    # FEA2: the inverse transform brings a scaled column back to its units
+    x = fe.inverse_standard(x.withColumn("l_quantity_back", F.col("l_quantity_z")), st,
+                            {"l_quantity_back": "l_quantity"})
+    return x.select("l_orderkey", "l_linenumber", _r("l_quantity_z"), _r("l_extendedprice_z"), _r("l_quantity_back"))
 
 
 @query("fea3_minmax_daily", covers="FEA3", sql=with_daily("""
 SELECT strftime(d, '%Y-%m-%d') AS d,
-       round((total - min(total) OVER ()) / (max(total) OVER () - min(total) OVER ()), 6) AS total_scaled
+       round((total - min(total) OVER ()) / (max(total) OVER () - min(total) OVER ()), 6) AS total_scaled,
+       round(total, 4) AS total_back
 FROM daily"""))
 def fea3(spark, sf):
     d = daily_series(spark, sf)
     st = fe.fit_minmax(d, ["total"])
     x = fe.apply_minmax(d, st, "_scaled")
-    return x.select(F.date_format("d", "yyyy-MM-dd").alias("d"), _r("total_scaled"))
+    x = fe.inverse_minmax(x.withColumn("total_back", F.col("total_scaled")), st, {"total_back": "total"})
+    return x.select(F.date_format("d", "yyyy-MM-dd").alias("d"), _r("total_scaled"), _r("total_back", 4))
 
 
 @query("fea4_ordinal_encode_unknown", covers="FEA4 FEA5", sql="""
@@ -240,7 +249,10 @@ FROM part p LEFT JOIN lv ON p.p_type = lv.p_type""")
 def fea4(spark, sf):
     p = load_table(spark, sf, "part")
     levels = fe.fit_ordinal(p.where("p_size <= 10 AND p_type <> 'PROMO'"), "p_type")
-    return fe.apply_ordinal(p, levels, "p_type").select("p_partkey", "p_type", "p_type_code")
+    # FEA5: the fitted encoder is a table; it is stored and re-read to encode later data
+    path = shared_path(spark, "encoders", "p_type", uuid.uuid4().hex[:12])
+    levels.write.parquet(path)
+    return fe.apply_ordinal(p, spark.read.parquet(path), "p_type").select("p_partkey", "p_type", "p_type_code")
 
 
 @query("fea6_one_hot_status", covers="FEA6 PRJ10 PRJ11", sql="""
@@ -418,3 +430,29 @@ def set3(spark, sf):
     j = d.join(lab.distinct().withColumn("__in", F.lit(1)), "doc_id", "left")
     return j.agg(F.count(F.when(F.col("__in").isNull(), 1)).alias("n_unlabelled"),
                  F.count(F.when(F.col("__in") == 1, 1)).alias("n_common"))
+
+
+@query("agg19_daily_means", covers="AGG19", sql="""
+SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS d, round(avg(o_totalprice), 6) AS avg_totalprice,
+       round(avg(CAST(o_custkey AS DOUBLE)), 6) AS avg_custkey, count(*) AS n_orders
+FROM orders GROUP BY 1""")
+def agg19(spark, sf):
+    o = load_table(spark, sf, "orders")
+    g = o.groupBy(F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd").alias("d")).agg(
+        F.avg("o_totalprice").alias("avg_totalprice"), F.avg(F.col("o_custkey").cast("double")).alias("avg_custkey"),
+        F.count(F.lit(1)).alias("n_orders"))
+    return g.select("d", _r("avg_totalprice"), _r("avg_custkey"), "n_orders")
+
+
+@query("set2_union_missing_columns", covers="SET2", sql="""
+SELECT kind, count(*) AS n_rows, count(acctbal) AS n_acctbal, count(segment) AS n_segment FROM (
+  SELECT 'customer' AS kind, c_acctbal AS acctbal, c_mktsegment AS segment FROM customer
+  UNION ALL SELECT 'supplier', s_acctbal, NULL FROM supplier)
+GROUP BY 1""")
+def set2(spark, sf):
+    c = load_table(spark, sf, "customer").select(F.lit("customer").alias("kind"), F.col("c_acctbal").alias("acctbal"),
+                                                 F.col("c_mktsegment").alias("segment"))
+    s_ = load_table(spark, sf, "supplier").select(F.lit("supplier").alias("kind"), F.col("s_acctbal").alias("acctbal"))
+    u = c.unionByName(s_, allowMissingColumns=True)       # pd.concat(axis=0) with differing columns
+    return u.groupBy("kind").agg(F.count(F.lit(1)).alias("n_rows"), F.count("acctbal").alias("n_acctbal"),
+                                 F.count("segment").alias("n_segment"))

@@ -57,7 +57,7 @@ def _doc_xy(spark, sf, label="quality"):
 def mod1(spark, sf):
     x = _flight_xy(spark, sf)
     res = md.compare_regressors(spark, x.where("split = 'train'"), x.where("split = 'test'"))
-    best = res.orderBy("rmse", "model").first()["model"]
+    best = ev.best_run(res, "model", "rmse", maximize=False).first()["best_model"]     # EVA7 / SRT7
     return res.withColumn("is_best", F.col("model") == best)
 
 
@@ -65,7 +65,7 @@ def mod1(spark, sf):
 def mod2(spark, sf):
     x = _doc_xy(spark, sf)
     res = md.compare_classifiers(spark, x.where("split = 'train'"), x.where("split = 'test'"))
-    best = res.orderBy(F.desc("macro_f1"), "model").first()["model"]
+    best = ev.best_run(res, "model", "macro_f1").first()["best_model"]
     return res.withColumn("is_best", F.col("model") == best)
 
 
