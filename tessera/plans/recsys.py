@@ -19,7 +19,11 @@ from tessera.session import cut_lineage
 from tessera.sources.tables import load_table
 
 
-def _r(c, d=6):
+def _r(c, d=9):
+    """Means of q/5 ratings terminate in decimal, so rounding them at 6 digits
+    hits exact ties that summation-order noise decides differently per engine.
+    These values are small (ratings, rates), so 9 decimals remove the noise and
+    both engines return the same double (the SQL twin rounds to 9 too)."""
     return F.round(F.col(c), d).alias(c)
 
 
@@ -51,7 +55,7 @@ gm AS (SELECT avg(rating) AS m FROM ratings)"""
 nb AS (SELECT r.user_id, r.item_id, sum(e.weight * n.rating) / sum(e.weight) AS tp, sum(e.weight) AS wt
        FROM ratings r JOIN edges e ON e.src = r.user_id
        JOIN ratings n ON n.user_id = e.dst AND n.item_id = r.item_id GROUP BY 1, 2)
-SELECT r.user_id, r.item_id, round(CASE WHEN nb.wt > 0 THEN nb.tp ELSE gm.m END, 6) AS trust_pred
+SELECT r.user_id, r.item_id, round(CASE WHEN nb.wt > 0 THEN nb.tp ELSE gm.m END, 9) AS trust_pred
 FROM ratings r LEFT JOIN nb ON r.user_id = nb.user_id AND r.item_id = nb.item_id, gm""")
 def joi7(spark, sf):
     r = ratings(spark, sf)
@@ -65,11 +69,11 @@ us AS (SELECT user_id, avg(rating) AS user_mean, stddev_samp(rating) AS user_std
 it AS (SELECT item_id, avg(rating) AS item_mean, stddev_samp(rating) AS item_std, count(*) AS item_cnt FROM ratings GROUP BY 1),
 od AS (SELECT src AS user_id, count(*) AS trustor_trustee FROM edges GROUP BY 1),
 id AS (SELECT dst AS user_id, count(*) AS trustee_trustor FROM edges GROUP BY 1)
-SELECT r.user_id, r.item_id, round(coalesce(user_mean, gm.m), 6) AS user_mean, round(coalesce(user_std, 0), 6) AS user_std,
-       coalesce(user_cnt, 0) AS user_cnt, round(coalesce(item_mean, gm.m), 6) AS item_mean,
-       round(coalesce(item_std, 0), 6) AS item_std, coalesce(item_cnt, 0) AS item_cnt,
+SELECT r.user_id, r.item_id, round(coalesce(user_mean, gm.m), 9) AS user_mean, round(coalesce(user_std, 0), 9) AS user_std,
+       coalesce(user_cnt, 0) AS user_cnt, round(coalesce(item_mean, gm.m), 9) AS item_mean,
+       round(coalesce(item_std, 0), 9) AS item_std, coalesce(item_cnt, 0) AS item_cnt,
        coalesce(trustor_trustee, 0) AS trustor_trustee, coalesce(trustee_trustor, 0) AS trustee_trustor,
-       round(gm.m + (coalesce(user_mean, 0) - gm.m) + (coalesce(item_mean, 0) - gm.m), 6) AS baseline_bias
+       round(gm.m + (coalesce(user_mean, 0) - gm.m) + (coalesce(item_mean, 0) - gm.m), 9) AS baseline_bias
 FROM ratings r LEFT JOIN us USING (user_id) LEFT JOIN it USING (item_id) LEFT JOIN od USING (user_id)
      LEFT JOIN id USING (user_id), gm""")
 def joi8(spark, sf):
@@ -85,11 +89,11 @@ us AS (SELECT user_id, avg(rating) AS um FROM ratings GROUP BY 1),
 it AS (SELECT item_id, avg(rating) AS im FROM ratings GROUP BY 1),
 p AS (SELECT rating AS label, gm.m + (um - gm.m) + (im - gm.m) AS prediction
       FROM ratings JOIN us USING (user_id) JOIN it USING (item_id), gm)
-SELECT count(*) AS n, round(avg(pow(prediction - label, 2)), 6) AS mse, round(sqrt(avg(pow(prediction - label, 2))), 6) AS rmse,
-       round(avg(abs(prediction - label)), 6) AS mae,
-       round(1 - sum(pow(prediction - label, 2)) / (var_pop(label) * count(*)), 6) AS r2,
-       round(avg(2 * abs(prediction - label) / greatest(abs(label) + abs(prediction), 1e-8)) * 100, 6) AS smape,
-       round(avg(abs(prediction - label) / abs(label)) * 100, 6) AS mape, round(sum(prediction - label), 4) + 0.0 AS cumulative_error
+SELECT count(*) AS n, round(avg(pow(prediction - label, 2)), 9) AS mse, round(sqrt(avg(pow(prediction - label, 2))), 9) AS rmse,
+       round(avg(abs(prediction - label)), 9) AS mae,
+       round(1 - sum(pow(prediction - label, 2)) / (var_pop(label) * count(*)), 9) AS r2,
+       round(avg(2 * abs(prediction - label) / greatest(abs(label) + abs(prediction), 1e-8)) * 100, 9) AS smape,
+       round(avg(abs(prediction - label) / abs(label)) * 100, 9) AS mape, round(sum(prediction - label), 4) + 0.0 AS cumulative_error
 FROM p""")
 def eva1(spark, sf):
     r = ratings(spark, sf)
@@ -148,8 +152,8 @@ s AS (SELECT cl.class, coalesce((SELECT sum(n) FROM cm WHERE cm.label = cl.class
              coalesce((SELECT sum(n) FROM cm WHERE cm.label = cl.class AND cm.prediction = cl.class), 0) AS tp FROM cl),
 q AS (SELECT class, support, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0 END AS precision,
              CASE WHEN support > 0 THEN tp / support ELSE 0 END AS recall FROM s)
-SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall,
-       round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END, 6) AS f1,
+SELECT class, round(precision, 9) AS precision, round(recall, 9) AS recall,
+       round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END, 9) AS f1,
        CAST(support AS BIGINT) AS support FROM q""")
 def eva4(spark, sf):
     rep = ev.per_class_report(_nc_predictions(spark, sf), "label", "prediction")
@@ -165,9 +169,9 @@ s AS (SELECT cl.class, coalesce((SELECT sum(n) FROM cm WHERE cm.label = cl.class
 q AS (SELECT class, support, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0 END AS pr,
              CASE WHEN support > 0 THEN tp / support ELSE 0 END AS rc FROM s),
 f AS (SELECT *, CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0 END AS f1 FROM q)
-SELECT round(sum(rc * support) / sum(support), 6) AS accuracy, round(avg(pr), 6) AS macro_precision,
-       round(avg(rc), 6) AS macro_recall, round(avg(f1), 6) AS macro_f1,
-       round(sum(pr * support) / sum(support), 6) AS weighted_precision, round(sum(f1 * support) / sum(support), 6) AS weighted_f1
+SELECT round(sum(rc * support) / sum(support), 9) AS accuracy, round(avg(pr), 9) AS macro_precision,
+       round(avg(rc), 9) AS macro_recall, round(avg(f1), 9) AS macro_f1,
+       round(sum(pr * support) / sum(support), 9) AS weighted_precision, round(sum(f1 * support) / sum(support), 9) AS weighted_f1
 FROM f""")
 def eva4s(spark, sf):
     rep = ev.per_class_report(_nc_predictions(spark, sf), "label", "prediction")
@@ -183,7 +187,7 @@ cum AS (SELECT cls, score, sum(p) OVER w / sum(p) OVER (PARTITION BY cls) AS tpr
         FROM pts WINDOW w AS (PARTITION BY cls ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 tr AS (SELECT cls, (fpr - coalesce(lag(fpr) OVER o, 0)) * (tpr + coalesce(lag(tpr) OVER o, 0)) / 2 AS a
        FROM cum WINDOW o AS (PARTITION BY cls ORDER BY score DESC))
-SELECT cls, round(sum(a), 6) AS auc FROM tr GROUP BY 1""")
+SELECT cls, round(sum(a), 9) AS auc FROM tr GROUP BY 1""")
 def eva5(spark, sf):
     d = _nc_distances(spark, sf).withColumn("score", -F.col("dist")).withColumn(
         "pos", (F.col("label") == F.col("cls")).cast("long"))
