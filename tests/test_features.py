@@ -104,3 +104,17 @@ def test_preprocessing_pipeline_roundtrip(spark):
     ix = {r["c"]: r["c__ix"] for r in again.transform(test).collect()}
     assert ix["a"] == 1.0 and ix["zz"] == 3.0                 # alphabetical: __NA__, a, b; unseen -> 3
     assert [r["features"] for r in model.transform(test).collect()] == [r["features"] for r in again.transform(test).collect()]
+
+
+def test_left_closed_bins_and_calendar(spark):
+    import datetime as dt
+    from tessera.functions.timeparts import calendar_features, hhmm_to_hour, left_closed_bins
+    df = spark.createDataFrame([(0,), (6,), (12,), (18,), (24,), (-1,)], "h INT")
+    labels = ("early_morning", "morning", "afternoon", "evening")
+    got = [r[0] for r in df.select(left_closed_bins("h", (0, 6, 12, 18, 24), labels)).collect()]
+    assert got == ["early_morning", "morning", "afternoon", "evening", None, None]   # [a, b): 24 is outside
+    d = spark.createDataFrame([(dt.date(2024, 1, 6), 1435), (dt.date(2024, 1, 8), 5)], "d DATE, hhmm INT")
+    r = d.select(*[c.alias(k) for k, c in calendar_features("d").items()], hhmm_to_hour("hhmm").alias("hr")).collect()
+    assert [x["is_weekend"] for x in r] == [1, 0]          # Saturday (Mon=0 .. Sat=5) is weekend
+    assert [x["week_of_year"] for x in r] == [1, 2] and [x["hr"] for x in r] == [14, 0]
+    assert r[0]["day_of_year"] == 6 and r[0]["quarter"] == 1
