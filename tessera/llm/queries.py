@@ -7,17 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import piece_bpe
+from tessera.llm import piece_bpe, simhash_pivots
 from tessera.llm.common import read
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash_pivots.near_duplicates(read(spark, sf_dir, "documents"), words=3, max_bits=3)
+    return near.select("doc_id", simhash_pivots.hex_fingerprint(near["fp"]).alias("fingerprint"), "component_id")
+
+
 def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(piece_bpe.encode_documents(read(spark, sf_dir, "documents"), PIECE_MODEL))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_simhash_pivots": op4_simhash_pivots,
     "op7_piece_encoding": op7_piece_encoding,
 }
 
