@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import piece_bpe, simhash_pivots
-from tessera.llm.common import read
+from tessera.llm import balance, line_runs, piece_bpe, simhash_pivots
+from tessera.llm.common import only, read
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -18,13 +19,45 @@ def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", simhash_pivots.hex_fingerprint(near["fp"]).alias("fingerprint"), "component_id")
 
 
+def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_runs.dedup_lines(only(read(spark, sf_dir, "documents"), "doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+keyed AS (
+  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+holders AS (SELECT k, min(doc_id) AS first_id FROM keyed WHERE length(k) >= 10 GROUP BY k),
+marked AS (
+  SELECT keyed.doc_id, pos, line, coalesce(first_id <> keyed.doc_id, FALSE) AS gone
+  FROM keyed LEFT JOIN holders USING (k))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(piece_bpe.encode_documents(read(spark, sf_dir, "documents"), PIECE_MODEL))
 
 
+def op10_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = balance.mix(read(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_pivots": op4_simhash_pivots,
+    "op6_line_runs": op6_line_runs,
     "op7_piece_encoding": op7_piece_encoding,
+    "op10_entropy_balance": op10_entropy_balance,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_line_runs": OP6_SQL,
+}
