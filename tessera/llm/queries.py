@@ -8,17 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import balance, line_runs, piece_bpe, simhash_pivots
+from tessera.llm import balance, language_mix, line_runs, page_text, piece_bpe, simhash_pivots, topk_blocks
 from tessera.llm.common import only, read
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_mix.identify(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "mixture")
+
+
 def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash_pivots.near_duplicates(read(spark, sf_dir, "documents"), words=3, max_bits=3)
     return near.select("doc_id", simhash_pivots.hex_fingerprint(near["fp"]).alias("fingerprint"), "component_id")
 
 
+def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.main_text(read(spark, sf_dir, "pages"))
+
+
 def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_runs.dedup_lines(only(read(spark, sf_dir, "documents"), "doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped",
@@ -46,18 +55,41 @@ def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(piece_bpe.encode_documents(read(spark, sf_dir, "documents"), PIECE_MODEL))
 
 
+def op8_topk_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_blocks.top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+OP8_SQL = r"""
+WITH parts AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM parts q JOIN parts c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
+"""
+
+
 def op10_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = balance.mix(read(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_mix": op1_language_mix,
     "op4_simhash_pivots": op4_simhash_pivots,
+    "op5_page_text": op5_page_text,
     "op6_line_runs": op6_line_runs,
     "op7_piece_encoding": op7_piece_encoding,
+    "op8_topk_blocks": op8_topk_blocks,
     "op10_entropy_balance": op10_entropy_balance,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_line_runs": OP6_SQL,
+    "op8_topk_blocks": OP8_SQL,
 }
