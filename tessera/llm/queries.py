@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import balance, language_mix, line_runs, page_text, piece_bpe, simhash_pivots, topk_blocks
+from tessera.llm import balance, hmm_lm, language_mix, line_runs, page_text, piece_bpe, simhash_pivots, topk_blocks
 from tessera.llm.common import only, read
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -19,6 +19,10 @@ def op1_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "mixture")
 
 
+def op2_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.score_texts(read(spark, sf_dir, "documents"))
+
+
 def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash_pivots.near_duplicates(read(spark, sf_dir, "documents"), words=3, max_bits=3)
     return near.select("doc_id", simhash_pivots.hex_fingerprint(near["fp"]).alias("fingerprint"), "component_id")
@@ -81,6 +85,7 @@ def op10_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mix": op1_language_mix,
+    "op2_hmm_score": op2_hmm_score,
     "op4_simhash_pivots": op4_simhash_pivots,
     "op5_page_text": op5_page_text,
     "op6_line_runs": op6_line_runs,
