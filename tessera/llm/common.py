@@ -56,3 +56,24 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
 def only(docs: DataFrame, *cols: str) -> DataFrame:
     """The named columns, whatever else (in any spelling) the input carries."""
     return docs.select(*[docs[c] for c in cols])
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[pa.Table]:
+    """Batches sorted by integer column ``key`` as tables that hold every run of equal keys whole."""
+    import numpy as np
+
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = b.column(key).to_numpy(zero_copy_only=False)
+        if held and held[-1].column(key)[held[-1].num_rows - 1].as_py() != k[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        cut = int(np.flatnonzero(k == k[-1])[0])
+        if cut:
+            yield pa.Table.from_batches([*held, b.slice(0, cut)])
+            held = []
+        held.append(b.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)

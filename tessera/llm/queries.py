@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import balance, hmm_lm, language_mix, line_runs, page_text, piece_bpe, simhash_pivots, topk_blocks
+from tessera.llm import balance, hmm_lm, language_mix, line_runs, page_text, piece_bpe, simhash_pivots, suffix_shards, topk_blocks
 from tessera.llm.common import only, read
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -78,6 +78,13 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <
 """
 
 
+def op9_suffix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_shards.drop_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["begin"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = balance.mix(read(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -91,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_runs": op6_line_runs,
     "op7_piece_encoding": op7_piece_encoding,
     "op8_topk_blocks": op8_topk_blocks,
+    "op9_suffix_shards": op9_suffix_shards,
     "op10_entropy_balance": op10_entropy_balance,
 }
 
