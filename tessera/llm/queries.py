@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import balance, hmm_lm, language_mix, line_runs, page_text, piece_bpe, simhash_pivots, suffix_shards, topk_blocks
+from tessera.llm import balance, hmm_lm, language_mix, line_runs, page_text, paragraph_sketch, piece_bpe, simhash_pivots, suffix_shards, topk_blocks
 from tessera.llm.common import only, read
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -23,6 +23,12 @@ def op2_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.score_texts(read(spark, sf_dir, "documents"))
 
 
+def op3_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = paragraph_sketch.version_differences(read(spark, sf_dir, "documents"))
+    return d.select(F.col("doc").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                    F.col("like_e").alias("near_edited"), F.col("like_n").alias("near_next"))
+
+
 def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash_pivots.near_duplicates(read(spark, sf_dir, "documents"), words=3, max_bits=3)
     return near.select("doc_id", simhash_pivots.hex_fingerprint(near["fp"]).alias("fingerprint"), "component_id")
@@ -93,6 +99,7 @@ def op10_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mix": op1_language_mix,
     "op2_hmm_score": op2_hmm_score,
+    "op3_paragraph_sketch": op3_paragraph_sketch,
     "op4_simhash_pivots": op4_simhash_pivots,
     "op5_page_text": op5_page_text,
     "op6_line_runs": op6_line_runs,
