@@ -198,17 +198,17 @@ def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "lang")
     return LanguageModel(names, a[:, :BUCKETS], a[:, BUCKETS:])
 
 
-def predict(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id", text_col: str = "text",
+def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",),
             penalty: float = 2.0) -> DataFrame:
-    """``id_col``, ``lang_pred``, ``score`` (share of the predicted language), ``mixture`` map
-    of the selected languages' shares, ``word_loglik`` double."""
-    kept = only(docs, id_col, text_col)
+    """The columns ``carry`` and ``lang_pred``, ``score`` (share of the predicted language), ``mixture``
+    (map of the selected languages' shares), ``word_loglik`` double."""
+    kept = docs.select(docs[text_col].alias("__text"), *[docs[c] for c in carry])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lm = shared.value
-        for b in slices(batches, 1, 4 << 20):
-            found = [word_counts(t) for t in b.column(1).to_pylist()]
+        for b in slices(batches, 0, 4 << 20):
+            found = [word_counts(t) for t in b.column(0).to_pylist()]
             at = [i for i, c in enumerate(found) if c] if lm else []
             lang, score, mix, ll = ["und"] * len(found), [0.0] * len(found), [None] * len(found), [None] * len(found)
             if at:
@@ -217,15 +217,20 @@ def predict(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id"
                     lang[i], score[i], ll[i] = lm.languages[top], min(1.0, p[top]), v
                     mix[i] = [(lm.languages[k], x) for k, x in enumerate(p) if x > 0]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
+                [*b.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64()),
                  pa.array(mix, pa.map_(pa.string(), pa.float64())), pa.array(ll, pa.float64())],
-                [id_col, "lang_pred", "score", "mixture", "word_loglik"])
+                [*carry, "lang_pred", "score", "mixture", "word_loglik"])
 
-    kind = kept.schema[id_col].dataType.simpleString()
-    return kept.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, mixture map<string,double>, word_loglik double")
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema.fields[1:])
+    return kept.mapInArrow(run, kinds + "lang_pred string, score double, mixture map<string,double>, word_loglik double")
 
 
-def identify(docs: DataFrame, penalty: float = 2.0) -> DataFrame:
+def identify(docs: DataFrame, penalty: float = 2.0, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Predictions for all rows of ``docs``, learned from its own labelled rows that are not held out."""
     model = learn(docs.filter(learned_rows()))
-    return predict(docs, model, penalty=penalty).withColumn("held_out", ~learned_rows())
+    return predict(docs, model, carry=carry, penalty=penalty).withColumn("held_out", ~learned_rows())
+
+
+def identified(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The named columns of the rows whose language is not ``und``."""
+    return identify(docs, carry=columns).filter("lang_pred <> 'und'").select(*columns)
