@@ -179,11 +179,17 @@ def profile(df: DataFrame) -> DataFrame:
     return row.select(F.col("__rows").alias("n_rows"), F.explode(F.array(*cols)).alias("s")).select("n_rows", "s.*")
 
 
-def list_tables(spark: SparkSession) -> DataFrame:
-    """SRC12: every table / view of the current catalog with its columns."""
-    rows = []
-    for t in spark.catalog.listTables():
-        for c in spark.catalog.listColumns(t.name):
-            rows.append((t.name, c.name, c.dataType, bool(c.nullable), bool(c.isBucket or c.isPartition)))
-    return spark.createDataFrame(rows, "table_name STRING, column_name STRING, data_type STRING, "
-                                       "nullable BOOLEAN, is_key BOOLEAN")
+def list_tables(spark: SparkSession, names: list[str]) -> DataFrame:
+    """SRC12: the named tables / views of the current catalog with their columns and row counts.
+
+    Only names that the catalog lists appear.  Counts are one aggregate per table."""
+    listed = {t.name for t in spark.catalog.listTables()}
+    out = None
+    for name in [n for n in names if n in listed]:
+        cols = [F.struct(F.lit(c.name).alias("column_name"), F.lit(c.dataType).alias("data_type"),
+                         F.lit(i).alias("position")) for i, c in enumerate(spark.catalog.listColumns(name))]
+        one = (spark.table(name).agg(F.count(F.lit(1)).alias("n_rows"))
+               .select(F.lit(name).alias("table_name"), "n_rows", F.explode(F.array(*cols)).alias("c")).select("table_name", "n_rows", "c.*"))
+        out = one if out is None else out.unionByName(one)
+    return out if out is not None else spark.createDataFrame(
+        [], "table_name STRING, n_rows BIGINT, column_name STRING, data_type STRING, position INT")

@@ -9,7 +9,8 @@ counts rows per (target, bucket) -- a partial aggregate, so hot groups are
 pre-reduced on every task -- then keeps the bucket holding the rank.  When a
 range holds at most ``final_rows`` values (or a single distinct value) those
 few rows are ordered to read the exact value.  Linear interpolation between
-the two neighbouring ranks gives pandas/NumPy quantiles.
+the two neighbouring ranks gives pandas/NumPy quantiles.  NULL and NaN are
+left out, as pandas does.
 """
 
 from __future__ import annotations
@@ -25,12 +26,12 @@ from tessera.session import cut_lineage
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: list[float], by: list[str] | None = None,
-                    buckets: int = 1024, final_rows: int = 4096, max_passes: int = 12) -> DataFrame:
+                    buckets: int = 1024, final_rows: int = 4096, max_passes: int = 40) -> DataFrame:
     """One row per group with a column ``q<percent>`` (e.g. ``q50``) per quantile."""
     by = list(by or [])
     if not by:
         return _global_quantiles(df, value, qs, buckets, final_rows, max_passes)
-    x = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"))
+    x = df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     keys = by
     # the (group, value) projection is scanned once per pass: keep it cached
     # (a lost block is recomputed from its deterministic lineage)
@@ -71,6 +72,8 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], by: list[str] |
             *[F.coalesce(F.col(f"{c}2"), F.col(c)).alias(c) if c in ("lo", "hi", "below", "inside") else F.col(c)
               for c in targets.columns])
         targets = cut_lineage(targets)
+    else:
+        raise RuntimeError(f"ranges are still open after {max_passes} passes: raise max_passes")
     # final: order the few rows left in each target's range
     # (single-valued ranges -- possibly millions of equal values -- are not ordered)
     fin = x.join(targets.where(F.col("lo") < F.col("hi")).select(*keys, "tid", "k", "below", "lo", "hi"), keys).where(
@@ -106,7 +109,7 @@ def _global_quantiles(df: DataFrame, value: str, qs: list[float], buckets: int,
     ``buckets x targets`` counts."""
     spark = df.sparkSession
     v = F.col(value).cast("double")
-    x = df.where(F.col(value).isNotNull()).select(v.alias("__v")).persist(StorageLevel.MEMORY_AND_DISK)
+    x = df.select(v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v")).persist(StorageLevel.MEMORY_AND_DISK)
     st = x.agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")).first()
     n = st["n"]
     names = [f"q{_pct(q)}" for q in qs]
@@ -139,6 +142,8 @@ def _global_quantiles(df: DataFrame, value: str, qs: list[float], buckets: int,
                     tg[k] = {"lo": r["mn"], "hi": r["mx"], "below": acc, "inside": r["c"]}
                     break
                 acc += r["c"]
+    else:
+        raise RuntimeError(f"ranges are still open after {max_passes} passes: raise max_passes")
     vals = {}
     for k, t in tg.items():
         if t["lo"] == t["hi"]:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import quality, windows
-from tessera.plans.registry import query
+from tessera.plans.registry import REGISTRY, query
 from tessera.plans.views import payments, with_payments
-from tessera.sources.tables import spread
+from tessera.sources.tables import cores, spread
 from tessera.streaming import metrics as M
 
 AS_OF = "2024-01-30 00:00:00"  # replaces the wall clock of the validation rule
@@ -43,7 +43,7 @@ SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, ts AS event_time, amou
        total_amount, risk_level, device_os
 FROM pay"""))
 def prj3(spark, sf):
-    p = spread(payments(spark, sf))
+    p = spread(payments(spark, sf), cores(spark))
     msg = p.select(
         F.col("transaction_id").cast("string").alias("transaction_id"),
         F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("timestamp"),
@@ -70,26 +70,42 @@ def win6(spark, sf):
     return df.select("transaction_id", "merchant_id", "rolling_count")
 
 
-@query("win7_spike_detection", covers="WIN7 WIN6", sql=with_payments(""",
+def _spike_sql(horizon: int) -> str:
+    return with_payments(f""",
 r AS (SELECT transaction_id, merchant_id, ts, date_trunc('hour', ts) AS hr,
         count(*) OVER (PARTITION BY merchant_id ORDER BY ts
                        RANGE BETWEEN INTERVAL 300 SECOND PRECEDING AND CURRENT ROW) AS rolling_count,
         count(*) OVER (PARTITION BY merchant_id, date_trunc('hour', ts) ORDER BY ts, transaction_id
                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hour_count
       FROM pay),
-h AS (SELECT merchant_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS hr, count(*) AS n FROM pay GROUP BY 1, 2)
+h AS (SELECT merchant_id, hr + i * INTERVAL 1 HOUR AS hr, sum(n) AS n
+      FROM (SELECT merchant_id, date_trunc('hour', ts) AS hr, count(*) AS n FROM pay GROUP BY 1, 2), range(1, {horizon + 1}) t(i)
+      GROUP BY 1, 2)
 SELECT r.transaction_id, r.merchant_id, r.rolling_count, r.hour_count,
        CAST(coalesce(h.n, 0) AS BIGINT) AS prev_hours_count,
-       round((r.hour_count + coalesce(h.n, 0)) / 2.0, 6) AS baseline,
-       ((r.hour_count + coalesce(h.n, 0)) / 2.0 > 0 AND r.rolling_count > 3 * (r.hour_count + coalesce(h.n, 0)) / 2.0)
-         AS is_spike
-FROM r LEFT JOIN h ON r.merchant_id = h.merchant_id AND r.hr = h.hr"""))
+       round((r.hour_count + coalesce(h.n, 0)) / {horizon + 1}.0, 6) AS baseline,
+       ((r.hour_count + coalesce(h.n, 0)) / {horizon + 1}.0 > 0
+        AND r.rolling_count > 3 * (r.hour_count + coalesce(h.n, 0)) / {horizon + 1}.0) AS is_spike
+FROM r LEFT JOIN h ON r.merchant_id = h.merchant_id AND r.hr = h.hr""")
+
+
+# With the default horizon of one hour the rolling count can never exceed three
+# times the baseline (the window lies in the two hours that the baseline
+# averages): is_spike is false on every row by construction.
+@query("win7_spike_detection", covers="WIN7 WIN6", sql=_spike_sql(1))
 def win7(spark, sf):
     df = windows.spike_flags(payments(spark, sf))
     return df.select("transaction_id", "merchant_id", "rolling_count", "hour_count", "prev_hours_count",
                      _r("baseline"), "is_spike")
 
 
+@query("win7_spike_three_hours", covers="WIN7 WIN6", sql=_spike_sql(3))
+def win7h(spark, sf):
+    df = windows.spike_flags(payments(spark, sf), horizon_hours=3)
+    return df.select("transaction_id", "merchant_id", "rolling_count", "hour_count", "prev_hours_count",
+                     _r("baseline"), "is_spike")
+
+
 @query("win8_geo_consecutive_jumps", covers="WIN8 SCA14", sql=with_payments(""",
 l AS (SELECT customer_id, transaction_id, ts, lat, lng,
         lag(transaction_id) OVER w AS prev_transaction_id, lag(ts) OVER w AS pts,
@@ -157,24 +173,38 @@ def str3(spark, sf):
                      F.col("end_time").cast("timestamp_ntz").alias("end_time"), "detail", "fraud_reason")
 
 
-@query("str5_alert_union_batch", covers="STR5 SET1 PRJ9 STR4", sql=with_payments(""",
-a AS (SELECT customer_id, avg(amount) AS avg_amount FROM pay GROUP BY 1)
-SELECT customer_id, time_bucket(INTERVAL 2 MINUTE, ts, TIMESTAMP '1970-01-01') AS start_time,
-       CAST(count(*) AS VARCHAR) AS detail, 'velocity' AS fraud_reason
-FROM pay GROUP BY 1, 2 HAVING count(*) > 5
+def alert_union_sql(closed: str = "TRUE") -> str:
+    """Velocity, geographic and amount alerts; ``closed`` filters windows by ``end_time``."""
+    return with_payments(f""",
+a AS (SELECT customer_id, avg(amount) AS avg_amount FROM pay GROUP BY 1),
+w AS (SELECT customer_id, start_time, end_time, detail, fraud_reason FROM (
+        SELECT customer_id, time_bucket(INTERVAL 2 MINUTE, ts, TIMESTAMP '1970-01-01') AS start_time,
+               time_bucket(INTERVAL 2 MINUTE, ts, TIMESTAMP '1970-01-01') + INTERVAL 2 MINUTE AS end_time,
+               CAST(count(*) AS VARCHAR) AS detail, 'velocity' AS fraud_reason
+        FROM pay GROUP BY 1, 2, 3 HAVING count(*) > 5
+        UNION ALL SELECT * FROM ({REGISTRY["str3_geo_window_alerts_batch"][1]})) WHERE {closed})
+SELECT customer_id, start_time, detail, fraud_reason FROM w
 UNION ALL
 SELECT p.customer_id, CAST(NULL AS TIMESTAMP) AS start_time, CAST(p.amount AS VARCHAR) AS detail,
        'amount_anomaly' AS fraud_reason
-FROM pay p JOIN a ON p.customer_id = a.customer_id WHERE p.amount > a.avg_amount * 1.5"""))
+FROM pay p JOIN a ON p.customer_id = a.customer_id WHERE p.amount > a.avg_amount * 10""")
+
+
+def alert_union(txns, averages, watermark: bool):
+    """Velocity, geographic and amount alerts of a batch or a stream, against static averages."""
+    wm = {} if watermark else {"watermark": None}
+    return M.union_alerts(M.velocity_alerts(txns, **wm), M.geo_window_alerts(txns, **wm), M.amount_alerts(txns, averages))
+
+
+def alert_columns(df):
+    return df.select("customer_id", F.col("start_time").cast("timestamp_ntz").alias("start_time"), "detail", "fraud_reason")
+
+
+@query("str5_alert_union_batch", covers="SET1 PRJ9 FLT5 JOI5", sql=alert_union_sql())
 def str5(spark, sf):
-    # amount branch uses factor 1.5 here so the union has rows of both kinds at test scale
     t = M.event_time(payments(spark, sf))
-    vel = M.velocity_alerts(t, watermark=None)
     avg = t.groupBy("customer_id").agg(F.avg("amount").alias("avg_amount"))
-    amt = M.amount_alerts(t, avg, factor=1.5)
-    u = M.union_alerts(vel, amt)
-    return u.select("customer_id", F.col("start_time").cast("timestamp_ntz").alias("start_time"), "detail",
-                    "fraud_reason")
+    return alert_columns(alert_union(t, avg, watermark=False))
 
 
 @query("str6_metric_commission_by_type_batch", covers="STR6", sql=with_payments(

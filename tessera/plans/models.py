@@ -16,7 +16,7 @@ from tessera.operators import modeling as md
 from tessera.operators import sampling
 from tessera.plans.flights import flight_features
 from tessera.plans.registry import query
-from tessera.sources.tables import load_table, spread
+from tessera.sources.tables import cores, load_table, spread
 from tessera.session import cut_lineage
 from tessera.streaming.runner import shared_path
 
@@ -143,7 +143,7 @@ def mod10(spark, sf):
 
 @query("fea10_word2vec_sentence_vectors", covers="FEA10 TXT1")
 def fea10(spark, sf):
-    d = spread(load_table(spark, sf, "documents")).select("doc_id", tx.tokenize(tx.remove_punctuation("text")).alias("tokens"))
+    d = spread(load_table(spark, sf, "documents"), cores(spark)).select("doc_id", tx.tokenize(tx.remove_punctuation("text")).alias("tokens"))
     v = md.sentence_vectors_w2v(d, "doc_id", "tokens", size=100)
     return v.select("doc_id", F.sqrt(F.aggregate("sentence_vector", F.lit(0.0), lambda a, x: a + x * x)).alias("norm"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.operators import profiling as pf
@@ -293,10 +295,16 @@ def agg36(spark, sf):
     return pf.category_table_sizes(flights(spark, sf), ["airline", "origin_airport"])
 
 
-@query("src12_catalog_listing", covers="SRC12 SRC8")
+@query("src12_catalog_listing", covers="SRC12 SRC8", sql="\nUNION ALL ".join(f"""
+SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS n_rows, column_name, CAST(ordinal_position - 1 AS INTEGER) AS position
+FROM information_schema.columns WHERE table_name = '{t}'""" for t in TABLES))
 def src12(spark, sf):
-    register_tables(spark, sf, TABLES)
-    return pf.list_tables(spark)
+    tag = f"src12_{uuid.uuid4().hex[:8]}_"
+    register_tables(spark, sf, TABLES, tag)
+    out = pf.list_tables(spark, [tag + t for t in TABLES])
+    for t in TABLES:
+        spark.catalog.dropTempView(tag + t)  # the plan holds the tables themselves
+    return out.select(F.substring(F.col("table_name"), len(tag) + 1, 100).alias("table_name"), "n_rows", "column_name", "position")
 
 
 _LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",

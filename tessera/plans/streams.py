@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tessera.plans import alerts as _alerts  # noqa: F401  (registers the batch twins first)
 from tessera.plans import payments as _payments  # noqa: F401  (agg11, twin of the minute stream)
 from tessera.plans.registry import REGISTRY, query
-from tessera.plans.views import payments_from, with_payments
+from tessera.plans.views import payments, payments_from, with_payments
 from tessera.sources.tables import load_table
 from tessera.streaming import metrics as M
 from tessera.streaming import runner, stateful
@@ -28,7 +28,7 @@ def _closed(batch_query: str, delay_s: int, end_col: str = "end_time") -> str:
     """Oracle of an append-mode stream run to completion: its batch twin's rows
     whose window closed under the final watermark (max event time - delay)."""
     return (f"SELECT * FROM ({REGISTRY[batch_query][1]}) WHERE {end_col} <= "
-            f"(SELECT max(ts) FROM events) - INTERVAL {delay_s} SECOND")
+            f"({with_payments('SELECT max(ts) FROM pay')}) - INTERVAL {delay_s} SECOND")
 
 
 def _ntz(*cols):
@@ -41,7 +41,7 @@ def _txn_stream(spark, sf):
     return M.event_time(payments_from(src))
 
 
-@query("str1_sliding_category_stream", covers="STR1 STR5 SRC2 SNK1 STR11",
+@query("str1_sliding_category_stream", covers="STR1 SRC2 SNK1",
        sql=_closed("str1_sliding_category_commission_batch", 60))
 def str1s(spark, sf):
     df = M.sliding_category_commission(_txn_stream(spark, sf), watermark=M.CATEGORY_WINDOW)
@@ -62,7 +62,11 @@ def str3s(spark, sf):
     return out.select("customer_id", *_ntz("start_time", "end_time"), "detail", "fraud_reason")
 
 
-@query("str3_geo_state_stream", covers="STR3 WIN8", sql=REGISTRY["win8_geo_consecutive_jumps"][1])
+# pairs are emitted once the watermark (milliseconds, five minutes behind) has passed both events
+@query("str3_geo_state_stream", covers="STR3 WIN8", sql=f"""
+SELECT j.* FROM ({REGISTRY["win8_geo_consecutive_jumps"][1]}) j
+JOIN ({with_payments("SELECT transaction_id, ts FROM pay")}) p USING (transaction_id)
+WHERE epoch_us(p.ts) < ((SELECT epoch_ms(max(ts)) FROM ({with_payments("SELECT ts FROM pay")})) - 300000) * 1000""")
 def str3st(spark, sf):
     out = runner.run_to_table(stateful.geo_jumps_stateful(_txn_stream(spark, sf)), "str3_geo_state")
     return out.select("customer_id", "transaction_id", "prev_transaction_id",
@@ -105,14 +109,77 @@ def str14s(spark, sf):
                       "hour_count", "prev_hours_count", F.round("baseline", 6).alias("baseline"), "is_spike")
 
 
-@query("str10_concurrent_streams_progress", covers="STR10 STR15 STR11 SNK1")
+@query("str14_spike_three_hours_stream", covers="STR14 WIN6 WIN7", sql=REGISTRY["win7_spike_three_hours"][1])
+def str14h(spark, sf):
+    out = runner.run_to_table(stateful.spikes_stateful(_txn_stream(spark, sf), horizon_hours=3), "str14_spikes_h3")
+    return out.select("transaction_id", F.col("merchant_id").cast("int").alias("merchant_id"), "rolling_count",
+                      "hour_count", "prev_hours_count", F.round("baseline", 6).alias("baseline"), "is_spike")
+
+
+# one query, two watermarks: windows close under the later one (five minutes)
+@query("str5_alert_union_stream", covers="STR5 STR4 SET1 UDF2", sql=_alerts.alert_union_sql(
+    f"end_time <= ({with_payments('SELECT max(ts) FROM pay')}) - INTERVAL 300 SECOND"))
+def str5s(spark, sf):
+    avg = payments(spark, sf).groupBy("customer_id").agg(F.avg("amount").alias("avg_amount"))
+    out = runner.run_to_table(_alerts.alert_union(_txn_stream(spark, sf), avg, watermark=True), "str5_alerts")
+    return _alerts.alert_columns(out)
+
+
+_STREAMS = ("str10_metric_a", "str10_metric_b", "str10_alerts_json")
+
+
+@query("str10_concurrent_streams_progress", covers="STR10 STR15 SNK1", sql="\nUNION ALL ".join(
+    f"SELECT '{n}' AS query, count(*) AS input_rows, CAST(0 AS BIGINT) AS lag FROM events" for n in _STREAMS))
 def str10(spark, sf):
     t = _txn_stream(spark, sf)
-    qs = [runner.start(M.metric_commission_by_type(t), "str10_metric_a"),
-          runner.start(M.metric_commission_ratio(t), "str10_metric_b"),
-          runner.start(runner.json_values(M.velocity_alerts(t)), "str10_alerts_json", fmt="json")]
+    qs = [runner.start(M.metric_commission_by_type(t), _STREAMS[0]),
+          runner.start(M.metric_commission_ratio(t), _STREAMS[1]),
+          runner.start(runner.json_values(M.velocity_alerts(t)), _STREAMS[2], fmt="json")]
     runner.await_all(spark, qs, timeout_s=600)
-    return runner.progress_table(spark, qs)
+    return runner.progress_table(spark, qs).select("query", "input_rows", "lag")
+
+
+# Arrival in five parts: six days each, out of order by up to a minute; some bursts come with the
+# last part, long after their window.  The stream stops after each part and goes on from its
+# checkpoint.  Rows of the last part are late if their window had closed when the others were read.
+_ARRIVAL_SQL = """,
+p AS (SELECT *, transaction_id // 8 % 12 = 0 AND transaction_id // 96 % 5 = 0 AS held FROM pay),
+q AS (SELECT *, CASE WHEN held THEN 4 ELSE least(4, (epoch_ms(ts) // 1000 - 1704067200 + transaction_id % 7 * 10) // 518400) END AS part,
+             time_bucket(INTERVAL 2 MINUTE, ts, TIMESTAMP '1970-01-01') AS start_time FROM p)
+SELECT customer_id, start_time, start_time + INTERVAL 2 MINUTE AS end_time, CAST(count(*) AS VARCHAR) AS detail, 'velocity' AS fraud_reason
+FROM q WHERE start_time + INTERVAL 2 MINUTE <= (SELECT max(ts) FROM q) - INTERVAL 2 MINUTE
+  AND NOT (held AND start_time + INTERVAL 2 MINUTE <= (SELECT max(ts) FROM q WHERE part <= 3) - INTERVAL 2 MINUTE)
+GROUP BY ALL HAVING count(*) > 5"""
+
+
+@query("str11_restart_and_late_rows", covers="STR11 STR9 STR2", sql=with_payments(_ARRIVAL_SQL))
+def str11(spark, sf):
+    tag = uuid.uuid4().hex[:12]
+    folder = runner.shared_path(spark, "streams", "str11", tag, "in")
+    out = runner.shared_path(spark, "streams", "str11", tag, "out")
+    checkpoint = runner.shared_path(spark, "streams", "str11", tag, "_checkpoint")
+    t = payments(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    eid = F.col("transaction_id")
+    held = (F.pmod(F.floor(eid / 8), F.lit(12)) == 0) & (F.pmod(F.floor(eid / 96), F.lit(5)) == 0)
+    part = F.least(F.lit(4), F.floor((F.floor(F.unix_millis("ts") / 1000) - 1704067200 + F.pmod(eid, F.lit(7)) * 10) / 518400))
+    t = t.withColumn("part", F.when(held, F.lit(4)).otherwise(part).cast("int"))
+    schema = t.drop("part").schema
+
+    def arrive(n):
+        t.where(F.col("part") == n).drop("part").write.mode("append").parquet(f"{folder}/p{n}")
+
+    def go_on():
+        src = M.event_time(spark.readStream.schema(schema).parquet(f"{folder}/*"))
+        q = runner.start(M.velocity_alerts(src), "str11", path=out, checkpoint=checkpoint)
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+
+    for n in range(5):
+        arrive(n)
+        go_on()
+    res = spark.read.parquet(out)
+    return res.select("customer_id", *_ntz("start_time", "end_time"), "detail", "fraud_reason")
 
 
 @query("str12_stream_validation_dead_letter", covers="STR12 SNK2 SRC4 SRC1 FLT1",
@@ -143,9 +210,8 @@ def str12(spark, sf):
                 .groupBy("output").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-@query("str13_live_merchant_counts", covers="STR13 AGG12", sql="""
-SELECT CAST(regexp_extract(props, '"k":\\s*(-?[0-9]+)', 1) AS INTEGER) AS merchant_id, count(*) AS transaction_count
-FROM events GROUP BY 1""")
+@query("str13_live_merchant_counts", covers="STR13 AGG12", sql=with_payments("""
+SELECT merchant_id, count(*) AS transaction_count FROM pay GROUP BY 1"""))
 def str13m(spark, sf):
     t = _txn_stream(spark, sf)
     counts = t.groupBy("merchant_id").agg(F.count(F.lit(1)).alias("transaction_count"))

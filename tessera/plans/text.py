@@ -8,7 +8,7 @@ from tessera.functions import text as tx
 from tessera.operators import retrieval as rt
 from tessera.operators import text as tops
 from tessera.plans.registry import query
-from tessera.sources.tables import load_table, spread
+from tessera.sources.tables import cores, load_table, spread
 
 
 def _r(c, d=6):
@@ -31,7 +31,7 @@ def _tok_sql(col: str) -> str:
 
 @query("txt1_clean_tokens", covers="TXT1 TXT2 SCA26 FLT7 UDF5")
 def txt1(spark, sf):
-    d = spread(load_table(spark, sf, "documents"))
+    d = spread(load_table(spark, sf, "documents"), cores(spark))
     x = tops.clean_tokens(d, "text")
     return x.select("doc_id", "lang", F.size("tokens").alias("n_tokens"),
                     F.array_join("tokens", " ").alias("clean_text"),
@@ -41,7 +41,7 @@ def txt1(spark, sf):
 @query("txt1_token_counts_by_lang", covers="TXT1 SCA25", sql=f"""
 SELECT lang, count(*) AS n_docs, CAST(sum(len({_tok_sql('text')})) AS BIGINT) AS n_tokens FROM documents GROUP BY 1""")
 def txt1c(spark, sf):
-    d = spread(load_table(spark, sf, "documents")).withColumn("tokens", simple_tokens("text"))
+    d = spread(load_table(spark, sf, "documents"), cores(spark)).withColumn("tokens", simple_tokens("text"))
     return d.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.size("tokens")).alias("n_tokens"))
 
 
@@ -51,7 +51,7 @@ c AS (SELECT token, count(*) AS count FROM t GROUP BY 1 ORDER BY count DESC, tok
 r AS (SELECT token, count, row_number() OVER (ORDER BY count DESC, token) AS rank FROM c)
 SELECT token, count, CAST(rank AS INTEGER) AS rank FROM r WHERE rank > 3""")
 def txt3(spark, sf):
-    d = spread(load_table(spark, sf, "documents")).withColumn("tokens", simple_tokens("text"))
+    d = spread(load_table(spark, sf, "documents"), cores(spark)).withColumn("tokens", simple_tokens("text"))
     return tops.word_frequency(d, "tokens", 20, 3)
 
 
@@ -64,7 +64,7 @@ c AS (SELECT n, ngram, count(*) AS count FROM g GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY count DESC, ngram) AS rk FROM c)
 SELECT ngram, count, CAST(n AS INTEGER) AS n FROM r WHERE rk <= CASE n WHEN 3 THEN 15 ELSE 20 END""")
 def txt4(spark, sf):
-    d = spread(load_table(spark, sf, "documents")).withColumn("tokens", simple_tokens("text"))
+    d = spread(load_table(spark, sf, "documents"), cores(spark)).withColumn("tokens", simple_tokens("text"))
     out = tops.ngram_frequencies(d, "tokens", {1: 20, 2: 20, 3: 15})
     return out.select("ngram", "count", F.col("n").cast("int").alias("n"))
 
@@ -98,7 +98,7 @@ def ret1(spark, sf):
 
 
 def _bm25(spark, sf, k=5):
-    d = spread(load_table(spark, sf, "documents")).select("doc_id", simple_tokens("text").alias("tokens"))
+    d = spread(load_table(spark, sf, "documents"), cores(spark)).select("doc_id", simple_tokens("text").alias("tokens"))
     q = load_table(spark, sf, "benchmark").select("item_id", simple_tokens("text").alias("qtokens"))
     return rt.bm25_search(rt.bm25_index(d, "doc_id", "tokens"), q, "item_id", "qtokens", "doc_id", k=k)
 
@@ -202,7 +202,7 @@ def agg32(spark, sf):
 @query("udf6_embedding_hybrid_search", covers="UDF6 RET1 RET3")
 def udf6(spark, sf):
     from tessera.functions.embedding import embed
-    docs = spread(load_table(spark, sf, "documents")).select("doc_id", embed("text").alias("vec"))
+    docs = spread(load_table(spark, sf, "documents"), cores(spark)).select("doc_id", embed("text").alias("vec"))
     qs = load_table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), embed("text").alias("qvec"))
     vec = rt.vector_search(docs, qs, "doc_id", "vec", "query_id", "qvec", k=10)
     fused = rt.rrf_fuse(_bm25(spark, sf, k=10).select("query_id", "doc_id", "rank"),

@@ -22,6 +22,11 @@ CATEGORY_OF_EVENT = (("click", "retail"), ("view", "food_service"), ("purchase",
 AMOUNT_SCALE = 200      # amount = round(value*100) * 200, an integer like the source
 COMMISSION_PCT = 2      # commission = 2 % of amount
 VAT_PCT = 9             # vat = 9 % of amount
+# Rows that make the alert and validation rules fire, picked by id:
+BURST_START = "2024-01-01 00:00:00"
+BURST_LEN, BURST_EVERY = 8, 12   # every 12th block of 8 ids is one customer at one merchant, 10 s apart
+LARGE_EVERY, LARGE_FACTOR = 101, 40   # every 101st amount is 40 times as large
+BROKEN_EVERY, BROKEN_BY = 83, 1000    # every 83rd total does not add up
 # -----------------------------------------------------------------------------
 
 
@@ -46,15 +51,22 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payments_from(ev: DataFrame) -> DataFrame:
     """Transactions view over an events frame, batch or streaming (PRJ1: ``props`` parsed by schema)."""
-    eid, uid = F.col("event_id"), F.col("user_id")
-    amount = F.round(F.col("value") * 100).cast("bigint") * AMOUNT_SCALE
+    eid = F.col("event_id")
+    block = F.floor(eid / BURST_LEN)
+    burst = F.pmod(block, F.lit(BURST_EVERY)) == 0
+    uid = F.when(burst, F.pmod(block * 31, F.lit(150))).otherwise(F.col("user_id"))
+    minutes, seconds = F.pmod(block * 7919, F.lit(41_760)), F.pmod(eid, F.lit(BURST_LEN)) * 10
+    burst_ts = F.lit(BURST_START).cast("timestamp_ntz") + F.make_dt_interval(mins=minutes.cast("int"), secs=seconds.cast("decimal(18,6)"))
+    large = F.when(F.pmod(eid, F.lit(LARGE_EVERY)) == 0, F.lit(LARGE_FACTOR)).otherwise(F.lit(1))
+    amount = F.round(F.col("value") * 100).cast("bigint") * AMOUNT_SCALE * large
     method = _pick(PAYMENT_METHODS, F.pmod(eid, F.lit(4)))
     props = F.from_json("props", "k INT")
+    ts_type = ev.schema["ts"].dataType
     df = ev.select(
         eid.alias("transaction_id"),
-        F.col("ts"),
+        F.when(burst, burst_ts).otherwise(F.col("ts").cast("timestamp_ntz")).cast(ts_type).alias("ts"),
         uid.alias("customer_id"),
-        props["k"].alias("merchant_id"),
+        F.when(burst, F.pmod(block, F.lit(100)).cast("int")).otherwise(props["k"]).alias("merchant_id"),
         _category(F.col("event_type")).alias("merchant_category"),
         method.alias("payment_method"),
         amount.alias("amount"),
@@ -67,7 +79,8 @@ def payments_from(ev: DataFrame) -> DataFrame:
     df = (df.withColumn("commission_amount", F.col("amount") * COMMISSION_PCT / 100)
             .withColumn("commission_amount", F.col("commission_amount").cast("bigint"))
             .withColumn("vat_amount", (F.col("amount") * VAT_PCT / 100).cast("bigint"))
-            .withColumn("total_amount", F.col("amount") + F.col("commission_amount") + F.col("vat_amount"))
+            .withColumn("total_amount", F.col("amount") + F.col("commission_amount") + F.col("vat_amount")
+                        + F.when(F.pmod("transaction_id", F.lit(BROKEN_EVERY)) == 0, F.lit(BROKEN_BY)).otherwise(F.lit(0)))
             # no coordinates in the tables: a merchant's site is a fixed grid point from its id
             .withColumn("lat", F.lit(25.0) + F.pmod(F.col("merchant_id"), F.lit(10)) * 2.0)
             .withColumn("lng", F.lit(45.0) + F.floor(F.col("merchant_id") / 10) * 2.0))
@@ -75,24 +88,30 @@ def payments_from(ev: DataFrame) -> DataFrame:
 
 
 PAYMENTS_SQL = """
+ev AS (SELECT *, event_id // 8 AS block, (event_id // 8) % 12 = 0 AS burst FROM events),
 payments AS (
-  SELECT event_id AS transaction_id, ts, user_id AS customer_id,
-         CAST(regexp_extract(props, '"k":\\s*(-?[0-9]+)', 1) AS INTEGER) AS merchant_id,
+  SELECT event_id AS transaction_id,
+         CASE WHEN burst THEN TIMESTAMP '2024-01-01 00:00:00' + ((block * 7919) % 41760 * 60 + event_id % 8 * 10) * INTERVAL 1 SECOND
+              ELSE ts END AS ts,
+         CASE WHEN burst THEN (block * 31) % 150 ELSE user_id END AS customer_id,
+         CASE WHEN burst THEN CAST(block % 100 AS INTEGER)
+              ELSE CAST(regexp_extract(props, '"k":\\s*(-?[0-9]+)', 1) AS INTEGER) END AS merchant_id,
          CASE event_type WHEN 'click' THEN 'retail' WHEN 'view' THEN 'food_service'
               WHEN 'purchase' THEN 'entertainment' WHEN 'signup' THEN 'transportation'
               WHEN 'error' THEN 'government' ELSE event_type END AS merchant_category,
          CASE event_id % 4 WHEN 0 THEN 'online' WHEN 1 THEN 'pos' WHEN 2 THEN 'mobile' ELSE 'nfc' END AS payment_method,
-         CAST(round(value * 100) AS BIGINT) * 200 AS amount,
-         CASE user_id % 3 WHEN 0 THEN 'individual' WHEN 1 THEN 'CIP' ELSE 'business' END AS customer_type,
+         CAST(round(value * 100) AS BIGINT) * 200 * (CASE WHEN event_id % 101 = 0 THEN 40 ELSE 1 END) AS amount,
+         CASE (CASE WHEN burst THEN (block * 31) % 150 ELSE user_id END) % 3
+              WHEN 0 THEN 'individual' WHEN 1 THEN 'CIP' ELSE 'business' END AS customer_type,
          CASE event_id % 3 WHEN 0 THEN 'flat' WHEN 1 THEN 'progressive' ELSE 'tiered' END AS commission_type,
          CAST(event_id % 5 + 1 AS INTEGER) AS risk_level,
          CASE WHEN event_id % 4 IN (0, 2) THEN
            CASE (event_id // 4) % 3 WHEN 0 THEN 'Android' WHEN 1 THEN 'iOS' ELSE 'Windows' END END AS device_os
-  FROM events
+  FROM ev
 ),
 pay AS (
   SELECT *, amount * 2 // 100 AS commission_amount, amount * 9 // 100 AS vat_amount,
-         amount + amount * 2 // 100 + amount * 9 // 100 AS total_amount,
+         amount + amount * 2 // 100 + amount * 9 // 100 + (CASE WHEN transaction_id % 83 = 0 THEN 1000 ELSE 0 END) AS total_amount,
          25.0 + (merchant_id % 10) * 2.0 AS lat, 45.0 + (merchant_id // 10) * 2.0 AS lng
   FROM payments
 )

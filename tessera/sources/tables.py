@@ -17,17 +17,20 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
+def register_tables(spark: SparkSession, sf_dir: str, names=TABLES, prefix: str = "") -> None:
     for n in names:
-        load_table(spark, sf_dir, n).createOrReplaceTempView(n)
+        load_table(spark, sf_dir, n).createOrReplaceTempView(prefix + n)
 
 
-def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Widen a scan that yields few splits before CPU-heavy per-row work (regex
-    text cleaning, JSON parsing, embeddings).
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Round-robin a scan into ``partitions`` before CPU-heavy per-row work (regex
+    text cleaning, JSON parsing, embeddings); None leaves it as it is.
 
-    Only when the scan has fewer than ``factor x defaultParallelism`` splits
-    (small inputs, single-row-group files) is it round-robin repartitioned;
-    a large input already has far more splits and is left untouched."""
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    For inputs in a few large row groups, which Spark cannot split; the caller
+    decides, the plan does not depend on the data."""
+    return df.repartition(partitions) if partitions else df
+
+
+def cores(spark: SparkSession, factor: int = 2) -> int:
+    """Tasks that keep the cluster busy: the caller's choice for ``spread`` on the one-file test tables."""
+    return spark.sparkContext.defaultParallelism * factor

@@ -8,7 +8,8 @@ folder (``spark.checkpoint.dir``), never a machine-local temp folder.
 
 from __future__ import annotations
 
-import os
+import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,14 +24,21 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, *parts])
 
 
+def _is_file(spark: SparkSession, path: str) -> bool:
+    """Asked of the path's own file system, local or remote."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
 def read_stream(spark: SparkSession, path: str | None = None, schema=None, fmt: str = "parquet",
                 options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """SRC2: streaming scan.  ``fmt='kafka'`` yields (key, value, topic, partition,
     offset, timestamp); file formats need an explicit schema (no inference)."""
     r = spark.readStream.format(fmt)
-    if path and fmt != "kafka" and os.path.isfile(path):
+    if path and fmt != "kafka" and _is_file(spark, path):
         # a file stream watches a folder; a single file becomes folder + name filter
-        path, name = os.path.split(path)
+        path, name = path.rstrip("/").rsplit("/", 1)
         r = r.option("pathGlobFilter", name)
     if schema is not None and fmt != "kafka":
         r = r.schema(schema)
@@ -94,27 +102,52 @@ def run_to_table(df: DataFrame, name: str, output_mode: str = "append") -> DataF
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """STR10: wait until every query ends (``availableNow``) or the time bound passes, then stop."""
+    """STR10: wait until every query ends (``availableNow``) or ``timeout_s`` seconds have
+    passed in all, then stop what still runs."""
+    end = time.monotonic() + timeout_s if timeout_s else None
     for q in queries:
-        q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+        if end is None:
+            q.awaitTermination()
+        elif (left := end - time.monotonic()) > 0:
+            q.awaitTermination(left)
     for q in queries:
         if q.isActive:
             q.stop()
 
 
+def _offset_lag(latest, end) -> int | None:
+    """Latest minus end offset, summed over partitions of a topic; for a file source, files listed
+    but not read.  None where the source reports no latest offset."""
+    def parsed(o):
+        if isinstance(o, str):
+            try:
+                return json.loads(o)
+            except ValueError:
+                return None
+        return o
+    latest, end = parsed(latest), parsed(end)
+    if not isinstance(latest, dict) or not isinstance(end, dict):
+        return None
+    if set(latest) == {"logOffset"}:
+        return max(0, int(latest["logOffset"]) - int(end.get("logOffset", -1)))
+    return sum(max(0, int(v) - int((end.get(t) or {}).get(p, 0))) for t, ps in latest.items() for p, v in ps.items())
+
+
 def progress_table(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    """STR15: per query and source, input rows, rows/s and end/latest offsets
-    from ``lastProgress`` (the consumer-lag view without a metrics server)."""
+    """STR15: per query (name without the run's suffix), summed over its micro-batches: batches
+    with rows, input rows, seconds; and the lag after the last one (latest minus end offset;
+    0 where the source was read to its end)."""
     rows = []
     for q in queries:
-        p = q.lastProgress or {}
-        for s in p.get("sources", []):
-            rows.append((q.name, str(s.get("description")), int(s.get("numInputRows") or 0),
-                         float(s.get("processedRowsPerSecond") or 0.0),
-                         str(s.get("endOffset")), str(s.get("latestOffset"))))
-    schema = ("query STRING, source STRING, input_rows BIGINT, rows_per_second DOUBLE, "
-              "end_offset STRING, latest_offset STRING")
-    return spark.createDataFrame(rows, schema)
+        progress = list(q.recentProgress)
+        sources = [s for p in progress for s in p["sources"]]
+        n = sum(int(s["numInputRows"] or 0) for s in sources)
+        busy = [p for p in progress if sum(int(s["numInputRows"] or 0) for s in p["sources"])]
+        seconds = sum(int(p["batchDuration"] or 0) for p in progress) / 1000
+        lags = [_offset_lag(s["latestOffset"], s["endOffset"]) for s in (progress[-1]["sources"] if progress else [])]
+        lag = sum(x or 0 for x in lags)
+        rows.append((q.name.rsplit("_", 1)[0], len(busy), n, float(seconds), int(lag)))
+    return spark.createDataFrame(rows, "query STRING, busy_batches BIGINT, input_rows BIGINT, seconds DOUBLE, lag BIGINT")
 
 
 def drain_to_files(spark: SparkSession, source: DataFrame, name: str, fmt: str = "json") -> str:
@@ -136,8 +169,12 @@ def start_split_sink(df: DataFrame, name: str, route, outputs: dict[str, str]) -
     run = uuid.uuid4().hex[:12]
 
     def write(batch, batch_id):
-        for key, part in route(batch).items():
-            part.write.mode("overwrite").parquet(f"{outputs[key]}/batch_id={batch_id}")
+        batch.persist()  # each output reads it once more
+        try:
+            for key, part in route(batch).items():
+                part.write.mode("overwrite").parquet(f"{outputs[key]}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     q = (df.writeStream.queryName(f"{name}_{run}").foreachBatch(write)
            .option("checkpointLocation", shared_path(spark, "streams", name, run, "_checkpoint"))
