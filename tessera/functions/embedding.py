@@ -23,10 +23,13 @@ _WORD = re.compile(r"\w+", re.UNICODE)
 def hashing_encoder(dim: int = 64):
     def enc(texts):
         out = np.zeros((len(texts), dim), dtype=np.float32)
-        for i, t in enumerate(texts):
-            for w in _WORD.findall((t or "").lower()):
-                h = zlib.crc32(w.encode("utf-8"))
-                out[i, h % dim] += 1.0 if (h >> 31) & 1 == 0 else -1.0
+        index: dict[str, int] = {}
+        words = [[index.setdefault(w, len(index)) for w in _WORD.findall((t or "").lower())] for t in texts]
+        h = np.array([zlib.crc32(w.encode("utf-8")) for w in index], dtype=np.int64)  # each word once
+        at = np.array([i for ws in words for i in ws], dtype=np.int64)
+        row = np.repeat(np.arange(len(texts)), [len(ws) for ws in words])
+        if len(at):
+            np.add.at(out, (row, h[at] % dim), np.where(h[at] >> 31 & 1, -1.0, 1.0))
         n = np.linalg.norm(out, axis=1, keepdims=True)
         return out / np.where(n == 0, 1.0, n)
     return enc

@@ -1,7 +1,7 @@
 """Text cleaning column expressions (SCA25, SCA26, TXT1, TXT2).
 
-All steps are JVM regex / translate / higher-order array functions, so a
-whole document is processed inside whole-stage codegen, never a Python UDF.
+All steps are JVM regex / translate / higher-order array functions, never a
+Python UDF (higher-order functions are evaluated outside generated code).
 """
 
 from __future__ import annotations
@@ -76,8 +76,7 @@ def clean_text(c) -> Column:
 
 
 def remove_stop_words(tokens, stop_words=STOP_WORDS) -> Column:
-    sw = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(_c(tokens), lambda t: ~F.array_contains(sw, t))
+    return F.filter(_c(tokens), lambda t: ~t.isin(*stop_words))  # a hash set
 
 
 def replace_tokens(tokens, mapping: dict = SLANG) -> Column:

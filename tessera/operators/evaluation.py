@@ -72,7 +72,7 @@ def roc_auc(df: DataFrame, positive: str, score: str, by: str | None = None, buc
     bucket = F.floor((F.lit(hi) - F.col(score)) / F.lit(width))
     x = running_sums(pts, by, [F.desc(score)], bucket, ["__p", "__n"])
     totals = pts.groupBy(*keys).agg(F.sum("__p").alias("__tot_p"), F.sum("__n").alias("__tot_n"))
-    x = x.join(F.broadcast(totals), keys) if keys else x.select(
+    x = x.join(totals, keys) if keys else x.select(
         "*", *[F.lit(v).alias(k) for k, v in totals.first().asDict().items()])
     tpr = F.try_divide(F.col("__p_cum").cast("double"), F.col("__tot_p"))
     fpr = F.try_divide(F.col("__n_cum").cast("double"), F.col("__tot_n"))

@@ -61,9 +61,7 @@ def fit_ordinal(train: DataFrame, col: str) -> DataFrame:
     and re-read to apply the same encoding later (FEA5 persistence)."""
     from tessera.operators.sequence import dense_row_id
     levels = train.select(F.col(col).cast("string").alias(col)).where(F.col(col).isNotNull()).distinct()
-    # codes 0..k-1 in text order; the leading characters bucket the numbering
-    # (monotone in text order), so no single task sorts every level
-    coded = dense_row_id(levels, [col], F.substring(F.col(col), 1, 2), "__rid")
+    coded = dense_row_id(levels, [col], "__rid")  # range partitions, no single task sorts every level
     return coded.select(col, (F.col("__rid") - 1).cast("int").alias("code"))
 
 
@@ -77,6 +75,15 @@ def apply_ordinal(df: DataFrame, levels: DataFrame, col: str, out: str | None =
     return j.withColumn(out, F.coalesce(F.col(out), F.lit(unknown)))
 
 
+def fit_levels(train: DataFrame, col: str, max_levels: int = 1000) -> list:
+    """FEA6 fit: the sorted levels of a column.  Each becomes a column, so more than
+    ``max_levels`` raise an error; none is left out."""
+    got = train.where(F.col(col).isNotNull()).select(col).distinct().limit(max_levels + 1).collect()
+    if len(got) > max_levels:
+        raise ValueError(f"{col} has more than {max_levels} levels")
+    return sorted(r[0] for r in got)
+
+
 def one_hot(df: DataFrame, col: str, levels: list, prefix: str | None = None) -> DataFrame:
     """FEA6: one 0/1 column per level fixed at fit time (``get_dummies``)."""
     prefix = prefix or f"{col}_"

@@ -1,8 +1,8 @@
 """Join helpers and JOI operators.
 
-Broadcast policy: a side is broadcast only behind a size check
-(``bounded_broadcast``); beyond the bound the plan stays a shuffle join and
-AQE may still switch to a broadcast at run time from measured sizes.
+No side carries a broadcast hint: Spark broadcasts a side whose measured size
+is below ``spark.sql.autoBroadcastJoinThreshold`` (AQE also at run time) and
+shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -11,25 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` if its row count is proven ``<= max_rows``, else ``df`` unchanged."""
-    return F.broadcast(df) if row_bound_holds(df, max_rows) else df
-
-
 def role_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, prefix: str,
-              how: str = "left", max_dim_rows: int = 1_000_000) -> DataFrame:
+              how: str = "left") -> DataFrame:
     """JOI1/JOI2: join one dimension in a named role; dimension columns get ``prefix``.
 
     Used twice with the same dimension (origin / destination roles).  Key
     names may differ on the two sides; collisions are avoided by the prefix.
     """
-    renamed = dim.select([F.col(c).alias(prefix + c) for c in dim.columns])
-    right = bounded_broadcast(renamed, max_dim_rows)
+    right = dim.select([F.col(c).alias(prefix + c) for c in dim.columns])
     return fact.join(right, fact[fact_key] == right[prefix + dim_key], how)
 
 

@@ -46,21 +46,23 @@ def compare_regressors(spark: SparkSession, train: DataFrame, test: DataFrame, m
                        label: str = "label") -> DataFrame:
     """MOD1 + EVA1: fit every model, one result row each (rmse, mae, r2)."""
     rows = []
+    from tessera.operators.evaluation import regression_metrics
     for name, est in (models or regressors()).items():
         pred = est.setLabelCol(label).setFeaturesCol("features").fit(train).transform(test)
-        ev = RegressionEvaluator(labelCol=label, predictionCol="prediction")
-        rows.append((name, ev.setMetricName("rmse").evaluate(pred), ev.setMetricName("mae").evaluate(pred),
-                     ev.setMetricName("r2").evaluate(pred)))
+        m = regression_metrics(pred.withColumnRenamed(label, "label")).first()  # one scoring pass
+        rows.append((name, m["rmse"], m["mae"], m["r2"]))
     return spark.createDataFrame(rows, "model STRING, rmse DOUBLE, mae DOUBLE, r2 DOUBLE")
 
 
-def classifiers(seed: int = 42) -> dict:
-    """MOD2: logistic regression, forest, one-vs-rest linear SVM, boosting (one-vs-rest)."""
+def classifiers(seed: int = 42, n_classes: int = 2) -> dict:
+    """MOD2: logistic regression, forest, linear SVM, boosting."""
+    svc, gbt = LinearSVC(maxIter=50), GBTClassifier(maxIter=20, maxDepth=4, seed=seed)
     return {
         "logistic": LogisticRegression(maxIter=50),
         "forest": RandomForestClassifier(numTrees=30, maxDepth=6, seed=seed),
-        "linear_svc": OneVsRest(classifier=LinearSVC(maxIter=50)),
-        "boosting": OneVsRest(classifier=GBTClassifier(maxIter=20, maxDepth=4, seed=seed)),
+        # both are two-class models: one-vs-rest only where there are more classes
+        "linear_svc": svc if n_classes == 2 else OneVsRest(classifier=svc),
+        "boosting": gbt if n_classes == 2 else OneVsRest(classifier=gbt),
     }
 
 
@@ -213,15 +215,18 @@ def active_learning(spark: SparkSession, train: DataFrame, test: DataFrame, pool
 
 
 def sentence_vectors_w2v(tokens_df: DataFrame, id_col: str, tokens: str, size: int = 100, window: int = 5,
-                         min_count: int = 2, seed: int = 42, partitions: int = 8) -> DataFrame:
+                         min_count: int = 2, seed: int = 42, partitions: int | None = None) -> DataFrame:
     """FEA10: Word2Vec; a sentence is the mean of its *known* words' vectors
-    (zeros when none).  Word vectors are joined to exploded tokens and
-    averaged with ``Summarizer`` (a partial aggregate)."""
+    (zeros when none).  Tokens are counted per (sentence, word) before word
+    vectors are joined, and averaged by count with ``Summarizer`` (a partial
+    aggregate).  Trains in ``partitions`` tasks, by default as many as the input has."""
+    partitions = partitions or tokens_df.rdd.getNumPartitions()
     w2v = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, seed=seed, inputCol=tokens,
                    numPartitions=partitions, maxIter=1).fit(tokens_df)
     vocab = w2v.getVectors().withColumnRenamed("word", "__w")
-    ex = tokens_df.select(id_col, F.explode(tokens).alias("__w"))
-    means = (ex.join(vocab, "__w").groupBy(id_col).agg(Summarizer.mean(F.col("vector")).alias("__m"))
+    ex = (tokens_df.select(id_col, F.explode(tokens).alias("__w")).groupBy(id_col, "__w")
+          .agg(F.count(F.lit(1)).cast("double").alias("__n")))
+    means = (ex.join(vocab, "__w").groupBy(id_col).agg(Summarizer.mean(F.col("vector"), F.col("__n")).alias("__m"))
                .select(id_col, vector_to_array("__m").alias("__a")))
     zeros = F.array_repeat(F.lit(0.0), size)
     out = tokens_df.select(id_col).join(means, id_col, "left")
@@ -263,8 +268,3 @@ def mask_overlap(df: DataFrame, group: str, truth: str, pred: str) -> DataFrame:
     union = F.col("n_true") + F.col("n_pred") - F.col("n_both")
     return x.select(group, (F.col("n_both") / union).alias("iou"),
                     (2 * F.col("n_both") / (F.col("n_true") + F.col("n_pred"))).alias("dice"))
-
-
-def scaler_stage(inp: str, out: str) -> StandardScaler:
-    return StandardScaler(inputCol=inp, outputCol=out, withMean=True, withStd=True)
-

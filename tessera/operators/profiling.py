@@ -9,7 +9,6 @@ column in a Python loop.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -80,9 +79,9 @@ def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def outcome_rates(df: DataFrame, col: str) -> DataFrame:
-    """AGG28: share of rows per value (count / window total over the small grouped table)."""
+    """AGG28: share of rows per value; the total is one scalar aggregate."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return g.withColumn("rate", F.col("n") / F.sum("n").over(W.partitionBy(F.lit(0))))
+    return g.withColumn("rate", F.col("n") / F.lit(df.count()))
 
 
 def length_stats(df: DataFrame, text: str, by: str | None = None) -> DataFrame:

@@ -1,11 +1,12 @@
 """Retrieval (RET1-RET5, JOI14, SCA28).
 
-* Vector search is exact brute force, linear in the corpus: the query
-  matrix (bounded, size-checked) is broadcast, every task scores its
-  corpus batch with NumPy and keeps a local top-k per query; only those
-  candidates are shuffled for the final top-k.  No pair table is built.
-* Full-text search is BM25 over an inverted index kept as tables
-  (term frequencies, document frequencies, lengths) and joined on term.
+* Vector search is exact brute force, linear in the corpus: a block of
+  queries goes to every task, which scores its rows with NumPy and keeps a
+  running top-k per query; only those candidates are shuffled for the final
+  top-k.  No pair table is built, and any number of queries is taken in blocks.
+* Full-text search is BM25 over an index of one row per document plus document
+  frequencies, scored the same way: inside document partitions, by blocks of
+  queries.
 * Hybrid search is reciprocal-rank fusion over a full outer join.
 """
 
@@ -19,7 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import row_bound_holds
 from tessera.session import cut_lineage
 
 RRF_K = 60          # fixed constant of reciprocal-rank fusion
@@ -39,102 +39,224 @@ def topk_per_query(scores: DataFrame, query: str, item: str, score: str, k: int,
                  .where(F.col(out) <= k))
 
 
+#: Queries (or centroids) that one pass over the corpus carries to every task.
+BLOCK = 2048
+#: Corpus rows compared at once inside a task.
+CHUNK = 1024
+
+
+def in_blocks(df: DataFrame, id_col: str, *cols: str, block: int = BLOCK):
+    """Rows of ``df`` as lists of about ``block`` rows, one after the other; however many
+    there are, the driver holds one list."""
+    x = cut_lineage(df.select(id_col, *cols))
+    n = max(1, -(-x.count() // block))
+    part = F.pmod(F.xxhash64(id_col), F.lit(n))
+    for g in range(n):
+        rows = (x if n == 1 else x.where(part == g)).collect()
+        if rows:
+            yield rows
+
+
+def _all(parts: list[DataFrame], spark, schema: str) -> DataFrame:
+    out = parts[0] if parts else spark.createDataFrame([], schema)
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _distances(x: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """L2 distances, rows of ``x`` by rows of ``m``."""
+    return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (m * m).sum(1)[None, :] - 2.0 * x @ m.T, 0.0))
+
+
+def _stack(col) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype=np.float64) for v in col])
+
+
 def vector_search(corpus: DataFrame, queries: DataFrame, id_col: str, vec_col: str, qid_col: str,
-                  qvec_col: str, k: int = 5, max_queries: int = 10_000) -> DataFrame:
-    """RET1 / JOI14: exact L2 top-k per query; ``similarity = 1 - distance``."""
-    if not row_bound_holds(queries, max_queries):
-        raise ValueError(f"more than {max_queries} queries: search them in batches")
-    q = queries.select(qid_col, qvec_col).collect()
-    qids = np.array([r[0] for r in q])
-    qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in q])
-    bq = corpus.sparkSession.sparkContext.broadcast((qids, qmat))
+                  qvec_col: str, k: int = 5, block: int = BLOCK) -> DataFrame:
+    """RET1 / JOI14: exact L2 top-k per query; ``similarity = 1 - distance``.
+
+    One pass over the corpus per block of queries.  Every task keeps a running
+    top-k per query over all its rows and ships that, so the shuffle holds
+    queries x k rows per task."""
+    spark = corpus.sparkSession
     id_type = corpus.schema[id_col].dataType.simpleString()
     q_type = queries.schema[qid_col].dataType.simpleString()
+    schema = f"query_id {q_type}, {id_col} {id_type}, distance double"
 
-    def score(batches):
-        ids_q, m = bq.value
-        qn = (m * m).sum(axis=1)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf[vec_col].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
-            d2 = (x * x).sum(axis=1)[None, :] + qn[:, None] - 2.0 * (m @ x.T)
-            d = np.sqrt(np.maximum(d2, 0.0))
-            kk = min(k, d.shape[1])
-            idx = np.argpartition(d, kk - 1, axis=1)[:, :kk]
-            rows_q = np.repeat(np.arange(len(ids_q)), kk)
-            cols = idx.reshape(-1)
-            yield pd.DataFrame({"query_id": ids_q[rows_q], id_col: pdf[id_col].to_numpy()[cols],
-                                "distance": d[rows_q, cols]})
-
-    cand = corpus.select(id_col, vec_col).mapInPandas(
-        score, f"query_id {q_type}, {id_col} {id_type}, distance double")
-    top = topk_per_query(cand, "query_id", id_col, "distance", k, descending=False)
+    def search(rows):
+        shared = spark.sparkContext.broadcast((np.array([r[0] for r in rows]), _stack(r[1] for r in rows)))
+
+        def score(batches):
+            ids_q, m = shared.value
+            ids, dist = None, np.empty((len(ids_q), 0))
+            for pdf in batches:
+                for at in range(0, len(pdf), CHUNK):
+                    part = pdf.iloc[at:at + CHUNK]
+                    d = np.concatenate([dist, _distances(_stack(part[vec_col]), m).T], axis=1)
+                    new = np.broadcast_to(part[id_col].to_numpy(), (len(ids_q), len(part)))
+                    i = new if ids is None else np.concatenate([ids, new], axis=1)
+                    # smallest distances, ties to the smaller id
+                    best = np.stack([np.lexsort((i[q], d[q]))[:k] for q in range(len(ids_q))]) if d.shape[1] <= 4 * k else None
+                    if best is None:
+                        kk = np.argpartition(d, k - 1, axis=1)[:, :k]
+                        cut = np.take_along_axis(d, kk, axis=1).max(axis=1)
+                        best = np.stack([(c := np.flatnonzero(d[q] <= cut[q]))[np.lexsort((i[q][c], d[q][c]))[:k]] for q in range(len(ids_q))])
+                    ids, dist = np.take_along_axis(i, best, axis=1), np.take_along_axis(d, best, axis=1)
+            if ids is not None:
+                yield pd.DataFrame({"query_id": np.repeat(ids_q, dist.shape[1]), id_col: ids.reshape(-1), "distance": dist.reshape(-1)})
+
+        return corpus.select(id_col, vec_col).mapInPandas(score, schema)
+
+    parts = [search(rows) for rows in in_blocks(queries, qid_col, qvec_col, block=block)]
+    top = topk_per_query(_all(parts, spark, schema), "query_id", id_col, "distance", k, descending=False)
     return top.withColumn("similarity", F.lit(1.0) - F.col("distance"))
 
 
 def centroid_distances(corpus: DataFrame, centroids: DataFrame, id_col: str, vec_col: str, cid_col: str,
-                       cvec_col: str, keep: list[str] | None = None, out_class: str = "cls",
-                       max_centroids: int = 10_000) -> DataFrame:
-    """L2 distance of every corpus vector to every centroid (a bounded, size-checked
-    set, e.g. one per class): N x C rows, computed batch-wise with NumPy."""
-    if not row_bound_holds(centroids, max_centroids):
-        raise ValueError(f"more than {max_centroids} centroids")
-    c = centroids.select(cid_col, cvec_col).collect()
-    cids = np.array([r[0] for r in c])
-    cmat = np.array([np.asarray(r[1], dtype=np.float64) for r in c])
-    bc = corpus.sparkSession.sparkContext.broadcast((cids, cmat))
+                       cvec_col: str, keep: list[str] | None = None, out_class: str = "cls") -> DataFrame:
+    """L2 distance of every corpus vector to every centroid: N x C rows, for one-vs-rest
+    scores of all classes (``nearest_centroid`` gives one row per vector)."""
+    spark = corpus.sparkSession
     keep = keep or []
     schema = corpus.select(id_col, *keep).schema.add(out_class, centroids.schema[cid_col].dataType).add("dist", "double")
 
-    def run(batches):
-        ids_c, m = bc.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf[vec_col].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
-            d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (m * m).sum(1)[None, :] - 2.0 * x @ m.T, 0.0))
-            n, k = d.shape
-            out = {id_col: np.repeat(pdf[id_col].to_numpy(), k)}
-            for col in keep:
-                out[col] = np.repeat(pdf[col].to_numpy(), k)
-            out[out_class] = np.tile(ids_c, n)
-            out["dist"] = d.reshape(-1)
-            yield pd.DataFrame(out)
+    def part(rows):
+        shared = spark.sparkContext.broadcast((np.array([r[0] for r in rows]), _stack(r[1] for r in rows)))
+
+        def run(batches):
+            ids_c, m = shared.value
+            for pdf in batches:
+                for at in range(0, len(pdf), CHUNK):
+                    x = pdf.iloc[at:at + CHUNK]
+                    d = _distances(_stack(x[vec_col]), m)
+                    out = {c: np.repeat(x[c].to_numpy(), d.shape[1]) for c in (id_col, *keep)}
+                    out[out_class] = np.tile(ids_c, len(x))
+                    out["dist"] = d.reshape(-1)
+                    yield pd.DataFrame(out)
+
+        return corpus.select(id_col, vec_col, *keep).mapInPandas(run, schema)
+
+    return _all([part(rows) for rows in in_blocks(centroids, cid_col, cvec_col)], spark, schema)
 
-    return corpus.select(id_col, vec_col, *keep).mapInPandas(run, schema)
+
+def nearest_centroid(corpus: DataFrame, centroids: DataFrame, id_col: str, vec_col: str, cid_col: str, cvec_col: str,
+                     keep: list[str] | None = None, out: str = "prediction") -> DataFrame:
+    """The nearest centroid of every corpus vector (ties: smaller class), one row per vector and
+    block of centroids in the shuffle."""
+    spark = corpus.sparkSession
+    keep = keep or []
+    schema = corpus.select(id_col, *keep).schema.add(out, centroids.schema[cid_col].dataType).add("dist", "double")
+
+    def part(rows):
+        rows = sorted(rows, key=lambda r: r[0])
+        shared = spark.sparkContext.broadcast((np.array([r[0] for r in rows]), _stack(r[1] for r in rows)))
+
+        def run(batches):
+            ids_c, m = shared.value
+            for pdf in batches:
+                for at in range(0, len(pdf), CHUNK):
+                    x = pdf.iloc[at:at + CHUNK]
+                    d = _distances(_stack(x[vec_col]), m)
+                    best = d.argmin(axis=1)
+                    yield pd.DataFrame({**{c: x[c].to_numpy() for c in (id_col, *keep)}, out: ids_c[best], "dist": d[np.arange(len(x)), best]})
+
+        return corpus.select(id_col, vec_col, *keep).mapInPandas(run, schema)
+
+    parts = [part(rows) for rows in in_blocks(centroids, cid_col, cvec_col)]
+    if len(parts) <= 1:
+        return _all(parts, spark, schema)
+    return _all(parts, spark, schema).groupBy(id_col, *keep).agg(
+        F.min_by(out, F.struct("dist", out)).alias(out), F.min("dist").alias("dist"))
 
 
 def bm25_index(docs: DataFrame, id_col: str, tokens: str) -> tuple[DataFrame, DataFrame, dict]:
-    """Inverted index: (term, doc, tf, doc_len) and (term, df); plus N and avgdl.
-
-    The documents are tokenised once: the term-frequency table is written to
-    the shared checkpoint folder (an index is built once, then probed), and
-    N / avgdl come from that same materialised table."""
-    lens = docs.select(id_col, F.size(tokens).alias("doc_len"))
-    counts = (docs.select(id_col, F.explode(tokens).alias("term"))
-                  .groupBy("term", id_col).agg(F.count(F.lit(1)).alias("tf")))
-    # documents without tokens stay in (term NULL) so that N and avgdl count them
-    tf = cut_lineage(lens.join(counts, id_col, "left"))
-    stats = (tf.groupBy(id_col).agg(F.first("doc_len").alias("doc_len"))
-               .agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first())
-    tf = tf.where(F.col("term").isNotNull())
-    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return tf, df_, {"n": stats["n"], "avgdl": stats["avgdl"] or 1.0}
+    """Index: one row per document (distinct terms with counts, length), document
+    frequencies, and N and avgdl.  Each document's counts are made in its own
+    row; only (term, 1) pre-aggregated per task is shuffled.  Both tables are
+    written to the shared checkpoint folder: built once, then probed."""
+    d = F.array_distinct(tokens)
+    counted = docs.select(id_col, F.col(tokens), d.alias("__terms"), F.size(tokens).alias("doc_len"))
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def count(batches):
+        for pdf in batches:
+            tf = []
+            for toks, terms in zip(pdf[tokens], pdf["__terms"]):
+                n: dict = {}
+                for t in toks:
+                    n[t] = n.get(t, 0) + 1
+                tf.append([n[t] for t in terms])
+            yield pd.DataFrame({id_col: pdf[id_col], "terms": pdf["__terms"], "tf": tf, "doc_len": pdf["doc_len"]})
+
+    index = cut_lineage(counted.mapInPandas(count, f"{id_col} {kind}, terms array<string>, tf array<int>, doc_len int"))
+    df_ = cut_lineage(index.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    stats = index.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
+    return index, df_, {"n": stats["n"], "avgdl": stats["avgdl"] or 1.0}
 
 
 def bm25_search(index, queries: DataFrame, qid_col: str, qtokens: str, id_col: str, k: int = 5,
-                k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
-    """RET2: BM25 top-k per query (idf = ln(1 + (N - df + 0.5) / (df + 0.5)))."""
-    tf, dfreq, st = index
-    qt = queries.select(F.col(qid_col).alias("query_id"), F.explode(F.array_distinct(qtokens)).alias("term"))
-    idf = F.log(F.lit(1.0) + (F.lit(float(st["n"])) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("doc_len") / F.lit(float(st["avgdl"])))
-    s = (qt.join(dfreq, "term").join(tf, "term")
-           .withColumn("__s", idf * F.col("tf") * F.lit(k1 + 1.0) / norm)
-           # 9 decimals: equal documents tie exactly whatever the summation order
-           .groupBy("query_id", id_col).agg(F.round(F.sum("__s"), 9).alias("score")))
-    return topk_per_query(s, "query_id", id_col, "score", k)
+                k1: float = BM25_K1, b: float = BM25_B, block: int = BLOCK) -> DataFrame:
+    """RET2: BM25 top-k per query (idf = ln(1 + (N - df + 0.5) / (df + 0.5))).
+
+    One pass over the index per block of queries: the block's terms go to every
+    task, which scores its own documents and keeps a running top-k per query;
+    only queries x k rows per task are shuffled, however many documents share
+    a term.  Documents that share no term with a query are no hits."""
+    docs, dfreq, st = index
+    spark = docs.sparkSession
+    q_type = queries.schema[qid_col].dataType.simpleString()
+    id_type = docs.schema[id_col].dataType.simpleString()
+    schema = f"query_id {q_type}, {id_col} {id_type}, score double"
+    n, avgdl = float(st["n"]), float(st["avgdl"])
+
+    def search(rows):
+        qids = np.array([r[0] for r in rows])
+        wanted = spark.createDataFrame([(t,) for t in {t for r in rows for t in r[1]}] or [("",)], "term string")
+        df_of = dict(wanted.join(dfreq, "term").collect())
+        who: dict[str, list[int]] = {}
+        for i, r in enumerate(rows):
+            for t in set(r[1]):
+                if t in df_of:
+                    who.setdefault(t, []).append(i)
+        shared = spark.sparkContext.broadcast(
+            (qids, {t: (np.array(i), math.log(1 + (n - df_of[t] + 0.5) / (df_of[t] + 0.5))) for t, i in who.items()}))
+
+        def score(batches):
+            ids_q, terms = shared.value
+            best_id, best = [np.empty(0, dtype=object)] * len(ids_q), [np.empty(0)] * len(ids_q)
+            for pdf in batches:
+                for at in range(0, len(pdf), CHUNK):
+                    x = pdf.iloc[at:at + CHUNK]
+                    s = np.zeros((len(ids_q), len(x)))
+                    hit = np.zeros((len(ids_q), len(x)), dtype=bool)
+                    posts: dict[str, list] = {}
+                    for j, (ts, tf, dl) in enumerate(zip(x["terms"], x["tf"], x["doc_len"])):
+                        norm = k1 * (1.0 - b + b * dl / avgdl)
+                        for t, f in zip(ts, tf):
+                            if t in terms:
+                                posts.setdefault(t, []).append((j, f * (k1 + 1.0) / (f + norm)))
+                    for t, p in posts.items():
+                        i, idf = terms[t]
+                        j = np.array([c for c, _ in p])
+                        s[i[:, None], j[None, :]] += idf * np.array([w for _, w in p])[None, :]
+                        hit[i[:, None], j[None, :]] = True
+                    s = np.round(s, 9)  # equal documents tie exactly whatever the summation order
+                    ids = x[id_col].to_numpy()
+                    for q in np.flatnonzero(hit.any(axis=1)).tolist():
+                        c = np.flatnonzero(hit[q])
+                        v, d = np.concatenate([best[q], s[q][c]]), np.concatenate([best_id[q], ids[c]])
+                        o = np.lexsort((d.astype(ids.dtype), -v))[:k]
+                        best[q], best_id[q] = v[o], d[o]
+            size = [len(v) for v in best]
+            if sum(size):
+                yield pd.DataFrame({"query_id": np.repeat(ids_q, size), id_col: np.concatenate(best_id), "score": np.concatenate(best)})
+
+        return docs.mapInPandas(score, schema)
+
+    parts = [search(rows) for rows in in_blocks(queries, qid_col, qtokens, block=block)]
+    return topk_per_query(_all(parts, spark, schema), "query_id", id_col, "score", k)
 
 
 def rrf_fuse(a: DataFrame, b: DataFrame, id_col: str, k: int = 5, c: int = RRF_K) -> DataFrame:
@@ -190,7 +312,7 @@ def ranking_metrics(ranked: DataFrame, relevant: DataFrame, id_col: str, k: int,
         F.sum("__rel").alias("__hits"),
         F.sum(F.col("__rel") / F.log2(F.col(rank_col) + 1)).alias("__dcg"))
     if per_query:
-        g = g.join(F.broadcast(n_rel), "query_id")
+        g = g.join(n_rel, "query_id")
     else:  # one relevant-set size for all queries: a scalar, applied as a literal
         g = g.withColumn("__nrel", F.lit(n_rel.first()["__nrel"]))
     ideal = F.aggregate(F.sequence(F.lit(1), F.least(F.col("__nrel"), F.lit(k)).cast("int")), F.lit(0.0),
@@ -198,7 +320,3 @@ def ranking_metrics(ranked: DataFrame, relevant: DataFrame, id_col: str, k: int,
     return g.select("query_id", (F.col("__hits") / F.lit(float(k))).alias("precision_at_k"),
                     F.when(F.col("__nrel") > 0, F.col("__hits") / F.col("__nrel")).alias("recall_at_k"),
                     F.when(F.col("__nrel") > 0, F.col("__dcg") / ideal).alias("ndcg_at_k"))
-
-
-def idf_value(n: int, df: int) -> float:
-    return math.log(1 + (n - df + 0.5) / (df + 0.5))

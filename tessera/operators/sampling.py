@@ -59,14 +59,14 @@ def stratified_folds(df: DataFrame, label: str, key_cols: list[str], k: int = 5,
     return x.withColumn(out, F.pmod(F.col("__p") - 1, F.lit(k)).cast("int")).drop("__h", "__p")
 
 
-def chrono_split(df: DataFrame, order: list[str], bucket: Column, cuts=(0.7, 0.8),
+def chrono_split(df: DataFrame, order: list[str], cuts=(0.7, 0.8),
                  names=("train", "validation", "test"), out: str = "split") -> DataFrame:
     """SMP4: rows 1..floor(n*c1) -> first split, ..floor(n*c2) -> second, rest -> third."""
-    from tessera.operators.sequence import keyed_positions
+    from tessera.operators.sequence import dense_row_id
     n = df.count()
     cut1 = int(n * cuts[0])
     cut2 = int(n * cuts[1])
-    x = keyed_positions(df, None, order, bucket, "__p")
+    x = dense_row_id(df, order, "__p")
     return x.withColumn(out, F.when(F.col("__p") <= cut1, names[0])
                               .when(F.col("__p") <= cut2, names[1]).otherwise(names[2])).drop("__p")
 

@@ -70,9 +70,68 @@ def rolling_mean(df: DataFrame, key: str | None, order: list[str], value: str, n
     return x.withColumn(out, mean).drop("__pos", "__sum", "__cnt")
 
 
-def dense_row_id(df: DataFrame, order: list[str], bucket: Column, out: str = "row_id") -> DataFrame:
-    """WIN10: 1..n over a total order (not ``monotonically_increasing_id``)."""
-    return keyed_positions(df, None, order, bucket, out)
+def dense_row_id(df: DataFrame, order: list[str], out: str = "row_id") -> DataFrame:
+    """WIN10: 1..n over a total order.
+
+    Rows are range-partitioned and sorted by the order columns, so tasks follow
+    the data size; a row's number is its place in its partition plus the rows of
+    earlier partitions (a table of one row per partition).  The sorted rows are
+    written once, so that the numbers cannot change when a task is run again."""
+    from tessera.session import cut_lineage
+    x = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                      .withColumn("__at", F.monotonically_increasing_id()))
+    x = x.withColumn("__part", F.shiftright("__at", 33))
+    counts = x.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    w = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)  # one row per partition
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    place = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return (x.join(offsets, "__part").withColumn(out, (F.col("__off") + place).cast("bigint"))
+             .drop("__part", "__at", "__off"))
+
+
+def row_frame(df: DataFrame, order: str, lo: int, hi: int, value: str, out: str, by: list[str] | None = None,
+              full: bool = True, decimals: int | None = None) -> DataFrame:
+    """WIN2 / WIN3 / WIN12: mean of ``value`` over rows ``lo .. hi`` around each row (0 is the row
+    itself), in the order of ``order``; NULL where the frame is not full, or with ``full=False``
+    the mean of what there is.
+
+    For series bounded by the calendar (one row per day and ``by``); long keyed
+    tables use ``rolling_mean``."""
+    w = W.partitionBy(*(by or [F.lit(0)])).orderBy(order).rowsBetween(lo, hi)
+    mean = F.avg(value).over(w)
+    mean = F.round(mean, decimals) if decimals is not None else mean
+    return df.withColumn(out, F.when(F.count(F.lit(1)).over(w) == hi - lo + 1, mean) if full else mean)
+
+
+def next_mid(df: DataFrame, order: str, high: str, low: str, out: str = "target", horizon: int = 1,
+             by: list[str] | None = None) -> DataFrame:
+    """WIN4: mean of ``high`` and ``low`` ``horizon`` rows ahead; rows without one are dropped."""
+    w = W.partitionBy(*(by or [F.lit(0)])).orderBy(order)
+    x = df.withColumn(out, (F.lead(high, horizon).over(w) + F.lead(low, horizon).over(w)) / 2)
+    return x.where(F.col(out).isNotNull())
+
+
+def lookback_sequences(df: DataFrame, order: str, features: list[str], target: str, length: int, horizon: int = 1,
+                       by: list[str] | None = None, seq: str = "seq", out: str = "target") -> DataFrame:
+    """WIN5: per row the ``length`` feature structs that end ``horizon`` rows before it (oldest first)
+    and the row's own ``target``; rows without a full look-back are dropped.  ``by`` (e.g. a split)
+    keeps sequences inside one group."""
+    w = W.partitionBy(*(by or [F.lit(0)])).orderBy(order).rowsBetween(-(length + horizon - 1), -horizon)
+    x = df.withColumn(seq, F.collect_list(F.struct(*features)).over(w))
+    return x.where(F.size(seq) == length).withColumn(out, F.col(target))
+
+
+def range_mean(df: DataFrame, key: str, day: str, value: str, days: int, out: str) -> DataFrame:
+    """WIN1 (range form): mean of ``value`` over rows of the key in the last ``days`` days, the row's own
+    day included.
+
+    Rows are first reduced to (key, day) sums; every day then adds to the ``days`` days whose frame
+    holds it, so no window spans a hot key."""
+    d = df.groupBy(key, F.to_date(day).alias("__d")).agg(F.sum(value).alias("__s"), F.count(value).alias("__c"))
+    spread = d.select(key, F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("__i"), "__d", "__s", "__c")
+    frame = (spread.groupBy(key, F.date_add("__d", F.col("__i")).alias("__d"))
+             .agg((F.sum("__s") / F.sum("__c")).alias(out)))
+    return df.withColumn("__d", F.to_date(day)).join(frame, [key, "__d"], "left").drop("__d")
 
 
 def running_sums(df: DataFrame, key: str | None, order: list, bucket: Column, cols: list[str],

@@ -66,7 +66,7 @@ def levene(df: DataFrame, group: str, value: str, groups: list) -> tuple[float,
     from tessera.operators.quantiles import exact_quantiles
     x = df.where(F.col(group).isin(groups) & F.col(value).isNotNull())
     med = exact_quantiles(x, value, [0.5], [group]).withColumnRenamed("q50", "__med")
-    z = x.join(F.broadcast(med), group).withColumn("__z", F.abs(F.col(value) - F.col("__med")))
+    z = x.join(med, group).withColumn("__z", F.abs(F.col(value) - F.col("__med")))
     g = z.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("__z").alias("zbar"),
                              F.sum("__z").alias("zsum")).collect()
     stats = {r[group]: r for r in g}

@@ -3,13 +3,11 @@ word and n-gram frequencies."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import NGram
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
-from tessera.operators.joins import bounded_broadcast
 
 
 def clean_tokens(df: DataFrame, text: str, out: str = "tokens", stop_words=tx.STOP_WORDS,
@@ -24,15 +22,14 @@ def clean_tokens(df: DataFrame, text: str, out: str = "tokens", stop_words=tx.ST
 
 
 def map_tokens_by_table(df: DataFrame, id_col: str, tokens: str, dictionary: DataFrame,
-                        key: str = "word", value: str = "lemma", max_dict_rows: int = 5_000_000) -> DataFrame:
+                        key: str = "word", value: str = "lemma") -> DataFrame:
     """TXT1 lemma step: replace each token through a (word -> lemma) table.
 
-    Tokens are exploded with their position, joined to the dictionary
-    (broadcast only when its size is proven small) and regrouped in order;
+    Tokens are exploded with their position, joined to the dictionary and regrouped in order;
     each regrouped list is one document's own tokens."""
     d = dictionary.select(F.col(key).alias("__w"), F.col(value).alias("__l"))
     ex = df.select(id_col, F.posexplode(tokens).alias("__p", "__w"))
-    j = ex.join(bounded_broadcast(d, max_dict_rows), "__w", "left")
+    j = ex.join(d, "__w", "left")
     back = (j.groupBy(id_col)
              .agg(F.array_sort(F.collect_list(F.struct("__p", F.coalesce("__l", "__w").alias("t")))).alias("__s"))
              .select(id_col, F.transform("__s", lambda s: s["t"]).alias("__mapped")))
@@ -49,13 +46,6 @@ def word_frequency(df: DataFrame, tokens: str, top_k: int = 20, skip: int = 3) -
     return ranked.where(F.col("rank") > skip)
 
 
-def ngram_frequency(df: DataFrame, tokens: str, n: int, top_k: int) -> DataFrame:
-    """TXT4: n-grams inside each document (never across documents), top-k."""
-    ng = NGram(n=n, inputCol=tokens, outputCol="__ng").transform(df.select(tokens))
-    counts = ng.select(F.explode("__ng").alias("ngram")).groupBy("ngram").agg(F.count(F.lit(1)).alias("count"))
-    return counts.orderBy(F.desc("count"), "ngram").limit(top_k).withColumn("n", F.lit(n))
-
-
 def ngram_frequencies(df: DataFrame, tokens: str, top: dict[int, int]) -> DataFrame:
     """TXT4 for several n in one pass: every document emits its 1..n-grams
     (inside the document only), one aggregate counts (n, ngram), and a

@@ -30,10 +30,6 @@ def _r(c, d=6):
     return F.round(F.col(c), d).alias(c)
 
 
-def _month_bucket(c):
-    return F.year(c) * 12 + F.month(c)
-
-
 def _day_bucket(c):
     """Row-frame bucket: a day, so even a key holding a third of the rows is
     spread over one task per day it is active."""
@@ -262,8 +258,7 @@ SELECT o_orderkey, CAST(o_orderstatus = 'F' AS INTEGER) AS o_orderstatus_F,
 FROM orders""")
 def fea6(spark, sf):
     o = load_table(spark, sf, "orders")
-    levels = sorted(r[0] for r in o.select("o_orderstatus").distinct().limit(1000).collect())
-    x = fe.one_hot(o, "o_orderstatus", levels)
+    x = fe.one_hot(o, "o_orderstatus", fe.fit_levels(o, "o_orderstatus"))
     x = x.withColumnRenamed("o_totalprice", "num__o_totalprice")
     x = fe.downcast_by_prefix(x, {"num__": "float"})
     keep = ["o_orderkey"] + [c for c in fe.columns_of_kind(x, "numeric") if c.startswith(("o_orderstatus_", "num__"))]
@@ -274,7 +269,7 @@ def fea6(spark, sf):
 SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_id FROM orders""")
 def win10(spark, sf):
     o = load_table(spark, sf, "orders")
-    x = sequence.dense_row_id(o, ["o_orderdate", "o_orderkey"], _month_bucket(F.col("o_orderdate")))
+    x = sequence.dense_row_id(o.select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"])
     return x.select("o_orderkey", "row_id")
 
 
@@ -294,10 +289,7 @@ SELECT strftime(d, '%Y-%m-%d') AS d,
        CASE WHEN count(*) OVER w = 5 THEN round(avg(total) OVER w, 6) END AS total_c5
 FROM daily WINDOW w AS (ORDER BY d ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)"""))
 def win2(spark, sf):
-    from pyspark.sql import Window as W
-    w = W.orderBy("d").rowsBetween(-2, 2)
-    d = daily_series(spark, sf)
-    x = d.withColumn("total_c5", F.when(F.count(F.lit(1)).over(w) == 5, F.round(F.avg("total").over(w), 6)))
+    x = sequence.row_frame(daily_series(spark, sf), "d", -2, 2, "total", "total_c5", decimals=6)
     return x.select(F.date_format("d", "yyyy-MM-dd").alias("d"), "total_c5")
 
 
@@ -306,10 +298,7 @@ SELECT strftime(d, '%Y-%m-%d') AS d,
        CASE WHEN count(*) OVER w = 60 THEN round(avg(total) OVER w, 6) END AS total_ma60
 FROM daily WINDOW w AS (ORDER BY d ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)"""))
 def win3(spark, sf):
-    from pyspark.sql import Window as W
-    w = W.orderBy("d").rowsBetween(-59, 0)
-    d = daily_series(spark, sf)
-    x = d.withColumn("total_ma60", F.when(F.count(F.lit(1)).over(w) == 60, F.round(F.avg("total").over(w), 6)))
+    x = sequence.row_frame(daily_series(spark, sf), "d", -59, 0, "total", "total_ma60", decimals=6)
     return x.select(F.date_format("d", "yyyy-MM-dd").alias("d"), "total_ma60")
 
 
@@ -318,11 +307,8 @@ SELECT * FROM (
   SELECT strftime(d, '%Y-%m-%d') AS d, round((lead(high) OVER w + lead(low) OVER w) / 2, 4) AS target
   FROM daily WINDOW w AS (ORDER BY d)) WHERE target IS NOT NULL"""))
 def win4(spark, sf):
-    from pyspark.sql import Window as W
-    w = W.orderBy("d")
-    d = daily_series(spark, sf)
-    x = d.withColumn("target", F.round((F.lead("high").over(w) + F.lead("low").over(w)) / 2, 4))
-    return x.where(F.col("target").isNotNull()).select(F.date_format("d", "yyyy-MM-dd").alias("d"), "target")
+    x = sequence.next_mid(daily_series(spark, sf), "d", "high", "low")
+    return x.select(F.date_format("d", "yyyy-MM-dd").alias("d"), F.round("target", 4).alias("target"))
 
 
 @query("win5_lookback_sequences", covers="WIN5", sql=with_daily("""
@@ -331,28 +317,47 @@ SELECT * FROM (
          array_to_string(list(n_orders) OVER w, ',') AS seq, count(*) OVER w AS seq_len
   FROM daily WINDOW w AS (ORDER BY d ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)) WHERE seq_len = 30"""))
 def win5(spark, sf):
-    from pyspark.sql import Window as W
-    L = 30
-    w = W.orderBy("d").rowsBetween(-L, -1)
-    d = daily_series(spark, sf)
-    x = (d.withColumn("__seq", F.collect_list("n_orders").over(w))
-          .withColumn("seq_len", F.size("__seq").cast("bigint"))
-          .where(F.col("seq_len") == L)
-          .withColumn("seq", F.array_join(F.transform("__seq", lambda v: v.cast("string")), ",")))
-    return x.select(F.date_format("d", "yyyy-MM-dd").alias("d"), F.col("n_orders").alias("target"), "seq", "seq_len")
-
-
-@query("win12_lagged_trailing_means", covers="WIN12", sql=with_daily("""
-SELECT strftime(d, '%Y-%m-%d') AS d,
-       round(avg(total) OVER (ORDER BY d ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS total_lag7,
-       round(avg(total) OVER (ORDER BY d ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING), 6) AS total_lag30
-FROM daily"""))
+    x = sequence.lookback_sequences(daily_series(spark, sf), "d", ["n_orders"], "n_orders", 30)
+    seq = F.array_join(F.transform("seq", lambda v: v["n_orders"].cast("string")), ",")
+    return x.select(F.date_format("d", "yyyy-MM-dd").alias("d"), "target", F.size("seq").cast("bigint").alias("seq_len"),
+                    seq.alias("seq"))
+
+
+# 60 days of two features, two days ahead, inside chronological splits by calendar year
+@query("win5_lookback_60_by_split", covers="WIN5 SMP4", sql=with_daily("""
+SELECT strftime(d, '%Y-%m-%d') AS d, split, n_orders AS target, first_orders, last_total FROM (
+  SELECT d, split, n_orders, first_value(n_orders) OVER w AS first_orders, round(last_value(total) OVER w, 4) AS last_total,
+         count(*) OVER w AS k
+  FROM (SELECT *, CASE WHEN year(d) < 1996 THEN 'train' WHEN year(d) < 1997 THEN 'validation' ELSE 'test' END AS split FROM daily)
+  WINDOW w AS (PARTITION BY split ORDER BY d ROWS BETWEEN 61 PRECEDING AND 2 PRECEDING)) WHERE k = 60"""))
+def win5s(spark, sf):
+    split = F.when(F.year("d") < 1996, "train").when(F.year("d") < 1997, "validation").otherwise("test")
+    x = sequence.lookback_sequences(daily_series(spark, sf).withColumn("split", split), "d", ["n_orders", "total"], "n_orders",
+                                    60, horizon=2, by=["split"])
+    return x.select(F.date_format("d", "yyyy-MM-dd").alias("d"), "split", "target", F.element_at("seq", 1)["n_orders"].alias("first_orders"),
+                    F.round(F.element_at("seq", -1)["total"], 4).alias("last_total"))
+
+
+@query("win1_customer_seven_day_mean", covers="WIN1", sql="""
+SELECT o_orderkey, round(avg(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE)
+                         RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW), 4) AS mean_7d FROM orders""")
+def win1r(spark, sf):
+    o = load_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    x = sequence.range_mean(o, "o_custkey", "o_orderdate", "o_totalprice", 7, "mean_7d")
+    return x.select("o_orderkey", F.round("mean_7d", 4).alias("mean_7d"))
+
+
+@query("win12_lagged_trailing_means", covers="WIN12 NUL1", sql=with_daily(""",
+x AS (SELECT d, avg(total) OVER (ORDER BY d ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS l7,
+             avg(total) OVER (ORDER BY d ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS l30 FROM daily)
+SELECT strftime(d, '%Y-%m-%d') AS d, round(coalesce(l7, (SELECT avg(l7) FROM x)), 4) AS total_lag7,
+       round(coalesce(l30, (SELECT avg(l30) FROM x)), 4) AS total_lag30 FROM x"""))
 def win12(spark, sf):
-    from pyspark.sql import Window as W
-    d = daily_series(spark, sf)
-    x = (d.withColumn("total_lag7", F.round(F.avg("total").over(W.orderBy("d").rowsBetween(-7, -1)), 6))
-          .withColumn("total_lag30", F.round(F.avg("total").over(W.orderBy("d").rowsBetween(-30, -1)), 6)))
-    return x.select(F.date_format("d", "yyyy-MM-dd").alias("d"), "total_lag7", "total_lag30")
+    x = daily_series(spark, sf)
+    for n in (7, 30):
+        x = sequence.row_frame(x, "d", -n, -1, "total", f"total_lag{n}", full=False)
+    filled = nulls.fill_constants(x, x.agg(*[F.avg(c).alias(c) for c in ("total_lag7", "total_lag30")]).first().asDict())
+    return filled.select(F.date_format("d", "yyyy-MM-dd").alias("d"), _r("total_lag7", 4), _r("total_lag30", 4))
 
 
 @query("win1_customer_lagged_mean_7", covers="WIN12 WIN1", sql="""
@@ -403,7 +408,7 @@ SELECT CASE WHEN p <= floor(n * 0.7) THEN 'train' WHEN p <= floor(n * 0.8) THEN
 FROM r GROUP BY 1""")
 def smp4(spark, sf):
     o = load_table(spark, sf, "orders")
-    x = sampling.chrono_split(o, ["o_orderdate", "o_orderkey"], _month_bucket(F.col("o_orderdate")))
+    x = sampling.chrono_split(o.select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"])
     return x.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.min("o_orderkey").alias("min_key"),
                                   F.max("o_orderkey").alias("max_key"))
 

@@ -76,14 +76,16 @@ def src7(spark, sf):
 
 
 @query("src9_labelled_file_listing", covers="SRC9 SRC11", sql="""
-SELECT regexp_extract(url, '/(en|fr|de|es)/', 1) AS label, count(*) AS n_files FROM pages GROUP BY 1""")
+SELECT regexp_extract(url, '/(en|fr|de|es)/', 1) AS label, count(*) AS n_pages FROM pages GROUP BY 1""")
 def src9(spark, sf):
     pg = load_table(spark, sf, "pages").withColumn("label", F.regexp_extract("url", "/(en|fr|de|es)/", 1))
     root = _dir(spark, "pages_files")
-    # one file per page (an image-folder layout): <root>/train/label=<lang>/page_id=<id>/
-    pg.select("label", "page_id", "html").write.partitionBy("label", "page_id").text(f"{root}/train")
+    # one folder per label; a file holds the pages of one task, each on one line
+    pg.select("label", F.regexp_replace("html", r"[\r\n]+", " ").alias("value")).write.partitionBy("label").text(f"{root}/train")
     listing = files.read_labelled_files(spark, root, r"/(train|test)/label=([^/]*)/", "*.txt")
-    return listing.groupBy("label").agg(F.count(F.lit(1)).alias("n_files"))
+    lines = F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 1
+    label = F.when(F.col("label") == "__HIVE_DEFAULT_PARTITION__", "").otherwise(F.col("label"))
+    return listing.groupBy(label.alias("label")).agg(F.sum(lines).alias("n_pages"))
 
 
 @query("src10_split_sizes", covers="SRC10 SMP1", sql=f"""
@@ -145,8 +147,7 @@ SELECT n_name AS neighbourhood, r_name AS area, count(*) AS n_listings, round(av
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""")
 def joi12(spark, sf):
     s, n, r = (load_table(spark, sf, t) for t in ("supplier", "nation", "region"))
-    from tessera.operators.joins import bounded_broadcast
-    loc = n.join(bounded_broadcast(r, 10_000), n.n_regionkey == r.r_regionkey)
-    j = s.join(bounded_broadcast(loc, 100_000), s.s_nationkey == loc.n_nationkey)
+    loc = n.join(r, n.n_regionkey == r.r_regionkey)
+    j = s.join(loc, s.s_nationkey == loc.n_nationkey)
     return j.groupBy(F.col("n_name").alias("neighbourhood"), F.col("r_name").alias("area")).agg(
         F.count(F.lit(1)).alias("n_listings"), F.round(F.avg("s_acctbal"), 4).alias("avg_balance"))

@@ -113,28 +113,30 @@ def sca19(spark, sf):
 
 
 def _mc_items(spark, sf):
-    """Multiple-choice items from conversations: context = turn 0, options = turns 1-4."""
-    c = load_table(spark, sf, "conversations").where(F.col("turn") <= 4)
-    wide = c.groupBy("conv_id").pivot("turn", [0, 1, 2, 3, 4]).agg(F.first("text"))
-    return wide.select("conv_id", F.col("0").alias("context"),
+    """Multiple-choice items from conversations: every five turns are an item, the first its context,
+    the others its options; a last item of fewer turns has empty options."""
+    c = load_table(spark, sf, "conversations").select("conv_id", "text", F.floor(F.col("turn") / 5).cast("int").alias("item"),
+                                                      F.pmod("turn", F.lit(5)).alias("turn"))
+    wide = c.groupBy("conv_id", "item").pivot("turn", [0, 1, 2, 3, 4]).agg(F.first("text"))
+    return wide.select("conv_id", "item", F.col("0").alias("context"),
                        F.array(*[F.coalesce(F.col(str(i)), F.lit("")) for i in (1, 2, 3, 4)]).alias("endings"),
                        F.pmod(F.col("conv_id"), F.lit(4)).cast("int").alias("label"))
 
 
 @query("prj12_choice_rows", covers="PRJ12", sql="""
-WITH c AS (SELECT conv_id, turn, text FROM conversations WHERE turn BETWEEN 1 AND 4),
-ids AS (SELECT DISTINCT conv_id FROM conversations),
-g AS (SELECT ids.conv_id, t.i AS pos, coalesce(c.text, '') AS option FROM ids, range(1, 5) t(i)
-      LEFT JOIN c ON c.conv_id = ids.conv_id AND c.turn = t.i)
-SELECT conv_id, CAST(pos - 1 AS INTEGER) AS pos, length(option) AS option_chars FROM g""")
+WITH c AS (SELECT conv_id, CAST(turn // 5 AS INTEGER) AS item, turn % 5 AS turn, text FROM conversations),
+ids AS (SELECT DISTINCT conv_id, item FROM c),
+g AS (SELECT ids.conv_id, ids.item, t.i AS pos, coalesce(c.text, '') AS option FROM ids, range(1, 5) t(i)
+      LEFT JOIN c ON c.conv_id = ids.conv_id AND c.item = ids.item AND c.turn = t.i)
+SELECT conv_id, item, CAST(pos - 1 AS INTEGER) AS pos, length(option) AS option_chars FROM g""")
 def prj12(spark, sf):
     items = _mc_items(spark, sf)
-    rows = items.select("conv_id", F.posexplode("endings").alias("pos", "option"))
+    rows = items.select("conv_id", "item", F.posexplode("endings").alias("pos", "option"))
     # regroup by four in position order (the inverse step) and check it round-trips
-    back = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("pos", "option"))).alias("s"))
-    back = back.select("conv_id", F.transform("s", lambda s: s["option"]).alias("endings2"))
-    chk = rows.join(back, "conv_id").where(F.element_at("endings2", F.col("pos") + 1) == F.col("option"))
-    return chk.select("conv_id", F.col("pos").cast("int").alias("pos"), F.length("option").alias("option_chars"))
+    back = rows.groupBy("conv_id", "item").agg(F.array_sort(F.collect_list(F.struct("pos", "option"))).alias("s"))
+    back = back.select("conv_id", "item", F.transform("s", lambda s: s["option"]).alias("endings2"))
+    chk = rows.join(back, ["conv_id", "item"]).where(F.element_at("endings2", F.col("pos") + 1) == F.col("option"))
+    return chk.select("conv_id", "item", F.col("pos").cast("int").alias("pos"), F.length("option").alias("option_chars"))
 
 
 LETTERS = ("A", "B", "C", "D")
@@ -150,30 +152,30 @@ def format_demo(context, endings, label=None):
 
 
 @query("prj13_fewshot_prompts", covers="PRJ13 SMP5", sql=f"""
-WITH c AS (SELECT conv_id, turn, text FROM conversations WHERE turn <= 4),
-items AS (SELECT conv_id, first(text ORDER BY turn) FILTER (WHERE turn = 0) AS context,
+WITH c AS (SELECT conv_id, CAST(turn // 5 AS INTEGER) AS item, turn % 5 AS turn, text FROM conversations),
+items AS (SELECT conv_id, item, first(text ORDER BY turn) FILTER (WHERE turn = 0) AS context,
                  coalesce(first(text) FILTER (WHERE turn = 1), '') AS e1, coalesce(first(text) FILTER (WHERE turn = 2), '') AS e2,
                  coalesce(first(text) FILTER (WHERE turn = 3), '') AS e3, coalesce(first(text) FILTER (WHERE turn = 4), '') AS e4,
                  conv_id % 4 AS label
-          FROM c GROUP BY conv_id),
+          FROM c GROUP BY conv_id, item),
 h AS (SELECT *, concat_ws(chr(10), 'Context: ' || context, 'A) ' || e1, 'B) ' || e2, 'C) ' || e3, 'D) ' || e4) AS body,
-             {h_sql(42, "conv_id")} AS hv FROM items),
-demos AS (SELECT * FROM h ORDER BY hv, conv_id LIMIT 4),
+             {h_sql(42, "conv_id", "item")} AS hv FROM items),
+demos AS (SELECT * FROM h ORDER BY hv, conv_id, item LIMIT 4),
 prefix AS (SELECT string_agg(body || chr(10) || 'Answer: ' || ['A', 'B', 'C', 'D'][label + 1], chr(10) || chr(10)
                              ORDER BY hv) AS p FROM demos)
-SELECT conv_id, CAST(label AS INTEGER) AS label,
+SELECT conv_id, item, CAST(label AS INTEGER) AS label,
        CAST(length(p || chr(10) || chr(10) || body || chr(10) || 'Answer:') AS INTEGER) AS prompt_chars
 FROM h, prefix""")
 def prj13(spark, sf):
     items = _mc_items(spark, sf)
-    demos = sampling.hash_sample(items, ["conv_id"], 4, seed=42)
-    demos = demos.withColumn("__h", sampling.hash64(["conv_id"], 42))
+    demos = sampling.hash_sample(items, ["conv_id", "item"], 4, seed=42)
+    demos = demos.withColumn("__h", sampling.hash64(["conv_id", "item"], 42))
     # the k demonstrations form one short text (k rows); it is prepended as a literal
     prefix = demos.agg(F.concat_ws("\n\n", F.transform(
         F.array_sort(F.collect_list(F.struct("__h", format_demo(F.col("context"), F.col("endings"), F.col("label"))
                                              .alias("t")))), lambda s: s["t"])).alias("prefix")).first()["prefix"]
     full = F.concat_ws("\n\n", F.lit(prefix), format_demo(F.col("context"), F.col("endings")))
-    return items.select("conv_id", "label", F.length(full).alias("prompt_chars"))
+    return items.select("conv_id", "item", "label", F.length(full).alias("prompt_chars"))
 
 
 def _matches(spark, sf, status=None):
@@ -184,15 +186,13 @@ def _matches(spark, sf, status=None):
            .join(s, li.l_suppkey == s.s_suppkey))
     if status:
         m = m.where(F.col("o_orderstatus") == status)
-    m = m.select("l_orderkey", "l_linenumber", "l_partkey", F.col("c_nationkey").alias("home_key"),
+    m = m.select("l_orderkey", "l_linenumber", "l_partkey", "o_orderstatus", F.col("c_nationkey").alias("home_key"),
                  F.col("s_nationkey").alias("away_key"),
                  F.pmod(F.col("l_linenumber"), F.lit(4)).alias("home_goals"),
                  F.pmod(F.col("l_partkey"), F.lit(4)).alias("away_goals"))
     nn = n.select(F.col("n_nationkey"), F.col("n_name"), F.col("n_regionkey"))
-    return (m.join(F.broadcast(nn.withColumnsRenamed({"n_nationkey": "home_key", "n_name": "home_team",
-                                                      "n_regionkey": "home_group"})), "home_key")
-             .join(F.broadcast(nn.withColumnsRenamed({"n_nationkey": "away_key", "n_name": "away_team",
-                                                      "n_regionkey": "away_group"})), "away_key")
+    return (m.join(nn.withColumnsRenamed({"n_nationkey": "home_key", "n_name": "home_team", "n_regionkey": "home_group"}), "home_key")
+             .join(nn.withColumnsRenamed({"n_nationkey": "away_key", "n_name": "away_team", "n_regionkey": "away_group"}), "away_key")
              .where(F.col("home_key") != F.col("away_key")))
 
 
@@ -218,10 +218,11 @@ def win9(spark, sf):
     m = _matches(spark, sf)
     hp = F.when(F.col("home_goals") > F.col("away_goals"), 3).when(F.col("home_goals") == F.col("away_goals"), 1).otherwise(0)
     ap = F.when(F.col("away_goals") > F.col("home_goals"), 3).when(F.col("home_goals") == F.col("away_goals"), 1).otherwise(0)
-    u = m.select(F.col("home_group").alias("grp"), F.col("home_team").alias("team"), hp.alias("pts"),
-                 (F.col("home_goals") - F.col("away_goals")).alias("gd")).unionByName(
-        m.select(F.col("away_group").alias("grp"), F.col("away_team").alias("team"), ap.alias("pts"),
-                 (F.col("away_goals") - F.col("home_goals")).alias("gd")))
+    sides = F.array(F.struct(F.col("home_group").alias("grp"), F.col("home_team").alias("team"), hp.alias("pts"),
+                             (F.col("home_goals") - F.col("away_goals")).alias("gd")),
+                    F.struct(F.col("away_group").alias("grp"), F.col("away_team").alias("team"), ap.alias("pts"),
+                             (F.col("away_goals") - F.col("home_goals")).alias("gd")))
+    u = m.select(F.explode(sides).alias("s")).select("s.*")  # both sides of a match from one scan
     s = u.groupBy("grp", "team").agg(F.sum("pts").cast("bigint").alias("points"), F.sum("gd").cast("bigint").alias("goal_diff"))
     w = W.partitionBy("grp").orderBy(F.desc("points"), F.desc("goal_diff"), "team")
     return (s.withColumn("position", F.row_number().over(w)).where("position <= 2")
@@ -240,8 +241,6 @@ SELECT team_a, team_b, home_team AS first_home_team, home_goals AS first_home_go
 FROM r WHERE rn = 1""")
 def joi10(spark, sf):
     m = _matches(spark, sf)
-    o = load_table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
-    m = m.join(o, "l_orderkey")
     key = [F.least("home_team", "away_team").alias("team_a"), F.greatest("home_team", "away_team").alias("team_b")]
     fx = m.where("o_orderstatus = 'P'").select(*key).distinct()
     hist = m.where("o_orderstatus = 'F'").select(*key, "l_orderkey", "l_linenumber", "l_partkey", "home_team",

@@ -111,7 +111,7 @@ def mod8(spark, sf):
     model = md.fit_save_pipeline(train, stages + [GBTRegressor(maxIter=20, maxDepth=4, seed=42)], path)
     pred = model.transform(x.where("split = 'test'"))
     # scored rows replace the previous predictions table (SNK6)
-    out = shared_path(spark, "tables", "pipeline_test_predictions")
+    out = shared_path(spark, "tables", "pipeline_test_predictions", uuid.uuid4().hex[:12])
     pred.select("flight_id", "l_partkey", F.col("prediction").alias("predicted_arrival_delay")) \
         .write.mode("overwrite").parquet(out)
     return ev.regression_metrics(pred)

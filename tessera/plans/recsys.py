@@ -14,6 +14,7 @@ from tessera.operators import recsys as rs
 from tessera.operators import retrieval as rt
 from tessera.operators import sampling
 from tessera.plans.registry import query
+from tessera.plans.sqlhash import split_sql
 from tessera.plans.text import _centroids
 from tessera.session import cut_lineage
 from tessera.sources.tables import load_table
@@ -105,10 +106,42 @@ def eva1(spark, sf):
                     (F.round("cumulative_error", 4) + F.lit(0.0)).alias("cumulative_error"))
 
 
+def _rating_split(spark, sf):
+    """Split by row, so that most test rows have a known user and item; one user in twenty and one
+    item in twenty-five are in no training row, so that the cold-start rules apply too."""
+    r = sampling.hash_split(ratings(spark, sf), ["user_id", "item_id"], {"train": 0.85, "test": 0.15})
+    cold = (F.pmod("user_id", F.lit(20)) == 0) | (F.pmod("item_id", F.lit(25)) == 0)
+    r = r.withColumn("split", F.when(cold, "test").otherwise(F.col("split")))
+    return r.where("split = 'train'"), r.where("split = 'test'")
+
+
+_SPLIT_SQL = _RS_SQL + f""",
+s AS (SELECT *, CASE WHEN user_id % 20 = 0 OR item_id % 25 = 0 THEN 'test'
+             ELSE {split_sql(42, ["user_id", "item_id"], {"train": 0.85, "test": 0.15})} END AS split FROM ratings)"""
+
+
+@query("mod6_blend_branches", covers="MOD6 JOI11", sql=_SPLIT_SQL + """
+SELECT CASE WHEN user_id NOT IN (SELECT user_id FROM s WHERE split = 'train') THEN 'cold user'
+            WHEN item_id NOT IN (SELECT item_id FROM s WHERE split = 'train') THEN 'cold item' ELSE 'blend' END AS branch,
+       count(*) AS n_rows FROM s WHERE split = 'test' GROUP BY 1""")
+def mod6b(spark, sf):
+    train, test = _rating_split(spark, sf)
+    f = rs.cold_start_flags(test, train)
+    branch = F.when(~F.col("known_user"), "cold user").when(~F.col("known_item"), "cold item").otherwise("blend")
+    return f.groupBy(branch.alias("branch")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("mod5_als_grid_cv", covers="MOD5 EVA1")
+def mod5(spark, sf):
+    train, _ = _rating_split(spark, sf)
+    gm = train.agg(F.avg("rating")).first()[0]
+    scores, _best = rs.als_grid_cv(train, gm, ranks=(5, 10), regs=(0.05, 0.2), k=5, max_iter=5)
+    return scores
+
+
 @query("mod6_blended_recommender", covers="MOD5 MOD6 JOI11 SMP3 SCA23 SCA24 EVA1")
 def mod6(spark, sf):
-    r = sampling.hash_split(ratings(spark, sf), ["user_id"], {"train": 0.85, "test": 0.15})
-    train, test = r.where("split = 'train'"), r.where("split = 'test'")
+    train, test = _rating_split(spark, sf)
     gm = train.agg(F.avg("rating")).first()[0]
     model = rs.fit_als(train, gm)
     lo, hi = [float(v) for v in train.agg(F.min("rating"), F.max("rating")).first()]
@@ -126,16 +159,15 @@ p AS (SELECT vec_id, label, arg_min(cls, dist) AS prediction FROM d GROUP BY 1,
 
 
 def _nc_distances(spark, sf):
-    """Nearest-centroid classifier over embeddings: distance of every vector to
-    every class centroid (classes are few; output is N x classes rows)."""
+    """Distance of every vector to every class centroid: the scores of all one-vs-rest problems."""
     e = load_table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
     return rt.centroid_distances(e, _centroids(spark, sf), "vec_id", "embedding", "query_id", "qvec",
                                  keep=["label"], out_class="cls")
 
 
 def _nc_predictions(spark, sf):
-    d = _nc_distances(spark, sf)
-    return d.groupBy("vec_id", "label").agg(F.min_by("cls", "dist").alias("prediction"))
+    e = load_table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    return rt.nearest_centroid(e, _centroids(spark, sf), "vec_id", "embedding", "query_id", "qvec", keep=["label"])
 
 
 @query("eva3_confusion_matrix_nearest_centroid", covers="EVA3", sql=_NC_SQL + """

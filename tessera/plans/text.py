@@ -97,10 +97,21 @@ def ret1(spark, sf):
     return top.select("query_id", "vec_id", "rank", _r("distance", 5), _r("similarity", 5))
 
 
+_INDEXES: dict = {}
+
+
+def _index(spark, sf):
+    """The index of the documents, built once per session and table folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _INDEXES:
+        d = spread(load_table(spark, sf, "documents"), cores(spark)).select("doc_id", simple_tokens("text").alias("tokens"))
+        _INDEXES[key] = rt.bm25_index(d, "doc_id", "tokens")
+    return _INDEXES[key]
+
+
 def _bm25(spark, sf, k=5):
-    d = spread(load_table(spark, sf, "documents"), cores(spark)).select("doc_id", simple_tokens("text").alias("tokens"))
     q = load_table(spark, sf, "benchmark").select("item_id", simple_tokens("text").alias("qtokens"))
-    return rt.bm25_search(rt.bm25_index(d, "doc_id", "tokens"), q, "item_id", "qtokens", "doc_id", k=k)
+    return rt.bm25_search(_index(spark, sf), q, "item_id", "qtokens", "doc_id", k=k)
 
 
 _BM25_SQL = f"""

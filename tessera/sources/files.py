@@ -39,7 +39,7 @@ def read_labelled_files(spark: SparkSession, root: str, label_pattern: str, glob
     """SRC9: binary files; label and split come from the path (``label_pattern``
     is a regex whose groups 1 and 2 are split and label)."""
     d = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(root)
-    return d.select("path", "length", F.regexp_extract("path", label_pattern, 1).alias("split"),
+    return d.select("path", "length", "content", F.regexp_extract("path", label_pattern, 1).alias("split"),
                     F.regexp_extract("path", label_pattern, 2).alias("label"))
 
 
