@@ -58,6 +58,6 @@ def test_keep_if_and_spread(spark):
     from tessera.sources.tables import spread
     df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id INT, ok BOOLEAN")
     assert [r["id"] for r in keep_if(df, "ok").collect()] == [1]
-    assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() >= 2
+    assert spread(spark.range(10).coalesce(1), 6).rdd.getNumPartitions() == 6
     big = spark.range(0, 100, 1, 64)
-    assert spread(big).rdd.getNumPartitions() == 64
+    assert spread(big, None).rdd.getNumPartitions() == 64

@@ -95,11 +95,3 @@ def test_parse_transaction_requires_fields(spark):
     df = spark.createDataFrame([(good,), (missing,), (bad_amount,)], "value STRING")
     ok = [r["parse_ok"] for r in quality.parse_transactions(df).collect()]
     assert ok == [True, False, False]
-
-
-def test_bounded_broadcast_falls_back(spark):
-    from tessera.operators.joins import bounded_broadcast, row_bound_holds
-    small = spark.range(10)
-    assert row_bound_holds(small, 10) and not row_bound_holds(small, 9)
-    plan = spark.range(100).join(bounded_broadcast(small, 5), "id")._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in plan.lower()

@@ -26,7 +26,7 @@ def test_no_cross_products(spark, name):
 def test_scan_reads_only_needed_columns(spark):
     plan = _plan(E.queries()["agg1_commission_by_category"](spark, SF001))
     scan = [ln for ln in plan.splitlines() if "FileScan" in ln][0]
-    assert "ReadSchema: struct<event_type:string,value:double>" in scan
+    assert "ReadSchema: struct<event_id:bigint,event_type:string,value:double>" in scan
 
 
 def test_partial_aggregation_before_shuffle(spark):

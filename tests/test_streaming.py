@@ -47,7 +47,8 @@ def test_stateful_geo_catches_pairs_across_windows(spark):
     t0 = dt.datetime(2024, 1, 1, 10, 4, 50)                          # 10 s before a 5-minute edge
     rows = [_row(1, 7, t0, lat=25.0), _row(2, 7, t0 + dt.timedelta(seconds=20), lat=27.0),   # 222 km, 20 s
             _row(3, 8, t0, lat=25.0), _row(4, 8, t0 + dt.timedelta(seconds=301), lat=27.0),   # 301 s: no
-            _row(5, 9, t0, lat=25.0), _row(6, 9, t0 + dt.timedelta(seconds=300), lat=25.44)]  # 48.9 km: no
+            _row(5, 9, t0, lat=25.0), _row(6, 9, t0 + dt.timedelta(seconds=300), lat=25.44),  # 48.9 km: no
+            _row(7, 10, t0 + dt.timedelta(minutes=30))]  # moves the watermark past the others
     folder = tempfile.mkdtemp(dir="/tmp")
     _write(spark, folder, rows, "a")
     out = runner.run_to_table(stateful.geo_jumps_stateful(_stream(spark, folder)), "t_geo").collect()
@@ -138,5 +139,69 @@ def test_stateful_geo_across_micro_batches(spark):
     out = runner.run_to_table(stateful.geo_jumps_stateful(_stream(spark, folder)), "t_geo_mb").collect()
     got = {(r["transaction_id"], r["prev_transaction_id"]) for r in out}
     b = spark.createDataFrame(rows, SCHEMA)
-    exp = {(r["transaction_id"], r["prev_transaction_id"]) for r in windows.consecutive_geo_jumps(b).collect()}
+    # pairs are complete once the watermark (five minutes behind the last row) has passed them
+    closed = {r[0] for r in rows if r[3] < rows[-1][3] - dt.timedelta(minutes=5)}
+    exp = {(r["transaction_id"], r["prev_transaction_id"]) for r in windows.consecutive_geo_jumps(b).collect() if r["transaction_id"] in closed}
     assert got == exp and exp
+
+
+def _batches(spark, folder, schema, parts):
+    import time
+    for j, part in enumerate(parts):  # one file, and so one micro-batch, for each part, in this order
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(os.path.join(folder, f"p{j:05d}"))
+        time.sleep(0.05)
+
+
+def test_spike_counts_of_rows_that_come_out_of_order(spark):
+    """10:00, then 09:50, then 10:20: the last batch is the 6th to 10th row of its hour."""
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    schema = "transaction_id LONG, merchant_id LONG, ts TIMESTAMP"
+    parts = [[(10 * j + i, 1, t0 + dt.timedelta(minutes=m, seconds=i)) for i in range(5)] for j, m in enumerate((0, -10, 20))]
+    folder = tempfile.mkdtemp(dir="/tmp")
+    _batches(spark, folder, schema, parts)
+    src = M.event_time(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder + "/*"))
+    got = {r["transaction_id"]: r for r in runner.run_to_table(stateful.spikes_stateful(src), "t_spike_ooo").collect()}
+    assert [got[20 + i]["hour_count"] for i in range(5)] == [6, 7, 8, 9, 10]
+    assert [got[20 + i]["rolling_count"] for i in range(5)] == [1, 2, 3, 4, 5]
+    assert [got[20 + i]["prev_hours_count"] for i in range(5)] == [5] * 5
+    assert [got[10 + i]["hour_count"] for i in range(5)] == [1, 2, 3, 4, 5]
+
+
+def test_spike_horizon_of_three_hours_matches_batch(spark):
+    import random
+    from tessera.operators import windows
+    rnd = random.Random(4)
+    t0 = dt.datetime(2024, 1, 1, 9, 0, 0)
+    secs = sorted(rnd.sample(range(0, 6 * 3600), 120)) + list(range(7 * 3600, 7 * 3600 + 80, 10))
+    schema = "transaction_id LONG, merchant_id LONG, ts TIMESTAMP"
+    rows = [(i, 1 if s >= 7 * 3600 else rnd.choice([1, 2, 3, 4]), t0 + dt.timedelta(seconds=s, microseconds=i)) for i, s in enumerate(secs)]
+    folder = tempfile.mkdtemp(dir="/tmp")
+    _batches(spark, folder, schema, [rows[:50], rows[50:100], rows[100:]])
+    src = M.event_time(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder + "/*"))
+    got = {r["transaction_id"]: r for r in runner.run_to_table(stateful.spikes_stateful(src, horizon_hours=3), "t_spike_h3").collect()}
+    exp = {r["transaction_id"]: r for r in windows.spike_flags(spark.createDataFrame(rows, schema), horizon_hours=3).collect()}
+    cols = ("rolling_count", "hour_count", "prev_hours_count", "is_spike")
+    assert {k: [r[c] for c in cols] for k, r in got.items()} == {k: [r[c] for c in cols] for k, r in exp.items()}
+
+
+def test_geo_pairs_of_rows_that_come_late_inside_the_watermark(spark):
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    at = lambda i, s, lat: _row(i, 7, t0 + dt.timedelta(seconds=s), lat=lat)
+    folder = tempfile.mkdtemp(dir="/tmp")
+    _write(spark, folder, [at(1, 0, 25.0), at(2, 100, 25.0)], "a")
+    _write(spark, folder, [at(3, 50, 27.0)], "b")       # late by 50 s: pairs 1-3 and 3-2, not 1-2
+    _write(spark, folder, [at(9, 3600, 25.0)], "c")     # moves the watermark on
+    out = runner.run_to_table(stateful.geo_jumps_stateful(_stream(spark, folder)), "t_geo_late").collect()
+    assert {(r["prev_transaction_id"], r["transaction_id"]) for r in out} == {(1, 3), (3, 2)}
+
+
+def test_progress_counts_rows_and_lag(spark):
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    folder = tempfile.mkdtemp(dir="/tmp")
+    for j in range(3):
+        _write(spark, folder, [_row(10 * j + i, 1, t0 + dt.timedelta(seconds=10 * j + i)) for i in range(10)], f"p{j}")
+    q = runner.start(M.sliding_category_commission(_stream(spark, folder), watermark="1 minute"), "t_rows")
+    runner.await_all(spark, [q], timeout_s=120)
+    r = runner.progress_table(spark, [q]).first()
+    assert (r["query"], r["busy_batches"], r["input_rows"], r["lag"]) == ("t_rows", 3, 30, 0)
+    assert runner._offset_lag('{"t":{"0":10,"1":7}}', '{"t":{"0":4,"1":7}}') == 6

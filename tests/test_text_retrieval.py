@@ -18,7 +18,7 @@ def test_clean_text_steps(spark):
 
 def test_ngrams_stay_inside_documents(spark):
     df = spark.createDataFrame([(["a", "b"],), (["c"],)], "tokens ARRAY<STRING>")
-    bigrams = {r["ngram"] for r in tops.ngram_frequency(df, "tokens", 2, 10).collect()}
+    bigrams = {r["ngram"] for r in tops.ngram_frequencies(df, "tokens", {2: 10}).collect()}
     assert bigrams == {"a b"}                                  # no "b c" across the border
 
 
