@@ -197,8 +197,8 @@ def active_learning(spark: SparkSession, train: DataFrame, test: DataFrame, pool
                     id_col: str, label: str = "label", k: int = 20, rounds: int = 3, seed: int = 42,
                     export_dir: str | None = None) -> DataFrame:
     """MOD10 + SRT5 + EVA6: each round export the ``k`` most uncertain pool rows
-    (CSV, for annotators), read their labels back from ``oracle`` (id, label),
-    add them to train; returns the learning curve."""
+    (CSV, for annotators, who stand behind ``oracle`` (id, label)), read the
+    labelled file back, add its rows to train; returns the learning curve."""
     curve = []
     for r in range(rounds):
         model = RandomForestRegressor(numTrees=10, maxDepth=5, seed=seed, labelCol=label).fit(train)
@@ -206,9 +206,12 @@ def active_learning(spark: SparkSession, train: DataFrame, test: DataFrame, pool
         curve.append((r, train.count(), float(rmse)))
         scored = forest_member_spread(model, pool)
         pick = scored.orderBy(F.desc("std_pred"), F.col(id_col)).limit(k).select(id_col)
+        answers = pick.join(oracle, id_col).select(id_col, label)
         if export_dir:
-            pick.write.mode("overwrite").option("header", True).csv(f"{export_dir}/round_{r}")
-        labelled = pool.join(pick, id_col).drop(label).join(oracle, id_col)
+            pick.write.mode("overwrite").option("header", True).csv(f"{export_dir}/round_{r}/asked")
+            answers.write.mode("overwrite").option("header", True).csv(f"{export_dir}/round_{r}/answered")
+            answers = spark.read.schema(answers.schema).option("header", True).csv(f"{export_dir}/round_{r}/answered")
+        labelled = pool.drop(label).join(answers, id_col)
         train = cut_lineage(train.unionByName(labelled.select(*train.columns)))
         pool = cut_lineage(pool.join(pick, id_col, "left_anti"))
     return spark.createDataFrame(curve, "round INT, train_size BIGINT, rmse DOUBLE")

@@ -51,48 +51,53 @@ def spread_test(p: float, n: float, z: float = Z95) -> dict:
             "p_value": 2 * norm_sf(abs(zz)) if se > 0 else float("nan")}
 
 
-def _group_moments(df: DataFrame, group: str, value: str) -> dict:
-    rows = (df.where(F.col(value).isNotNull()).groupBy(group)
-              .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("var"))
-              .collect())
-    return {r[group]: r for r in rows}
+def _two_group_sums(df: DataFrame, group: str, a, b, values: list[str]) -> dict:
+    """{(metric, group): row} with count, mean, sample variance, and count, mean and population
+    variance of the absolute deviations from the group's median; three passes for all metrics."""
+    from tessera.operators.quantiles import exact_quantiles
+    long = (df.where(F.col(group).isin([a, b]))
+            .select(F.col(group).alias("__g"), F.explode(F.array(*[F.struct(F.lit(v).alias("metric"), F.col(v).cast("double").alias("x"))
+                                                                   for v in values])).alias("s")).select("__g", "s.*")
+            .where(F.col("x").isNotNull() & ~F.isnan("x")))
+    med = exact_quantiles(long, "x", [0.5], ["metric", "__g"])
+    z = long.join(med, ["metric", "__g"]).withColumn("z", F.abs(F.col("x") - F.col("q50")))
+    rows = z.groupBy("metric", "__g").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.var_samp("x").alias("var"),
+        F.avg("z").alias("zbar"), F.var_pop("z").alias("zvar")).collect()  # two rows per metric
+    return {(r["metric"], r["__g"]): r for r in rows}
+
+
+def _levene_from(ra, rb) -> tuple[float, float]:
+    n, k = ra["n"] + rb["n"], 2
+    zall = (ra["n"] * ra["zbar"] + rb["n"] * rb["zbar"]) / n
+    between = sum(r["n"] * (r["zbar"] - zall) ** 2 for r in (ra, rb))
+    within = sum(r["n"] * r["zvar"] for r in (ra, rb))
+    if n - k <= 0 or not within:
+        return float("nan"), float("nan")
+    w = (n - k) / (k - 1) * between / within
+    return w, f_sf(w, k - 1, n - k)
 
 
 def levene(df: DataFrame, group: str, value: str, groups: list) -> tuple[float, float]:
-    """STT6: Brown-Forsythe/Levene W (median-centred) and its p-value.
-
-    Group medians are one aggregate; the absolute deviations and the
-    one-way ANOVA sums are a second.  (Group medians are exact percentiles.)"""
-    from tessera.operators.quantiles import exact_quantiles
-    x = df.where(F.col(group).isin(groups) & F.col(value).isNotNull())
-    med = exact_quantiles(x, value, [0.5], [group]).withColumnRenamed("q50", "__med")
-    z = x.join(med, group).withColumn("__z", F.abs(F.col(value) - F.col("__med")))
-    g = z.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("__z").alias("zbar"),
-                             F.sum("__z").alias("zsum")).collect()
-    stats = {r[group]: r for r in g}
-    n_total = sum(r["n"] for r in stats.values())
-    zbar_all = sum(r["zsum"] for r in stats.values()) / n_total
-    k = len(stats)
-    between = sum(r["n"] * (r["zbar"] - zbar_all) ** 2 for r in stats.values())
-    zb = {k_: r["zbar"] for k_, r in stats.items()}
-    expr = None
-    for key, v in zb.items():
-        expr = F.when(F.col(group) == key, F.lit(v)) if expr is None else expr.when(F.col(group) == key, F.lit(v))
-    within = z.agg(F.sum(F.pow(F.col("__z") - expr, 2)).alias("w")).first()["w"]
-    if k < 2 or n_total - k <= 0 or not within:
+    """STT6: Brown-Forsythe/Levene W (median-centred) of two groups and its p-value.
+    Group medians are exact; NULL and NaN are left out."""
+    m = _two_group_sums(df, group, *groups, [value])
+    if any((value, g) not in m for g in groups):
         return float("nan"), float("nan")
-    w = (n_total - k) / (k - 1) * between / within
-    return w, f_sf(w, k - 1, n_total - k)
+    return _levene_from(*(m[value, g] for g in groups))
 
 
 def ttest(df: DataFrame, group: str, a, b, value: str, equal_var: bool | None = None,
           alpha: float = 0.05) -> dict:
     """STT7: two-sample t-test; pooled when Levene p >= alpha (or as given),
     Welch otherwise; p-values for two-sided, greater (a > b) and less."""
-    m = _group_moments(df.where(F.col(group).isin([a, b])), group, value)
-    ra, rb = m[a], m[b]
+    m = _two_group_sums(df, group, a, b, [value])
+    return _ttest_from(value, m[value, a], m[value, b], equal_var, alpha)
+
+
+def _ttest_from(value: str, ra, rb, equal_var: bool | None, alpha: float) -> dict:
     n1, n2, m1, m2, v1, v2 = ra["n"], rb["n"], ra["mean"], rb["mean"], ra["var"] or 0.0, rb["var"] or 0.0
-    lev_w, lev_p = levene(df, group, value, [a, b])
+    lev_w, lev_p = _levene_from(ra, rb)
     if equal_var is None:
         equal_var = not (lev_p < alpha)
     if equal_var:
@@ -118,8 +123,10 @@ TTEST_SCHEMA = ("metric STRING, n_a BIGINT, n_b BIGINT, mean_a DOUBLE, mean_b DO
 
 
 def ttest_table(spark: SparkSession, df: DataFrame, group: str, a, b, values: list[str],
-                alpha: float = 0.05) -> DataFrame:
-    rows = [ttest(df, group, a, b, v, alpha=alpha) for v in values]
+                alpha: float = 0.05, equal_var: bool | None = None) -> DataFrame:
+    """STT7 for several columns, from one long frame."""
+    m = _two_group_sums(df, group, a, b, values)
+    rows = [_ttest_from(v, m[v, a], m[v, b], equal_var, alpha) for v in values]
     return spark.createDataFrame([tuple(r.values()) for r in rows], TTEST_SCHEMA)
 
 

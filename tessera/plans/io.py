@@ -75,7 +75,7 @@ def src7(spark, sf):
     return back.select("conv_id", "turn", "role", F.length("text").alias("n_chars"))
 
 
-@query("src9_labelled_file_listing", covers="SRC9 SRC11", sql="""
+@query("src9_labelled_file_listing", covers="SRC9", sql="""
 SELECT regexp_extract(url, '/(en|fr|de|es)/', 1) AS label, count(*) AS n_pages FROM pages GROUP BY 1""")
 def src9(spark, sf):
     pg = load_table(spark, sf, "pages").withColumn("label", F.regexp_extract("url", "/(en|fr|de|es)/", 1))
@@ -142,7 +142,7 @@ def src3(spark, sf):
     return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("joi12_listings_by_neighbourhood", covers="JOI12 AGG35", sql="""
+@query("joi12_listings_by_neighbourhood", covers="JOI12 AGG35 SRC11", sql="""
 SELECT n_name AS neighbourhood, r_name AS area, count(*) AS n_listings, round(avg(s_acctbal), 4) AS avg_balance
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""")
 def joi12(spark, sf):

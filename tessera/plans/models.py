@@ -61,6 +61,16 @@ def mod1(spark, sf):
     return res.withColumn("is_best", F.col("model") == best)
 
 
+@query("mod1_linear_closed_form", covers="MOD1", sql="""
+SELECT round(regr_slope(l_extendedprice, l_quantity), 3) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 1) AS intercept,
+       count(*) AS n_rows FROM lineitem""")
+def mod1l(spark, sf):
+    li = load_table(spark, sf, "lineitem").select(F.col("l_quantity").cast("double").alias("x"), F.col("l_extendedprice").cast("double").alias("label"))
+    m = md.regressors()["linear"].setLabelCol("label").setFeaturesCol("features").fit(md.assemble(li, ["x"]))
+    return li.agg(F.count(F.lit(1)).alias("n_rows")).select(F.round(F.lit(float(m.coefficients[0])), 3).alias("slope"),
+                                                          F.round(F.lit(float(m.intercept)), 1).alias("intercept"), "n_rows")
+
+
 @query("mod2_classifier_comparison", covers="MOD2 EVA4 EVA7")
 def mod2(spark, sf):
     x = _doc_xy(spark, sf)
@@ -87,7 +97,7 @@ def mod4(spark, sf):
     return md.cv_results(spark, cvm)
 
 
-@query("mod7_mlp_embeddings", covers="MOD7 EVA3 EVA4 SCA27")
+@query("mod7_mlp_embeddings", covers="MOD7 EVA3 EVA4")
 def mod7(spark, sf):
     e = load_table(spark, sf, "embeddings")
     x = e.select("vec_id", F.col("label").cast("double").alias("label"), array_to_vector("embedding").alias("features"))

@@ -194,7 +194,7 @@ def agg15(spark, sf):
     return pay.customer_average(payments(spark, sf)).select("customer_id", _r("avg_amount"))
 
 
-@query("flt5_amount_anomalies", covers="JOI5 FLT5 UDF2 STR4", sql=with_payments(""",
+@query("flt5_amount_anomalies", covers="JOI5 FLT5 UDF2", sql=with_payments(""",
 a AS (SELECT customer_id, avg(amount) AS avg_amount FROM pay GROUP BY 1)
 SELECT p.transaction_id, p.customer_id, p.amount, round(a.avg_amount, 6) AS avg_amount
 FROM pay p JOIN a ON p.customer_id = a.customer_id WHERE p.amount > a.avg_amount * 10"""))

@@ -211,6 +211,17 @@ def eva4s(spark, sf):
     return out.select(*[_r(c) for c in out.columns])
 
 
+@query("eva8_class_overlap", covers="EVA8", sql=_NC_SQL + """,
+t AS (SELECT label, count(*) AS n_true FROM p GROUP BY 1), q AS (SELECT prediction AS label, count(*) AS n_pred FROM p GROUP BY 1),
+b AS (SELECT label, count(*) AS n_both FROM p WHERE label = prediction GROUP BY 1),
+x AS (SELECT label, coalesce(n_true, 0) AS a, coalesce(n_pred, 0) AS c, coalesce(n_both, 0) AS b
+      FROM t FULL OUTER JOIN q USING (label) LEFT JOIN b USING (label))
+SELECT label, round(b / (a + c - b), 9) AS iou, round(2 * b / (a + c), 9) AS dice FROM x""")
+def eva8o(spark, sf):
+    from tessera.operators.modeling import mask_overlap
+    return mask_overlap(_nc_predictions(spark, sf), "label", "label", "prediction").select("label", _r("iou"), _r("dice"))
+
+
 @query("eva5_roc_auc_one_vs_rest", covers="EVA5", sql=_NC_SQL + """,
 s AS (SELECT cls, -dist AS score, CAST(label = cls AS BIGINT) AS pos FROM d),
 pts AS (SELECT cls, score, sum(pos) AS p, sum(1 - pos) AS n FROM s GROUP BY 1, 2),

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tessera.functions import scalars as sc
 from tessera.operators import profiling as pf
 from tessera.operators import stats as st
 from tessera.plans.registry import query
@@ -76,6 +77,54 @@ def stt7(spark, sf):
     return st.ttest_table(spark, li, "l_returnflag", "R", "N", _TT_COLS)
 
 
+@query("stt4_spread_statistic", covers="STT4", sql="""
+WITH t AS (SELECT avg(CAST(c_acctbal > 0 AS DOUBLE)) AS p, count(*) AS n FROM customer),
+s AS (SELECT 2 * p - 1 AS spread, 2 * sqrt(p * (1 - p) / n) AS se FROM t)
+SELECT round(spread, 9) AS spread, round(se, 9) AS se, round(spread - 1.96 * se, 6) AS lower, round(spread + 1.96 * se, 6) AS upper,
+       round(spread / se, 6) AS z FROM s""")
+def stt4s(spark, sf):
+    row = load_table(spark, sf, "customer").agg(F.avg((F.col("c_acctbal") > 0).cast("double")).alias("p"), F.count(F.lit(1)).alias("n")).first()
+    r = st.spread_test(row["p"], row["n"], z=1.96)
+    out = spark.createDataFrame([tuple(r.values())], ", ".join(f"{k} DOUBLE" for k in r))
+    return out.select(_r("spread", 9), _r("se", 9), _r("lower"), _r("upper"), _r("z"))
+
+
+def _tt_sql(col: str) -> str:
+    return f"""
+SELECT '{col}' AS metric, f.equal_var, a.n AS n_a, b.n AS n_b, round(a.w, 4) AS levene_w,
+       round((a.mean - b.mean) / CASE WHEN f.equal_var THEN sqrt(((a.n - 1) * a.var + (b.n - 1) * b.var) / (a.n + b.n - 2) * (1.0 / a.n + 1.0 / b.n))
+                                      ELSE sqrt(a.var / a.n + b.var / b.n) END, 4) AS t,
+       round(CASE WHEN f.equal_var THEN a.n + b.n - 2
+             ELSE pow(a.var / a.n + b.var / b.n, 2) / (pow(a.var / a.n, 2) / (a.n - 1) + pow(b.var / b.n, 2) / (b.n - 1)) END, 3) AS dof
+FROM (SELECT *, (sum(n) OVER () - 2) * sum(n * pow(zbar - zall, 2)) OVER () / sum(n * zvar) OVER () AS w FROM (
+        SELECT *, sum(n * zbar) OVER () / sum(n) OVER () AS zall FROM (
+          SELECT g, count(*) AS n, avg(x) AS mean, var_samp(x) AS var, avg(abs(x - med)) AS zbar, var_pop(abs(x - med)) AS zvar
+          FROM (SELECT l_returnflag AS g, CAST({col} AS DOUBLE) AS x,
+                       quantile_cont(CAST({col} AS DOUBLE), 0.5) OVER (PARTITION BY l_returnflag) AS med
+                FROM lineitem WHERE l_returnflag IN ('R', 'N')) GROUP BY g))) a,
+     (SELECT count(*) AS n, avg({col}) AS mean, var_samp({col}) AS var FROM lineitem WHERE l_returnflag = 'N') b,
+     (SELECT unnest([TRUE, FALSE]) AS equal_var) f WHERE a.g = 'R'"""
+
+
+@query("stt7_ttest_statistics", covers="STT6 STT7", sql="\nUNION ALL ".join(_tt_sql(c) for c in _TT_COLS))
+def stt7s(spark, sf):
+    li = load_table(spark, sf, "lineitem")
+    both = [st.ttest_table(spark, li, "l_returnflag", "R", "N", _TT_COLS, equal_var=e) for e in (True, False)]
+    return both[0].unionByName(both[1]).select("metric", "equal_var", "n_a", "n_b", _r("levene_w", 4), _r("t", 4), _r("dof", 3))
+
+
+@query("sca27_softmax_argmax", covers="SCA27", sql="""
+WITH x AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+e AS (SELECT vec_id, v, list_transform(v, lambda a: exp(a - list_max(v))) AS ex FROM x)
+SELECT vec_id, round(list_max(ex) / list_sum(ex), 6) AS top_share, round(list_min(ex) / list_sum(ex), 6) AS low_share,
+       CAST(list_position(v, list_max(v)) - 1 AS INTEGER) AS top FROM e""")
+def sca27(spark, sf):
+    e = load_table(spark, sf, "embeddings").withColumn("v", F.col("embedding").cast("array<double>"))
+    probs, top = sc.softmax("v"), sc.argmax("v")
+    return e.select("vec_id", F.round(F.array_max(probs), 6).alias("top_share"), F.round(F.array_min(probs), 6).alias("low_share"),
+                    top.alias("top"))
+
+
 @query("stt7_group_moments", covers="STT7 AGG21", sql="""
 WITH m AS (SELECT l_returnflag AS grp, count(*) AS n, avg(l_quantity) AS mean, var_samp(l_quantity) AS var
            FROM lineitem WHERE l_returnflag IN ('R', 'N') GROUP BY 1),

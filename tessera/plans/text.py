@@ -83,6 +83,19 @@ c AS (SELECT label AS query_id, list(v ORDER BY i) AS qvec FROM (
         FROM embeddings, range(1, 65) t(i) GROUP BY 1, 2) GROUP BY 1)"""
 
 
+# lemma table: each word of the documents that ends in "ing" or "tion" maps to what is left of it
+@query("txt1_lemma_step", covers="TXT1", sql=f"""
+SELECT doc_id, len(tk) AS n_tokens, md5(array_to_string(list_transform(tk, lambda t:
+         CASE WHEN len(t) > 5 THEN regexp_replace(t, '(ing|tion)$', '') ELSE t END), ' ')) AS tokens_md5
+FROM (SELECT doc_id, {_tok_sql('text')} AS tk FROM documents)""")
+def txt1l(spark, sf):
+    d = load_table(spark, sf, "documents").select("doc_id", simple_tokens("text").alias("tokens"))
+    words = d.select(F.explode("tokens").alias("word")).distinct().where((F.length("word") > 5) & F.col("word").rlike("(ing|tion)$"))
+    lemmas = words.withColumn("lemma", F.regexp_replace("word", "(ing|tion)$", ""))
+    out = tops.map_tokens_by_table(d, "doc_id", "tokens", lemmas)
+    return out.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.md5(F.array_join("tokens", " ").cast("binary")).alias("tokens_md5"))
+
+
 @query("ret1_vector_top5_centroids", covers="RET1 JOI14 SCA28", sql=f"""
 WITH {_CENTROID_SQL.strip()},
 d AS (SELECT c.query_id, e.vec_id,
