@@ -1,7 +1,7 @@
 """CDFs for p-values, evaluated on the driver over a handful of aggregates.
 
-SciPy is not assumed: the regularised incomplete beta uses the continued
-fraction of Numerical Recipes (Lentz), the normal CDF uses ``math.erfc``.
+SciPy is not assumed: the regularised incomplete beta is its continued
+fraction, the normal CDF uses ``math.erfc``.
 """
 
 from __future__ import annotations
@@ -9,30 +9,27 @@ from __future__ import annotations
 import math
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    tiny, eps = 1e-300, 3e-16
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 400):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < eps:
-            break
-    return h
+def _fraction(a: float, b: float, x: float, depth: int) -> float:
+    """1 / (1 + d1 / (1 + d2 / (1 + ...))) cut after ``depth`` pairs of terms, from its far end, with
+    d(2m) = m (b - m) x / ((a + 2m - 1)(a + 2m)) and
+    d(2m+1) = -(a + m)(a + b + m) x / ((a + 2m)(a + 2m + 1))."""
+    tail = 1.0
+    for m in range(depth, 0, -1):
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        tail = 1.0 + even / (1.0 + odd / tail)
+    return 1.0 / (1.0 - (a + b) * x / (a + 1) / tail)
+
+
+def _converged_fraction(a: float, b: float, x: float) -> float:
+    """The fraction at twice the depth until it no longer changes."""
+    depth, last = 16, math.inf
+    while depth <= 1 << 16:
+        value = _fraction(a, b, x, depth)
+        if abs(value - last) <= 1e-14 * abs(value):
+            return value
+        depth, last = 2 * depth, value
+    raise ArithmeticError(f"the incomplete beta function did not converge for {a}, {b}, {x}")
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -44,8 +41,8 @@ def betainc(a: float, b: float, x: float) -> float:
     lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
     front = math.exp(lbeta)
     if x < (a + 1.0) / (a + b + 2.0):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
+        return front * _converged_fraction(a, b, x) / a
+    return 1.0 - front * _converged_fraction(b, a, 1.0 - x) / b
 
 
 def t_sf(t: float, df: float) -> float:

@@ -53,24 +53,19 @@ def summary_report(report: DataFrame) -> DataFrame:
         (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("weighted_f1"))
 
 
-def roc_auc(df: DataFrame, positive: str, score: str, by: str | None = None, buckets: int = 1024) -> DataFrame:
+def roc_auc(df: DataFrame, positive: str, score: str, by: str | None = None) -> DataFrame:
     """EVA5: AUC by the trapezoid rule over the ROC points; ``positive`` is a
     0/1 column (one-vs-rest: label == class).
 
     Rows are reduced to (score, positives, negatives) per distinct score --
     tied scores form one ROC point.  The cumulative counts along descending
-    score are running sums in two levels (inside score buckets, plus earlier
-    buckets' totals), so even one huge class is spread over ``buckets`` tasks.
+    score are running sums over range partitions, so even one huge class, or
+    scores crowded in a narrow range, are spread over tasks of equal size.
     The previous ROC point is the running sum minus the point's own counts."""
     from tessera.operators.sequence import running_sums
     keys = [by] if by else []
     pts = df.groupBy(*keys, score).agg(F.sum(positive).alias("__p"), F.sum(F.lit(1) - F.col(positive)).alias("__n"))
-    r = pts.agg(F.min(score).alias("lo"), F.max(score).alias("hi")).first()
-    lo, hi = (r["lo"], r["hi"]) if r["lo"] is not None else (0.0, 0.0)
-    width = (hi - lo) / buckets if hi > lo else 1.0
-    # bucket index grows as the score falls (the running order is descending score)
-    bucket = F.floor((F.lit(hi) - F.col(score)) / F.lit(width))
-    x = running_sums(pts, by, [F.desc(score)], bucket, ["__p", "__n"])
+    x = running_sums(pts, by, [F.desc(score)], ["__p", "__n"])
     totals = pts.groupBy(*keys).agg(F.sum("__p").alias("__tot_p"), F.sum("__n").alias("__tot_n"))
     x = x.join(totals, keys) if keys else x.select(
         "*", *[F.lit(v).alias(k) for k, v in totals.first().asDict().items()])

@@ -134,14 +134,16 @@ def range_mean(df: DataFrame, key: str, day: str, value: str, days: int, out: st
     return df.withColumn("__d", F.to_date(day)).join(frame, [key, "__d"], "left").drop("__d")
 
 
-def running_sums(df: DataFrame, key: str | None, order: list, bucket: Column, cols: list[str],
-                 suffix: str = "_cum") -> DataFrame:
-    """Inclusive running sums of ``cols`` inside each key along ``order``, in
-    two levels like ``keyed_positions``: a window inside (key, bucket) plus the
-    totals of earlier buckets from a small (key, bucket) table.  ``bucket``
-    must be monotone in ``order``."""
+def running_sums(df: DataFrame, key: str | None, order: list, cols: list[str], suffix: str = "_cum") -> DataFrame:
+    """Inclusive running sums of ``cols`` inside each key along ``order``.
+
+    Rows are range-partitioned by key and order (so a hot key, or a narrow range
+    of values, is spread over as many tasks as its rows need) and written once
+    with their partition's number; sums run inside a partition, plus the key's
+    totals in earlier partitions (one row per key and partition)."""
+    from tessera.session import cut_lineage
     keys = [key] if key else []
-    x = df.withColumn("__bk", bucket)
+    x = cut_lineage(df.repartitionByRange(*keys, *order).withColumn("__bk", F.spark_partition_id()))
     local = W.partitionBy(*keys, "__bk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     for c in cols:
         x = x.withColumn(c + suffix, F.sum(c).over(local))

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from tessera.functions import scalars as sc
 from tessera.functions.distributions import norm_sf
 from tessera.operators import features as fe
-from tessera.operators import nulls, sampling
+from tessera.functions import text as tx
+from tessera.operators import joins, nulls, sampling
+from tessera.operators import profiling as pf
 from tessera.plans.registry import query
 from tessera.plans.sqlhash import h_sql
+from tessera.plans.views import flights, with_flights
 from tessera.sources.tables import load_table
 
 
@@ -281,3 +284,60 @@ def stt5(spark, sf):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("n", "n_samples", "empirical", F.lit(round(norm_sf(_Z), 6)).alias("normal_approx"))
+
+
+# ---- rules over rows they apply to -------------------------------------------
+
+@query("prj7_prefixed_columns", covers="PRJ7", sql="""
+SELECT n_nationkey, n_name AS home_n_name, n_regionkey AS home_n_regionkey FROM nation""")
+def prj7(spark, sf):
+    n = load_table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    return fe.rename_with_prefix(n, "home_", ["n_nationkey"])
+
+
+@query("flt2_nul4_delays_and_reasons", covers="FLT2 NUL4 NUL1", sql=with_flights("""
+SELECT coalesce(cancellation_reason, '__NA__') AS cancellation_reason, count(*) AS n_flights, round(avg(arrival_delay), 6) AS avg_delay
+FROM flights WHERE arrival_delay IS NOT NULL GROUP BY 1"""))
+def flt2(spark, sf):
+    f = nulls.drop_null_rows(flights(spark, sf), ["arrival_delay"])
+    f = nulls.fill_constants(f, {"cancellation_reason": "__NA__"})
+    return f.groupBy("cancellation_reason").agg(F.count(F.lit(1)).alias("n_flights"), F.round(F.avg("arrival_delay"), 6).alias("avg_delay"))
+
+
+@query("agg26_blank_reasons", covers="AGG26", sql=with_flights("""
+SELECT 'cancellation_reason' AS "column", round(avg(CAST(trim(coalesce(cancellation_reason, '')) = '' AS DOUBLE)), 6) AS empty_rate FROM flights
+UNION ALL SELECT 'blank', round(avg(CAST(flight_id % 3 <> 0 AS DOUBLE)), 6) FROM flights"""))
+def agg26b(spark, sf):
+    f = flights(spark, sf).withColumn("blank", F.when(F.col("flight_id") % 3 == 0, "x").otherwise("  "))
+    return pf.empty_text_rate(f, ["cancellation_reason", "blank"]).select("column", _r("empty_rate"))
+
+
+@query("joi9_orphan_parts", covers="JOI9", sql="""
+SELECT p_partkey % 10 AS last_digit, count(*) AS n_rows FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE p_partkey % 10 IN (0, 5) GROUP BY 1""")
+def joi9o(spark, sf):
+    # parts whose key ends in 0 or 5 are missing on the parent side
+    parents = load_table(spark, sf, "part").where(~F.pmod("p_partkey", F.lit(10)).isin(0, 5))
+    o = joins.orphans(load_table(spark, sf, "lineitem"), parents, "l_partkey", "p_partkey")
+    return o.groupBy(F.pmod("l_partkey", F.lit(10)).alias("last_digit")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("joi1_unmatched_role", covers="JOI1 JOI2", sql="""
+SELECT coalesce(n_name, 'none') AS home, count(*) AS n_customers FROM customer
+LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) n ON c_nationkey = n_nationkey GROUP BY 1""")
+def joi1u(spark, sf):
+    n = load_table(spark, sf, "nation").where("n_regionkey <> 0")
+    j = joins.role_join(load_table(spark, sf, "customer").select("c_custkey", "c_nationkey"), n, "c_nationkey", "n_nationkey", "home_")
+    return j.groupBy(F.coalesce("home_n_name", F.lit("none")).alias("home")).agg(F.count(F.lit(1)).alias("n_customers"))
+
+
+@query("txt1_letter_forms", covers="TXT1 FLT7", sql="""
+SELECT doc_id, length(translate(t, 'كي', 'کی')) AS n_chars, t LIKE '%ك%' OR t LIKE '%ي%' AS had_forms,
+       translate(t, 'كي', 'کی') LIKE '%ک%' AS has_kaf
+FROM (SELECT doc_id, translate(text, 'ky', 'كي') AS t FROM documents)""")
+def txt1f(spark, sf):
+    # Latin k and y of the documents stand in for the Arabic letter forms
+    d = load_table(spark, sf, "documents").select("doc_id", F.translate("text", "ky", "كي").alias("t"))
+    mapped = F.translate("t", tx.CHAR_MAP_FROM, tx.CHAR_MAP_TO)
+    return d.select("doc_id", F.length(mapped).alias("n_chars"), F.col("t").rlike("[كي]").alias("had_forms"),
+                    mapped.contains("ک").alias("has_kaf"))
