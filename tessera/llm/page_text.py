@@ -3,12 +3,13 @@
 Each page is tokenised once.  Structure rules leave out what is never article
 text (scripts, menus, forms, ..., and elements whose class, id or role names
 such a part); if the page has article (else main) elements with text, only
-their blocks count.  Every container element's subtree (tags and text) is
-hashed.  Spark counts, per host, on how many different main texts' pages a
-subtree occurs; a subtree on ``min_pages`` or more is site template and its
-blocks are deleted.  Prose elements (p, headings, quotes, ...) are not
-containers, so a passage that many articles share stays, and exact copies of a
-page count once.
+their blocks count.  Every container's and every prose element's subtree (tags
+and text) is hashed.  Spark counts, per host, on how many different main texts'
+pages a subtree occurs (exact copies of a page count once).  Site template is,
+and is deleted with its blocks, a container (div, section, list, ...) on
+``min_pages`` or more, and a prose element (p, heading, quote, ...) on
+``prose_pages`` or more that are also at least ``prose_share`` of the host's: a
+passage that many articles share is no template.
 
 Blocks end at block-level tags; white space inside a block (``<br>`` too)
 becomes one space; character references are decoded; blocks are joined by one
@@ -48,6 +49,7 @@ BLOCK = frozenset("""address article aside blockquote body caption center dd det
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search
 section summary table tbody td tfoot th thead tr ul""".split())
 CONTAINER = frozenset("aside details div dl footer form header nav ol section table ul figure menu center".split())
+PROSE = frozenset("blockquote dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
 #: A start tag ends an open element of these (and what is open inside it), up to the element that bounds the search.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
         "tbody": ("tbody", "thead", "tfoot", "tr", "td", "th"), "option": ("option",)}
@@ -84,14 +86,14 @@ def _names_part(attrs: str, among: frozenset) -> bool:
     return False
 
 
-def parse(html: str) -> tuple[list[tuple[str, list[int]]], set[int]]:
-    """Main blocks with the subtree digests of the containers they stand in, and
-    the digests of all containers with text."""
+def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
+    """Main blocks with the subtree digests of the containers and prose elements they stand
+    in; and the digests of all such elements with text, True for prose."""
     root = _Open("", False, "")
     stack = [root]
     blocks: list[tuple[str, str, list[_Open]]] = []
     text: list[str] = []
-    seen: set[int] = set()
+    seen: dict[int, bool] = {}
 
     def end_block() -> None:
         if text:
@@ -99,7 +101,7 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], set[int]]:
             text.clear()
             if s:
                 at = stack[-1]
-                blocks.append((s, at.main, [e for e in stack if e.tag in CONTAINER]))
+                blocks.append((s, at.main, [e for e in stack if e.tag in CONTAINER or e.tag in PROSE]))
 
     def close(n: int) -> None:
         """Close the elements above the first ``n``."""
@@ -110,8 +112,8 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], set[int]]:
             if e.parts:
                 e.digest = xxhash.xxh64_intdigest("\x00".join([e.tag, *e.parts])) - (1 << 63)
                 stack[-1].parts.append(f"<{e.digest}>")
-                if e.tag in CONTAINER:
-                    seen.add(e.digest)
+                if e.tag in CONTAINER or e.tag in PROSE:
+                    seen[e.digest] = e.tag in PROSE
 
     def add(s: str) -> None:
         if s:
@@ -194,7 +196,7 @@ def host_of(url: str | None) -> str:
 
 def parsed_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col``, ``url_col``, host, digest (of the html), content (digest of the main
-    text), blocks array<struct<text, inside array<bigint>>>, subtrees array<bigint>."""
+    text), blocks array<struct<text, inside array<bigint>>>, subtrees array<struct<digest, prose>>."""
     kept = only(pages, id_col, url_col, html_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,22 +209,25 @@ def parsed_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                 digest.append(xxhash.xxh64_intdigest(h or "") - (1 << 63))
                 content.append(xxhash.xxh64_intdigest("\n".join(s for s, _ in found)) - (1 << 63))
                 blocks.append([{"text": s, "inside": inside} for s, inside in found])
-                subtrees.append(list(seen))
+                subtrees.append([{"digest": d, "prose": p} for d, p in seen.items()])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(host, pa.string()), pa.array(digest, pa.int64()), pa.array(content, pa.int64()),
-                 pa.array(blocks, pa.list_(block)), pa.array(subtrees, pa.list_(pa.int64()))],
+                 pa.array(blocks, pa.list_(block)), pa.array(subtrees, pa.list_(pa.struct([("digest", pa.int64()), ("prose", pa.bool_())])))],
                 [id_col, url_col, "host", "digest", "content", "blocks", "subtrees"])
 
     kinds = ", ".join(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in (id_col, url_col))
     return kept.mapInArrow(run, f"{kinds}, host string, digest bigint, content bigint, "
-                                "blocks array<struct<text:string,inside:array<bigint>>>, subtrees array<bigint>")
+                                "blocks array<struct<text:string,inside:array<bigint>>>, subtrees array<struct<digest:bigint,prose:boolean>>")
 
 
-def templates(parsed: DataFrame, min_pages: int = 5) -> DataFrame:
-    """(host, subtree) of the subtrees on pages with ``min_pages`` or more different main texts."""
-    return (parsed.filter("host <> ''").select("host", "content", F.explode("subtrees").alias("subtree")).distinct()
-            .groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
-            .select("host", "subtree"))
+def templates(parsed: DataFrame, min_pages: int = 5, prose_pages: int = 10, prose_share: float = 0.5) -> DataFrame:
+    """(host, subtree) of the subtrees that are site template."""
+    named = parsed.filter("host <> ''")
+    hosts = named.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+    found = (named.select("host", "content", F.explode("subtrees").alias("s")).select("host", "content", "s.*").distinct()
+             .groupBy("host", F.col("digest").alias("subtree"), "prose").agg(F.count(F.lit(1)).alias("pages"))
+             .filter(F.col("pages") >= F.when(F.col("prose"), prose_pages).otherwise(min_pages)).join(hosts, "host"))
+    return found.filter(~F.col("prose") | (F.col("pages") >= prose_share * F.col("all_pages"))).select("host", "subtree").distinct()
 
 
 def main_text(pages: DataFrame, min_pages: int = 5, id_col: str = "page_id", url_col: str = "url",
@@ -230,13 +235,10 @@ def main_text(pages: DataFrame, min_pages: int = 5, id_col: str = "page_id", url
     """``id_col``, ``url_col``, ``text``, ``n_chars`` bigint of every page."""
     parsed = stored(parsed_pages(pages, id_col, url_col, html_col), "parsed-pages")
     around = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["inside"])))
-    plain = parsed.filter(F.size(around) == 0)  # no container around any block: nothing to delete
-    rest = parsed.filter(F.size(around) > 0)
-    hits = (rest.select("host", "digest", F.explode(around).alias("subtree")).distinct().join(templates(parsed, min_pages), ["host", "subtree"])
+    hits = (parsed.select("host", "digest", F.explode(around).alias("subtree")).distinct().join(templates(parsed, min_pages), ["host", "subtree"])
             .groupBy("host", "digest").agg(F.collect_set("subtree").alias("gone")))
-    rest = rest.join(hits, ["host", "digest"], "left")
-    whole = F.transform("blocks", lambda b: b["text"])
-    left = F.transform(F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["inside"], F.col("gone")), F.lit(False))), lambda b: b["text"])
-    out = (plain.select(id_col, url_col, F.array_join(whole, "\n").alias("text"))
-           .unionByName(rest.select(id_col, url_col, F.array_join(left, "\n").alias("text"))))
+    # Stored, so that its size is known: Spark broadcasts a small table and then shuffles no texts.
+    out = parsed.join(stored(hits, "template-hits"), ["host", "digest"], "left")
+    left = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["inside"], F.col("gone")), F.lit(False)))
+    out = out.select(id_col, url_col, F.array_join(F.transform(left, lambda b: b["text"]), "\n").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -46,6 +46,14 @@ def test_templates_per_host(spark, table_dir):
     assert sorted(got, key=str) == sorted([(*w, len(w[2])) for w in want], key=str)
 
 
+def test_prose_on_most_pages_of_a_host(spark, table_dir):
+    page = "<article><p>Read more of this every day</p><p>own {0}</p>{1}</article>"
+    rows = [(i, "http://a.example", page.format(i, "<p>in a third</p>" if i % 3 == 0 else "")) for i in range(30)]
+    rows += [(100 + i, "http://b.example", page.format(i, "")) for i in range(9)]
+    got = {r.page_id: r.text for r in q.op5_page_text(spark, table_dir(pages=pages(spark, rows))).collect()}
+    assert got[3] == "own 3\nin a third" and got[4] == "own 4" and got[104] == "Read more of this every day\nown 4"
+
+
 def test_empty(spark, table_dir):
     assert q.op5_page_text(spark, table_dir(pages=pages(spark, []))).collect() == []
 
