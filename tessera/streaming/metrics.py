@@ -35,14 +35,26 @@ def _bounds(w: str = "w") -> list[Column]:
     return [F.col(f"{w}.start").alias("start_time"), F.col(f"{w}.end").alias("end_time")]
 
 
+def windowed(txns: DataFrame, key: str, measures: dict[str, Column], window: str, slide: str | None = None,
+             time_col: str = "event_time", watermark: str | None = None) -> DataFrame:
+    """Aggregates per sliding (or tumbling) window and key: ``measures`` maps output names to
+    aggregate columns.  Partial aggregates before the shuffle, so a hot key costs one row per task and window."""
+    w = F.window(time_col, window, slide) if slide else F.window(time_col, window)
+    return (_wm(txns, time_col, watermark).groupBy(w.alias("w"), F.col(key))
+            .agg(*[c.alias(n) for n, c in measures.items()]).select(*_bounds(), key, *measures))
+
+
+def _metric(df: DataFrame, name: str, key: str, value: Column) -> DataFrame:
+    """A windowed aggregate as rows of the metric stream."""
+    return df.select("start_time", "end_time", F.lit(name).alias("metric"), F.col(key).cast("string").alias("dimension"), value.alias("value"))
+
+
 def sliding_category_commission(txns: DataFrame, time_col="event_time", category="merchant_category",
                                 commission="commission_amount", window=CATEGORY_WINDOW,
                                 slide=CATEGORY_SLIDE, watermark: str | None = None) -> DataFrame:
     """STR1: sliding window x category: total and average commission."""
-    df = _wm(txns, time_col, watermark)
-    return (df.groupBy(F.window(time_col, window, slide).alias("w"), F.col(category))
-              .agg(F.sum(commission).alias("total_commission"), F.avg(commission).alias("avg_commission"))
-              .select(*_bounds(), category, "total_commission", "avg_commission"))
+    return windowed(txns, category, {"total_commission": F.sum(commission), "avg_commission": F.avg(commission)},
+                    window, slide, time_col, watermark)
 
 
 def velocity_alerts(txns: DataFrame, time_col="event_time", customer="customer_id",
@@ -108,23 +120,16 @@ def union_alerts(*branches: DataFrame) -> DataFrame:
 def metric_commission_by_type(txns: DataFrame, time_col="event_time", ctype="commission_type",
                               commission="commission_amount", watermark: str | None = METRIC_WATERMARK) -> DataFrame:
     """STR6: metric A, sliding sum of commission per commission type."""
-    df = _wm(txns, time_col, watermark)
-    return (df.groupBy(F.window(time_col, WIN1, SLIDE1).alias("w"), F.col(ctype))
-              .agg(F.sum(commission).cast("double").alias("value"))
-              .select(*_bounds(), F.lit("total_commission_by_type").alias("metric"),
-                      F.col(ctype).cast("string").alias("dimension"), "value"))
+    x = windowed(txns, ctype, {"total": F.sum(commission)}, WIN1, SLIDE1, time_col, watermark)
+    return _metric(x, "total_commission_by_type", ctype, F.col("total").cast("double"))
 
 
 def metric_commission_ratio(txns: DataFrame, time_col="event_time", category="merchant_category",
                             commission="commission_amount", amount="amount",
                             watermark: str | None = METRIC_WATERMARK) -> DataFrame:
     """STR7: metric B, sum(commission) / sum(amount) per category."""
-    df = _wm(txns, time_col, watermark)
-    return (df.groupBy(F.window(time_col, WIN1, SLIDE1).alias("w"), F.col(category))
-              .agg(F.sum(commission).alias("tot_comm"), F.sum(amount).alias("tot_amt"))
-              .select(*_bounds(), F.lit("commission_ratio_by_category").alias("metric"),
-                      F.col(category).cast("string").alias("dimension"),
-                      F.try_divide(F.col("tot_comm").cast("double"), F.col("tot_amt")).alias("value")))
+    x = windowed(txns, category, {"commission": F.sum(commission), "amount": F.sum(amount)}, WIN1, SLIDE1, time_col, watermark)
+    return _metric(x, "commission_ratio_by_category", category, F.try_divide(F.col("commission").cast("double"), F.col("amount")))
 
 
 def metric_top_merchant(txns: DataFrame, time_col="event_time", merchant="merchant_id",
