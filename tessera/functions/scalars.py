@@ -86,6 +86,11 @@ def round_half_even(c, digits: int = 0) -> Column:
     return F.bround(_c(c), digits)
 
 
+def interaction(a, b) -> Column:
+    """SCA20: interaction product of two features (NULL if either is)."""
+    return _c(a) * _c(b)
+
+
 def softmax(c) -> Column:
     """SCA27: softmax over an array of logits (max-shifted)."""
     mx = F.array_max(_c(c))

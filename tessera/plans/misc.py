@@ -341,3 +341,13 @@ def txt1f(spark, sf):
     mapped = F.translate("t", tx.CHAR_MAP_FROM, tx.CHAR_MAP_TO)
     return d.select("doc_id", F.length(mapped).alias("n_chars"), F.col("t").rlike("[كي]").alias("had_forms"),
                     mapped.contains("ک").alias("has_kaf"))
+
+
+@query("sca20_interaction_products", covers="SCA20", sql="""
+SELECT l_orderkey, l_linenumber, round(l_quantity * l_discount, 6) AS quantity_x_discount,
+       round(l_extendedprice * CASE WHEN l_returnflag = 'R' THEN l_tax END, 6) AS price_x_tax FROM lineitem""")
+def sca20i(spark, sf):
+    li = load_table(spark, sf, "lineitem")
+    tax = F.when(F.col("l_returnflag") == "R", F.col("l_tax"))
+    return li.select("l_orderkey", "l_linenumber", F.round(sc.interaction("l_quantity", "l_discount"), 6).alias("quantity_x_discount"),
+                     F.round(sc.interaction("l_extendedprice", tax), 6).alias("price_x_tax"))

@@ -16,6 +16,8 @@ from tessera.operators import modeling as md
 from tessera.operators import sampling
 from tessera.plans.flights import flight_features
 from tessera.plans.registry import query
+from tessera.plans.sqlhash import split_sql
+from tessera.plans.views import with_flights
 from tessera.sources.tables import cores, load_table, spread
 from tessera.session import cut_lineage
 from tessera.streaming.runner import shared_path
@@ -71,6 +73,20 @@ def mod1l(spark, sf):
                                                           F.round(F.lit(float(m.intercept)), 1).alias("intercept"), "n_rows")
 
 
+@query("mod1_linear_beats_mean", covers="MOD1 SMP1 EVA1", sql=with_flights(f"""
+SELECT count(*) AS n_test, TRUE AS beats_mean FROM (
+  SELECT {split_sql(42, ["flight_id", "l_partkey"], {"train": 0.8, "test": 0.2})} AS split FROM flights WHERE arrival_delay IS NOT NULL)
+WHERE split = 'test'"""))
+def mod1b(spark, sf):
+    x = _flight_xy(spark, sf)
+    train, test = x.where("split = 'train'"), x.where("split = 'test'")
+    res = md.compare_regressors(spark, train, test, {"linear": md.regressors()["linear"]})
+    mean = train.agg(F.avg("label")).first()[0]
+    base = test.agg(F.count(F.lit(1)).alias("n_test"), F.sqrt(F.avg(F.pow(F.col("label") - F.lit(mean), 2))).alias("mean_rmse"))
+    rmse = res.first()["rmse"]
+    return base.select("n_test", (F.lit(rmse) <= F.col("mean_rmse")).alias("beats_mean"))
+
+
 @query("mod2_classifier_comparison", covers="MOD2 EVA4 EVA7")
 def mod2(spark, sf):
     x = _doc_xy(spark, sf)
@@ -164,6 +180,15 @@ def fea11(spark, sf):
     return p.select("vec_id", "label", F.col("pca")[0].alias("pc1"), F.col("pca")[1].alias("pc2"))
 
 
+@query("fea11_pca_properties", covers="FEA11", sql="""
+SELECT count(*) AS n_rows, CAST(0 AS DOUBLE) AS mean_pc1, CAST(0 AS DOUBLE) AS mean_pc2, TRUE AS ordered, TRUE AS uncorrelated FROM embeddings""")
+def fea11p(spark, sf):
+    p = md.pca_centered(load_table(spark, sf, "embeddings"), "embedding", 2)
+    a, b = F.col("pca")[0], F.col("pca")[1]
+    return p.agg(F.count(F.lit(1)).alias("n_rows"), F.abs(F.round(F.avg(a), 6)).alias("mean_pc1"), F.abs(F.round(F.avg(b), 6)).alias("mean_pc2"),
+                 (F.var_pop(a) >= F.var_pop(b)).alias("ordered"), (F.abs(F.corr(a, b)) < 1e-6).alias("uncorrelated"))
+
+
 @query("eva8_kmeans_silhouette_overlap", covers="EVA8")
 def eva8(spark, sf):
     e = load_table(spark, sf, "embeddings").withColumn("features", array_to_vector("embedding"))
