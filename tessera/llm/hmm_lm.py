@@ -14,9 +14,11 @@ them over tasks; the driver holds only the parameters.  All training texts
 count in every round.  The score is the exact likelihood of the whole token
 sequence by the scaled forward recursion.
 
-Counts of the ``LOOKUP`` most frequent tokens (of at most ``TOKEN_BYTES``
-bytes: a broadcast of at most LOOKUP * TOKEN_BYTES bytes) are looked up inside
-the tasks; all others meet the vocabulary in a join.
+Counts of the most frequent tokens (at most ``LOOKUP``, of at most
+``TOKEN_BYTES`` bytes: a broadcast of at most LOOKUP * TOKEN_BYTES bytes) are
+looked up inside the tasks; all others meet the vocabulary in a join.  Which
+ones are frequent is read from a histogram of the counts' logarithms, so only
+these tokens come to the driver.
 
 Defined cases: null and empty texts are one end token; rows with a null id are
 training rows; without training tokens every token is unknown; repeated rows
@@ -45,7 +47,7 @@ CLASSES = 1 << 13
 LOOKUP = 1 << 17
 TOKEN_BYTES = 64
 #: Tokens that one recursion holds in memory; one longer text is a recursion of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -105,9 +107,16 @@ class Lookup:
 
 def lookup_of(vocab: DataFrame) -> Lookup:
     sums = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = (vocab.filter(F.octet_length("token") <= TOKEN_BYTES).orderBy(F.desc("n"), "token").limit(LOOKUP).toPandas())
+    short = vocab.filter(F.octet_length("token") <= TOKEN_BYTES).withColumn("size", F.floor(F.log2("n") * 64))
+    least, held = None, 0
+    for r in sorted(short.groupBy("size").agg(F.count(F.lit(1)).alias("tokens")).collect(), reverse=True):  # at most 64 a power of two
+        if held + r["tokens"] > LOOKUP:
+            break
+        least, held = r["size"], held + r["tokens"]
+    top = short.filter(F.col("size") >= least if least is not None else F.lit(False)).select("token", "class", "n").toPandas()
+    top = top.assign(token=[bytes(t) for t in top["token"]]).sort_values(["n", "token"], ascending=[False, True], ignore_index=True)
     per_class = vocab.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
-    words = [bytes(t) for t in top["token"]]
+    words = list(top["token"])
     if END not in words[:HMM_HEAD] and END in words:
         i = words.index(END)
         words.insert(0, words.pop(i))
