@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.session import ensure_checkpoint_dir
 
 #: Text handled at once inside a Python task; one longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

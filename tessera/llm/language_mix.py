@@ -207,7 +207,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lm = shared.value
-        for b in slices(batches, 0, 4 << 20):
+        for b in slices(batches, 0, 2 << 20):
             found = [word_counts(t) for t in b.column(0).to_pylist()]
             at = [i for i, c in enumerate(found) if c] if lm else []
             lang, score, mix, ll = ["und"] * len(found), [0.0] * len(found), [None] * len(found), [None] * len(found)
