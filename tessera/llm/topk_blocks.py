@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import only, stored
+from tessera.llm.common import only, shared_path, stored
 
 BLOCK = 512
 GROUP = 2048
@@ -151,15 +151,16 @@ def _search(batches: Iterator[pd.DataFrame], qid: np.ndarray, q: np.ndarray, flo
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` best rows for every row where ``is_query`` (on column ``id``)."""
+    schema = "query_id bigint, vec_id bigint, score bigint"
     rows = stored(scaled(vectors, id_col, vec_col), "vectors")
     blocks = stored(blocks_of(rows), "vector-blocks")
     spark = vectors.sparkSession
     queries = rows.filter(is_query).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(1)))
     groups = max(1, -(-queries.count() // GROUP))
     queries = stored(queries.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(groups))), "queries", ["part"])
-    found = None
+    path = shared_path(spark, "top-k")
     for g in range(groups):
-        # One group at a time: about GROUP rows, sent to every task.
+        # One group at a time: about GROUP rows, sent to every task; its results are written before the next.
         mine = queries.filter(F.col("part") == g).select("id", "v").toPandas().sort_values("id")
         if not len(mine):
             continue
@@ -171,10 +172,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
         def run(batches: Iterator[pd.DataFrame], shared=shared, floor=floor) -> Iterator[pd.DataFrame]:
             return _search(batches, *shared.value, floor.value, k)
 
-        part = blocks.mapInPandas(run, "query_id bigint, vec_id bigint, score bigint")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], "query_id bigint, vec_id bigint, score bigint")
+        blocks.mapInPandas(run, schema).write.mode("append").parquet(path)
+        shared.unpersist()
+        floor.unpersist()
+    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    found = spark.read.schema(schema).parquet(path)
     best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("i")))), 1, k)
     return (found.groupBy("query_id").agg(best.alias("top")).select("query_id", F.posexplode("top"))
             .select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("col.i").alias("vec_id"), (-F.col("col.s")).alias("score")))
