@@ -13,14 +13,18 @@
 from __future__ import annotations
 
 import math
+import uuid
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, ensure_checkpoint_dir
 
 RRF_K = 60          # fixed constant of reciprocal-rank fusion
 BM25_K1, BM25_B = 1.2, 0.75
@@ -57,11 +61,20 @@ def in_blocks(df: DataFrame, id_col: str, *cols: str, block: int = BLOCK):
             yield rows
 
 
-def _all(parts: list[DataFrame], spark, schema: str) -> DataFrame:
-    out = parts[0] if parts else spark.createDataFrame([], schema)
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _all(parts: Iterator[tuple[DataFrame, Broadcast]], spark, schema) -> DataFrame:
+    """The rows of all blocks.  A single block stays a plan; of several, each is written to the
+    shared folder before the next is made, so that the driver holds one block at a time."""
+    first = next(parts, None)
+    if first is None:
+        return spark.createDataFrame([], schema)
+    second = next(parts, None)
+    if second is None:
+        return first[0]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blocks-{uuid.uuid4().hex}"
+    for df, sent in chain([first, second], parts):
+        df.write.mode("append").parquet(path)
+        sent.unpersist()
+    return spark.read.schema(first[0].schema).parquet(path)
 
 
 def _distances(x: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -107,9 +120,9 @@ def vector_search(corpus: DataFrame, queries: DataFrame, id_col: str, vec_col: s
             if ids is not None:
                 yield pd.DataFrame({"query_id": np.repeat(ids_q, dist.shape[1]), id_col: ids.reshape(-1), "distance": dist.reshape(-1)})
 
-        return corpus.select(id_col, vec_col).mapInPandas(score, schema)
+        return corpus.select(id_col, vec_col).mapInPandas(score, schema), shared
 
-    parts = [search(rows) for rows in in_blocks(queries, qid_col, qvec_col, block=block)]
+    parts = (search(rows) for rows in in_blocks(queries, qid_col, qvec_col, block=block))
     top = topk_per_query(_all(parts, spark, schema), "query_id", id_col, "distance", k, descending=False)
     return top.withColumn("similarity", F.lit(1.0) - F.col("distance"))
 
@@ -136,9 +149,9 @@ def centroid_distances(corpus: DataFrame, centroids: DataFrame, id_col: str, vec
                     out["dist"] = d.reshape(-1)
                     yield pd.DataFrame(out)
 
-        return corpus.select(id_col, vec_col, *keep).mapInPandas(run, schema)
+        return corpus.select(id_col, vec_col, *keep).mapInPandas(run, schema), shared
 
-    return _all([part(rows) for rows in in_blocks(centroids, cid_col, cvec_col)], spark, schema)
+    return _all((part(rows) for rows in in_blocks(centroids, cid_col, cvec_col)), spark, schema)
 
 
 def nearest_centroid(corpus: DataFrame, centroids: DataFrame, id_col: str, vec_col: str, cid_col: str, cvec_col: str,
@@ -162,13 +175,11 @@ def nearest_centroid(corpus: DataFrame, centroids: DataFrame, id_col: str, vec_c
                     best = d.argmin(axis=1)
                     yield pd.DataFrame({**{c: x[c].to_numpy() for c in (id_col, *keep)}, out: ids_c[best], "dist": d[np.arange(len(x)), best]})
 
-        return corpus.select(id_col, vec_col, *keep).mapInPandas(run, schema)
+        return corpus.select(id_col, vec_col, *keep).mapInPandas(run, schema), shared
 
-    parts = [part(rows) for rows in in_blocks(centroids, cid_col, cvec_col)]
-    if len(parts) <= 1:
-        return _all(parts, spark, schema)
-    return _all(parts, spark, schema).groupBy(id_col, *keep).agg(
-        F.min_by(out, F.struct("dist", out)).alias(out), F.min("dist").alias("dist"))
+    found = _all((part(rows) for rows in in_blocks(centroids, cid_col, cvec_col)), spark, schema)
+    # the best of each block of centroids: one row a vector where there is one block
+    return found.groupBy(id_col, *keep).agg(F.min_by(out, F.struct("dist", out)).alias(out), F.min("dist").alias("dist"))
 
 
 def bm25_index(docs: DataFrame, id_col: str, tokens: str) -> tuple[DataFrame, DataFrame, dict]:
@@ -253,9 +264,9 @@ def bm25_search(index, queries: DataFrame, qid_col: str, qtokens: str, id_col: s
             if sum(size):
                 yield pd.DataFrame({"query_id": np.repeat(ids_q, size), id_col: np.concatenate(best_id), "score": np.concatenate(best)})
 
-        return docs.mapInPandas(score, schema)
+        return docs.mapInPandas(score, schema), shared
 
-    parts = [search(rows) for rows in in_blocks(queries, qid_col, qtokens, block=block)]
+    parts = (search(rows) for rows in in_blocks(queries, qid_col, qtokens, block=block))
     return topk_per_query(_all(parts, spark, schema), "query_id", id_col, "score", k)
 
 
