@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -200,6 +201,23 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("digest"), F.col(text_col).cast("binary").alias("data"))
 
 
+def _packed(keyed: DataFrame) -> DataFrame:
+    """Texts compressed for the shuffle of a join (a task unpacks them again)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for b in slices(batches, 2):
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([pack(t) if t else t for t in b.column(2).to_pylist()], pa.binary())],
+                                             ["doc", "digest", "data"])
+
+    return keyed.mapInArrow(run, f"doc {keyed.schema['doc'].dataType.simpleString()}, digest bigint, data binary")
+
+
+def _unpacked(column: pa.Array) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(t) if t else b"" for t in column.to_pylist()]
+
+
 def _same_key(a: DataFrame, b: DataFrame):
     return a["doc"].eqNullSafe(b["d"]) & (a["digest"] == b["x"])
 
@@ -227,12 +245,13 @@ def _shipped(keyed: DataFrame, mixed: DataFrame) -> DataFrame:
     """One copy of the bytes of every context in ``mixed``."""
     wanted = (mixed.select("holder.doc", "holder.digest", F.struct("holder.start", "size", "gram", "context", "shard", "parts").alias("c"))
               .groupBy(F.col("doc").alias("d"), F.col("digest").alias("x")).agg(F.collect_list("c").alias("wanted")))
-    pairs = keyed.join(wanted, _same_key(keyed, wanted)).select("data", "wanted")
+    texts = _packed(keyed)
+    pairs = texts.join(wanted, _same_key(texts, wanted)).select("data", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 0):
+        for b in slices(batches, 0, SLICE):
             rows = [(w["shard"], w["gram"], w["context"], w["parts"], t[w["start"]:w["start"] + w["size"]])
-                    for t, ws in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for w in ws]
+                    for t, ws in zip(_unpacked(b.column(0)), b.column(1).to_pylist(), strict=True) for w in ws]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(
                 (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["shard", "gram", "context", "parts", "data"])
 
@@ -306,6 +325,7 @@ def repeated_ranges(keyed: DataFrame, window: int) -> DataFrame:
     whole = (each.filter("times > 1").select("gram", "context", F.array(F.struct(F.lit(0).alias("a"), (F.col("size") - window).alias("b"))).alias("ranges")))
     ranges = (whole.unionByName(sharded.filter(F.size("ranges") > 0).select("gram", "context", "ranges"))
               .unionByName(_merged(sharded)).groupBy("gram", "context").agg(F.flatten(F.collect_list("ranges")).alias("ranges")))
+    ranges = stored(ranges, "ranges")  # read back, so that Spark may split a context that very many texts hold
     return (occ.select("doc", "digest", "start", "gram", "context").join(ranges, ["gram", "context"])
             .select("doc", "digest", F.transform("ranges", lambda r: F.struct((r["a"] + F.col("start")).alias("a"), (r["b"] + F.col("start")).alias("b"))).alias("s"))
             .groupBy(F.col("doc").alias("d"), F.col("digest").alias("x")).agg(F.flatten(F.collect_list("s")).alias("spans")))
@@ -316,15 +336,15 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     maximal, in order) and ``kept`` binary of every row."""
     keyed = _keyed(docs, id_col, text_col)
     spans = repeated_ranges(keyed, window)
-    pairs = keyed.join(spans, _same_key(keyed, spans), "left").select("doc", "data", "spans")
+    texts = _packed(keyed)
+    pairs = texts.join(spans, _same_key(texts, spans), "left").select("doc", "data", "spans")
     kind = pairs.schema["doc"].dataType.simpleString()
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, SLICE):
             sizes, cuts, kept = [], [], []
-            for t, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                t = t or b""
+            for t, found in zip(_unpacked(b.column(1)), b.column(2).to_pylist(), strict=True):
                 out: list[dict] = []
                 for r in sorted(found or [], key=lambda r: r["a"]):
                     if out and r["a"] <= out[-1]["end"]:
