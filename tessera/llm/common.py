@@ -43,10 +43,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: list[str] | None = None, compression: str = "snappy") -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
     path = shared_path(df.sparkSession, name)
-    w = df.write
+    w = df.write.option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -233,11 +233,12 @@ def templates(parsed: DataFrame, min_pages: int = 5, prose_pages: int = 10, pros
 def main_text(pages: DataFrame, min_pages: int = 5, id_col: str = "page_id", url_col: str = "url",
               html_col: str = "html") -> DataFrame:
     """``id_col``, ``url_col``, ``text``, ``n_chars`` bigint of every page."""
-    parsed = stored(parsed_pages(pages, id_col, url_col, html_col), "parsed-pages")
+    parsed = stored(parsed_pages(pages, id_col, url_col, html_col), "parsed-pages", compression="zstd")
     around = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["inside"])))
-    hits = (parsed.select("host", "digest", F.explode(around).alias("subtree")).distinct().join(templates(parsed, min_pages), ["host", "subtree"])
+    # Stored tables have a known size: Spark broadcasts a small one, and then shuffles no pages.
+    known = stored(templates(parsed, min_pages), "templates")
+    hits = (parsed.select("host", "digest", F.explode(around).alias("subtree")).join(known, ["host", "subtree"])
             .groupBy("host", "digest").agg(F.collect_set("subtree").alias("gone")))
-    # Stored, so that its size is known: Spark broadcasts a small table and then shuffles no texts.
     out = parsed.join(stored(hits, "template-hits"), ["host", "digest"], "left")
     left = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["inside"], F.col("gone")), F.lit(False)))
     out = out.select(id_col, url_col, F.array_join(F.transform(left, lambda b: b["text"]), "\n").alias("text"))
