@@ -5,11 +5,13 @@ text (scripts, menus, forms, ..., and elements whose class, id or role names
 such a part); if the page has article (else main) elements with text, only
 their blocks count.  Every container's and every prose element's subtree (tags
 and text) is hashed.  Spark counts, per host, on how many different main texts'
-pages a subtree occurs (exact copies of a page count once).  Site template is,
-and is deleted with its blocks, a container (div, section, list, ...) on
-``min_pages`` or more, and a prose element (p, heading, quote, ...) on
-``prose_pages`` or more that are also at least ``prose_share`` of the host's: a
-passage that many articles share is no template.
+pages a subtree occurs.  Main texts that are equal or nearly equal count once:
+they meet in bands of min-hashes of their word pairs, links are kept where the
+whole signatures agree to ``NEAR``, and linked texts are one group.  Site
+template is, and is deleted with its blocks, a container (div, section, list,
+...) on ``min_pages`` or more groups, and a prose element (p, heading, quote,
+...) on ``prose_pages`` or more, if these are also at least ``share`` of the
+host's groups: a passage, list or table that many articles share is no template.
 
 Blocks end at block-level tags; white space inside a block (``<br>`` too)
 becomes one space; character references are decoded; blocks are joined by one
@@ -28,14 +30,19 @@ import re
 from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import only, slices, stored
+from tessera.llm.components import components
 
 MAX_DEPTH = 512
+#: Min-hashes of a main text: bands of so many rows; of near-equal texts this share agrees at least.
+BANDS, BAND_ROWS, NEAR = 20, 6, 0.76
+_HASHES = np.random.default_rng(5).integers(0, 1 << 64, size=(2, BANDS * BAND_ROWS, 1), dtype=np.uint64) | np.uint64(1)
 TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)"""
                  r"""(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+(?:>|\Z)|[^>]*(?:>|\Z)))""", re.S)
 ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
@@ -189,13 +196,25 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
     return [(s, [e.digest for e in inside]) for s, _, inside in blocks], seen
 
 
+def signature(text: str) -> bytes:
+    """Two bytes of each min-hash over the pairs of neighbouring words, the ends of the text included."""
+    words = ["", *text.split(), ""]
+    pairs = np.fromiter({xxhash.xxh64_intdigest(f"{a} {b}") for a, b in zip(words, words[1:])}, dtype=np.uint64)
+    low = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, len(pairs), 4096):
+        h = pairs[i:i + 4096] * _HASHES[0] + _HASHES[1]
+        h ^= h >> np.uint64(32)
+        low = np.minimum(low, (h * _HASHES[1]).min(axis=1))
+    return (low >> np.uint64(24)).astype("<u2").tobytes()
+
+
 def host_of(url: str | None) -> str:
     m = re.match(r"\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", url or "")
     return m[1].rpartition("@")[2].partition(":")[0].lower() if m else ""
 
 
 def parsed_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``id_col``, ``url_col``, host, digest (of the html), content (digest of the main
+    """``id_col``, ``url_col``, host, digest (of the html), content and signature (of the main
     text), blocks array<struct<text, inside array<bigint>>>, subtrees array<struct<digest, prose>>."""
     kept = only(pages, id_col, url_col, html_col)
 
@@ -203,31 +222,55 @@ def parsed_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         block = pa.struct([("text", pa.string()), ("inside", pa.list_(pa.int64()))])
         for b in slices(batches, 2):
             host = [host_of(u) for u in b.column(1).to_pylist()]
-            digest, content, blocks, subtrees = [], [], [], []
+            digest, content, signatures, blocks, subtrees = [], [], [], [], []
             for h in b.column(2).to_pylist():
                 found, seen = parse(h or "")
                 digest.append(xxhash.xxh64_intdigest(h or "") - (1 << 63))
-                content.append(xxhash.xxh64_intdigest("\n".join(s for s, _ in found)) - (1 << 63))
+                main = "\n".join(s for s, _ in found)
+                content.append(xxhash.xxh64_intdigest(main) - (1 << 63))
+                signatures.append(signature(main))
                 blocks.append([{"text": s, "inside": inside} for s, inside in found])
                 subtrees.append([{"digest": d, "prose": p} for d, p in seen.items()])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(host, pa.string()), pa.array(digest, pa.int64()), pa.array(content, pa.int64()),
-                 pa.array(blocks, pa.list_(block)), pa.array(subtrees, pa.list_(pa.struct([("digest", pa.int64()), ("prose", pa.bool_())])))],
-                [id_col, url_col, "host", "digest", "content", "blocks", "subtrees"])
+                 pa.array(signatures, pa.binary()), pa.array(blocks, pa.list_(block)), pa.array(subtrees, pa.list_(pa.struct([("digest", pa.int64()), ("prose", pa.bool_())])))],
+                [id_col, url_col, "host", "digest", "content", "signature", "blocks", "subtrees"])
 
     kinds = ", ".join(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in (id_col, url_col))
-    return kept.mapInArrow(run, f"{kinds}, host string, digest bigint, content bigint, "
+    return kept.mapInArrow(run, f"{kinds}, host string, digest bigint, content bigint, signature binary, "
                                 "blocks array<struct<text:string,inside:array<bigint>>>, subtrees array<struct<digest:bigint,prose:boolean>>")
 
 
-def templates(parsed: DataFrame, min_pages: int = 5, prose_pages: int = 10, prose_share: float = 0.5) -> DataFrame:
+def text_groups(parsed: DataFrame) -> DataFrame:
+    """(node, group): distinct main texts of a host (``node`` is the hash of both) with the
+    least node of their near-equal texts; texts without such are left out."""
+    texts = (parsed.filter("host <> ''").select(F.xxhash64("host", "content").alias("node"), "host", "signature")
+             .dropDuplicates(["node"]))
+    width = 2 * BAND_ROWS
+    band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(
+        "host", b, F.substring("signature", b * width + 1, F.lit(width)))))
+    bands = stored(texts.select("node", band.alias("band")), "text-bands")
+    # Links go to the least text of a band, so that a group of n has at most n - 1 links a band.
+    first = bands.groupBy("band").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "least")
+    links = bands.join(first, "band").filter("node <> least").select("node", "least").distinct()
+    sig = texts.select("node", "signature")
+    links = (links.join(sig, "node").withColumnRenamed("signature", "s")
+             .join(sig.select(F.col("node").alias("least"), F.col("signature").alias("t")), "least"))
+    at = F.sequence(F.lit(0), F.lit(BANDS * BAND_ROWS - 1))
+    equal = F.size(F.filter(at, lambda i: F.substring("s", i * 2 + 1, F.lit(2)) == F.substring("t", i * 2 + 1, F.lit(2))))
+    near = links.filter(equal >= NEAR * BANDS * BAND_ROWS).select(F.col("node").alias("u"), F.col("least").alias("v"))
+    return components(near).select(F.col("u").alias("node"), F.col("v").alias("group"))
+
+
+def templates(parsed: DataFrame, min_pages: int = 5, prose_pages: int = 10, share: float = 0.5) -> DataFrame:
     """(host, subtree) of the subtrees that are site template."""
-    named = parsed.filter("host <> ''")
-    hosts = named.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
-    found = (named.select("host", "content", F.explode("subtrees").alias("s")).select("host", "content", "s.*").distinct()
+    named = parsed.filter("host <> ''").select("host", F.xxhash64("host", "content").alias("node"), "subtrees")
+    named = named.join(text_groups(parsed), "node", "left").withColumn("group", F.coalesce("group", "node"))
+    hosts = named.select("host", "group").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+    found = (named.select("host", "group", F.explode("subtrees").alias("s")).select("host", "group", "s.*").distinct()
              .groupBy("host", F.col("digest").alias("subtree"), "prose").agg(F.count(F.lit(1)).alias("pages"))
              .filter(F.col("pages") >= F.when(F.col("prose"), prose_pages).otherwise(min_pages)).join(hosts, "host"))
-    return found.filter(~F.col("prose") | (F.col("pages") >= prose_share * F.col("all_pages"))).select("host", "subtree").distinct()
+    return found.filter(F.col("pages") >= share * F.col("all_pages")).select("host", "subtree").distinct()
 
 
 def main_text(pages: DataFrame, min_pages: int = 5, id_col: str = "page_id", url_col: str = "url",

@@ -54,6 +54,22 @@ def test_prose_on_most_pages_of_a_host(spark, table_dir):
     assert got[3] == "own 3\nin a third" and got[4] == "own 4" and got[104] == "Read more of this every day\nown 4"
 
 
+def test_hot_host_with_shared_lists_and_near_copies(spark, table_dir):
+    """Lists, tables and wrapped passages that a part of the articles share stay; near copies make no template."""
+    words = lambda i, n: " ".join(f"w{(i * 7919 + k * k * 31 + k) % 4999}" for k in range(n))
+    shared = ["<ul><li>milk</li><li>eggs</li></ul>", "<table><tr><td>1</td></tr></table>", "<div><p>wrapped passage</p></div>"]
+    page = "<div><div>Follow us everywhere</div><article><h1>Title {0}</h1><p>{1}</p>{2}</article></div>"
+    rows = [(i, "http://hot.example", page.format(i, words(i, 40), shared[i % 3] if i < 60 else "")) for i in range(200)]
+    near = "<article><h1>One title for all</h1><p>a common opening of the copies</p><p>{}</p></article>"
+    copy = [near.format(" ".join([*words(900, 80).split()[:k], f"changed{k}", *words(900, 80).split()[k + 1:]])) for k in range(60)]
+    rows += [(1000 + k, "http://hot.example", h) for k, h in enumerate(copy)]  # beside other articles
+    rows += [(2000 + k, "http://b.example", h) for k, h in enumerate(copy)]  # most pages of their host
+    rows += [(3000 + k, "http://b.example", page.format(k, words(5000 + k, 40), "")) for k in range(9)]
+    got = {r.page_id: r.text for r in q.op5_page_text(spark, table_dir(pages=pages(spark, rows))).collect()}
+    assert all(got[i].endswith(("milk\neggs", "1", "wrapped passage")[i % 3]) for i in range(60))
+    assert all(got[b + k].startswith("One title for all\na common opening of the copies\n") for b in (1000, 2000) for k in range(60))
+
+
 def test_empty(spark, table_dir):
     assert q.op5_page_text(spark, table_dir(pages=pages(spark, []))).collect() == []
 
