@@ -19,14 +19,16 @@ newline in page order.
 
 Defined cases: null or empty html gives an empty text of 0 characters; pages
 without a host are not compared with others; unclosed tags, comments and quotes
-run to the end of the page; elements nested deeper than ``MAX_DEPTH`` count as
-children of the last one (their text is kept); repeated rows give equal texts;
-extra columns are ignored; an empty table gives an empty table.
+run to the end of the page; a block names at most the ``MAX_AROUND`` innermost
+containers and prose elements around it, all elements are followed at any depth;
+repeated rows give equal texts; extra columns are ignored; an empty table gives an
+empty table.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import only, slices, stored
 from tessera.llm.components import components
 
-MAX_DEPTH = 512
+MAX_AROUND = 512
 #: Min-hashes of a main text: bands of so many rows; of near-equal texts this share agrees at least.
 BANDS, BAND_ROWS, NEAR = 20, 6, 0.76
 _HASHES = np.random.default_rng(5).integers(0, 1 << 64, size=(2, BANDS * BAND_ROWS, 1), dtype=np.uint64) | np.uint64(1)
@@ -98,6 +100,8 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
     in; and the digests of all such elements with text, True for prose."""
     root = _Open("", False, "")
     stack = [root]
+    around: list[_Open] = []  # the open containers and prose elements
+    opened: Counter = Counter()  # how many elements of each tag are open
     blocks: list[tuple[str, str, list[_Open]]] = []
     text: list[str] = []
     seen: dict[int, bool] = {}
@@ -107,8 +111,7 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
             s = " ".join("".join(text).split())
             text.clear()
             if s:
-                at = stack[-1]
-                blocks.append((s, at.main, [e for e in stack if e.tag in CONTAINER or e.tag in PROSE]))
+                blocks.append((s, stack[-1].main, around[-MAX_AROUND:]))
 
     def close(n: int) -> None:
         """Close the elements above the first ``n``."""
@@ -116,6 +119,9 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
             if stack[-1].tag in BLOCK:
                 end_block()
             e = stack.pop()
+            opened[e.tag] -= 1
+            if around and around[-1] is e:
+                around.pop()
             if e.parts:
                 e.digest = xxhash.xxh64_intdigest("\x00".join([e.tag, *e.parts])) - (1 << 63)
                 stack[-1].parts.append(f"<{e.digest}>")
@@ -142,20 +148,17 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
         if not tag:
             continue
         if m["end"]:
-            for n in range(len(stack) - 1, 0, -1):
-                if stack[n].tag == tag:
-                    close(n)
-                    break
-            else:
-                if tag in BLOCK:
-                    end_block()
+            if opened[tag]:
+                close(next(n for n in range(len(stack) - 1, 0, -1) if stack[n].tag == tag))
+            elif tag in BLOCK:
+                end_block()
             continue
         if tag == "br":
             if not stack[-1].out:
                 text.append(" ")
             continue
         if tag in BLOCK:
-            for n in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
+            for n in range(len(stack) - 1 if opened["p"] else 0, 0, -1):  # a block ends an open paragraph
                 if stack[n].tag == "p":
                     close(n)
                     break
@@ -171,8 +174,6 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
                     break
         if tag in VOID or m["attrs"].endswith("/>") and tag not in BLOCK:
             continue
-        if len(stack) > MAX_DEPTH:
-            continue
         up = stack[-1]
         out = up.out or tag in LEFT_OUT or tag == "header" and up.main != "article"
         if not out and tag not in ("html", "body", "main"):
@@ -181,6 +182,9 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
         if out:
             end_block()
         stack.append(_Open(tag, out, main))
+        opened[tag] += 1
+        if tag in CONTAINER or tag in PROSE:
+            around.append(stack[-1])
         if tag in RAW:
             at = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(html, pos)
             stop = at.start() if at else size

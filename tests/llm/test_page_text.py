@@ -28,6 +28,15 @@ def test_structure(html, text):
     assert "\n".join(s for s, _ in page_text.parse(html or "")[0]) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<div><article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>rest</p></article></div><p>out", "deep\nrest"),
+    ("<div>" * 600 + "<script>a</script><style>b</style><nav>c</nav><div class='ad'>d</div><p>kept", "kept"),
+    ("<article>" + "<b>" * 900 + "x" + "</b>" * 900 + "<ul><li>y<li>z</ul></article>no", "x\ny\nz")])
+def test_deep_nesting(html, text):
+    blocks = page_text.parse(html)[0]
+    assert "\n".join(s for s, _ in blocks) == text and all(len(inside) <= page_text.MAX_AROUND for _, inside in blocks)
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "1 AS host", "'b' AS blocks", "3 AS content")
 
