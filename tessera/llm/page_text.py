@@ -2,8 +2,7 @@
 
 Each page is tokenised once.  Structure rules leave out what is never article
 text (scripts, menus, forms, ..., and elements whose class, id or role names
-such a part); if the page has article (else main) elements with text, only
-their blocks count.  Every container's and every prose element's subtree (tags
+such a part).  Every container's and every prose element's subtree (tags
 and text) is hashed.  Spark counts, per host, on how many different main texts'
 pages a subtree occurs.  Main texts that are equal or nearly equal count once:
 they meet in bands of min-hashes of their word pairs, links are kept where the
@@ -13,6 +12,11 @@ template is, and is deleted with its blocks, a container (div, section, list,
 ...) on ``prose_pages`` or more, if these are also at least ``share`` of the
 host's groups: a passage, list or table that many articles share is no template.
 
+Templates are counted and deleted on the whole page.  Of the blocks left, those
+in article elements are the text where they hold at least ``ARTICLE`` of the
+characters left (in main, if the page has such text); else all blocks left (in
+main) are: an article element that is only a teaser does not displace the body.
+
 Blocks end at block-level tags; white space inside a block (``<br>`` too)
 becomes one space; character references are decoded; blocks are joined by one
 newline in page order.
@@ -35,7 +39,7 @@ from html import unescape
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import only, slices, stored
@@ -44,6 +48,8 @@ from tessera.llm.components import components
 MAX_AROUND = 512
 #: Min-hashes of a main text: bands of so many rows; of near-equal texts this share agrees at least.
 BANDS, BAND_ROWS, NEAR = 20, 6, 0.76
+#: Where a block stands (flags), and the share of the text that article elements must hold to be all of it.
+IN_MAIN, IN_ARTICLE, ARTICLE = 1, 2, 1 / 3
 _HASHES = np.random.default_rng(5).integers(0, 1 << 64, size=(2, BANDS * BAND_ROWS, 1), dtype=np.uint64) | np.uint64(1)
 TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)"""
                  r"""(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+(?:>|\Z)|[^>]*(?:>|\Z)))""", re.S)
@@ -76,10 +82,10 @@ COMMENTS = frozenset("comment comments disqus reply replies respond discussion".
 class _Open:
     """An element that is not closed yet."""
 
-    __slots__ = ("digest", "main", "out", "parts", "tag")
+    __slots__ = ("digest", "out", "parts", "place", "tag")
 
-    def __init__(self, tag: str, out: bool, main: str):
-        self.tag, self.out, self.main = tag, out, main  # out: left out; main: "", "main" or "article"
+    def __init__(self, tag: str, out: bool, place: int):
+        self.tag, self.out, self.place = tag, out, place  # out: left out; place: flags
         self.parts: list[str] = []
         self.digest = 0
 
@@ -95,14 +101,15 @@ def _names_part(attrs: str, among: frozenset) -> bool:
     return False
 
 
-def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
-    """Main blocks with the subtree digests of the containers and prose elements they stand
-    in; and the digests of all such elements with text, True for prose."""
-    root = _Open("", False, "")
+def page_blocks(html: str) -> tuple[list[tuple[str, int, list[int]]], dict[int, bool]]:
+    """All blocks that are not left out, with the flags of their place and the subtree digests of
+    the containers and prose elements they stand in; and the digests of all such elements with
+    text, True for prose."""
+    root = _Open("", False, 0)
     stack = [root]
     around: list[_Open] = []  # the open containers and prose elements
     opened: Counter = Counter()  # how many elements of each tag are open
-    blocks: list[tuple[str, str, list[_Open]]] = []
+    blocks: list[tuple[str, int, list[_Open]]] = []
     text: list[str] = []
     seen: dict[int, bool] = {}
 
@@ -111,7 +118,7 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
             s = " ".join("".join(text).split())
             text.clear()
             if s:
-                blocks.append((s, stack[-1].main, around[-MAX_AROUND:]))
+                blocks.append((s, stack[-1].place, around[-MAX_AROUND:]))
 
     def close(n: int) -> None:
         """Close the elements above the first ``n``."""
@@ -175,13 +182,13 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
         if tag in VOID or m["attrs"].endswith("/>") and tag not in BLOCK:
             continue
         up = stack[-1]
-        out = up.out or tag in LEFT_OUT or tag == "header" and up.main != "article"
+        out = up.out or tag in LEFT_OUT or tag == "header" and not up.place & IN_ARTICLE
         if not out and tag not in ("html", "body", "main"):
             out = _names_part(m["attrs"], COMMENTS if tag == "article" else PARTS)
-        main = "article" if tag == "article" else "main" if tag == "main" and up.main != "article" else up.main
+        place = up.place | (IN_ARTICLE if tag == "article" else IN_MAIN if tag == "main" else 0)
         if out:
             end_block()
-        stack.append(_Open(tag, out, main))
+        stack.append(_Open(tag, out, place))
         opened[tag] += 1
         if tag in CONTAINER or tag in PROSE:
             around.append(stack[-1])
@@ -193,11 +200,36 @@ def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
             pos = stop
     close(1)
     end_block()
-    for kind in ("article", "main"):
-        if any(b[1] == kind for b in blocks):
-            blocks = [b for b in blocks if b[1] == kind]
-            break
-    return [(s, [e.digest for e in inside]) for s, _, inside in blocks], seen
+    return [(s, place, [e.digest for e in inside]) for s, place, inside in blocks], seen
+
+
+def chosen(blocks: list[tuple[str, int, list[int]]]) -> list[tuple[str, list[int]]]:
+    """The blocks that are the text; ``chosen_text`` is the same on columns."""
+    scope = [b for b in blocks if b[1] & IN_MAIN] or blocks
+    article = [b for b in blocks if b[1] & IN_ARTICLE]
+    if article and sum(len(b[0]) for b in article) >= ARTICLE * sum(len(b[0]) for b in scope):
+        scope = article
+    return [(s, inside) for s, _, inside in scope]
+
+
+def parse(html: str) -> tuple[list[tuple[str, list[int]]], dict[int, bool]]:
+    """Main blocks of a page by itself, and the digests as in ``page_blocks``."""
+    blocks, seen = page_blocks(html)
+    return chosen(blocks), seen
+
+
+def chosen_text(blocks: Column) -> Column:
+    """Texts of the blocks that are the text, joined by newlines."""
+    def size(bs: Column) -> Column:
+        return F.aggregate(bs, F.lit(0).cast("bigint"), lambda a, b: a + F.length(b["text"]))
+
+    def choice(bs: Column) -> Column:
+        main = F.filter(bs, lambda b: b["place"].bitwiseAND(IN_MAIN) != 0)
+        article = F.filter(bs, lambda b: b["place"].bitwiseAND(IN_ARTICLE) != 0)
+        scope = F.when(F.size(main) > 0, main).otherwise(bs)
+        return F.when((F.size(article) > 0) & (size(article) >= ARTICLE * size(scope)), article).otherwise(scope)
+
+    return F.array_join(F.transform(F.get(F.transform(F.array(blocks), choice), F.lit(0)), lambda b: b["text"]), "\n")
 
 
 def signature(text: str) -> bytes:
@@ -219,21 +251,21 @@ def host_of(url: str | None) -> str:
 
 def parsed_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col``, ``url_col``, host, digest (of the html), content and signature (of the main
-    text), blocks array<struct<text, inside array<bigint>>>, subtrees array<struct<digest, prose>>."""
+    text), blocks array<struct<text, place, inside array<bigint>>>, subtrees array<struct<digest, prose>>."""
     kept = only(pages, id_col, url_col, html_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = pa.struct([("text", pa.string()), ("inside", pa.list_(pa.int64()))])
+        block = pa.struct([("text", pa.string()), ("place", pa.int32()), ("inside", pa.list_(pa.int64()))])
         for b in slices(batches, 2):
             host = [host_of(u) for u in b.column(1).to_pylist()]
             digest, content, signatures, blocks, subtrees = [], [], [], [], []
             for h in b.column(2).to_pylist():
-                found, seen = parse(h or "")
+                found, seen = page_blocks(h or "")
                 digest.append(xxhash.xxh64_intdigest(h or "") - (1 << 63))
-                main = "\n".join(s for s, _ in found)
+                main = "\n".join(s for s, _ in chosen(found))
                 content.append(xxhash.xxh64_intdigest(main) - (1 << 63))
                 signatures.append(signature(main))
-                blocks.append([{"text": s, "inside": inside} for s, inside in found])
+                blocks.append([{"text": s, "place": place, "inside": inside} for s, place, inside in found])
                 subtrees.append([{"digest": d, "prose": p} for d, p in seen.items()])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(host, pa.string()), pa.array(digest, pa.int64()), pa.array(content, pa.int64()),
@@ -242,7 +274,7 @@ def parsed_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     kinds = ", ".join(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in (id_col, url_col))
     return kept.mapInArrow(run, f"{kinds}, host string, digest bigint, content bigint, signature binary, "
-                                "blocks array<struct<text:string,inside:array<bigint>>>, subtrees array<struct<digest:bigint,prose:boolean>>")
+                                "blocks array<struct<text:string,place:int,inside:array<bigint>>>, subtrees array<struct<digest:bigint,prose:boolean>>")
 
 
 def text_groups(parsed: DataFrame) -> DataFrame:
@@ -288,5 +320,5 @@ def main_text(pages: DataFrame, min_pages: int = 5, id_col: str = "page_id", url
             .groupBy("host", "digest").agg(F.collect_set("subtree").alias("gone")))
     out = parsed.join(stored(hits, "template-hits"), ["host", "digest"], "left")
     left = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["inside"], F.col("gone")), F.lit(False)))
-    out = out.select(id_col, url_col, F.array_join(F.transform(left, lambda b: b["text"]), "\n").alias("text"))
+    out = out.select(id_col, url_col, chosen_text(left).alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -79,6 +79,16 @@ def test_hot_host_with_shared_lists_and_near_copies(spark, table_dir):
     assert all(got[b + k].startswith("One title for all\na common opening of the copies\n") for b in (1000, 2000) for k in range(60))
 
 
+def test_templates_decide_before_the_article_rule(spark, table_dir):
+    """A teaser in an article element does not displace the body; a template as long as the body goes all the same."""
+    words = lambda i, n: " ".join(f"w{(i * 7919 + k * k * 31 + k) % 4999}" for k in range(n))
+    around = "<div><p>" + words(7000, 80) + "</p></div>"
+    rows = [(i, "http://a.example", f"{around}<div><p>{words(i, 60)}</p></div><article><p>See {i}</p></article>") for i in range(12)]
+    rows += [(100 + i, "http://b.example", f"{around}<article><p>{words(50 + i, 20)}</p></article>") for i in range(12)]
+    got = {r.page_id: r.text for r in q.op5_page_text(spark, table_dir(pages=pages(spark, rows))).collect()}
+    assert all(got[i] == f"{words(i, 60)}\nSee {i}" and got[100 + i] == words(50 + i, 20) for i in range(12))
+
+
 def test_empty(spark, table_dir):
     assert q.op5_page_text(spark, table_dir(pages=pages(spark, []))).collect() == []
 
