@@ -17,7 +17,9 @@ Defined cases: null texts and texts without a letter give ``und``, score 0 and
 no mixture; rows with a null label are not learned from; with nothing to learn
 from every text is ``und``; ties go to the language first in code-point order;
 repeated rows are predicted alike; extra columns are ignored; an empty table
-gives an empty table.  More than ``MAX_LANGUAGES`` labels raise an error.
+gives an empty table.  More than ``MAX_LANGUAGES`` labels raise an error.  ``identified``
+drops only null texts and texts without a letter where there is nothing to learn
+from or too many labels.
 """
 
 from __future__ import annotations
@@ -39,6 +41,10 @@ LETTERS = re.compile(r"[^\W\d_]+")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
+class TooManyLabels(ValueError):
+    """More than ``MAX_LANGUAGES`` labels."""
+
+
 def word_counts(text: str | None) -> Counter:
     """Lower-cased runs of letters."""
     return Counter(LETTERS.findall((text or "").lower()))
@@ -188,7 +194,7 @@ def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "lang")
     total = total.withColumn("n", F.col("n").cast("double"))
     names = [r[0] for r in kept.select(label_col).distinct().limit(MAX_LANGUAGES + 1).collect()]
     if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} labels")
+        raise TooManyLabels(f"more than {MAX_LANGUAGES} labels")
     if not names:
         return None
     names.sort()
@@ -231,6 +237,27 @@ def identify(docs: DataFrame, penalty: float = 2.0, carry: tuple[str, ...] = ("d
     return predict(docs, model, carry=carry, penalty=penalty).withColumn("held_out", ~learned_rows())
 
 
+def with_letters(docs: DataFrame, columns: tuple[str, ...], text_col: str = "text") -> DataFrame:
+    """The named columns of the rows whose text has a letter."""
+    kept = only(docs, text_col, *columns)
+    names = [f"c{i}" for i in range(len(columns))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 0):
+            has = [t is not None and LETTERS.search(t.lower()) is not None for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(b.columns[1:], names).filter(pa.array(has, pa.bool_()))
+
+    kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, kept.schema.fields[1:], strict=True))
+    return kept.toDF("text", *names).mapInArrow(run, kinds).toDF(*columns)
+
+
 def identified(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """The named columns of the rows whose language is not ``und``."""
-    return identify(docs, carry=columns).filter("lang_pred <> 'und'").select(*columns)
+    """The named columns of the rows whose language is not ``und``; of all rows with a
+    letter where no model can be learned."""
+    try:
+        model = learn(docs.filter(learned_rows()))
+    except TooManyLabels:
+        model = None
+    if model is None:
+        return with_letters(docs, columns)
+    return predict(docs, model, carry=columns).filter("lang_pred <> 'und'").select(*columns)

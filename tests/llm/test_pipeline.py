@@ -72,3 +72,11 @@ def test_clashing_columns(spark, docs_of, sf):
     docs = docs_of([(1, "a text of some words\nand a line"), (2, "another text entirely\nand a line"), (3, None)])
     for _, f in cp.STAGES[:-1]:
         assert tuple(f(spark, docs, sf).columns) == cp.COLUMNS
+
+
+def test_language_stage_with_nothing_to_learn_from(spark, docs_of, sf):
+    texts = [(i, f"a clean text number {i}\nand a line") for i in range(8)] + [(20, None), (21, "12 34 !!"), (22, "")]
+    for docs in (docs_of(texts), docs_of([(i, t, f"l{i}") for i, t in texts if i == 20] + texts),
+                 docs_of([(1000 + i, f"text of label {i}", f"l{i}") for i in range(700)] + texts)):
+        got = cp.language_id(spark, docs, sf)
+        assert tuple(got.columns) == cp.COLUMNS and sorted(r.doc_id for r in got.collect() if r.doc_id < 1000) == list(range(8))
