@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import balance, hmm_lm, language_mix, line_runs, page_text, paragraph_sketch, piece_bpe, simhash_pivots, suffix_shards, topk_blocks
+from tessera.llm import balance, hmm_lm, language_mix, line_runs, page_text, paragraph_sketch, periodic_runs, piece_bpe, simhash_pivots, suffix_shards, topk_blocks
 from tessera.llm.common import only, read
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -97,6 +97,22 @@ def op10_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """In texts whose id's hash is a multiple of ten, the words from a place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", (h % 10 == 0).alias("chosen"), F.floor(h / 10).alias("g"),
+                       F.when(h % 10 == 0, words).alias("words"))
+    rows = rows.withColumn("n", F.size("words")).withColumn("a", F.expr("IF(n > 0, g % n, 0)"))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    made = F.expr("array_join(transform(sequence(0, n - 1), i -> words[int(IF(i < a, i, a + (i - a) % p))]), ' ')")
+    return rows.select("doc_id", F.when(F.col("chosen") & (F.col("n") > 0), made).otherwise(F.col("text")).alias("text"))
+
+
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(_made_periodic(read(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mix": op1_language_mix,
     "op2_hmm_score": op2_hmm_score,
@@ -108,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_blocks": op8_topk_blocks,
     "op9_suffix_shards": op9_suffix_shards,
     "op10_entropy_balance": op10_entropy_balance,
+    "op13_word_runs": op13_word_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
