@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import balance, hmm_lm, language_mix, line_runs, page_text, paragraph_sketch, periodic_runs, piece_bpe, simhash_pivots, suffix_shards, topk_blocks
+from tessera.llm import balance, hmm_lm, language_mix, line_runs, linear_packing, page_text, paragraph_sketch, periodic_runs, piece_bpe, simhash_pivots, suffix_shards, topk_blocks
 from tessera.llm.common import only, read
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -97,6 +98,10 @@ def op10_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op12_linear_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linear_packing.pack(linear_packing.pieces(read(spark, sf_dir, "documents"), BYTE_BPE))
+
+
 def _made_periodic(docs: DataFrame) -> DataFrame:
     """In texts whose id's hash is a multiple of ten, the words from a place on repeat with a period."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -124,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_blocks": op8_topk_blocks,
     "op9_suffix_shards": op9_suffix_shards,
     "op10_entropy_balance": op10_entropy_balance,
+    "op12_linear_packing": op12_linear_packing,
     "op13_word_runs": op13_word_runs,
 }
 
