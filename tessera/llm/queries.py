@@ -1,4 +1,4 @@
-"""The ten operators bound to the test tables, and their DuckDB SQL where it exists."""
+"""The operators bound to the test tables, and their DuckDB SQL where it exists."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import balance, hmm_lm, language_mix, line_runs, linear_packing, page_text, paragraph_sketch, periodic_runs, piece_bpe, simhash_pivots, suffix_shards, topk_blocks
+from tessera.llm import balance, hmm_lm, language_mix, line_runs, linear_packing, page_text, paragraph_sketch, periodic_runs, piece_bpe, simhash_pivots, suffix_shards, token_spans, topk_blocks
 from tessera.llm.common import only, read
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -98,6 +98,10 @@ def op10_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_spans.alignment_table(read(spark, sf_dir, "documents"), BYTE_BPE, PIECE_MODEL)
+
+
 def op12_linear_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linear_packing.pack(linear_packing.pieces(read(spark, sf_dir, "documents"), BYTE_BPE))
 
@@ -129,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_blocks": op8_topk_blocks,
     "op9_suffix_shards": op9_suffix_shards,
     "op10_entropy_balance": op10_entropy_balance,
+    "op11_token_spans": op11_token_spans,
     "op12_linear_packing": op12_linear_packing,
     "op13_word_runs": op13_word_runs,
 }
