@@ -3,9 +3,9 @@
 A text is cut before every space and newline that follows a character that is not
 white space.  The byte-level pattern starts a new unit at such a place whatever
 stands around it, so the ids of a text are those of its stretches in a row.  A
-worker remembers stretches (up to ``MEMO_BYTES``, then it starts anew: this
-bounds memory, not the result).  New ones are encoded joined together; the
-library's character offsets say which ids belong to which.
+worker remembers stretches (up to ``MEMO_BYTES``, then those not used of late go:
+this bounds memory, not the result).  New ones are encoded joined together; the
+tokens' lengths in bytes say which ids belong to which.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-MEMO_BYTES = 96 << 20
+MEMO_BYTES = 128 << 20
 #: Stretches encoded in one call, in characters.
 JOINED = 1 << 14
 _UNEVEN = re.compile(r"\s[ \n]|\0")
@@ -54,32 +54,34 @@ class ByteBpe:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are plain text
+        # A byte-level token has a letter for each of its bytes.
+        self.size = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.held = 0
 
-    def encoded(self, group: list[str]) -> tuple[np.ndarray, list, list[int]]:
-        """Ids and character offsets of a group in a row, and where each stretch's ids begin."""
-        e = self.tokenizer.encode("".join(group), add_special_tokens=False)
-        offsets = e.offsets
-        start = np.fromiter((a for a, _ in offsets), dtype=np.int64, count=len(offsets))
-        begin = np.cumsum([0, *map(len, group)])
-        return np.array(e.ids, dtype="<u4"), offsets, np.searchsorted(start, begin).tolist()
-
     def learn(self, new: list[str]) -> None:
         for group in joined(new):
-            ids, _, cut = self.encoded(group)
+            ids = np.array(self.tokenizer.encode("".join(group), add_special_tokens=False).ids, dtype="<u4")
+            end = np.cumsum([len(s.encode()) for s in group])
+            cut = (4 * np.searchsorted(np.cumsum(self.size[ids]), end, side="right")).tolist()
             data = ids.tobytes()
-            for s, a, b in zip(group, cut, cut[1:], strict=False):
-                self.memo[s] = data[4 * a:4 * b]
-            self.held += 4 * len(data) + sum(map(len, group)) + 200 * len(group)
+            at = 0
+            for s, to in zip(group, cut, strict=True):
+                self.memo[s] = data[at:to]
+                at = to
+            self.held += len(data) + int(end[-1]) + 200 * len(group)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         cut = [stretches(t) for t in texts]
-        if self.held > MEMO_BYTES:
-            self.memo.clear()
-            self.held = 0
-        memo = self.memo
-        self.learn(list(set().union(*cut) - memo.keys()))
+        if 2 * self.held > MEMO_BYTES:  # what was not used since the last time goes
+            self.memo, self.older, self.held = {}, self.memo, 0
+        memo, older = self.memo, self.older
+        new = set().union(*cut) - memo.keys()
+        for s in new & older.keys():
+            memo[s] = older[s]
+            self.held += 200 + len(s) + len(older[s])
+        self.learn(list(new - older.keys()))
         return [b"".join([memo[s] for s in c]) for c in cut]
 
 
