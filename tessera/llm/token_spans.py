@@ -17,7 +17,8 @@ that marks spaces.  Both see space + text (B adds the space itself).
 Both tokenizers begin a new unit at a space or newline after any other character
 (for B this is checked against its pieces), so a text's tokens are those of its
 stretches between such places (``byte_bpe.stretches``).  A worker aligns each
-new stretch once, joined with others, and keeps up to ``MEMO_BYTES`` of them.
+new stretch once, joined with others, and keeps up to ``MEMO_BYTES`` of them (then those
+seen once go).
 
 Defined cases: null and empty texts, and texts whose tokens' bytes are not space +
 text (a text with the space mark itself), have no tokens: zeros and no groups;
@@ -29,6 +30,7 @@ extra columns are ignored; an empty table gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,7 @@ from tessera.llm.byte_bpe import joined, stretches
 from tessera.llm.common import only, slices, stored
 
 MARK = "▁"
-MEMO_BYTES = 96 << 20
+MEMO_BYTES = 160 << 20
 SLICE = 2 << 20
 LOOKUP = 1 << 18
 _LEAD = " x"
@@ -74,16 +76,32 @@ class Aligner:
         letters = byte_letters()
         self.a_bytes = [bytes(letters.get(c, 0) for c in self.a.id_to_token(i) or "") for i in range(self.a.get_vocab_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(map(sp.id_to_piece, range(sp.vocab_size())))]
+        self.a_length, self.b_length = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
         self.single = np.array([sp.is_byte(i) for i in range(sp.vocab_size())])
         pieces = [sp.id_to_piece(i) for i in range(sp.vocab_size()) if not sp.is_byte(i)]
         self.cuttable = not any(MARK in p.lstrip(MARK) or "\n" in p for p in pieces)
         self.a_size, self.b_size = len(self.a_bytes), len(self.b_bytes)
         ids = [*(f"{i}{s}" for s in ",|" for i in range(self.a_size)), *(f"{i}{s}" for s in ",;" for i in range(self.b_size))]
         self.printed = pa.array(ids, pa.string())
-        self.forget()
+        self.clear()
 
     def forget(self) -> None:
+        """Drops the stretches seen once; all of them, if those are few."""
+        keep = np.flatnonzero(self.uses > 1)
+        if 2 * len(keep) > len(self.uses):
+            self.clear()
+            return
+        size = self.code_end[keep + 1] - self.code_end[keep]
+        self.codes = self.codes[_ranges(self.code_end[keep], size)]
+        self.code_end = np.concatenate([[0], np.cumsum(size)])
+        self.held = self.held * len(keep) // max(1, len(self.uses))
+        self.counts, self.uses, self.groups = self.counts[keep], np.zeros(len(keep), dtype=np.int64), self.groups.take(pa.array(keep))
+        names = list(self.memo)  # in order of their rows
+        self.memo = {names[k]: i for i, k in enumerate(keep.tolist())}
+
+    def clear(self) -> None:
         self.memo: dict[str, int] = {}
+        self.uses = np.zeros(0, dtype=np.int64)
         self.counts = np.zeros((0, 4), dtype=np.int64)  # tokens of A, of B, groups; 1 if the bytes are right
         self.codes, self.code_end = np.empty(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
         self.groups = pa.array([], pa.string())
@@ -93,16 +111,16 @@ class Aligner:
         """Ids and byte ends of A's tokens."""
         e = self.a.encode(text, add_special_tokens=False)
         ids = np.array(e.ids, dtype=np.int64)
-        span = np.array(e.offsets, dtype=np.int64).reshape(-1, 2)
+        span = np.fromiter(chain.from_iterable(e.offsets), dtype=np.int64, count=2 * len(ids)).reshape(-1, 2)
         end = byte_at[span[:, 1]]
         inside = np.zeros(len(ids), dtype=bool)  # the next token begins within this one's last character
         inside[:-1] = span[1:, 0] < span[:-1, 1]
-        decoded = np.cumsum([len(self.a_bytes[i]) for i in e.ids])
+        decoded = np.cumsum(self.a_length[ids])
         return ids, np.where(inside, decoded, end)
 
     def cut_b(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids and byte ends of B's pieces, the added space included."""
-        got = [(p.id, p.begin, p.end) for p in self.b.encode(text, return_type="proto").pieces]
+        got = [x for p in self.b.encode(text, return_type="proto").pieces for x in (p.id, p.begin, p.end)]
         ids, begin, end = np.array(got, dtype=np.int64).reshape(-1, 3).T
         new = np.ones(len(ids), dtype=bool)  # the byte pieces of a character begin at one place
         new[1:] = (begin[1:] != begin[:-1]) | ~self.single[ids[:-1]]
@@ -124,13 +142,16 @@ class Aligner:
             byte_at = np.concatenate([[0], np.cumsum(char_bytes)])
             end = np.cumsum([len(r) for r in raw])
             cut = []
-            for ids, ends, table in ((*self.cut_a(text, byte_at), self.a_bytes), (*self.cut_b(text[1:]), self.b_bytes)):
+            whole = b"".join(raw)
+            all_right = True
+            for ids, ends, table, length in ((*self.cut_a(text, byte_at), self.a_bytes, self.a_length), (*self.cut_b(text[1:]), self.b_bytes, self.b_length)):
+                all_right = all_right and np.array_equal(np.cumsum(length[ids]), ends) and b"".join([table[i] for i in ids.tolist()]) == whole
                 of = np.searchsorted(ends, end[:-1], side="right") if len(lead) else np.zeros(0, dtype=np.int64)
                 first = np.concatenate([of, [len(ids)]]) if lead else np.array([0, len(ids)])
                 cut.append((ids, ends, table, first.tolist()))
             begin = int(end[0]) if lead else 0
             for k, r in enumerate(raw[len(lead):]):
-                right.append(all(b"".join([table[i] for i in ids[f[k]:f[k + 1]].tolist()]) == r for ids, _, table, f in cut))
+                right.append(all_right or all(b"".join([table[i] for i in ids[f[k]:f[k + 1]].tolist()]) == r for ids, _, table, f in cut))
             skip = [c[3][0] for c in cut]
             parts.append((*(x[n:] if j == 0 else x[n:] - begin + base for (ids, ends, *_), n in zip(cut, skip, strict=True) for j, x in enumerate((ids, ends))),
                           end[len(lead):] - begin + base))
@@ -161,6 +182,7 @@ class Aligner:
         row = len(self.counts)
         self.memo.update(zip(new, range(row, row + len(new)), strict=True))
         self.counts = np.concatenate([self.counts, counts])
+        self.uses = np.concatenate([self.uses, np.zeros(len(counts), dtype=np.int64)])
         self.codes = np.concatenate([self.codes, codes])
         self.code_end = np.concatenate([self.code_end, self.code_end[-1] + np.cumsum(links)])
         self.groups = pa.concat_arrays([self.groups, printed])
@@ -177,6 +199,7 @@ class Aligner:
             self.learn(new)
         memo = self.memo
         rows = np.array([memo[s] for c in cut for s in c], dtype=np.int64)
+        self.uses += np.bincount(rows, minlength=len(self.uses))
         text = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
         wrong = np.zeros(len(texts), dtype=bool)
         wrong[text[self.counts[rows, 3] == 0]] = True
