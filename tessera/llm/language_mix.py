@@ -208,7 +208,9 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
             penalty: float = 2.0) -> DataFrame:
     """The columns ``carry`` and ``lang_pred``, ``score`` (share of the predicted language), ``mixture``
     (map of the selected languages' shares), ``word_loglik`` double."""
-    kept = docs.select(docs[text_col].alias("__text"), *[docs[c] for c in carry])
+    # The text goes to the tasks once, and back only if it is carried.
+    kept = docs.select(docs[text_col].alias("__text"), *[docs[c] for c in carry if c != text_col])
+    back = [0 if c == text_col else 1 + i for c, i in zip(carry, np.cumsum([c != text_col for c in carry]) - 1, strict=True)]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,11 +225,11 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
                     lang[i], score[i], ll[i] = lm.languages[top], min(1.0, p[top]), v
                     mix[i] = [(lm.languages[k], x) for k, x in enumerate(p) if x > 0]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64()),
+                [*(b.column(int(i)) for i in back), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
                  pa.array(mix, pa.map_(pa.string(), pa.float64())), pa.array(ll, pa.float64())],
                 [*carry, "lang_pred", "score", "mixture", "word_loglik"])
 
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema.fields[1:])
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
     return kept.mapInArrow(run, kinds + "lang_pred string, score double, mixture map<string,double>, word_loglik double")
 
 

@@ -31,7 +31,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import only, slices
 
 MARK = "▁"
-MEMO = 1 << 20
+#: Bytes that each of the two memos may hold, at about ENTRY bytes for an entry besides its ids.
+MEMO_BYTES, ENTRY = 48 << 20, 220
+#: Text encoded at once.
+SLICE = 1 << 20
 
 _ENCODERS: dict[str, "PieceEncoder"] = {}
 
@@ -57,6 +60,7 @@ class PieceEncoder:
         self.joined = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.held = 0
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
             if self.merge(p) == [p]:  # pieces that merging cannot reach never occur
@@ -88,7 +92,7 @@ class PieceEncoder:
         key = (left, right)
         ok = self.pairs.get(key)
         if ok is None:
-            if len(self.pairs) >= MEMO:
+            if len(self.pairs) * ENTRY >= MEMO_BYTES:
                 self.pairs.clear()
             ok = self.pairs[key] = self.merge(left + right) == [left, right]
         return ok
@@ -142,9 +146,11 @@ class PieceEncoder:
         if got is None:
             got = make(s)
             if len(s) <= 64:
-                if len(self.memo) >= MEMO:
+                if self.held >= MEMO_BYTES:
                     self.memo.clear()
+                    self.held = 0
                 self.memo[s] = got
+                self.held += ENTRY + 40 * len(got)
         return got
 
     def encode(self, text: str) -> list[int]:
@@ -172,7 +178,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model_path)
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, SLICE):
             ids = [enc.encode(t or "") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([enc.sp.decode(x) for x in ids], pa.string())],
