@@ -25,10 +25,10 @@ def op2_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = paragraph_sketch.version_differences(read(spark, sf_dir, "documents"))
+    d = paragraph_sketch.version_differences(read(spark, sf_dir, "documents"), with_digests=False)
     return d.select(F.col("doc").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                    F.col("like_e").alias("near_edited"), F.col("like_n").alias("near_next"),
-                    F.col("whole_e").alias("whole_edited"), F.col("whole_n").alias("whole_next"))
+                    F.col("whole_e").alias("near_edited"), F.col("whole_n").alias("near_next"),
+                    F.col("like_e").alias("lines_edited"), F.col("like_n").alias("lines_next"))
 
 
 def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
