@@ -90,7 +90,8 @@ def op9_suffix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_shards.drop_repeats(read(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["begin"])
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), F.length("kept").cast("bigint").alias("n_kept"),
+                      (F.size("spans") > 0).alias("has_repeats"))
 
 
 def op10_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
