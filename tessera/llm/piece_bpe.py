@@ -11,7 +11,7 @@ left only once.
 Merging never joins two characters that stand side by side in no piece.  The
 normalised text is therefore cut before word markers and at newlines (if the
 vocabulary allows), then at each such pair of characters, and the parts are
-encoded once per task (memoised; the memo is emptied when full: it bounds
+encoded once per task (memoised; what was not used of late goes when the memo is full: it bounds
 memory, not the result).
 
 Defined cases: null and empty texts give only the end id; characters outside
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import only, slices
 
 MARK = "▁"
-#: Bytes that each of the two memos may hold, at about ENTRY bytes for an entry besides its ids.
-MEMO_BYTES, ENTRY = 48 << 20, 220
+#: Bytes that the memos of parts and of pairs may hold; an entry takes about ENTRY bytes besides its ids.
+MEMO_BYTES, PAIR_BYTES, ENTRY = 96 << 20, 64 << 20, 200
 #: Text encoded at once.
 SLICE = 1 << 20
 
@@ -60,6 +60,7 @@ class PieceEncoder:
         self.joined = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.held = 0
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
@@ -92,7 +93,7 @@ class PieceEncoder:
         key = (left, right)
         ok = self.pairs.get(key)
         if ok is None:
-            if len(self.pairs) * ENTRY >= MEMO_BYTES:
+            if len(self.pairs) * ENTRY >= PAIR_BYTES:
                 self.pairs.clear()
             ok = self.pairs[key] = self.merge(left + right) == [left, right]
         return ok
@@ -144,21 +145,21 @@ class PieceEncoder:
     def remembered(self, s: str, make) -> tuple[int, ...]:
         got = self.memo.get(s)
         if got is None:
-            got = make(s)
+            got = self.older.get(s)
+            if got is None:
+                got = make(s)
             if len(s) <= 64:
-                if self.held >= MEMO_BYTES:
-                    self.memo.clear()
-                    self.held = 0
+                if 2 * self.held >= MEMO_BYTES:  # what was not used since the last time goes
+                    self.memo, self.older, self.held = {}, self.memo, 0
                 self.memo[s] = got
-                self.held += ENTRY + 40 * len(got)
+                self.held += ENTRY + 8 * len(got)
         return got
 
     def encode(self, text: str) -> list[int]:
         """Ids of the normalised text, then the end id."""
         ids: list[int] = []
-        memo = self.memo  # looked up here for speed; filled by remembered()
         for c in self.cut.findall(self.sp.normalize(text)):
-            got = memo.get(c)
+            got = self.memo.get(c)  # looked up here for speed; filled by remembered()
             ids += self.remembered(c, self.chunk) if got is None else got
         ids.append(self.eos)
         return ids
