@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
+from tessera.operators import inverted_index
 from tessera.operators import retrieval as rt
 from tessera.operators import text as tops
 from tessera.plans.registry import query
@@ -114,17 +115,22 @@ _INDEXES: dict = {}
 
 
 def _index(spark, sf):
-    """The index of the documents, built once per session and table folder."""
-    key = (spark.sparkContext.applicationId, sf)
+    """The index of the documents, built once per session and state of the table's files."""
+    files = load_table(spark, sf, "documents").select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    state = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()
+    key = (spark.sparkContext.applicationId, sf, *state)
     if key not in _INDEXES:
         d = spread(load_table(spark, sf, "documents"), cores(spark)).select("doc_id", simple_tokens("text").alias("tokens"))
-        _INDEXES[key] = rt.bm25_index(d, "doc_id", "tokens")
+        _INDEXES[key] = inverted_index.build(d, "doc_id", "tokens")
     return _INDEXES[key]
 
 
+def _text_queries(spark, sf):
+    return load_table(spark, sf, "benchmark").select("item_id", simple_tokens("text").alias("qtokens"))
+
+
 def _bm25(spark, sf, k=5):
-    q = load_table(spark, sf, "benchmark").select("item_id", simple_tokens("text").alias("qtokens"))
-    return rt.bm25_search(_index(spark, sf), q, "item_id", "qtokens", "doc_id", k=k)
+    return inverted_index.search(_index(spark, sf), _text_queries(spark, sf), "item_id", "qtokens", k=k)
 
 
 _BM25_SQL = f"""
@@ -148,6 +154,16 @@ def ret2(spark, sf):
     return _bm25(spark, sf).select("query_id", "doc_id", "rank", _r("score", 5))
 
 
+@query("ret2_postings_read", covers="RET2", sql=f"""
+WITH {_BM25_SQL.strip()}
+SELECT qt.query_id, CAST(sum(df.df) AS BIGINT) AS n_postings, TRUE AS read_at_most
+FROM qt JOIN df USING (term) GROUP BY qt.query_id""")
+def ret2_postings(spark, sf):
+    """Postings of each query's terms, and that a search never scores more of them."""
+    r = inverted_index.postings_read(_index(spark, sf), _text_queries(spark, sf), "item_id", "qtokens")
+    return r.select("query_id", "n_postings", (F.col("n_read") <= F.col("n_postings")).alias("read_at_most"))
+
+
 def _overlap_ranking(spark, sf, pairs):
     # only the candidate documents are tokenised: join to the raw text first
     d = load_table(spark, sf, "documents").select("doc_id", "text")
