@@ -92,11 +92,12 @@ def interaction(a, b) -> Column:
 
 
 def softmax(c) -> Column:
-    """SCA27: softmax over an array of logits (max-shifted)."""
-    mx = F.array_max(_c(c))
-    ex = F.transform(_c(c), lambda v: F.exp(v - mx))
-    tot = F.aggregate(ex, F.lit(0.0), lambda a, v: a + v)
-    return F.transform(ex, lambda v: v / tot)
+    """SCA27: softmax over an array of logits (max-shifted); the maximum, the exponentials and their
+    total are computed once a row."""
+    once = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))
+    ex = once(F.struct(_c(c).alias("v"), F.array_max(_c(c)).alias("m")), lambda s: F.transform(s["v"], lambda v: F.exp(v - s["m"])))
+    total = lambda e: F.aggregate(e, F.lit(0.0), lambda a, v: a + v)
+    return once(ex, lambda e: once(F.struct(e.alias("e"), total(e).alias("t")), lambda s: F.transform(s["e"], lambda v: v / s["t"])))
 
 
 def argmax(c) -> Column:

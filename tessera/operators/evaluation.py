@@ -77,15 +77,6 @@ def roc_auc(df: DataFrame, positive: str, score: str, by: str | None = None) ->
     return x.groupBy(*keys).agg(F.sum(area).alias("auc"), F.count(F.lit(1)).alias("n_points"))
 
 
-def softmax_argmax(logits: str) -> tuple:
-    """SCA27: softmax over an array column and the arg-max index (0-based)."""
-    mx = F.array_max(logits)
-    ex = F.transform(logits, lambda v: F.exp(v - mx))
-    total = F.aggregate(ex, F.lit(0.0), lambda a, v: a + v)
-    probs = F.transform(ex, lambda v: v / total)
-    return probs, (F.array_position(logits, mx) - 1).cast("int")
-
-
 def best_run(results: DataFrame, name: str = "model", metric: str = "score", maximize: bool = True) -> DataFrame:
     """EVA7 / SRT7: the best row of a run table (max_by / min_by)."""
     pick = F.max_by if maximize else F.min_by

@@ -1,8 +1,9 @@
 """Statistics and inference (STT1-STT9, SCA29, AGG18).
 
 Everything that scales with rows -- counts, sums, moments, medians,
-absolute deviations -- is a distributed aggregate.  Only the final
-distribution functions (a few numbers per test) run on the driver.
+absolute deviations -- is a distributed aggregate.  Tests of many groups get
+their p-values from expressions (``functions.pvalues``); a single test's few
+numbers are finished on the driver.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions import pvalues as pv
 from tessera.functions.distributions import f_sf, norm_sf, t_sf
 
 Z95 = 1.96  # fixed two-sided 95 % normal quantile used by the reference
@@ -123,10 +125,12 @@ TTEST_SCHEMA = ("metric STRING, n_a BIGINT, n_b BIGINT, mean_a DOUBLE, mean_b DO
 
 
 def ttest_table(spark: SparkSession, df: DataFrame, group: str, a, b, values: list[str],
-                alpha: float = 0.05, equal_var: bool | None = None) -> DataFrame:
-    """STT7 for several columns, from one long frame."""
+                alpha: float = 0.05, equal_var: bool | None | tuple = None) -> DataFrame:
+    """STT7 for several columns, from one long frame; of several ``equal_var`` each gives its rows,
+    from the same sums."""
     m = _two_group_sums(df, group, a, b, values)
-    rows = [_ttest_from(v, m[v, a], m[v, b], equal_var, alpha) for v in values]
+    settings = equal_var if isinstance(equal_var, tuple) else (equal_var,)
+    rows = [_ttest_from(v, m[v, a], m[v, b], e, alpha) for e in settings for v in values]
     return spark.createDataFrame([tuple(r.values()) for r in rows], TTEST_SCHEMA)
 
 
@@ -149,9 +153,36 @@ def f_regression(df: DataFrame, features: list[str], target: str) -> DataFrame:
     return x.withColumn("f_stat", F.pow("r", 2) / (F.lit(1.0) - F.pow("r", 2)) * (F.col("n") - 2))
 
 
-def f_regression_pvalues(spark: SparkSession, fr: DataFrame) -> DataFrame:
-    rows = [(r["feature"], r["f_stat"], f_sf(r["f_stat"], 1, r["n"] - 2)) for r in fr.collect()]
-    return spark.createDataFrame(rows, "feature STRING, f_stat DOUBLE, p_value DOUBLE")
+def f_regression_pvalues(fr: DataFrame) -> DataFrame:
+    """STT9: p-value of each row of ``f_regression``."""
+    return fr.withColumn("p_value", pv.f_sf(F.col("f_stat"), F.lit(1.0), F.col("n") - 2))
+
+
+def spread_p_value(z) -> Column:
+    """STT4: two-sided p-value of a spread's z."""
+    return 2 * pv.norm_sf(F.abs(z))
+
+
+def ttest_by(df: DataFrame, keys: list[str], group: str, a, b, value: str, equal_var: bool = False) -> DataFrame:
+    """STT7 for every key: (keys, n_a, n_b, mean_a, mean_b, t, dof, p_two_sided, p_greater, p_less), Welch's
+    or the pooled test.  One aggregate, however many keys; p-values are expressions.
+
+    NULL and NaN values are left out; keys with fewer than two values in a group, or
+    without any variance, have no row."""
+    x = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & F.col(group).isin([a, b]))
+    side = {s: F.when(F.col(group) == g, F.col(value).cast("double")) for s, g in (("a", a), ("b", b))}
+    sums = x.groupBy(*keys).agg(*[f(v).alias(f"{n}_{s}") for s, v in side.items() for n, f in (("n", F.count), ("mean", F.avg), ("var", F.var_samp))])
+    n1, n2, v1, v2 = (F.col(c) for c in ("n_a", "n_b", "var_a", "var_b"))
+    sums = sums.where((n1 > 1) & (n2 > 1) & (v1 + v2 > 0))
+    if equal_var:
+        dof = (n1 + n2 - 2).cast("double")
+        se = F.sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / dof * (1 / n1 + 1 / n2))
+    else:
+        se = F.sqrt(v1 / n1 + v2 / n2)
+        dof = F.pow(v1 / n1 + v2 / n2, 2) / (F.pow(v1 / n1, 2) / (n1 - 1) + F.pow(v2 / n2, 2) / (n2 - 1))
+    tests = sums.withColumns({"t": (F.col("mean_a") - F.col("mean_b")) / se, "dof": dof})
+    p = tests.withColumn("p_greater", pv.t_sf(F.col("t"), F.col("dof"))).withColumn("p_less", 1 - F.col("p_greater"))
+    return p.withColumn("p_two_sided", 2 * F.least("p_greater", "p_less")).drop("var_a", "var_b")
 
 
 def gaussian_density_and_score(df: DataFrame, x: str, y: str, mu: tuple, cov: tuple) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import scalars as sc
 from tessera.operators import profiling as pf
+from tessera.operators import evaluation as ev
 from tessera.operators import stats as st
 from tessera.plans.registry import query
 from tessera.plans.views import flights, with_flights
@@ -109,8 +110,8 @@ FROM (SELECT *, (sum(n) OVER () - 2) * sum(n * pow(zbar - zall, 2)) OVER () / su
 @query("stt7_ttest_statistics", covers="STT6 STT7", sql="\nUNION ALL ".join(_tt_sql(c) for c in _TT_COLS))
 def stt7s(spark, sf):
     li = load_table(spark, sf, "lineitem")
-    both = [st.ttest_table(spark, li, "l_returnflag", "R", "N", _TT_COLS, equal_var=e) for e in (True, False)]
-    return both[0].unionByName(both[1]).select("metric", "equal_var", "n_a", "n_b", _r("levene_w", 4), _r("t", 4), _r("dof", 3))
+    both = st.ttest_table(spark, li, "l_returnflag", "R", "N", _TT_COLS, equal_var=(True, False))
+    return both.select("metric", "equal_var", "n_a", "n_b", _r("levene_w", 4), _r("t", 4), _r("dof", 3))
 
 
 @query("sca27_softmax_argmax", covers="SCA27", sql="""
@@ -174,9 +175,69 @@ def stt9(spark, sf):
     return fr.select("feature", "n", _r("r"), _r("f_stat", 4))
 
 
-@query("stt9_f_regression_pvalues", covers="STT9")
+def _steps_sql(first: str, depth: int) -> str:
+    return f"list_prepend(CAST({first} AS DOUBLE), list_transform(range({depth}), lambda i: CAST({depth} - i AS DOUBLE)))"
+
+
+#: Regularised incomplete beta of columns a, b, x of a table ``args`` (rows named by ``key``), as its continued fraction.
+def _beta_sql(keys: str) -> str:
+    return f"""
+side AS (SELECT {keys}, x < (a + 1) / (a + b + 2) AS near, a AS a0, b AS b0, x AS x0 FROM args),
+arg AS (SELECT {keys}, near, CASE WHEN near THEN a0 ELSE b0 END AS a, CASE WHEN near THEN b0 ELSE a0 END AS b,
+               CASE WHEN near THEN x0 ELSE 1 - x0 END AS x FROM side),
+frac AS (SELECT *, list_reduce({_steps_sql('1', 2500)}, lambda t, m:
+           1 + m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)) / (1 - (a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)) / t)) AS rest FROM arg),
+val AS (SELECT {keys}, near, exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * ln(x) + b * ln(1 - x)) / (1 - (a + b) * x / (a + 1) / rest) / a AS v FROM frac),
+beta AS (SELECT {keys}, CASE WHEN near THEN v ELSE 1 - v END AS i FROM val)"""
+
+
+@query("stt9_f_regression_pvalues", covers="STT9", sql="""
+WITH f AS (SELECT feature, n, r * r / (1 - r * r) * (n - 2) AS f_stat FROM (
+""" + "\nUNION ALL ".join(f"SELECT '{c}' AS feature, count(*) AS n, corr({c}, l_extendedprice) AS r FROM lineitem" for c in _FR) + f""")),
+args AS (SELECT feature, (n - 2) / 2.0 AS a, 0.5 AS b, (n - 2) / (n - 2 + f_stat) AS x FROM f), {_beta_sql('feature')}
+SELECT feature, round(f_stat, 4) AS f_stat, round(i, 6) AS p_value FROM f JOIN beta USING (feature)""")
 def stt9p(spark, sf):
-    return st.f_regression_pvalues(spark, st.f_regression(load_table(spark, sf, "lineitem"), _FR, "l_extendedprice"))
+    p = st.f_regression_pvalues(st.f_regression(load_table(spark, sf, "lineitem"), _FR, "l_extendedprice"))
+    return p.select("feature", _r("f_stat", 4), _r("p_value"))
+
+
+@query("stt7_ttest_by_supplier", covers="STT7 UDF2", sql=f"""
+WITH g AS (SELECT l_suppkey, l_returnflag AS g, count(l_quantity) AS n, avg(CAST(l_quantity AS DOUBLE)) AS mean, var_samp(CAST(l_quantity AS DOUBLE)) AS var
+           FROM lineitem WHERE l_returnflag IN ('R', 'N') GROUP BY 1, 2),
+t AS (SELECT a.l_suppkey, a.n AS n_a, b.n AS n_b, (a.mean - b.mean) / sqrt(a.var / a.n + b.var / b.n) AS t,
+             pow(a.var / a.n + b.var / b.n, 2) / (pow(a.var / a.n, 2) / (a.n - 1) + pow(b.var / b.n, 2) / (b.n - 1)) AS dof
+      FROM g a JOIN g b ON a.l_suppkey = b.l_suppkey AND a.g = 'R' AND b.g = 'N' WHERE a.n > 1 AND b.n > 1 AND a.var + b.var > 0),
+args AS (SELECT l_suppkey, dof / 2 AS a, 0.5 AS b, dof / (dof + t * t) AS x FROM t WHERE t <> 0), {_beta_sql('l_suppkey')}
+SELECT l_suppkey, n_a, n_b, round(t, 6) AS t, round(dof, 4) AS dof, round(coalesce(i, 1), 6) AS p_two_sided,
+       round(CASE WHEN t >= 0 THEN coalesce(i, 1) / 2 ELSE 1 - i / 2 END, 6) AS p_greater FROM t LEFT JOIN beta USING (l_suppkey)""")
+def stt7_by(spark, sf):
+    p = st.ttest_by(load_table(spark, sf, "lineitem"), ["l_suppkey"], "l_returnflag", "R", "N", "l_quantity")
+    return p.select("l_suppkey", "n_a", "n_b", _r("t"), _r("dof", 4), _r("p_two_sided"), _r("p_greater"))
+
+
+@query("stt4_spread_p_by_segment", covers="STT4", sql=f"""
+WITH t AS (SELECT c_mktsegment, avg(CAST(c_acctbal > 4500 AS DOUBLE)) AS p, count(*) AS n FROM customer GROUP BY 1),
+z AS (SELECT c_mktsegment, (2 * p - 1) / (2 * sqrt(p * (1 - p) / n)) AS z FROM t WHERE p > 0 AND p < 1),
+d AS (SELECT *, abs(z) AS x, exp(-z * z / 2) / sqrt(2 * pi()) AS density FROM z),
+q AS (SELECT c_mktsegment, z, CASE WHEN x > 2 THEN density / list_reduce({_steps_sql('x', 120)}, lambda r, m: x + m / r)
+             ELSE 0.5 - density * x * list_reduce({_steps_sql('1', 120)}, lambda r, m: 1 + r * x * x / (2 * m + 1)) END AS tail FROM d)
+SELECT c_mktsegment, round(z, 6) AS z, round(2 * tail, 6) AS p_value FROM q""")
+def stt4_by(spark, sf):
+    p = F.col("p")
+    share = load_table(spark, sf, "customer").groupBy("c_mktsegment").agg(F.avg((F.col("c_acctbal") > 4500).cast("double")).alias("p"), F.count(F.lit(1)).alias("n"))
+    z = share.where((p > 0) & (p < 1)).withColumn("z", (2 * p - 1) / (2 * F.sqrt(p * (1 - p) / F.col("n"))))
+    return z.select("c_mktsegment", _r("z"), F.round(st.spread_p_value(F.col("z")), 6).alias("p_value"))
+
+
+@query("eva7_best_run", covers="EVA7 SRT7", sql="""
+WITH r AS (SELECT c_mktsegment AS model, sqrt(avg(pow(c_acctbal - m, 2))) AS score FROM (
+             SELECT c_mktsegment, CAST(c_acctbal AS DOUBLE) AS c_acctbal, avg(CAST(c_acctbal AS DOUBLE)) OVER (PARTITION BY c_mktsegment) AS m FROM customer) GROUP BY 1)
+SELECT arg_min(model, score) AS best_model, round(min(score), 6) AS best_score FROM r""")
+def eva7(spark, sf):
+    """Of one mean predictor a segment, the run with the least error."""
+    c = load_table(spark, sf, "customer").withColumn("y", F.col("c_acctbal").cast("double"))
+    runs = c.groupBy(F.col("c_mktsegment").alias("model")).agg(F.sqrt(F.var_pop("y")).alias("score"))
+    return ev.best_run(runs, maximize=False).select("best_model", _r("best_score"))
 
 
 @query("sca29_gaussian_density_score", covers="SCA29", sql="""
