@@ -6,12 +6,15 @@ on the user, then x ratings on (neighbour, item), aggregated per target.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 # ---- fixed values of the reference's blend ----------------------------------
 SVD_WEIGHT, TRUST_WEIGHT = 0.8, 0.2
 # -----------------------------------------------------------------------------
@@ -68,28 +71,83 @@ def cold_start_flags(pairs: DataFrame, train: DataFrame, user="user_id", item="i
                  .fillna(False, ["known_user", "known_item"]))
 
 
+@dataclass(frozen=True)
+class RatingEffects:
+    """rating = mean + user effect + item effect + rest: (user, user_effect), (item, item_effect), the rounds
+    taken and the largest change of an effect in the last one."""
+
+    mean: float
+    users: DataFrame
+    items: DataFrame
+    rounds: int
+    change: float
+
+
+def fit_effects(train: DataFrame, user="user_id", item="item_id", rating="rating", damping: tuple[float, float] = (10.0, 10.0),
+                max_rounds: int = 20, tolerance: float = 1e-3) -> RatingEffects:
+    """MOD5: damped user and item effects by alternating grouped means, until no effect moves by more than
+    ``tolerance``: effect = sum of what the other side leaves / (ratings + damping).  A key of a third of
+    all ratings is a partial aggregate; each round joins the ratings with one table of effects.
+
+    NULL ratings are left out; the effects of an empty table are empty."""
+    x = cut_lineage(train.where(F.col(rating).isNotNull()).select(user, item, F.col(rating).cast("double").alias("__r")))
+    mean = x.agg(F.avg("__r")).first()[0]
+
+    def side(key: str, other: str, effects: DataFrame, name: str, damp: float) -> DataFrame:
+        left = x.join(effects, other, "left")
+        held = [c for c in effects.columns if c != other][0]
+        rest = F.col("__r") - F.lit(mean) - F.coalesce(F.col(held), F.lit(0.0))
+        return cut_lineage(left.groupBy(key).agg((F.sum(rest) / (F.count(F.lit(1)) + damp)).alias(name)))
+
+    users = cut_lineage(x.select(user).distinct().withColumn("user_effect", F.lit(0.0)))
+    items, change, done = None, float("inf"), 0
+    while done < max_rounds and change > tolerance:
+        last_users, last_items = users, items
+        items = side(item, user, users, "item_effect", damping[1])
+        users = side(user, item, items, "user_effect", damping[0])
+        moved = [(users, last_users, user, "user_effect")] + ([(items, last_items, item, "item_effect")] if last_items is not None else [])
+        change = max(now.join(was.withColumnRenamed(name, "__was"), key).agg(F.max(F.abs(F.col(name) - F.col("__was")))).first()[0] or 0.0
+                     for now, was, key, name in moved)
+        done += 1
+    return RatingEffects(mean, users, items, done, change)
+
+
+def with_effects(pairs: DataFrame, effects: RatingEffects, user="user_id", item="item_id", out: str = "bias") -> DataFrame:
+    """Adds mean + user effect + item effect; an unknown user or item has none."""
+    x = pairs.join(effects.users, user, "left").join(effects.items, item, "left")
+    zero = F.lit(0.0)
+    return x.withColumn(out, F.lit(effects.mean) + F.coalesce("user_effect", zero) + F.coalesce("item_effect", zero)).drop("user_effect", "item_effect")
+
+
 def fit_als(train: DataFrame, global_mean: float, user="user_id", item="item_id", rating="rating",
-            rank: int = 10, reg: float = 0.1, max_iter: int = 10, seed: int = 42):
-    """MOD5: matrix factorisation on mean-removed ratings (``coldStartStrategy=nan``)."""
+            rank: int = 10, reg: float = 0.1, max_iter: int = 10, seed: int = 42, effects: RatingEffects | None = None):
+    """MOD5: matrix factorisation on bias-removed ratings (mean-removed ones without ``effects``;
+    ``coldStartStrategy=nan``)."""
     als = ALS(userCol=user, itemCol=item, ratingCol="__res", rank=rank, regParam=reg, maxIter=max_iter,
               coldStartStrategy="nan", seed=seed, nonnegative=False)
-    return als.fit(train.withColumn("__res", F.col(rating) - F.lit(global_mean)))
+    base = train.withColumn("__bias", F.lit(global_mean)) if effects is None else with_effects(train, effects, user, item, "__bias")
+    return als.fit(base.withColumn("__res", F.col(rating) - F.col("__bias")))
 
 
 def als_grid_cv(train: DataFrame, global_mean: float, ranks=(5, 10), regs=(0.05, 0.1), k: int = 5, max_iter: int = 10,
-                user="user_id", item="item_id", rating="rating", seed: int = 42, parallelism: int = 4):
+                user="user_id", item="item_id", rating="rating", seed: int = 42, parallelism: int = 4,
+                remove_bias: bool = False):
     """MOD5: full grid of rank x regularisation, ``k`` fixed folds by hash of (user, item), mean fold RMSE;
-    unknown users or items of a fold predict the mean.  Returns (scores table, model refitted on all
+    with ``remove_bias`` each fold's user and item effects are fitted on its training part and removed;
+    unknown users or items of a fold predict the mean and the known effect.  Returns (scores table, model refitted on all
     of ``train`` with the best setting)."""
     from tessera.operators.sampling import hash64
     spark = train.sparkSession
     x = train.withColumn("__fold", F.pmod(hash64([user, item], seed), F.lit(k)).cast("int"))
 
+    of_fold = [fit_effects(x.where(F.col("__fold") != fold), user, item, rating) if remove_bias else None for fold in range(k)]
+
     def fold_rmse(setting) -> float:
         rank, reg, fold = setting
-        m = fit_als(x.where(F.col("__fold") != fold), global_mean, user, item, rating, rank, reg, max_iter, seed)
+        m = fit_als(x.where(F.col("__fold") != fold), global_mean, user, item, rating, rank, reg, max_iter, seed, of_fold[fold])
         p = m.transform(x.where(F.col("__fold") == fold))
-        err = F.nanvl(F.col("prediction").cast("double"), F.lit(0.0)) + F.lit(global_mean) - F.col(rating)
+        p = with_effects(p, of_fold[fold], user, item, "__bias") if remove_bias else p.withColumn("__bias", F.lit(global_mean))
+        err = F.nanvl(F.col("prediction").cast("double"), F.lit(0.0)) + F.col("__bias") - F.col(rating)
         return p.agg(F.sqrt(F.avg(err * err))).first()[0]
 
     grid = [(rank, reg) for rank in ranks for reg in regs]
@@ -97,18 +155,26 @@ def als_grid_cv(train: DataFrame, global_mean: float, ranks=(5, 10), regs=(0.05,
         rmse = pool.map(fold_rmse, [(*g, fold) for g in grid for fold in range(k)])
     rows = [(int(rank), float(reg), sum(rmse[i * k:(i + 1) * k]) / k) for i, (rank, reg) in enumerate(grid)]
     best = min(rows, key=lambda r: (r[2], r[0], r[1]))
-    model = fit_als(train, global_mean, user, item, rating, best[0], best[1], max_iter, seed)
+    effects = fit_effects(train, user, item, rating) if remove_bias else None
+    model = fit_als(train, global_mean, user, item, rating, best[0], best[1], max_iter, seed, effects)
     scores = spark.createDataFrame([(*r, r == best) for r in rows], "rank INT, reg DOUBLE, mean_rmse DOUBLE, is_best BOOLEAN")
     return scores, model
 
 
 def blend_predictions(pairs: DataFrame, als_model, train: DataFrame, edges: DataFrame, global_mean: float,
-                      lo: float, hi: float, user="user_id", item="item_id", rating="rating") -> DataFrame:
+                      lo: float, hi: float, user="user_id", item="item_id", rating="rating", effects: RatingEffects | None = None) -> DataFrame:
     """MOD6: 0.8 x MF + 0.2 x trust; unknown user -> item mean (else global
-    mean); unknown item -> global mean; clipped to [lo, hi]."""
-    p = als_model.transform(pairs).withColumn(
-        "mf_pred", F.coalesce(F.nanvl(F.col("prediction").cast("double"), F.lit(0.0)), F.lit(0.0)) + F.lit(global_mean)).drop("prediction")
-    p = trust_weighted_rating(p, edges, train, global_mean, user, item, rating)
+    mean); unknown item -> global mean; clipped to [lo, hi].  ``effects`` are those removed before the fit."""
+    p = als_model.transform(pairs)
+    p = p.withColumn("__bias", F.lit(global_mean)) if effects is None else with_effects(p, effects, user, item, "__bias")
+    mf = F.coalesce(F.nanvl(F.col("prediction").cast("double"), F.lit(0.0)), F.lit(0.0)) + F.col("__bias")
+    return blend_given(p.withColumn("mf_pred", mf).drop("prediction", "__bias"), train, edges, global_mean, lo, hi, user, item, rating)
+
+
+def blend_given(pairs: DataFrame, train: DataFrame, edges: DataFrame, global_mean: float, lo: float, hi: float,
+                user="user_id", item="item_id", rating="rating") -> DataFrame:
+    """MOD6's rule for pairs that carry a factorisation's ``mf_pred``."""
+    p = trust_weighted_rating(pairs, edges, train, global_mean, user, item, rating)
     p = cold_start_flags(p, train, user, item)
     item_mean = train.groupBy(item).agg(F.avg(rating).alias("__item_mean"))
     p = p.join(item_mean, item, "left")

@@ -135,17 +135,57 @@ def mod6b(spark, sf):
 def mod5(spark, sf):
     train, _ = _rating_split(spark, sf)
     gm = train.agg(F.avg("rating")).first()[0]
-    scores, _best = rs.als_grid_cv(train, gm, ranks=(5, 10), regs=(0.05, 0.2), k=5, max_iter=5)
+    scores, _best = rs.als_grid_cv(train, gm, ranks=(5, 10), regs=(0.05, 0.2), k=5, max_iter=5, remove_bias=True)
     return scores
 
 
+#: Two rounds of alternating damped effects over the training ratings.
+_EFFECTS_SQL = _SPLIT_SQL + """,
+t AS (SELECT user_id, item_id, CAST(rating AS DOUBLE) AS r FROM s WHERE split = 'train'),
+tm AS (SELECT avg(r) AS m, min(r) AS lo, max(r) AS hi FROM t),
+i1 AS (SELECT item_id, sum(r - m) / (count(*) + 10) AS e FROM t, tm GROUP BY 1),
+u1 AS (SELECT user_id, sum(r - m - i1.e) / (count(*) + 10) AS e FROM t JOIN i1 USING (item_id), tm GROUP BY 1),
+i2 AS (SELECT item_id, sum(r - m - u1.e) / (count(*) + 10) AS e FROM t JOIN u1 USING (user_id), tm GROUP BY 1),
+u2 AS (SELECT user_id, sum(r - m - i2.e) / (count(*) + 10) AS e FROM t JOIN i2 USING (item_id), tm GROUP BY 1)"""
+
+
+@query("mod5_rating_effects", covers="MOD5", sql=_EFFECTS_SQL + """
+SELECT 'user' AS side, user_id AS id, round(e, 7) AS effect FROM u2 UNION ALL SELECT 'item', item_id, round(e, 7) FROM i2""")
+def mod5_effects(spark, sf):
+    e = rs.fit_effects(_rating_split(spark, sf)[0], max_rounds=2, tolerance=0.0)
+    return (e.users.select(F.lit("user").alias("side"), F.col("user_id").alias("id"), F.col("user_effect").alias("effect"))
+            .unionByName(e.items.select(F.lit("item").alias("side"), F.col("item_id").alias("id"), F.col("item_effect").alias("effect")))
+            .withColumn("effect", F.round("effect", 7)))
+
+
+@query("mod6_blend_values", covers="MOD6 JOI7 JOI11", sql=_EFFECTS_SQL + """,
+nb AS (SELECT x.user_id, x.item_id, sum(e.weight * n.r) / sum(e.weight) AS tp
+       FROM s x JOIN edges e ON e.src = x.user_id JOIN t n ON n.user_id = e.dst AND n.item_id = x.item_id
+       WHERE x.split = 'test' GROUP BY 1, 2),
+im AS (SELECT item_id, avg(r) AS item_mean FROM t GROUP BY 1),
+p AS (SELECT x.user_id, x.item_id, m, lo, hi, u2.user_id IS NOT NULL AS ku, i2.item_id IS NOT NULL AS ki, item_mean,
+             0.8 * (m + coalesce(u2.e, 0) + coalesce(i2.e, 0)) + 0.2 * coalesce(tp, m) AS blend
+      FROM s x LEFT JOIN u2 USING (user_id) LEFT JOIN i2 USING (item_id) LEFT JOIN im USING (item_id)
+           LEFT JOIN nb ON nb.user_id = x.user_id AND nb.item_id = x.item_id, tm WHERE x.split = 'test')
+SELECT user_id, item_id, round(least(greatest(CASE WHEN NOT ku THEN coalesce(item_mean, m) WHEN NOT ki THEN m ELSE blend END, lo), hi), 6) AS pred FROM p""")
+def mod6_values(spark, sf):
+    """The blending rule over factors that SQL can compute too: mean, user and item effects."""
+    train, test = _rating_split(spark, sf)
+    effects = rs.fit_effects(train, max_rounds=2, tolerance=0.0)
+    lo, hi = [float(v) for v in train.agg(F.min("rating"), F.max("rating")).first()]
+    given = rs.with_effects(test.select("user_id", "item_id"), effects, out="mf_pred")
+    pred = rs.blend_given(given, train, trust_edges(spark, sf), effects.mean, lo, hi)
+    return pred.select("user_id", "item_id", F.round("pred", 6).alias("pred"))
+
+
 @query("mod6_blended_recommender", covers="MOD5 MOD6 JOI11 SMP3 SCA23 SCA24 EVA1")
 def mod6(spark, sf):
     train, test = _rating_split(spark, sf)
     gm = train.agg(F.avg("rating")).first()[0]
-    model = rs.fit_als(train, gm)
+    effects = rs.fit_effects(train)
+    model = rs.fit_als(train, gm, effects=effects)
     lo, hi = [float(v) for v in train.agg(F.min("rating"), F.max("rating")).first()]
-    pred = rs.blend_predictions(test, model, train, trust_edges(spark, sf), gm, lo, hi)
+    pred = rs.blend_predictions(test, model, train, trust_edges(spark, sf), gm, lo, hi, effects=effects)
     m = ev.regression_metrics(pred.withColumnRenamed("rating", "label").withColumnRenamed("pred", "prediction"))
     return m
 
