@@ -125,16 +125,18 @@ def preprocessing_stages(train: DataFrame, numeric: list[str], categorical: list
     """FEA7: column-wise preprocessing as persistable ``pyspark.ml`` stages:
     numeric NULL -> exact training median (baked into a ``SQLTransformer``),
     categorical NULL -> ``na_token``, text levels indexed in alphabetical
-    order (unseen levels kept as an extra index), assembled and scaled."""
-    from pyspark.ml.feature import SQLTransformer, StringIndexer
+    order (unseen ones -1), assembled and scaled."""
+    from pyspark.ml.feature import SQLTransformer
+
+    from tessera.operators.encoders import OrdinalEncoder
     from tessera.operators.quantiles import exact_quantiles
     med = exact_quantiles(_long_numeric(train, numeric), "value", [0.5], ["column"]).collect()
     fills = {r["column"]: r["q50"] for r in med}
     sel = ["*"] + [f"coalesce(`{c}`, {float(fills.get(c) or 0.0)!r}) AS `{c}__f`" for c in numeric] + \
           [f"coalesce(CAST(`{c}` AS STRING), '{na_token}') AS `{c}__f`" for c in categorical]
     stages = [SQLTransformer(statement=f"SELECT {', '.join(sel)} FROM __THIS__")]
-    stages += [StringIndexer(inputCol=f"{c}__f", outputCol=f"{c}__ix", stringOrderType="alphabetAsc",
-                             handleInvalid="keep") for c in categorical]
+    # A level that the fit did not see is -1, as in FEA4.
+    stages += [OrdinalEncoder(inputCols=[f"{c}__f" for c in categorical], outputCols=[f"{c}__ix" for c in categorical])]
     stages += [VectorAssembler(inputCols=[f"{c}__f" for c in numeric] + [f"{c}__ix" for c in categorical],
                                outputCol="__raw", handleInvalid="keep"),
                StandardScaler(inputCol="__raw", outputCol=out, withMean=True, withStd=True)]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as tx
 from tessera.operators import evaluation as ev
 from tessera.operators import modeling as md
+from tessera.operators.encoders import OrdinalEncoder
 from tessera.operators import sampling
 from tessera.plans.flights import flight_features
 from tessera.plans.registry import query
@@ -143,6 +144,22 @@ def mod8(spark, sf):
     return ev.regression_metrics(pred)
 
 
+@query("fea7_saved_encoder", covers="FEA7 FEA4 FEA5 MOD8", sql="""
+WITH lv AS (SELECT p_type, CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS code
+            FROM (SELECT DISTINCT p_type FROM part WHERE p_size <= 10 AND p_type <> 'PROMO')),
+lb AS (SELECT p_brand, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS code
+       FROM (SELECT DISTINCT p_brand FROM part WHERE p_size <= 10 AND p_type <> 'PROMO'))
+SELECT p_partkey, CAST(coalesce(lv.code, -1) AS INTEGER) AS p_type_code, CAST(coalesce(lb.code, -1) AS INTEGER) AS p_brand_code
+FROM part p LEFT JOIN lv ON p.p_type = lv.p_type LEFT JOIN lb ON p.p_brand = lb.p_brand""")
+def fea7(spark, sf):
+    """Codes of an encoder that was fitted, saved inside a pipeline model, and read back."""
+    p = load_table(spark, sf, "part")
+    cols = ["p_type", "p_brand"]
+    stage = OrdinalEncoder(inputCols=cols, outputCols=[f"{c}_code" for c in cols])
+    model = md.fit_save_pipeline(p.where("p_size <= 10 AND p_type <> 'PROMO'"), [stage], shared_path(spark, "models", "encoder", uuid.uuid4().hex[:12]))
+    return model.transform(p).select("p_partkey", "p_type_code", "p_brand_code")
+
+
 @query("mod9_pseudo_labeling_curve", covers="MOD9 EVA6 FLT8 SET3")
 def mod9(spark, sf):
     x = _doc_xy(spark, sf)
