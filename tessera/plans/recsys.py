@@ -178,7 +178,7 @@ def mod6_values(spark, sf):
     return pred.select("user_id", "item_id", F.round("pred", 6).alias("pred"))
 
 
-@query("mod6_blended_recommender", covers="MOD5 MOD6 JOI11 SMP3 SCA23 SCA24 EVA1")
+@query("mod6_blended_recommender", covers="MOD5 MOD6 JOI11 SCA23 SCA24 EVA1")
 def mod6(spark, sf):
     train, test = _rating_split(spark, sf)
     gm = train.agg(F.avg("rating")).first()[0]
@@ -232,7 +232,7 @@ def eva4(spark, sf):
     return rep.select("class", _r("precision"), _r("recall"), _r("f1"), F.col("support").cast("bigint"))
 
 
-@query("eva4_macro_weighted_summary", covers="EVA4 EVA7 SRT7", sql=_NC_SQL + """,
+@query("eva4_macro_weighted_summary", covers="EVA4", sql=_NC_SQL + """,
 cm AS (SELECT label, prediction, count(*) AS n FROM p GROUP BY 1, 2),
 cl AS (SELECT DISTINCT label AS class FROM p UNION SELECT DISTINCT prediction FROM p),
 s AS (SELECT cl.class, coalesce((SELECT sum(n) FROM cm WHERE cm.label = cl.class), 0) AS support,

@@ -128,7 +128,7 @@ def str5s(spark, sf):
 _STREAMS = ("str10_metric_a", "str10_metric_b", "str10_alerts_json")
 
 
-@query("str10_concurrent_streams_progress", covers="STR10 STR15 SNK1", sql="\nUNION ALL ".join(
+@query("str10_concurrent_streams_progress", covers="STR10 SNK1", sql="\nUNION ALL ".join(
     f"SELECT '{n}' AS query, count(*) AS input_rows, CAST(0 AS BIGINT) AS lag FROM events" for n in _STREAMS))
 def str10(spark, sf):
     t = _txn_stream(spark, sf)
