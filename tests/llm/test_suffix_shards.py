@@ -18,7 +18,8 @@ def brute(rows, window=400):
             if seen[d[k:k + window]] > 1:
                 gone[k:k + window] = 1
         spans = int((np.diff(np.concatenate([[0], gone])) == 1).sum())
-        out.append((i, len(d), int(gone.sum()), spans, hashlib.sha256(bytes(b for b, g in zip(d, gone) if not g)).hexdigest()))
+        out.append((i, len(d), int(gone.sum()), spans, hashlib.sha256(bytes(b for b, g in zip(d, gone) if not g)).hexdigest(),
+                    len(d) - int(gone.sum()), spans > 0))
     return sorted(out, key=str)
 
 
