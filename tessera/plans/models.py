@@ -14,10 +14,10 @@ from tessera.functions import text as tx
 from tessera.operators import evaluation as ev
 from tessera.operators import modeling as md
 from tessera.operators.encoders import OrdinalEncoder
-from tessera.operators import sampling
+from tessera.operators import ridge, sampling
 from tessera.plans.flights import flight_features
 from tessera.plans.registry import query
-from tessera.plans.sqlhash import split_sql
+from tessera.plans.sqlhash import h_sql, split_sql
 from tessera.plans.views import with_flights
 from tessera.sources.tables import cores, load_table, spread
 from tessera.session import cut_lineage
@@ -105,6 +105,32 @@ def mod3(spark, sf):
     return md.cv_results(spark, cvm)
 
 
+_PENALTIES = [0.0, 0.01, 0.1, 1.0]
+
+
+# The oracle fits each fold on its rows (normal equations of two features) and scores the held-out rows one by one.
+@query("mod3_ridge_shared_sums", covers="MOD3 MOD1 EVA1 EVA7 SMP1", sql=f"""
+WITH x AS (SELECT CAST(l_quantity AS DOUBLE) AS a, CAST(l_discount AS DOUBLE) AS b, CAST(l_extendedprice AS DOUBLE) AS y,
+                  {h_sql(42, "l_orderkey", "l_linenumber")} % 5 AS fold FROM lineitem),
+f AS (SELECT DISTINCT fold FROM x),
+p AS (SELECT unnest({_PENALTIES!r}::DOUBLE[]) AS penalty),
+m AS (SELECT f.fold, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) AS va, var_pop(b) AS vb, covar_pop(a, b) AS ab,
+             covar_pop(a, y) AS ay, covar_pop(b, y) AS by_, count(*) AS n_train FROM f JOIN x ON x.fold <> f.fold GROUP BY f.fold),
+c AS (SELECT *, va * (1 + penalty) * vb * (1 + penalty) - ab * ab AS det FROM m, p),
+w AS (SELECT *, (ay * vb * (1 + penalty) - ab * by_) / det AS wa, (by_ * va * (1 + penalty) - ab * ay) / det AS wb FROM c),
+e AS (SELECT penalty, w.fold, any_value(n_train) AS n_train, count(*) AS n_test,
+             sqrt(avg(power(y - my - wa * (a - ma) - wb * (b - mb), 2))) AS rmse FROM w JOIN x ON x.fold = w.fold GROUP BY 1, 2),
+g AS (SELECT penalty, avg(rmse) AS mean_rmse FROM e GROUP BY 1)
+SELECT penalty, fold, n_train, n_test, round(rmse, 4) AS rmse, round(mean_rmse, 4) AS mean_rmse,
+       penalty = (SELECT penalty FROM g ORDER BY mean_rmse, penalty DESC LIMIT 1) AS is_best
+FROM e JOIN g USING (penalty)""")
+def mod3r(spark, sf):
+    x = load_table(spark, sf, "lineitem")
+    x = x.withColumn("fold", F.pmod(sampling.hash64(["l_orderkey", "l_linenumber"], 42), F.lit(5)))
+    res = ridge.ridge_cv(x, ["l_quantity", "l_discount"], "l_extendedprice", "fold", _PENALTIES)
+    return res.withColumns({c: F.round(c, 4) for c in ("rmse", "mean_rmse")})
+
+
 @query("mod4_random_search_cv", covers="MOD4 SMP2")
 def mod4(spark, sf):
     x = sampling.stratified_folds(_doc_xy(spark, sf), "label", ["doc_id"], k=3)
