@@ -221,3 +221,36 @@ def str13m(spark, sf):
     if q.exception():
         raise q.exception()
     return runner.latest(spark.read.parquet(out), ["merchant_id"], ["transaction_count"])
+
+
+# Six days of rows arrive at a time; the stream stops after each part and goes on from its checkpoint.
+@query("str1_running_category_table", covers="STR1 STR11 STR13", sql=REGISTRY["str1_sliding_category_commission_batch"][1])
+def str1r(spark, sf):
+    """Every window as it stands when the rows end: closed ones and those still open."""
+    tag = uuid.uuid4().hex[:12]
+    folder, out, checkpoint = (runner.shared_path(spark, "streams", "str1_running", tag, k) for k in ("in", "out", "_checkpoint"))
+    t = payments(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    part = F.greatest(F.lit(0), F.least(F.lit(4), F.floor((F.unix_millis("ts") / 1000 - 1704067200) / 518400)))
+    for n in range(5):
+        t.where(part == n).write.mode("overwrite").parquet(f"{folder}/p{n}")
+        df = M.sliding_category_commission(M.event_time(spark.readStream.schema(t.schema).parquet(f"{folder}/*")), watermark=M.CATEGORY_WINDOW)
+        q = runner.run_update_counts(df, "str1_running", out, checkpoint)
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    res = runner.running_table(spark, out, df.schema, ["start_time", "end_time", "merchant_category"])
+    return res.select(*_ntz("start_time", "end_time"), "merchant_category", "total_commission", F.round("avg_commission", 6).alias("avg_commission"))
+
+
+# Seven files of unlike size (one writer each, so that the oracle knows the files), two a micro-batch.
+@query("str15_backlog_after_each_batch", covers="STR15 SRC4 SRC2", sql="""
+WITH f AS (SELECT CAST(floor(sqrt(event_id % 49)) AS BIGINT) AS part FROM events),
+b AS (SELECT part // 2 AS batch_id, count(*) AS input_rows FROM f GROUP BY 1)
+SELECT batch_id, input_rows, CAST(sum(input_rows) OVER () - sum(input_rows) OVER (ORDER BY batch_id) AS BIGINT) AS lag FROM b""")
+def str15(spark, sf):
+    e = load_table(spark, sf, "events")
+    folder = runner.shared_path(spark, "streams", "str15", uuid.uuid4().hex[:12], "in")
+    part = F.floor(F.sqrt(F.pmod("event_id", F.lit(49))))
+    for n in range(7):
+        e.where(part == n).coalesce(1).write.mode("append").parquet(folder)
+    return runner.bounded_drain(spark, folder, e.schema, "str15_backlog", files_per_trigger=2)[1]

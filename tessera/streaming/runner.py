@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tessera.session import ensure_checkpoint_dir
 
@@ -31,6 +32,13 @@ def _is_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isFile()
 
 
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    """Asked of the path's own file system, local or remote."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
+
+
 def read_stream(spark: SparkSession, path: str | None = None, schema=None, fmt: str = "parquet",
                 options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """SRC2: streaming scan.  ``fmt='kafka'`` yields (key, value, topic, partition,
@@ -158,6 +166,51 @@ def drain_to_files(spark: SparkSession, source: DataFrame, name: str, fmt: str =
     return out
 
 
+def bounded_drain(spark: SparkSession, folder: str, schema, name: str, files_per_trigger: int, fmt: str = "parquet",
+                  out: str | None = None, checkpoint: str | None = None) -> tuple[str, DataFrame]:
+    """SRC4 / STR15: copy a folder's backlog in micro-batches of at most ``files_per_trigger`` files.
+
+    Returns the output folder and one row per micro-batch with rows: ``batch_id``, ``input_rows``
+    and ``lag``, the rows of the backlog not yet read after it.  The backlog is what lies in the
+    folder at the call less what ``out`` holds; given the same ``out`` and ``checkpoint``, a later
+    call goes on where the last one stopped.  Files that come during the call wait for the next
+    (a file that comes between the count and the start is read, and the lag stops at 0).  An empty
+    backlog gives no rows.  The folder may be a pattern; files go by age."""
+    run = uuid.uuid4().hex[:12]
+    out = out or shared_path(spark, "drain", name, run, "out")
+    checkpoint = checkpoint or shared_path(spark, "drain", name, run, "_checkpoint")
+    done = spark.read.schema(schema).parquet(out).count() if _holds_files(spark, checkpoint) and _holds_files(spark, out) else 0
+    files = spark.read.format(fmt).schema(schema).load(folder)
+    backlog = files.count() - done
+    # Spark keeps the progress of the last 100 micro-batches unless told to keep more.
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    kept = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(kept), 2 * len(files.inputFiles()) + 10)))
+    try:
+        q = start(read_stream(spark, folder, schema, fmt, max_files_per_trigger=files_per_trigger), name, path=out, checkpoint=checkpoint)
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+        rows = {p["batchId"]: sum(int(s["numInputRows"] or 0) for s in p["sources"]) for p in q.recentProgress}
+    finally:
+        spark.conf.set(key, kept)
+    table = []
+    for batch_id, n in sorted(rows.items()):
+        if n:
+            backlog -= n
+            table.append((batch_id, n, max(0, backlog)))
+    return out, spark.createDataFrame(table, "batch_id BIGINT, input_rows BIGINT, lag BIGINT")
+
+
+def running_table(spark: SparkSession, out: str, schema, keys: list[str]) -> DataFrame:
+    """STR1: current row of each key of an update-mode change log, open windows included; empty
+    where no batch has been written.  ``schema`` is that of the running aggregate."""
+    if not _holds_files(spark, out):
+        return spark.createDataFrame([], schema)
+    changes = spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())])).parquet(out)
+    return latest(changes, keys, [c for c in schema.names if c not in keys]).select(*schema.names)
+
+
 def start_split_sink(df: DataFrame, name: str, route, outputs: dict[str, str]) -> StreamingQuery:
     """STR12 / SNK2: one micro-batch stream written to several outputs.
 
@@ -182,18 +235,19 @@ def start_split_sink(df: DataFrame, name: str, route, outputs: dict[str, str]) -
     return q
 
 
-def run_update_counts(df: DataFrame, name: str, out: str) -> StreamingQuery:
-    """STR13: unwindowed running aggregates in update mode; every micro-batch
+def run_update_counts(df: DataFrame, name: str, out: str, checkpoint: str | None = None) -> StreamingQuery:
+    """STR13 / STR1: running aggregates in update mode; every micro-batch
     writes the keys whose value changed into its own ``batch_id=N`` folder
-    (overwrite, so a replayed batch is idempotent).  ``latest(...)`` reads the
-    current table back."""
+    (overwrite, so a replayed batch is idempotent).  ``latest(...)`` or
+    ``running_table(...)`` reads the current table back.  For windows, the
+    watermark of ``df`` bounds the state: a window behind it changes no more."""
     def write(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     spark = df.sparkSession
     run = uuid.uuid4().hex[:12]
     return (df.writeStream.queryName(f"{name}_{run}").outputMode("update").foreachBatch(write)
-              .option("checkpointLocation", shared_path(spark, "streams", name, run, "_checkpoint"))
+              .option("checkpointLocation", checkpoint or shared_path(spark, "streams", name, run, "_checkpoint"))
               .trigger(availableNow=True).start())
 
 

@@ -205,3 +205,52 @@ def test_progress_counts_rows_and_lag(spark):
     r = runner.progress_table(spark, [q]).first()
     assert (r["query"], r["busy_batches"], r["input_rows"], r["lag"]) == ("t_rows", 3, 30, 0)
     assert runner._offset_lag('{"t":{"0":10,"1":7}}', '{"t":{"0":4,"1":7}}') == 6
+
+
+def test_backlog_is_seen_after_each_batch_and_a_drain_goes_on(spark, tmp_path):
+    folder, out, checkpoint = (str(tmp_path / k) for k in ("in", "out", "_checkpoint"))
+    def arrive(*sizes):
+        for n in sizes:
+            spark.range(n).coalesce(1).write.mode("append").parquet(folder)
+    def drain(files=1):
+        path, log = runner.bounded_drain(spark, folder, "id LONG", "t_drain", files, out=out, checkpoint=checkpoint)
+        assert path == out
+        return [(r.input_rows, r.lag) for r in log.orderBy("batch_id").collect()]
+    (tmp_path / "in").mkdir()
+    assert drain() == []
+    arrive(5, 3, 2)
+    assert drain() == [(5, 5), (3, 2), (2, 0)]
+    assert drain() == []
+    arrive(4, 1, 1)
+    assert drain(2) == [(5, 1), (1, 0)]
+    assert spark.read.parquet(out).count() == 16
+
+
+def test_running_table_holds_open_windows_and_a_replayed_batch_changes_nothing(spark, tmp_path, request):
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"  # the last batch has rows
+    spark.conf.set(key, "false")
+    request.addfinalizer(lambda: spark.conf.unset(key))
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    folder, out, checkpoint = (str(tmp_path / k) for k in ("in", "out", "_checkpoint"))
+    keys = ["start_time", "end_time", "merchant_category"]
+    def go_on():
+        df = M.sliding_category_commission(_stream(spark, folder), watermark="1 minute")
+        q = runner.run_update_counts(df, "t_running", out, checkpoint)
+        q.awaitTermination()
+        assert q.exception() is None
+        return df
+    for n, rows in enumerate(([_row(1, 1, t0), _row(2, 1, t0 + dt.timedelta(seconds=5))], [_row(3, 1, t0 + dt.timedelta(seconds=30))])):
+        _write(spark, folder, rows, f"p{n}")
+        df = go_on()
+    read = lambda: {str(r.start_time)[11:19]: r.total_commission for r in runner.running_table(spark, out, df.schema, keys).collect()}
+    want = {"09:59:20": 30, "09:59:40": 60, "10:00:00": 60, "10:00:20": 30}
+    assert read() == want
+    # without its commit the last batch counts as lost half way: it runs again
+    assert sorted(f for f in os.listdir(f"{checkpoint}/commits") if f.isdigit()) == ["0", "1"]
+    for f in ("1", ".1.crc"):
+        os.remove(f"{checkpoint}/commits/{f}")
+    written = os.path.getmtime(f"{out}/batch_id=1/_SUCCESS")
+    go_on()
+    assert os.path.getmtime(f"{out}/batch_id=1/_SUCCESS") > written
+    assert read() == want
+    assert runner.running_table(spark, str(tmp_path / "none"), df.schema, keys).count() == 0
