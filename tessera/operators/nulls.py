@@ -27,16 +27,18 @@ def mask_invalid(c: str, invalid) -> F.Column:
 
 def exact_median(df: DataFrame, col: str) -> float | None:
     """Median with the midpoint of the two middle values for even counts (NUL3),
-    by distributed bucket refinement (``operators.quantiles``)."""
+    by ranges of ordered values (``operators.quantiles``)."""
     from tessera.operators.quantiles import exact_quantiles
     row = exact_quantiles(df, col, [0.5]).first()
     return None if row is None or row["q50"] is None else float(row["q50"])
 
 
 def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
-    """NUL3: fill NULLs with the exact median of each column."""
-    fills = {c: exact_median(df, c) for c in cols}
-    return df.na.fill({c: v for c, v in fills.items() if v is not None})
+    """NUL3: fill NULLs with the exact median of each column, all columns in one run."""
+    from tessera.operators.profiling import _long
+    from tessera.operators.quantiles import exact_quantiles
+    fills = exact_quantiles(_long(df, cols), "value", [0.5], ["column"]).collect()  # one row per column
+    return df.na.fill({r["column"]: r["q50"] for r in fills})
 
 
 def impute_cancelled_then_median(df: DataFrame, cols: list[str], cancelled: str) -> DataFrame:

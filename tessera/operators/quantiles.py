@@ -2,22 +2,24 @@
 
 Spark's exact ``percentile`` / ``median`` keep a map of distinct values per
 group and merge it in one task; for a hot group with many distinct values
-that is one huge task.  Here every (group, wanted rank) is a *target* with a
-value range [lo, hi] known to contain it and the count of values below lo.
-Each pass splits every open range into ``buckets`` equal-width buckets and
-counts rows per (target, bucket) -- a partial aggregate, so hot groups are
-pre-reduced on every task -- then keeps the bucket holding the rank.  When a
-range holds at most ``final_rows`` values (or a single distinct value) those
-few rows are ordered to read the exact value.  Linear interpolation between
-the two neighbouring ranks gives pandas/NumPy quantiles.  NULL and NaN are
-left out, as pandas does.
+that is one huge task.  Here the rows are counted by (group, value), so that
+repeated values are added up before they are moved, and the counts are range
+partitioned on (group, value): a hot group lies in as many partitions as it
+needs, each of bounded size.  One small aggregate of row counts by (group,
+partition) says in which partition each wanted rank lies; only those
+partitions are ordered, and a running count reads the ranks off.  The number
+of passes depends neither on the values nor on the number of groups.
+
+Linear interpolation between the two neighbouring ranks gives pandas/NumPy
+quantiles.  NULL and NaN values and rows with a NULL key are left out, as
+pandas does.  Without ``by`` an empty input gives one row of NULLs, with
+``by`` no row.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,136 +28,50 @@ from tessera.session import cut_lineage
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: list[float], by: list[str] | None = None,
-                    buckets: int = 1024, final_rows: int = 4096, max_passes: int = 40) -> DataFrame:
-    """One row per group with a column ``q<percent>`` (e.g. ``q50``) per quantile."""
+                    partitions: int | None = None) -> DataFrame:
+    """One row per group with a column ``q<percent>`` (e.g. ``q50``) per quantile.
+
+    ``partitions`` is the number of ranges (default: the session's shuffle
+    partitions, coalesced by AQE)."""
     by = list(by or [])
-    if not by:
-        return _global_quantiles(df, value, qs, buckets, final_rows, max_passes)
-    x = df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    keys = by
-    # the (group, value) projection is scanned once per pass: keep it cached
-    # (a lost block is recomputed from its deterministic lineage)
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    stats = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"),
-                                 F.max("__v").alias("__hi"))
-    # targets: for each quantile the two neighbouring 0-based ranks of (n-1)*q
-    tq = []
+    keys = by or ["__g"]
+    x = df.select(*(by or [F.lit(0).alias("__g")]), F.col(value).cast("double").alias("__v"))
+    x = x.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    for k in by:
+        x = x.where(F.col(k).isNotNull())
+    counted = x.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    ranged = counted.repartitionByRange(*([partitions] if partitions else []), *keys, "__v")
+    # range bounds come from a sample: the partition numbers are fixed by writing them
+    ranged = cut_lineage(ranged.withColumn("__p", F.spark_partition_id()))
+
+    # at most one row per (group, range partition)
+    sizes = ranged.groupBy(*keys, "__p").agg(F.sum("__c").alias("__s"))
+    group = W.partitionBy(*keys)
+    sizes = (sizes.withColumn("__n", F.sum("__s").over(group))
+             .withColumn("__end", F.sum("__s").over(group.orderBy("__p").rowsBetween(W.unboundedPreceding, 0))))
+    start = F.col("__end") - F.col("__s")
+    ranks = []
     for i, q in enumerate(qs):
         pos = (F.col("__n") - 1) * F.lit(float(q))
-        tq.append(F.struct(F.lit(i).alias("qi"), F.floor(pos).cast("long").alias("k"), F.lit(0).alias("side"),
-                           (pos - F.floor(pos)).alias("frac")))
-        tq.append(F.struct(F.lit(i).alias("qi"), F.ceil(pos).cast("long").alias("k"), F.lit(1).alias("side"),
-                           (pos - F.floor(pos)).alias("frac")))
-    targets = (stats.select(*keys, "__lo", "__hi", F.explode(F.array(*tq)).alias("t"))
-                    .select(*keys, "t.*", F.col("__lo").alias("lo"), F.col("__hi").alias("hi"),
-                            F.lit(0).cast("long").alias("below"), F.lit(None).cast("long").alias("inside"))
-                    .withColumn("tid", F.xxhash64(*keys, "qi", "side")))
-    for _ in range(max_passes):
-        open_t = targets.where(F.col("inside").isNull() | ((F.col("inside") > final_rows) & (F.col("lo") < F.col("hi"))))
-        if open_t.limit(1).count() == 0:
-            break
-        j = x.join(open_t.select(*keys, "tid", "lo", "hi"), keys)
-        j = j.where((F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi")))
-        width = (F.col("hi") - F.col("lo")) / buckets
-        b = F.when(F.col("hi") == F.col("lo"), 0).otherwise(
-            F.least(F.floor((F.col("__v") - F.col("lo")) / width), F.lit(buckets - 1))).cast("int")
-        cnt = j.groupBy("tid", b.alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min("__v").alias("bmin"),
-                                                 F.max("__v").alias("bmax"))
-        t2 = open_t.select("tid", "k", "below").join(cnt, "tid")
-        # running counts over at most ``buckets`` rows per target
-        w = W.partitionBy("tid").orderBy("b").rowsBetween(W.unboundedPreceding, 0)
-        t2 = t2.withColumn("cum", F.sum("c").over(w))
-        hit = (t2.where((F.col("below") + F.col("cum") > F.col("k")) & (F.col("below") + F.col("cum") - F.col("c") <= F.col("k")))
-                 .select("tid", F.col("bmin").alias("lo2"), F.col("bmax").alias("hi2"),
-                         (F.col("below") + F.col("cum") - F.col("c")).alias("below2"), F.col("c").alias("inside2")))
-        targets = targets.join(hit, "tid", "left").select(
-            *[F.coalesce(F.col(f"{c}2"), F.col(c)).alias(c) if c in ("lo", "hi", "below", "inside") else F.col(c)
-              for c in targets.columns])
-        targets = cut_lineage(targets)
-    else:
-        raise RuntimeError(f"ranges are still open after {max_passes} passes: raise max_passes")
-    # final: order the few rows left in each target's range
-    # (single-valued ranges -- possibly millions of equal values -- are not ordered)
-    fin = x.join(targets.where(F.col("lo") < F.col("hi")).select(*keys, "tid", "k", "below", "lo", "hi"), keys).where(
-        (F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi")))
-    fin = fin.withColumn("__r", F.row_number().over(W.partitionBy("tid").orderBy("__v")) - 1 + F.col("below"))
-    vals = fin.where(F.col("__r") == F.col("k")).select("tid", F.col("__v").alias("val"))
-    # a single-valued range needs no ordering: its value is the answer
-    const = targets.where(F.col("lo") == F.col("hi")).select("tid", F.col("lo").alias("val"))
-    vals = vals.unionByName(const)
-    t = targets.join(vals, "tid")
-    per_q = (t.groupBy(*keys, "qi").agg(F.max(F.when(F.col("side") == 0, F.col("val"))).alias("v0"),
-                                        F.max(F.when(F.col("side") == 1, F.col("val"))).alias("v1"),
-                                        F.first("frac").alias("frac"))
-               .withColumn("qv", F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("frac")))
-    names = [f"q{_pct(q)}" for q in qs]
-    wide = per_q.groupBy(*keys).agg(*[F.max(F.when(F.col("qi") == i, F.col("qv"))).alias(n)
-                                      for i, n in enumerate(names)])
-    wide = cut_lineage(wide)
-    x.unpersist()
-    return wide
+        for side, rank in enumerate((F.floor(pos), F.ceil(pos))):
+            ranks.append(F.struct(F.lit(i).alias("qi"), F.lit(side).alias("side"), (rank - start).alias("at"),
+                                  (pos - F.floor(pos)).alias("frac")))
+    wanted = (sizes.select(*keys, "__p", F.filter(F.array(*ranks), lambda r: (r["at"] >= 0) & (r["at"] < F.col("__s"))).alias("__r"))
+              .where(F.size("__r") > 0))
+
+    upto = F.sum("__c").over(W.partitionBy(*keys, "__p").orderBy("__v").rowsBetween(W.unboundedPreceding, 0))
+    hits = ranged.join(wanted, [*keys, "__p"]).withColumn("__upto", upto)
+    here = F.filter("__r", lambda r: (r["at"] < F.col("__upto")) & (r["at"] >= F.col("__upto") - F.col("__c")))
+    hits = hits.select(*keys, "__v", F.explode(here).alias("__t"))
+
+    out = []
+    for i, q in enumerate(qs):
+        lower, upper, frac = (F.max(F.when((F.col("__t.qi") == i) & (F.col("__t.side") == side), c))
+                              for side, c in ((0, F.col("__v")), (1, F.col("__v")), (0, F.col("__t.frac"))))
+        out.append(F.when(lower == upper, lower).otherwise(lower + (upper - lower) * frac).alias(f"q{_pct(q)}"))
+    return hits.groupBy(*by).agg(*out)
 
 
 def _pct(q: float) -> str:
     p = q * 100
     return str(int(p)) if math.isclose(p, round(p)) else str(p).replace(".", "_")
-
-
-def _global_quantiles(df: DataFrame, value: str, qs: list[float], buckets: int, final_rows: int,
-                      max_passes: int) -> DataFrame:
-    """Ungrouped case: the few targets (two ranks per quantile) live on the
-    driver; each pass is one aggregate whose bucket expressions carry every
-    target's range as literals (no join), and returns at most
-    ``buckets x targets`` counts."""
-    spark = df.sparkSession
-    v = F.col(value).cast("double")
-    x = df.select(v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v")).persist(StorageLevel.MEMORY_AND_DISK)
-    st = x.agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")).first()
-    n = st["n"]
-    names = [f"q{_pct(q)}" for q in qs]
-    if n == 0:
-        x.unpersist()
-        return spark.createDataFrame([tuple(None for _ in qs)], ", ".join(f"{c} DOUBLE" for c in names))
-    ranks = sorted({r for q in qs for r in (math.floor((n - 1) * q), math.ceil((n - 1) * q))})
-    tg = {k: {"lo": st["lo"], "hi": st["hi"], "below": 0, "inside": n} for k in ranks}
-    for _ in range(max_passes):
-        open_k = [k for k, t in tg.items() if t["inside"] > final_rows and t["lo"] < t["hi"]]
-        if not open_k:
-            break
-        parts = []
-        for k in open_k:
-            t = tg[k]
-            width = (t["hi"] - t["lo"]) / buckets
-            b = F.least(F.floor((F.col("__v") - F.lit(t["lo"])) / F.lit(width)), F.lit(buckets - 1)).cast("int")
-            inr = (F.col("__v") >= F.lit(t["lo"])) & (F.col("__v") <= F.lit(t["hi"]))
-            parts.append(F.when(inr, F.struct(F.lit(k).alias("k"), b.alias("b"))))
-        ex = x.select(F.explode(F.array_compact(F.array(*parts))).alias("t"), "__v").select("t.*", "__v")
-        rows = ex.groupBy("k", "b").agg(F.count(F.lit(1)).alias("c"), F.min("__v").alias("mn"),
-                                        F.max("__v").alias("mx")).collect()
-        by_k = {}
-        for r in rows:
-            by_k.setdefault(r["k"], []).append(r)
-        for k in open_k:
-            acc = tg[k]["below"]
-            for r in sorted(by_k[k], key=lambda r: r["b"]):
-                if acc + r["c"] > k:
-                    tg[k] = {"lo": r["mn"], "hi": r["mx"], "below": acc, "inside": r["c"]}
-                    break
-                acc += r["c"]
-    else:
-        raise RuntimeError(f"ranges are still open after {max_passes} passes: raise max_passes")
-    vals = {}
-    for k, t in tg.items():
-        if t["lo"] == t["hi"]:
-            vals[k] = t["lo"]
-        else:  # at most ``final_rows`` values remain in the range: order them
-            few = (x.where((F.col("__v") >= F.lit(t["lo"])) & (F.col("__v") <= F.lit(t["hi"])))
-                    .orderBy("__v").limit(k - t["below"] + 1).collect())
-            vals[k] = few[-1]["__v"]
-    x.unpersist()
-    out = []
-    for q in qs:
-        pos = (n - 1) * q
-        a, b = vals[math.floor(pos)], vals[math.ceil(pos)]
-        out.append(a + (b - a) * (pos - math.floor(pos)))
-    return spark.createDataFrame([tuple(out)], ", ".join(f"{c} DOUBLE" for c in names))

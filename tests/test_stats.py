@@ -93,16 +93,52 @@ def test_exact_quantiles_hot_group_and_ties(spark):
             for _ in range(5000)] + [(9, 5.0)] * 7 + [(8, 1.0)]
     df = spark.createDataFrame(rows, "g INT, v DOUBLE")
     got = {r["g"]: (r["q25"], r["q50"], r["q75"]) for r in
-           exact_quantiles(df, "v", [0.25, 0.5, 0.75], ["g"], buckets=8, final_rows=20).collect()}
+           exact_quantiles(df, "v", [0.25, 0.5, 0.75], ["g"], partitions=40).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v"])
     for g, s in pdf.groupby("g")["v"]:
         assert np.allclose(got[g], np.quantile(s.values, [0.25, 0.5, 0.75]))
 
 
-def test_exact_quantiles_global_many_passes(spark):
+def test_exact_quantiles_global_many_ranges(spark):
     from tessera.operators.quantiles import exact_quantiles
     rnd = random.Random(4)
     vals = [rnd.expovariate(1.0) for _ in range(3000)] + [2.0] * 50
     df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v DOUBLE")
-    got = exact_quantiles(df, "v", [0.1, 0.5, 0.99], buckets=4, final_rows=10).first()
+    got = exact_quantiles(df, "v", [0.1, 0.5, 0.99], partitions=16).first()
     assert np.allclose([got["q10"], got["q50"], got["q99"]], np.quantile(vals, [0.1, 0.5, 0.99]))
+
+
+def test_exact_quantiles_defined_cases(spark):
+    """No rows, NULL keys, clashing keys in two columns, infinite values, one hot value over many ranges."""
+    from tessera.operators.quantiles import exact_quantiles
+    none = spark.createDataFrame([], "g INT, v DOUBLE")
+    assert exact_quantiles(none, "v", [0.5], ["g"]).collect() == []
+    assert exact_quantiles(none, "v", [0.25, 0.5]).first().asDict() == {"q25": None, "q50": None}
+    inf = float("inf")
+    rows = [("a", 1, 2.0)] * 3000 + [("a", 1, float(i)) for i in range(100)] + [("a", 2, -inf), ("a", 2, -inf), (None, 1, 9.0)]
+    rows += [("b", 1, -0.0), ("b", 1, 0.0), ("b", 1, 4.0), ("b", 2, None)]
+    df = spark.createDataFrame(rows, "g STRING, v INT, x DOUBLE")
+    got = {(r["g"], r["v"]): (r["q12_5"], r["q50"], r["q99"]) for r in
+           exact_quantiles(df, "x", [0.125, 0.5, 0.99], ["g", "v"], partitions=30).collect()}
+    a1 = [r[2] for r in rows if r[:2] == ("a", 1)]
+    assert set(got) == {("a", 1), ("a", 2), ("b", 1)}
+    assert np.allclose(got["a", 1], np.quantile(a1, [0.125, 0.5, 0.99]))
+    assert got["a", 2] == (-inf, -inf, -inf)
+    assert np.allclose(got["b", 1], np.quantile([0.0, 0.0, 4.0], [0.125, 0.5, 0.99]))
+
+
+def test_exact_quantiles_run_no_loop_of_passes(spark):
+    """The jobs do not depend on how the values are spread."""
+    from tessera.operators.quantiles import exact_quantiles
+    sc = spark.sparkContext
+
+    def jobs(values, tag):
+        df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)], "g INT, v DOUBLE")
+        sc.setJobGroup(tag, tag)
+        exact_quantiles(df, "v", [0.5], ["g"]).collect()
+        n = len(sc.statusTracker().getJobIdsForGroup(tag))
+        sc.setJobGroup("", "")
+        return n
+
+    even = jobs([float(i) for i in range(6000)], "even")
+    assert 0 < jobs([1.5 ** (i % 1200) for i in range(6000)], "spread") <= even + 1
