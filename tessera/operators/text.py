@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
+from tessera.session import cut_lineage
 
 
 def clean_tokens(df: DataFrame, text: str, out: str = "tokens", stop_words=tx.STOP_WORDS,
@@ -22,17 +23,33 @@ def clean_tokens(df: DataFrame, text: str, out: str = "tokens", stop_words=tx.ST
 
 
 def map_tokens_by_table(df: DataFrame, id_col: str, tokens: str, dictionary: DataFrame,
-                        key: str = "word", value: str = "lemma") -> DataFrame:
+                        key: str = "word", value: str = "lemma", broadcast_bytes: int = 64 << 20) -> DataFrame:
     """TXT1 lemma step: replace each token through a (word -> lemma) table.
 
-    Tokens are exploded with their position, joined to the dictionary and regrouped in order;
-    each regrouped list is one document's own tokens."""
-    d = dictionary.select(F.col(key).alias("__w"), F.col(value).alias("__l"))
-    ex = df.select(id_col, F.posexplode(tokens).alias("__p", "__w"))
-    j = ex.join(d, "__w", "left")
-    back = (j.groupBy(id_col)
-             .agg(F.array_sort(F.collect_list(F.struct("__p", F.coalesce("__l", "__w").alias("t")))).alias("__s"))
-             .select(id_col, F.transform("__s", lambda s: s["t"]).alias("__mapped")))
+    The dictionary is written once and measured.  Up to ``broadcast_bytes`` it
+    is broadcast: the documents are partitioned by id, and tokens are exploded,
+    looked up and regrouped inside these partitions, so no token is shuffled.
+    A larger one is joined with the distinct words of each document, and only
+    words that it holds go back to their document.
+
+    Ids identify documents and are not null.  A word that stands in the
+    dictionary more than once takes its least value; NULL words and values
+    replace nothing; NULL tokens give an empty list."""
+    d = dictionary.select(F.col(key).alias("__w"), F.col(value).alias("__l")).where(F.col("__w").isNotNull() & F.col("__l").isNotNull())
+    d = cut_lineage(d.groupBy("__w").agg(F.min("__l").alias("__l")))
+    size = d.agg(F.sum(F.octet_length("__w") + F.octet_length("__l") + 64)).first()[0] or 0
+    if size <= broadcast_bytes:
+        df = df.repartition(id_col)
+        ex = df.select(id_col, F.posexplode(tokens).alias("__p", "__w")).join(F.broadcast(d), "__w", "left")
+        back = (ex.groupBy(id_col)
+                .agg(F.array_sort(F.collect_list(F.struct("__p", F.coalesce("__l", "__w").alias("t")))).alias("__s"))
+                .select(id_col, F.transform("__s", lambda s: s["t"]).alias("__mapped")))
+    else:
+        words = df.select(id_col, F.explode(F.array_distinct(tokens)).alias("__w"))
+        back = (words.join(d, "__w").groupBy(id_col)
+                .agg(F.map_from_entries(F.collect_set(F.struct("__w", "__l"))).alias("__m")))
+        back = df.select(id_col, tokens).join(back, id_col, "left").select(
+            id_col, F.transform(tokens, lambda t: F.coalesce(F.try_element_at("__m", t), t)).alias("__mapped"))
     return (df.join(back, id_col, "left")
               .withColumn(tokens, F.coalesce(F.col("__mapped"), F.array().cast("array<string>"))).drop("__mapped"))
 

@@ -28,6 +28,19 @@ def test_dictionary_map_keeps_order(spark):
     assert tops.map_tokens_by_table(df, "id", "tokens", d).first()["tokens"] == ["run", "dog", "x"]
 
 
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_lemma_step_broadcast_and_joined(spark, broadcast_bytes):
+    """Same result for small and large dictionaries: repeats, unknown words, NULL and empty lists, a word listed twice."""
+    rows = [(i, [f"w{(i * j) % 11}" for j in range(i % 7)] + ["same"] * 3) for i in range(40)] + [(100, []), (101, None)]
+    df = spark.createDataFrame(rows, "id INT, tokens ARRAY<STRING>").repartition(5).withColumn("word", F.lit("kept"))
+    known = {f"w{k}": f"l{k}" for k in range(0, 11, 2)} | {"same": "a"}
+    pairs = [*known.items(), ("same", "b"), (None, "x"), ("w1", None), ("never", "seen")]
+    d = spark.createDataFrame(pairs, "word STRING, lemma STRING")
+    got = {r["id"]: (r["tokens"], r["word"]) for r in
+           tops.map_tokens_by_table(df, "id", "tokens", d, broadcast_bytes=broadcast_bytes).collect()}
+    assert got == {i: ([known.get(t, t) for t in toks or []], "kept") for i, toks in rows}
+
+
 def test_vector_search_exact_with_ties_and_zero(spark):
     corpus = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (4, [3.0, 4.0])],
                                    "id LONG, v ARRAY<FLOAT>")
