@@ -6,6 +6,7 @@ on the user, then x ratings on (neighbour, item), aggregated per target.
 
 from __future__ import annotations
 
+import gc
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -13,7 +14,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, stored
 
 # ---- fixed values of the reference's blend ----------------------------------
 SVD_WEIGHT, TRUST_WEIGHT = 0.8, 0.2
@@ -83,28 +84,45 @@ class RatingEffects:
     change: float
 
 
-def fit_effects(train: DataFrame, user="user_id", item="item_id", rating="rating", damping: tuple[float, float] = (10.0, 10.0),
-                max_rounds: int = 20, tolerance: float = 1e-3) -> RatingEffects:
-    """MOD5: damped user and item effects by alternating grouped means, until no effect moves by more than
-    ``tolerance``: effect = sum of what the other side leaves / (ratings + damping).  A key of a third of
-    all ratings is a partial aggregate; each round joins the ratings with one table of effects.
+#: Keys whose effects are sent to the ratings at once; of more, one block after the other is.
+BROADCAST_KEYS = 4_000_000
 
-    NULL ratings are left out; the effects of an empty table are empty."""
-    x = cut_lineage(train.where(F.col(rating).isNotNull()).select(user, item, F.col(rating).cast("double").alias("__r")))
-    mean = x.agg(F.avg("__r")).first()[0]
 
-    def side(key: str, other: str, effects: DataFrame, name: str, damp: float) -> DataFrame:
-        left = x.join(effects, other, "left")
+def _layouts(train: DataFrame, user: str, item: str, rating: str, *keep: str) -> tuple[DataFrame, DataFrame]:
+    """The ratings in the order of items and of users, each in range partitions: a key's rows lie together
+    (a key of a third of all ratings over many partitions), so sums by key leave a task as one row a key."""
+    x = train.where(F.col(rating).isNotNull()).select(user, item, F.col(rating).cast("double").alias("__r"), *keep)
+    parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_item = stored(x.repartitionByRange(parts, item, user))
+    return by_item, stored(by_item.repartitionByRange(parts, user, item))
+
+
+def _fit(by_item: DataFrame, by_user: DataFrame, user: str, item: str, damping: tuple[float, float], max_rounds: int, tolerance: float,
+         broadcast_keys: int | None = None) -> RatingEffects:
+    limit = BROADCAST_KEYS if broadcast_keys is None else broadcast_keys
+    mean = by_item.agg(F.avg("__r")).first()[0]
+
+    def side(x: DataFrame, key: str, other: str, effects: DataFrame, name: str, damp: float) -> DataFrame:
         held = [c for c in effects.columns if c != other][0]
         rest = F.col("__r") - F.lit(mean) - F.coalesce(F.col(held), F.lit(0.0))
-        return cut_lineage(left.groupBy(key).agg((F.sum(rest) / (F.count(F.lit(1)) + damp)).alias(name)))
-
-    users = cut_lineage(x.select(user).distinct().withColumn("user_effect", F.lit(0.0)))
+        blocks = max(1, -(-effects.count() // limit))
+        sums = None
+        for b in range(blocks):
+            of_block = F.pmod(F.xxhash64(other), F.lit(blocks)) == b
+            part = x.where(of_block).join(F.broadcast(effects.where(of_block)), other, "left").groupBy(key).agg(
+                F.sum(rest).alias("__s"), F.count(F.lit(1)).alias("__n"))
+            part = part if blocks == 1 else cut_lineage(part)
+            sums = part if sums is None else sums.unionByName(part)
+        if blocks > 1:
+            sums = sums.groupBy(key).agg(F.sum("__s").alias("__s"), F.sum("__n").alias("__n"))
+        return cut_lineage(sums.select(key, (F.col("__s") / (F.col("__n") + damp)).alias(name)))
+
+    users = cut_lineage(by_user.select(user).distinct().withColumn("user_effect", F.lit(0.0)))
     items, change, done = None, float("inf"), 0
     while done < max_rounds and change > tolerance:
         last_users, last_items = users, items
-        items = side(item, user, users, "item_effect", damping[1])
-        users = side(user, item, items, "user_effect", damping[0])
+        items = side(by_item, item, user, users, "item_effect", damping[1])
+        users = side(by_user, user, item, items, "user_effect", damping[0])
         moved = [(users, last_users, user, "user_effect")] + ([(items, last_items, item, "item_effect")] if last_items is not None else [])
         change = max(now.join(was.withColumnRenamed(name, "__was"), key).agg(F.max(F.abs(F.col(name) - F.col("__was")))).first()[0] or 0.0
                      for now, was, key, name in moved)
@@ -112,9 +130,21 @@ def fit_effects(train: DataFrame, user="user_id", item="item_id", rating="rating
     return RatingEffects(mean, users, items, done, change)
 
 
+def fit_effects(train: DataFrame, user="user_id", item="item_id", rating="rating", damping: tuple[float, float] = (10.0, 10.0),
+                max_rounds: int = 20, tolerance: float = 1e-3, broadcast_keys: int | None = None) -> RatingEffects:
+    """MOD5: damped user and item effects by alternating grouped means, until no effect moves by more than
+    ``tolerance``: effect = sum of what the other side leaves / (ratings + damping).  The ratings are written
+    in the order of items and of users once; in a round the effects of one side go to the ratings
+    (``broadcast_keys`` at a time) and only sums by key are shuffled.
+
+    NULL ratings are left out; the effects of an empty table are empty."""
+    return _fit(*_layouts(train, user, item, rating), user, item, damping, max_rounds, tolerance, broadcast_keys)
+
+
 def with_effects(pairs: DataFrame, effects: RatingEffects, user="user_id", item="item_id", out: str = "bias") -> DataFrame:
     """Adds mean + user effect + item effect; an unknown user or item has none."""
-    x = pairs.join(effects.users, user, "left").join(effects.items, item, "left")
+    sent = lambda df: F.broadcast(df) if df.count() <= BROADCAST_KEYS else df
+    x = pairs.join(sent(effects.users), user, "left").join(sent(effects.items), item, "left")
     zero = F.lit(0.0)
     return x.withColumn(out, F.lit(effects.mean) + F.coalesce("user_effect", zero) + F.coalesce("item_effect", zero)).drop("user_effect", "item_effect")
 
@@ -138,9 +168,16 @@ def als_grid_cv(train: DataFrame, global_mean: float, ranks=(5, 10), regs=(0.05,
     of ``train`` with the best setting)."""
     from tessera.operators.sampling import hash64
     spark = train.sparkSession
-    x = train.withColumn("__fold", F.pmod(hash64([user, item], seed), F.lit(k)).cast("int"))
+    x = stored(train.select(user, item, rating).withColumn("__fold", F.pmod(hash64([user, item], seed), F.lit(k)).cast("int")))
+
+    # all folds, and the fit to all ratings, read the same two orders of the ratings
+    both = _layouts(x, user, item, rating, "__fold") if remove_bias else None
+    damping, rounds, tolerance = (10.0, 10.0), 20, 1e-3
+
+    def effects_of(rows) -> RatingEffects | None:
+        return _fit(*[y.where(rows) for y in both], user, item, damping, rounds, tolerance) if remove_bias else None
 
-    of_fold = [fit_effects(x.where(F.col("__fold") != fold), user, item, rating) if remove_bias else None for fold in range(k)]
+    of_fold = [effects_of(F.col("__fold") != fold) for fold in range(k)]
 
     def fold_rmse(setting) -> float:
         rank, reg, fold = setting
@@ -148,14 +185,19 @@ def als_grid_cv(train: DataFrame, global_mean: float, ranks=(5, 10), regs=(0.05,
         p = m.transform(x.where(F.col("__fold") == fold))
         p = with_effects(p, of_fold[fold], user, item, "__bias") if remove_bias else p.withColumn("__bias", F.lit(global_mean))
         err = F.nanvl(F.col("prediction").cast("double"), F.lit(0.0)) + F.col("__bias") - F.col(rating)
-        return p.agg(F.sqrt(F.avg(err * err))).first()[0]
+        out = p.agg(F.sqrt(F.avg(err * err))).first()[0]
+        # Spark removes a fit's shuffle files once its tables are collected as garbage, so that the disk holds only the fits that run.
+        del m, p
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        return out
 
     grid = [(rank, reg) for rank in ranks for reg in regs]
     with ThreadPool(parallelism) as pool:  # Spark runs the fits side by side
         rmse = pool.map(fold_rmse, [(*g, fold) for g in grid for fold in range(k)])
     rows = [(int(rank), float(reg), sum(rmse[i * k:(i + 1) * k]) / k) for i, (rank, reg) in enumerate(grid)]
     best = min(rows, key=lambda r: (r[2], r[0], r[1]))
-    effects = fit_effects(train, user, item, rating) if remove_bias else None
+    effects = effects_of(F.lit(True))
     model = fit_als(train, global_mean, user, item, rating, best[0], best[1], max_iter, seed, effects)
     scores = spark.createDataFrame([(*r, r == best) for r in rows], "rank INT, reg DOUBLE, mean_rmse DOUBLE, is_best BOOLEAN")
     return scores, model

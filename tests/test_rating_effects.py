@@ -47,3 +47,25 @@ def test_unknown_keys_and_empty_tables(spark):
     assert got[999, 999] == pytest.approx(e.mean) and got[1, 1] == pytest.approx(got[999, 1] + got[1, 999] - e.mean)
     none = recsys.fit_effects(biased(spark).limit(0))
     assert none.mean is None and none.users.count() == 0 and none.items.count() == 0
+
+
+def test_effects_sent_in_blocks_are_the_same(spark):
+    df = biased(spark)
+    one, many = (recsys.fit_effects(df, max_rounds=3, tolerance=0.0, broadcast_keys=n) for n in (None, 7))
+    for a, b, key, name in ((one.users, many.users, "user_id", "user_effect"), (one.items, many.items, "item_id", "item_effect")):
+        was, now = ({r[key]: r[name] for r in df.collect()} for df in (a, b))
+        assert was.keys() == now.keys() and all(now[k] == pytest.approx(was[k], abs=1e-12) for k in was)
+
+
+def test_rounds_do_not_shuffle_or_copy_the_ratings(spark):
+    """The written bytes of the folds' fits stay below a few copies of the ratings; each fold wrote and shuffled its own."""
+    from tessera import session
+
+    n = 60_000
+    df = spark.range(n).select((F.col("id") % 50).alias("user_id"), F.expr("id div 50").alias("item_id"), F.rand(3).alias("rating"))
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session.ensure_checkpoint_dir(spark))
+    written = lambda: folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    before = written()
+    scores, _ = recsys.als_grid_cv(df, 0.5, ranks=(2,), regs=(0.1,), k=5, max_iter=1, remove_bias=True, parallelism=1)
+    assert scores.count() == 1
+    assert written() - before < 100 * n
