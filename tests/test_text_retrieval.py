@@ -22,6 +22,23 @@ def test_ngrams_stay_inside_documents(spark):
     assert bigrams == {"a b"}                                  # no "b c" across the border
 
 
+@pytest.mark.parametrize("heavy,most", [(1, 50_000), (3, 50_000), (3, 1), (50, 50_000)])
+def test_pruned_ngrams_match_brute_force(spark, heavy, most):
+    import random
+    from collections import Counter
+
+    rnd = random.Random(heavy)
+    docs = [[f"w{min(int(rnd.expovariate(0.3)), 30)}" for _ in range(rnd.randint(0, 25))] for _ in range(120)] + [None, [], ["z", "z"]]
+    df = spark.createDataFrame([(d,) for d in docs], "tokens ARRAY<STRING>")
+    top = {1: 5, 2: 7, 3: 4}
+    want = set()
+    for n, k in top.items():
+        c = Counter(" ".join(d[i:i + n]) for d in docs if d for i in range(len(d) - n + 1))
+        want |= {(g, m, n) for g, m in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:k]}
+    got = tops.ngram_frequencies(df, "tokens", top, heavy=heavy, heavy_most=most).collect()
+    assert {(r["ngram"], r["count"], r["n"]) for r in got} == want and len(got) == len(want)
+
+
 def test_dictionary_map_keeps_order(spark):
     df = spark.createDataFrame([(1, ["running", "dogs", "x"])], "id INT, tokens ARRAY<STRING>")
     d = spark.createDataFrame([("running", "run"), ("dogs", "dog")], "word STRING, lemma STRING")
