@@ -14,7 +14,7 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
                                        MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, Word2Vec
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
@@ -222,20 +222,11 @@ def active_learning(spark: SparkSession, train: DataFrame, test: DataFrame, pool
 def sentence_vectors_w2v(tokens_df: DataFrame, id_col: str, tokens: str, size: int = 100, window: int = 5,
                          min_count: int = 2, seed: int = 42, partitions: int | None = None) -> DataFrame:
     """FEA10: Word2Vec; a sentence is the mean of its *known* words' vectors
-    (zeros when none).  Tokens are counted per (sentence, word) before word
-    vectors are joined, and averaged by count with ``Summarizer`` (a partial
-    aggregate).  Trains in ``partitions`` tasks, by default as many as the input has."""
-    partitions = partitions or tokens_df.rdd.getNumPartitions()
-    w2v = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, seed=seed, inputCol=tokens,
-                   numPartitions=partitions, maxIter=1).fit(tokens_df)
-    vocab = w2v.getVectors().withColumnRenamed("word", "__w")
-    ex = (tokens_df.select(id_col, F.explode(tokens).alias("__w")).groupBy(id_col, "__w")
-          .agg(F.count(F.lit(1)).cast("double").alias("__n")))
-    means = (ex.join(vocab, "__w").groupBy(id_col).agg(Summarizer.mean(F.col("vector"), F.col("__n")).alias("__m"))
-               .select(id_col, vector_to_array("__m").alias("__a")))
-    zeros = F.array_repeat(F.lit(0.0), size)
-    out = tokens_df.select(id_col).join(means, id_col, "left")
-    return out.select(id_col, F.coalesce(F.col("__a"), zeros).alias("sentence_vector"))
+    (zeros when none).  MLlib's method with its tables in parts over the
+    executors (``word_vectors``); trains in ``partitions`` parts, by default as
+    many as the input has, in more where these would be large."""
+    from tessera.operators.word_vectors import sentence_vectors
+    return sentence_vectors(tokens_df, id_col, tokens, size, window, min_count, seed, partitions)
 
 
 def pca_centered(df: DataFrame, vec_col: str, k: int = 2, out: str = "pca") -> DataFrame:
