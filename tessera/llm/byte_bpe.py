@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 
 MEMO_BYTES = 256 << 20
 #: Stretches encoded in one call, in characters.
@@ -30,6 +31,25 @@ def stretches(text: str) -> list[str]:
     return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
 
+def pieces(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """All texts' ``stretches`` in a row, and the number of the first one of each text (then that of all)."""
+    coded = [t.encode() for t in texts]
+    data = b"".join(coded)
+    begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)))])
+    buf = np.frombuffer(data, dtype=np.uint8)
+    new = (buf == 32) | (buf == 10)
+    for i, t in enumerate(texts):
+        if _UNEVEN.search(t):  # not before every space and newline
+            parts = stretches(t)
+            new[begin[i]:begin[i + 1]] = False
+            new[begin[i] + np.cumsum([0, *(len(p.encode()) for p in parts[:-1])])] = True
+    new[begin[:-1][begin[:-1] < begin[1:]]] = True
+    first = np.flatnonzero(new)
+    offsets = np.append(first, len(data))
+    return (pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)),
+            np.searchsorted(offsets, begin))
+
+
 def joined(new: list[str], limit: int = JOINED) -> list[list[str]]:
     """Stretches in groups that may stand in a row: all but the first of a group begin with a space
     or newline, all but the last end with a character that is none."""
@@ -73,16 +93,28 @@ class ByteBpe:
             self.held += len(data) + int(end[-1]) + 200 * len(group)
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cut = [stretches(t) for t in texts]
+        # Looking up a stretch that is not in the processor's cache is dear, so each is looked up once for all its places.
+        cut, at = pieces(texts)
+        held = cut.dictionary_encode()
+        distinct = held.dictionary.to_pylist()
         if 2 * self.held > MEMO_BYTES:  # what was not used since the last time goes
             self.memo, self.older, self.held = {}, self.memo, 0
         memo, older = self.memo, self.older
-        new = set().union(*cut) - memo.keys()
-        for s in new & older.keys():
-            memo[s] = older[s]
-            self.held += 200 + len(s) + len(older[s])
-        self.learn(list(new - older.keys()))
-        return [b"".join(map(memo.__getitem__, c)) for c in cut]
+        new = [s for s in distinct if s not in memo]
+        for s in new:
+            if s in older:
+                memo[s] = older[s]
+                self.held += 200 + len(s) + len(older[s])
+        self.learn([s for s in new if s not in memo])
+        found = [memo[s] for s in distinct]
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        place = held.indices.to_numpy()
+        n = size[place]
+        end = np.concatenate([[0], np.cumsum(n)])
+        take = np.arange(end[-1]) + np.repeat((np.cumsum(size) - size)[place] - end[:-1], n)
+        data = np.frombuffer(b"".join(found), dtype="<u4")[take].tobytes()
+        bounds = (4 * end[at]).tolist()
+        return [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def byte_bpe(path: str) -> ByteBpe:

@@ -51,6 +51,8 @@ CAPACITY = 2048
 SETTINGS = ((2.1, 128), (4, 96), (6, 64))
 NEAR = 0.001
 END = 0
+#: Bytes of text whose stretches are looked up together.
+LOOKED_UP = 8 << 20
 
 #: A lot: that many sequences, all filled with so many pieces of each length.
 Lot = tuple[int, dict[int, int]]
@@ -65,7 +67,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, end = byte_bpe(tokenizer), END.to_bytes(4, "little")
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, LOOKED_UP):
             row, piece, start, size, crc, parts = [], [], [], [], [], []
             for r, ids in enumerate(bpe.ids([t or "" for t in b.column(1).to_pylist()])):
                 ids += end

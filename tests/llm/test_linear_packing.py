@@ -133,3 +133,24 @@ def test_whole_table(spark, sf, library):
     assert sorted((tuple(r)[:5] for r in got), key=str) == want
     n = check_packing(got)
     assert n <= best_fit_decreasing([r[3] for r in want], 2048)
+
+
+def test_stretches_are_looked_up_once_for_all_their_places():
+    """A slice's lookups number its distinct stretches, not its words (before: one a word)."""
+    bpe = bb.ByteBpe(q.BYTE_BPE)
+    texts = ["a word and a word\nand a word" * 50, "", " a  word", "\n\n x", "é  b   c", "\0 a\0", " ", "a word and"] * 3
+    asked = []
+
+    class Memo(dict):
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    bpe.memo = Memo()
+    got = bpe.ids(texts)
+    assert len(asked) == len(set(asked)) < 40
+    assert got == [np.array(bpe.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    cut, at = bb.pieces(texts)
+    for t, a, b in zip(texts, at[:-1], at[1:]):
+        assert cut[a:b].to_pylist() == [s for s in bb.stretches(t) if s]
+    assert bpe.ids([]) == [] and bpe.ids(["", ""]) == [b"", b""]
