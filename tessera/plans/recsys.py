@@ -16,7 +16,7 @@ from tessera.operators import sampling
 from tessera.plans.registry import query
 from tessera.plans.sqlhash import split_sql
 from tessera.plans.text import _centroids
-from tessera.session import cut_lineage
+from tessera.session import stored
 from tessera.sources.tables import load_table
 
 
@@ -28,13 +28,17 @@ def _r(c, d=9):
     return F.round(F.col(c), d).alias(c)
 
 
+def _rated(spark, sf):
+    li, o = load_table(spark, sf, "lineitem"), load_table(spark, sf, "orders")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    return (j.groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
+             .agg((F.avg("l_quantity") / 5).alias("rating")))
+
+
 def ratings(spark, sf):
     """(user, item, rating); used as targets, neighbour ratings and key sets,
     so it is materialised once in the shared checkpoint folder."""
-    li, o = load_table(spark, sf, "lineitem"), load_table(spark, sf, "orders")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
-    return cut_lineage(j.groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
-                        .agg((F.avg("l_quantity") / 5).alias("rating")))
+    return stored(_rated(spark, sf))
 
 
 def trust_edges(spark, sf):
@@ -108,10 +112,11 @@ def eva1(spark, sf):
 
 def _rating_split(spark, sf):
     """Split by row, so that most test rows have a known user and item; one user in twenty and one
-    item in twenty-five are in no training row, so that the cold-start rules apply too."""
-    r = sampling.hash_split(ratings(spark, sf), ["user_id", "item_id"], {"train": 0.85, "test": 0.15})
+    item in twenty-five are in no training row, so that the cold-start rules apply too.  The parts are
+    stored with their rows: both are read many times, and the hash that deals them is dear."""
+    r = sampling.hash_split(_rated(spark, sf), ["user_id", "item_id"], {"train": 0.85, "test": 0.15})
     cold = (F.pmod("user_id", F.lit(20)) == 0) | (F.pmod("item_id", F.lit(25)) == 0)
-    r = r.withColumn("split", F.when(cold, "test").otherwise(F.col("split")))
+    r = stored(r.withColumn("split", F.when(cold, "test").otherwise(F.col("split"))))
     return r.where("split = 'train'"), r.where("split = 'test'")
 
 
