@@ -20,7 +20,7 @@ from tessera.plans.registry import query
 from tessera.plans.sqlhash import h_sql, split_sql
 from tessera.plans.views import with_flights
 from tessera.sources.tables import cores, load_table, spread
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, stored
 from tessera.streaming.runner import shared_path
 
 FLIGHT_FEATURES = ["dep_hour", "distance_km", "day_of_year", "quarter", "is_weekend", "l_quantity",
@@ -157,7 +157,8 @@ def mod8(spark, sf):
     x = flight_features(spark, sf).where(F.col("arrival_delay").isNotNull())
     x = x.select("flight_id", "l_partkey", *[F.col(c).cast("double") for c in FLIGHT_FEATURES],
                  "dep_time_bucket", "cancellation_reason", F.col("arrival_delay").alias("label"))
-    x = cut_lineage(sampling.hash_split(x, ["flight_id", "l_partkey"], {"train": 0.8, "test": 0.2}))
+    # stored as columns: the medians, each fitted stage and the trees read the rows anew, a checkpoint would be made twice
+    x = stored(sampling.hash_split(x, ["flight_id", "l_partkey"], {"train": 0.8, "test": 0.2}))
     train = x.where("split = 'train'")
     stages = md.preprocessing_stages(train, FLIGHT_FEATURES, ["dep_time_bucket", "cancellation_reason"])
     path = shared_path(spark, "models", "delay_gbt", uuid.uuid4().hex[:12])
