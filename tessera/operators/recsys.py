@@ -153,8 +153,9 @@ def fit_als(train: DataFrame, global_mean: float, user="user_id", item="item_id"
             rank: int = 10, reg: float = 0.1, max_iter: int = 10, seed: int = 42, effects: RatingEffects | None = None):
     """MOD5: matrix factorisation on bias-removed ratings (mean-removed ones without ``effects``;
     ``coldStartStrategy=nan``)."""
+    # ALS removes the shuffle files of the iterations before a checkpoint (by default every tenth); the factors are the same.
     als = ALS(userCol=user, itemCol=item, ratingCol="__res", rank=rank, regParam=reg, maxIter=max_iter,
-              coldStartStrategy="nan", seed=seed, nonnegative=False)
+              coldStartStrategy="nan", seed=seed, nonnegative=False, checkpointInterval=2)
     base = train.withColumn("__bias", F.lit(global_mean)) if effects is None else with_effects(train, effects, user, item, "__bias")
     return als.fit(base.withColumn("__res", F.col(rating) - F.col("__bias")))
 
