@@ -121,11 +121,12 @@ def mlp_classifier(layers: list[int], seed: int = 42, max_iter: int = 100) -> Mu
 
 
 def preprocessing_stages(train: DataFrame, numeric: list[str], categorical: list[str],
-                         out: str = "features", na_token: str = "__NA__") -> list:
+                         out: str = "features", na_token: str = "__NA__", keep_unseen: bool = True) -> list:
     """FEA7: column-wise preprocessing as persistable ``pyspark.ml`` stages:
     numeric NULL -> exact training median (baked into a ``SQLTransformer``),
     categorical NULL -> ``na_token``, text levels indexed in alphabetical
-    order (unseen ones -1), assembled and scaled."""
+    order (unseen levels kept as an extra index, or -1 as in FEA4 without
+    ``keep_unseen``), assembled and scaled."""
     from pyspark.ml.feature import SQLTransformer
 
     from tessera.operators.encoders import OrdinalEncoder
@@ -135,8 +136,8 @@ def preprocessing_stages(train: DataFrame, numeric: list[str], categorical: list
     sel = ["*"] + [f"coalesce(`{c}`, {float(fills.get(c) or 0.0)!r}) AS `{c}__f`" for c in numeric] + \
           [f"coalesce(CAST(`{c}` AS STRING), '{na_token}') AS `{c}__f`" for c in categorical]
     stages = [SQLTransformer(statement=f"SELECT {', '.join(sel)} FROM __THIS__")]
-    # A level that the fit did not see is -1, as in FEA4.
-    stages += [OrdinalEncoder(inputCols=[f"{c}__f" for c in categorical], outputCols=[f"{c}__ix" for c in categorical])]
+    stages += [OrdinalEncoder(inputCols=[f"{c}__f" for c in categorical], outputCols=[f"{c}__ix" for c in categorical],
+                              keepUnseen=keep_unseen)]
     stages += [VectorAssembler(inputCols=[f"{c}__f" for c in numeric] + [f"{c}__ix" for c in categorical],
                                outputCol="__raw", handleInvalid="keep"),
                StandardScaler(inputCol="__raw", outputCol=out, withMean=True, withStd=True)]

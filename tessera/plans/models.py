@@ -160,7 +160,7 @@ def mod8(spark, sf):
     # stored as columns: the medians, each fitted stage and the trees read the rows anew, a checkpoint would be made twice
     x = stored(sampling.hash_split(x, ["flight_id", "l_partkey"], {"train": 0.8, "test": 0.2}))
     train = x.where("split = 'train'")
-    stages = md.preprocessing_stages(train, FLIGHT_FEATURES, ["dep_time_bucket", "cancellation_reason"])
+    stages = md.preprocessing_stages(train, FLIGHT_FEATURES, ["dep_time_bucket", "cancellation_reason"], keep_unseen=False)
     path = shared_path(spark, "models", "delay_gbt", uuid.uuid4().hex[:12])
     model = md.fit_save_pipeline(train, stages + [GBTRegressor(maxIter=20, maxDepth=4, seed=42)], path)
     pred = model.transform(x.where("split = 'test'"))

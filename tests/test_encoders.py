@@ -26,3 +26,14 @@ def test_unfitted_encoder_is_saved_and_empty_tables_encode(spark, tmp_path):
     assert [r.ix for r in again.fit(none).transform(spark.createDataFrame([("a",)], "c STRING")).collect()] == [-1]
     with pytest.raises(ValueError):
         again.fit(spark.createDataFrame([("a",), ("b",), ("c",)], "c STRING"))
+
+
+@pytest.mark.parametrize("keep, unseen", [(True, 2), (False, -1)])
+def test_unseen_levels_are_minus_one_or_an_extra_index(spark, tmp_path, keep, unseen):
+    from tessera.operators.modeling import fit_save_pipeline, preprocessing_stages
+    train = spark.createDataFrame([(1.0, "b"), (3.0, "a")], "x DOUBLE, c STRING")
+    model = fit_save_pipeline(train, preprocessing_stages(train, ["x"], ["c"], keep_unseen=keep), str(tmp_path / "model"))
+    later = spark.createDataFrame([(1.0, "a"), (1.0, "b"), (1.0, "z"), (1.0, None)], "x DOUBLE, c STRING")  # NULL is a level the fit did not see
+    assert {r.c: r.c__ix for r in model.transform(later).collect()} == {"a": 0, "b": 1, "z": unseen, None: unseen}
+    encoder = OrdinalEncoder(inputCols=["c"], outputCols=["ix"], keepUnseen=keep)
+    assert {r.c: r.ix for r in encoder.fit(train).transform(later).collect()} == {"a": 0, "b": 1, "z": unseen, None: unseen}
