@@ -1,11 +1,15 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import zstandard
 
 from tessera.llm import queries as q
 from tessera.llm import suffix_shards as ss
+from tessera.llm.common import slices
 
 
 def brute(rows, window=400):
@@ -89,3 +93,51 @@ def test_anchors_cover_every_window_once():
     for t, a, b, g in zip(text, first, last, gram):
         for s in range(a, b + 1):
             assert by_window.setdefault(texts[t][s:s + 400], int(g)) == int(g)
+
+
+def test_small_pieces(spark, docs_of, table_dir, monkeypatch):
+    monkeypatch.setattr(ss, "PIECE", 1500)  # every anchor with a few contexts is a piece of its own
+    assert run(spark, table_dir, docs_of(rows_of(4))) == brute(rows_of(4))
+
+
+def test_pieces_hold_whole_anchors():
+    rnd = random.Random(5)
+    rows = [(g, bytes(rnd.randrange(400, 900))) for g in (7, -3, 12, 5) for _ in range(9)] + [(99, bytes(8000))]
+    rnd.shuffle(rows)
+    part = pa.table({"gram": [g for g, _ in rows], "data": pa.array([d for _, d in rows], pa.binary())})
+    pieces = [p.to_pylist() for p in ss._pieces(part, 7000)]
+    grams = [g for p in pieces for g in {r["gram"] for r in p}]
+    assert len(grams) == len(set(grams)) == 5 and len(pieces) > 2
+    assert all(sum(len(r["data"]) for r in p) <= 7000 or len({r["gram"] for r in p}) == 1 for p in pieces)
+    assert sorted((r["gram"], r["data"]) for p in pieces for r in p) == sorted(rows)
+
+
+def test_a_shard_is_sorted_in_little_memory():
+    rnd = np.random.default_rng(6)
+    rows = []
+    for g in range(250):  # near copies of 250 anchors' contexts, 2 MB
+        base = rnd.integers(97, 123, size=800).astype(np.uint8)
+        for k in range(10):
+            copy = base.copy()
+            copy[40 * k] = 35
+            rows.append((g, copy.tobytes()))
+    part = pa.table({"gram": [g for g, _ in rows], "data": pa.array([d for _, d in rows], pa.binary())})
+    tracemalloc.start()
+    found = {}
+    for piece in ss._pieces(part, ss.PIECE):
+        data = piece.column("data").to_pylist()
+        begin, marked, _, _ = ss.repeated_starts(data, 400)
+        found |= {d: marked[b:b + 401] for b, d in zip(begin.tolist(), data)}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20  # the shard at once took 150 MB and more
+    count = Counter(d[i:i + 400] for _, d in rows for i in range(401))
+    assert all((found[d] == [count[d[i:i + 400]] > 1 for i in range(401)]).all() for _, d in rows)
+
+
+def test_compressed_texts_are_cut_by_their_bytes():
+    texts = [b"a" * (1 << 20)] * 8 + [b"", None, b"b" * 10]
+    packed = pa.array([zstandard.compress(t) if t else t for t in texts], pa.binary())
+    batch = pa.RecordBatch.from_arrays([packed, pa.array([len(t or b"") for t in texts], pa.int64())], ["data", "n_bytes"])
+    cut = list(slices([batch], 0, 2 << 20, size=1))
+    assert sum(b.num_rows for b in cut) == 11 and all(sum(b.column(1).to_pylist()) <= 2 << 20 for b in cut)
