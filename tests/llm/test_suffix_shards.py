@@ -141,3 +141,31 @@ def test_compressed_texts_are_cut_by_their_bytes():
     batch = pa.RecordBatch.from_arrays([packed, pa.array([len(t or b"") for t in texts], pa.int64())], ["data", "n_bytes"])
     cut = list(slices([batch], 0, 2 << 20, size=1))
     assert sum(b.num_rows for b in cut) == 11 and all(sum(b.column(1).to_pylist()) <= 2 << 20 for b in cut)
+
+
+def test_cut_ranges():
+    rnd = random.Random(7)
+    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+    texts = [make(rnd, n).encode() for n in (0, 50, 300, 301, 302, 900, 5)]
+    ranges = [None, [], *([{"a": a, "b": a + rnd.randrange(3)} for a in (rnd.randrange(len(t) - 12) for _ in range(14))] for t in texts[2:6]), None]
+    for lo, hi in ((0, 7), (3, 6), (0, 1)):  # slices too
+        spans, kept = ss.cut_ranges(texts[lo:hi], pa.array(ranges, kind).slice(lo, hi - lo), 10)
+        for t, r, s, k in zip(texts[lo:hi], ranges[lo:hi], spans.to_pylist(), kept, strict=True):
+            gone = np.zeros(len(t) + 1, dtype=np.int8)
+            for x in r or []:
+                gone[x["a"]:x["b"] + 10] = 1
+            edge = np.diff(np.concatenate([[0], gone]))
+            assert s == [{"begin": int(x), "end": int(y)} for x, y in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
+            assert k == bytes(c for c, g in zip(t, gone) if not g)
+
+
+def test_very_many_ranges_are_cut_in_little_memory():
+    n = 400_000  # a text that repeats one byte has a range for every byte
+    place = pa.array(np.arange(n, dtype=np.int32)[::-1])
+    ranges = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.StructArray.from_arrays([place, place], ["a", "b"]))
+    tracemalloc.start()
+    spans, kept = ss.cut_ranges([b"a" * (n + 400)], ranges, 400)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert spans.to_pylist() == [[{"begin": 0, "end": n + 399}]] and kept == [b"a"]
+    assert peak < 48 << 20  # a dictionary for each took over 90 MB
