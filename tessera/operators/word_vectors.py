@@ -42,6 +42,11 @@ RATE, SENTENCE = 0.025, 1000
 # -----------------------------------------------------------------------------
 #: Positions trained on one copy of their vectors; a word's changes at several of them add up.
 BLOCK = 64
+#: Positions whose steps start from the same vectors and add up.
+TOGETHER = 4
+#: Positions whose paths are laid out at once, about.
+GROUP = 2048
+SCALE = np.float32(0.5 ** 0.5)
 
 
 def huffman(runs: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,50 +125,103 @@ def start_vectors(index: np.ndarray, size: int, seed: int) -> np.ndarray:
     return out
 
 
+def _group_steps(words: np.ndarray, lengths: np.ndarray, begin: np.ndarray, at: np.ndarray, half: np.ndarray, wide: int, together: int,
+                 window: int, reach: np.ndarray, rate: np.ndarray):
+    """What the positions of some sentences (``words``, ``lengths`` each) want of the nodes above them, by blocks
+    of ``together`` positions of one sentence: (cut, node, want, half_count).
+
+    Block ``k`` has the distinct nodes ``node[cut[k]:cut[k + 1]]``.  ``want[k, r, c]`` is the sum of rate * (half - bit)
+    over its positions that have the block's row ``r`` (from ``window`` before its first position on) around them and node ``c`` above
+    them, ``half_count[k, r, c]`` that of rate / 2."""
+    counts = -(-lengths // together)
+    blocks = int(counts.sum())
+    at_sentence = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    block, slot = np.repeat(np.cumsum(counts) - counts, lengths) + at_sentence // together, at_sentence % together
+    far = np.abs(np.arange(together + 2 * window)[:, None] - window - np.arange(together))
+    far[far == 0] = window + 1  # the word itself is not in its context
+    reaches = np.zeros((blocks, together), dtype=np.int64)
+    reaches[block, slot] = reach
+    near = (far <= reaches[:, None, :]) * np.repeat(rate, counts).astype(np.float32)[:, None, None]
+    steps = (begin[1:] - begin[:-1])[words]
+    total = int(steps.sum())
+    of = np.repeat(np.arange(len(words)), steps)
+    path = np.arange(total) + np.repeat(begin[words] - (np.cumsum(steps) - steps), steps)
+    bits = total.bit_length()
+    order = np.sort(((block[of] * wide + at[path]) << bits) | np.arange(total))
+    key = order >> bits
+    order &= (1 << bits) - 1
+    new = np.ones(total, dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    column, key = np.cumsum(new) - 1, key[new]
+    cut = np.searchsorted(key // wide, np.arange(blocks + 1))
+    sums = np.zeros((2, blocks, together, int((cut[1:] - cut[:-1]).max())), dtype=np.float32)
+    k, place = block[of[order]], slot[of[order]]
+    column -= cut[k]
+    sums[0, k, place, column] = half[path[order]]
+    sums[1, k, place, column] = 0.5
+    want, half_count = np.matmul(near, sums)
+    return cut.tolist(), key % wide, want, half_count
+
+
 def train_part(sentences: list[np.ndarray], vectors: np.ndarray, begin: np.ndarray, nodes: np.ndarray, bits: np.ndarray,
-               window: int, parts: int, total_words: int, rng: np.random.Generator) -> np.ndarray:
+               window: int, parts: int, total_words: int, rng: np.random.Generator, together: int = 1) -> np.ndarray:
     """Trains ``vectors`` in place on sentences of row numbers; returns which rows moved.
 
     For each position the vectors of the words around it learn to predict its path; the
-    rate falls with the share of words seen, as in MLlib."""
+    rate falls with the share of words seen, as in MLlib.  The steps of ``together`` positions
+    that follow each other start from the same vectors and add up: with 1, each position
+    sees what those before it changed."""
     moved = np.zeros(len(vectors), dtype=bool)
     distinct, at = np.unique(nodes, return_inverse=True)
+    if not len(distinct):
+        return moved
     inner = np.zeros((len(distinct), vectors.shape[1]), dtype=np.float32)
-    place = [at[a:b] for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
     half = np.float32(0.5) - bits
-    wanted = [half[a:b] for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
-    seen, tanh = 0, np.tanh
-    for sentence in sentences:
-        n = len(sentence)
-        rate = np.float32(max(RATE * (1 - parts * seen / (total_words + 1)), RATE * 1e-4))
-        seen += n
-        reach = (window - rng.integers(0, window, n)).tolist()
-        words = sentence.tolist()
-        for b in range(0, n, BLOCK):
-            lo, hi = max(0, b - window), min(n, b + BLOCK + window)
-            rows = sentence[lo:hi]
-            was = vectors[rows]
-            now = was.copy()
-            for p in range(b, min(n, b + BLOCK)):
-                i, j = max(0, p - reach[p]), min(n, p + reach[p] + 1)
-                if j - i < 2:
-                    continue
-                w = words[p]
-                path = place[w]
-                y = inner[path]
-                x = now[i - lo:j - lo]
-                g = x @ y.T
-                g *= np.float32(0.5)
-                tanh(g, out=g)
-                g *= np.float32(-0.5)
-                g += wanted[w]  # 1 - bit - sigmoid(x . y)
-                g *= rate
-                g[p - i] = 0  # the word itself is not in its context
-                inner[path] = y + g.T @ x
-                x += g @ y
-            np.add.at(vectors, rows, now - was)
-        if n > 1:
-            moved[sentence] = True
+    block = max(1, BLOCK // together) * together
+    vectors *= SCALE  # so is inner: a product of the two is half the true one, and steps need no factor
+    seen = first = 0
+    while first < len(sentences):
+        last, size = first + 1, len(sentences[first])
+        while last < len(sentences) and size + len(sentences[last]) <= GROUP:
+            size += len(sentences[last])
+            last += 1
+        group, first = sentences[first:last], last
+        if not size:
+            continue
+        lengths = np.array([len(s) for s in group])
+        before = seen + np.cumsum(lengths) - lengths
+        seen += size
+        rate = np.maximum(RATE * (1 - parts * before / (total_words + 1)), RATE * 1e-4)
+        reach = window - np.concatenate([rng.integers(0, window, n) for n in lengths.tolist()])
+        cut, node, want, half_count = _group_steps(np.concatenate(group), lengths, begin, at, half, len(distinct), together, window, reach, rate)
+        k = 0
+        for sentence in group:
+            n = len(sentence)
+            for b in range(0, n, block):
+                lo, end = max(0, b - window), min(n, b + block)
+                rows = sentence[lo:end + window]
+                was = vectors.take(rows, axis=0)
+                now = was.copy()
+                for p in range(b, end, together):
+                    i, j = max(0, p - window), min(n, p + together + window)
+                    c = cut[k + 1] - cut[k]
+                    path = node[cut[k]:cut[k + 1]]
+                    x, y = now[i - lo:j - lo], inner.take(path, axis=0)
+                    g = x @ y.T
+                    np.tanh(g, g)
+                    i, j = i - p + window, j - p + window
+                    np.multiply(half_count[k, i:j, :c], g, g)
+                    np.subtract(want[k, i:j, :c], g, g)  # rate * (1 - bit - sigmoid(x . y)), added up
+                    dx = g @ y
+                    y += g.T @ x
+                    inner[path] = y
+                    x += dx
+                    k += 1
+                now -= was
+                np.add.at(vectors, rows, now)
+            if n > 1:
+                moved[sentence] = True
+    vectors /= SCALE
     return moved
 
 
@@ -231,7 +289,7 @@ def sentence_vectors(tokens_df: DataFrame, id_col: str, tokens: str, size: int =
         sentences = [s[a:a + SENTENCE] for s in rows for a in range(0, len(s), SENTENCE)]
         vectors = start_vectors(index, size, seed)
         part = key[0].as_py() if len(key) else 0
-        moved = train_part(sentences, vectors, *paths(index, tree, total), window, parts, train_words, np.random.default_rng([seed, part]))
+        moved = train_part(sentences, vectors, *paths(index, tree, total), window, parts, train_words, np.random.default_rng([seed, part]), TOGETHER)
         return _batched(pa.table({"__part": pa.array(np.full(len(index), part, dtype=np.int32)), "__word": left.column("__word").cast(pa.string()),
                                   "__index": left.column("__index"), "__moved": pa.array(moved), "__vector": _binary(vectors)}))
 
