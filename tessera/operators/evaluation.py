@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 SMAPE_FLOOR = 1e-8  # fixed denominator floor of the reference's SMAPE
 
 
-def regression_metrics(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
-    """EVA1 + EVA2: MSE, RMSE, MAE, R^2, SMAPE (%), MAPE (%), cumulative error; one pass."""
+def regression_metrics(df: DataFrame, label: str = "label", pred: str = "prediction", by: str | None = None) -> DataFrame:
+    """EVA1 + EVA2: MSE, RMSE, MAE, R^2, SMAPE (%), MAPE (%), cumulative error; one pass, a row for each ``by``."""
     e = F.col(pred) - F.col(label)
-    x = df.agg(F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
-               F.sum(e * e).alias("__sse"), F.var_pop(label).alias("__var"), F.count(F.lit(1)).alias("n"),
-               (F.avg(F.lit(2.0) * F.abs(e) / F.greatest(F.abs(F.col(label)) + F.abs(F.col(pred)),
-                                                        F.lit(SMAPE_FLOOR))) * 100).alias("smape"),
-               (F.avg(F.try_divide(F.abs(e), F.abs(F.col(label)))) * 100).alias("mape"),
-               F.sum(e).alias("cumulative_error"))
-    return x.select("n", "mse", F.sqrt("mse").alias("rmse"), "mae",
+    keys = [by] if by else []
+    x = df.groupBy(*keys).agg(F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
+                              F.sum(e * e).alias("__sse"), F.var_pop(label).alias("__var"), F.count(F.lit(1)).alias("n"),
+                              (F.avg(F.lit(2.0) * F.abs(e) / F.greatest(F.abs(F.col(label)) + F.abs(F.col(pred)),
+                                                                       F.lit(SMAPE_FLOOR))) * 100).alias("smape"),
+                              (F.avg(F.try_divide(F.abs(e), F.abs(F.col(label)))) * 100).alias("mape"),
+                              F.sum(e).alias("cumulative_error"))
+    return x.select(*keys, "n", "mse", F.sqrt("mse").alias("rmse"), "mae",
                     (F.lit(1.0) - F.col("__sse") / (F.col("__var") * F.col("n"))).alias("r2"),
                     "smape", "mape", "cumulative_error")
 
