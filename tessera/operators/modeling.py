@@ -16,13 +16,14 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.binned_trees import BinnedTrees, bin_rows
+from tessera.operators.ridge import SumsRegression, vector_sums
 from tessera.session import cut_lineage
 
 
@@ -33,9 +34,9 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
 def regressors(seed: int = 42) -> dict:
     """MOD1: linear, ridge, lasso, tree, forest, boosting."""
     return {
-        "linear": LinearRegression(regParam=0.0),
-        "ridge": LinearRegression(regParam=0.1, elasticNetParam=0.0),
-        "lasso": LinearRegression(regParam=0.1, elasticNetParam=1.0),
+        "linear": SumsRegression(0.0),
+        "ridge": SumsRegression(0.1),
+        "lasso": SumsRegression(0.1, l1_share=1.0),
         "tree": BinnedTrees(depth=6, seed=seed),
         "forest": BinnedTrees(depth=6, trees=20, bagged=True, seed=seed),
         "boosting": BinnedTrees(depth=4, trees=20, boosted=True, seed=seed),
@@ -46,14 +47,18 @@ def compare_regressors(spark: SparkSession, train: DataFrame, test: DataFrame, m
                        label: str = "label") -> DataFrame:
     """MOD1 + EVA1: fit every model, one result row each (rmse, mae, r2).
 
-    Models of binned trees share the binned rows, and one pass over ``test`` scores all models."""
+    Linear models share one pass of sums, models of binned trees the binned rows; one pass over ``test``
+    scores all models."""
     from tessera.operators.evaluation import regression_metrics
-    fitted, binned = {}, None
+    fitted, binned, sums = {}, None, None
     for name, est in (models or regressors()).items():
         est = est.setLabelCol(label).setFeaturesCol("features")
         if isinstance(est, BinnedTrees):
             binned = binned or bin_rows(train, "features", label)
             fitted[name] = est.fit_binned(binned)
+        elif isinstance(est, SumsRegression):
+            sums = vector_sums(train, "features", label) if sums is None else sums
+            fitted[name] = est.fit_sums(sums)
         else:
             fitted[name] = est.fit(train)
     if binned:

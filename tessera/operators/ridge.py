@@ -21,6 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,3 +97,95 @@ def ridge_cv(df: DataFrame, features: list[str], label: str, fold: str, penaltie
     known = [(m, -p) for p, m in means.items() if m is not None]
     best = -min(known)[1] if known else None
     return df.sparkSession.createDataFrame([(*r, means[r[0]], r[0] == best) for r in rows], RESULT)
+
+
+def vector_sums(df: DataFrame, features: str = "features", label: str = "label") -> np.ndarray:
+    """Matrix of product sums of (1, features, label), for a vector column: one pass, a matrix a task."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = None
+        for b in batches:
+            n = b.num_rows
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.empty((0, 0))
+            z = np.column_stack([np.ones(n), x, b.column(1).to_numpy(zero_copy_only=False)])
+            z = z[np.isfinite(z).all(axis=1)]
+            if n:
+                sums = z.T @ z if sums is None else sums + z.T @ z
+        if sums is not None:
+            yield pa.RecordBatch.from_pydict({"cell": pa.array(np.arange(sums.size)), "value": pa.array(sums.ravel())})
+
+    x = df.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))
+    cells = x.mapInArrow(partial, "cell bigint, value double").groupBy("cell").agg(F.sum("value").alias("value")).orderBy("cell").collect()
+    out = np.array([r["value"] for r in cells])
+    width = int(round(len(out) ** 0.5))
+    return out.reshape(width, width)
+
+
+class SumsRegression:
+    """Linear regression with MLlib's penalties (``regParam`` and ``elasticNetParam`` of its LinearRegression, features and label
+    standardised), solved from one pass of sums that any number of them can share."""
+
+    def __init__(self, penalty: float = 0.0, l1_share: float = 0.0):
+        self.penalty, self.l1_share = penalty, l1_share
+        self.label, self.features = "label", "features"
+
+    def setLabelCol(self, name: str) -> SumsRegression:
+        self.label = name
+        return self
+
+    def setFeaturesCol(self, name: str) -> SumsRegression:
+        self.features = name
+        return self
+
+    def fit(self, train: DataFrame) -> SumsRegressionModel:
+        return self.fit_sums(vector_sums(train, self.features, self.label))
+
+    def fit_sums(self, sums: np.ndarray) -> SumsRegressionModel:
+        if not sums.size or sums[0, 0] < 1:
+            raise ValueError("no row has a label and features that are all finite")
+        n = sums[0, 0]
+        deviation = np.sqrt(max(0.0, sums[-1, -1] / n - (sums[0, -1] / n) ** 2))
+        scaled = self.penalty / deviation if deviation else 0.0
+        b = solve(sums, scaled * (1 - self.l1_share))
+        if scaled * self.l1_share:
+            b = _shrunk(sums, scaled * self.l1_share, scaled * (1 - self.l1_share))
+        return SumsRegressionModel(float(b[0]), b[1:], self.features)
+
+
+def _shrunk(sums: np.ndarray, l1: float, l2: float) -> np.ndarray:
+    """Intercept and coefficients under both penalties: one coefficient after the other until none moves."""
+    n = sums[0, 0]
+    mean = sums[0, 1:] / n
+    cov = sums[1:, 1:] / n - np.outer(mean, mean)
+    used = np.flatnonzero(np.diag(cov)[:-1] > 1e-12 * (np.diag(sums)[1:-1] / n))
+    sd, label_sd = np.sqrt(np.diag(cov)[used]), np.sqrt(cov[-1, -1])
+    corr, wanted = cov[np.ix_(used, used)] / np.outer(sd, sd), cov[used, -1] / sd / label_sd
+    w = np.zeros(len(used))
+    for _ in range(100_000):
+        before = w.copy()
+        for j in range(len(w)):
+            rest = wanted[j] - corr[j] @ w + corr[j, j] * w[j]
+            w[j] = np.sign(rest) * max(0.0, abs(rest) - l1) / (corr[j, j] + l2)
+        if np.abs(w - before).max(initial=0) <= 1e-13:
+            break
+    b = np.zeros(len(mean) - 1)
+    b[used] = w * label_sd / sd
+    return np.concatenate([[mean[-1] - mean[:-1] @ b], b])
+
+
+class SumsRegressionModel:
+    def __init__(self, intercept: float, coefficients: np.ndarray, features: str):
+        self.intercept, self.coefficients, self.features, self.prediction = intercept, coefficients, features, "prediction"
+
+    def setPredictionCol(self, name: str) -> SumsRegressionModel:
+        self.prediction = name
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        intercept, b = self.intercept, self.coefficients
+
+        @F.arrow_udf("double")
+        def score(x: pa.Array) -> pa.Array:
+            return pa.array(intercept + x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), len(b)) @ b)
+
+        return df.withColumn(self.prediction, score(vector_to_array(self.features)))

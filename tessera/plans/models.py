@@ -33,7 +33,9 @@ def _flight_xy(spark, sf):
     x = x.select("flight_id", "l_partkey", *[F.col(c).cast("double") for c in FLIGHT_FEATURES],
                  F.col("arrival_delay").alias("label"))
     x = sampling.hash_split(x, ["flight_id", "l_partkey"], {"train": 0.8, "test": 0.2})
-    # stored once as columns, which every model and the scoring read anew; a checkpoint would be made twice
+    # stored once as columns, which every model and the scoring read anew; a checkpoint would be made twice.
+    # Sorted, so that the rows drawn for thresholds and bags are the same in each run
+    x = x.sortWithinPartitions("flight_id", "l_partkey", *FLIGHT_FEATURES, "label")
     return md.assemble(stored(x), FLIGHT_FEATURES)
 
 
